@@ -13,7 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import adapters as A
-from ..operators import scoring
+from ..functions.numeric import round_half
+from ..operators import ranking, reports, scoring, timeseries
 from ..session import ensure_defaults
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,3 +46,113 @@ def q_zscore(spark, sf):
     """P2 on the events adapter: z > 3 against the sensor-month baseline, top 200."""
     d = A.events_domain(spark, sf)
     return scoring.zscore_anomalies(d.readings, d.sensors, d.facilities, 3.0, 200)
+
+
+@register("anomalies_by_type")
+def q_anomalies_by_type(spark, sf):
+    """A1: parameterised anomalies (z > 3, limit 100) for one facility type."""
+    d = A.events_domain(spark, sf)
+    out = scoring.anomalies(d.readings, d.sensors, d.facilities, 3.0, 100, EVENTS_WIND_TYPE)
+    # unrounded in the library; the comparison needs a fixed precision
+    return out.withColumn("z_score", round_half("z_score", 8))
+
+
+@register("rolling_24h")
+def q_rolling_24h(spark, sf):
+    """P1 on the events adapter: hourly facility means, trailing 24-row mean."""
+    d = A.events_domain(spark, sf)
+    return timeseries.rolling_24h(d.readings, d.sensors, d.facilities, EVENTS_POWER_SENSOR)
+
+
+@register("dash_rolling_type")
+def q_dash_rolling_type(spark, sf):
+    """D3 on the events adapter: hourly sums per facility type, trailing 24-row mean."""
+    d = A.events_domain(spark, sf)
+    out = timeseries.rolling_by_type(d.readings, d.sensors, d.facilities, EVENTS_POWER_SENSOR)
+    return out.withColumn("rolling_24h_avg", round_half("rolling_24h_avg", 6))
+
+
+@register("facility_ranking")
+def q_facility_ranking(spark, sf):
+    """P3 on the shipments adapter: two-level efficiency, RANK/NTILE/PERCENT_RANK."""
+    d = A.shipments_domain(spark, sf)
+    return ranking.facility_ranking(d.readings, d.sensors, d.facilities, SHIP_POWER_SENSOR)
+
+
+@register("ranking_direct")
+def q_ranking_direct(spark, sf):
+    """A2 on the shipments adapter: one-level efficiency ranked unrounded."""
+    d = A.shipments_domain(spark, sf)
+    return ranking.ranking_direct(d.readings, d.sensors, d.facilities, SHIP_POWER_SENSOR)
+
+
+@register("dash_top10")
+def q_dash_top10(spark, sf):
+    """D1 on the shipments adapter: top 10 by mean per-reading efficiency."""
+    d = A.shipments_domain(spark, sf)
+    return ranking.top_efficiency(d.readings, d.sensors, d.facilities, SHIP_POWER_SENSOR, 10)
+
+
+@register("top3_per_sensor")
+def q_top3(spark, sf):
+    """P7 on the shipments adapter: top 3 clean readings per sensor in Dec 1998."""
+    d = A.shipments_domain(spark, sf)
+    return ranking.top_readings_per_sensor(d.readings, d.sensors, d.facilities,
+                                           "1998-12-01", "1999-01-01", 3)
+
+
+@register("monthly_report")
+def q_monthly_report(spark, sf):
+    """P4 on the shipments adapter: per country/type/month with LAG and severity."""
+    d = A.shipments_domain(spark, sf)
+    return reports.monthly_report(d.readings, d.sensors, d.facilities, SHIP_POWER_SENSOR)
+
+
+@register("dash_anomaly_trend")
+def q_dash_anomaly_trend(spark, sf):
+    """D2 on the shipments adapter: monthly flagged share of all readings."""
+    d = A.shipments_domain(spark, sf)
+    return reports.anomaly_trend(d.readings)
+
+
+@register("series_comparison")
+def q_series_comparison(spark, sf):
+    """P5: daily orders series vs. daily shipments of one facility type."""
+    d = A.shipments_domain(spark, sf)
+    s = A.orders_series(spark, sf)
+    return scoring.series_comparison(s, d.readings, d.sensors, d.facilities,
+                                     SERIES_METRIC, SHIP_WIND_TYPE, SHIP_POWER_SENSOR)
+
+
+@register("pearson_test")
+def q_pearson_test(spark, sf):
+    """Significance of the Pearson r on P5's rounded daily means."""
+    pairs = q_series_comparison(spark, sf)
+    out = scoring.pearson_test(pairs, "real_avg", "synthetic_avg")
+    return out.select("n", "df", round_half("r", 8).alias("r"),
+                      round_half("p_value", 8).alias("p_value"), "verdict")
+
+
+@register("dash_normalized")
+def q_dash_normalized(spark, sf):
+    """Monthly means of both series as % of their own maximum."""
+    d = A.shipments_domain(spark, sf)
+    s = A.orders_series(spark, sf)
+    return scoring.normalized_monthly(s, d.readings, d.sensors, d.facilities,
+                                      SERIES_METRIC, SHIP_WIND_TYPE, SHIP_POWER_SENSOR)
+
+
+@register("resample_hourly")
+def q_resample_hourly(spark, sf):
+    """G1: hourly means per event-type series, empty hours kept as NULL."""
+    s = A.events_series(spark, sf)
+    out = timeseries.resample(s)
+    return out.withColumn("value", round_half("value", 6))
+
+
+@register("gap_interpolate")
+def q_gap_interpolate(spark, sf):
+    """Hourly series with gaps interpolated (limit 3), filled, clamped."""
+    s = A.events_series(spark, sf)
+    out = timeseries.normalize_hourly(s, limit=3, source="fingrid")
+    return out.withColumn("value", round_half("value", 6))

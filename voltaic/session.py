@@ -29,6 +29,7 @@ def build_session(master: str = "local[*]", app: str = "voltaic",
     b = (SparkSession.builder.master(master).appName(app)
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.memory", os.environ.get("VOLTAIC_DRIVER_MEMORY", "16g"))
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     for k, v in {**DEFAULT_CONF, **REQUIRED_CONF, **(extra or {})}.items():
