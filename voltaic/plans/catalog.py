@@ -11,10 +11,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import adapters as A
 from ..functions.numeric import round_half
-from ..operators import ranking, reports, scoring, timeseries
+from ..operators import layout, load, quality, ranking, reports, scoring, timeseries
+from ..schemas import RULES
+from ..sources.csv import read_csv_typed, split_corrupt
+from ..sources.defaults import evolve_union
+from ..sources.payload import json_field, missing_slices
+from ..sources.sinks import json_envelope
 from ..session import ensure_defaults
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -156,3 +162,254 @@ def q_gap_interpolate(spark, sf):
     s = A.events_series(spark, sf)
     out = timeseries.normalize_hourly(s, limit=3, source="fingrid")
     return out.withColumn("value", round_half("value", 6))
+
+
+# ---------------------------------------------------------------- quality
+
+QUALITY_DAYS_EXPECTED = 30          # the events table spans 30 days
+VOLUME_EXPECTED = 10_000            # design volume of events at sf0.01
+FACILITY_TYPES = ("AFRICA", "AMERICA", "ASIA", "EUROPE")   # declared domain
+
+
+@register("dq_orphan_sensors")
+def q_dq_orphan(spark, sf):
+    """Q1: customers (sensors) without events, with their nation (facility)."""
+    d = A.events_domain(spark, sf)
+    return quality.orphan_sensors(d.readings, d.sensors, d.facilities)
+
+
+@register("dq_null_values")
+def q_dq_null(spark, sf):
+    """Q2: readings with a NULL value."""
+    return quality.null_values(A.events_domain(spark, sf).readings)
+
+
+@register("dq_anomaly_rate")
+def q_dq_rate(spark, sf):
+    """Q3: flagged share per facility (name, type)."""
+    d = A.events_domain(spark, sf)
+    return quality.anomaly_rate_by_facility(d.readings, d.sensors, d.facilities)
+
+
+@register("dq_coverage")
+def q_dq_coverage(spark, sf):
+    """Q4: earliest, latest, distinct days."""
+    return quality.coverage(A.events_domain(spark, sf).readings)
+
+
+@register("dq_global_rate")
+def q_dq_global(spark, sf):
+    """Q5: global flagged share and whether it is within [1, 4] %."""
+    out = quality.global_anomaly_rate(A.events_domain(spark, sf).readings, 1.0, 4.0)
+    return out.withColumn("anomaly_rate_pct", round_half("anomaly_rate_pct", 8))
+
+
+@register("dq_volume")
+def q_dq_volume(spark, sf):
+    """Q6: row count against the expected volume with the size-based tolerance."""
+    out = quality.volume_check(A.events_domain(spark, sf).readings, VOLUME_EXPECTED)
+    return out.withColumn("deviation", round_half("deviation", 8))
+
+
+@register("dq_summary")
+def q_dq_summary(spark, sf):
+    """Q7: the four post-load checks as one row each (check, passed, detail)."""
+    d = A.events_domain(spark, sf)
+    checks = quality.default_checks(d.readings, d.sensors, d.facilities, QUALITY_DAYS_EXPECTED)
+    return quality.check_summary(spark, checks)
+
+
+@register("rule_unique")
+def q_rule_unique(spark, sf):
+    """Repeated (l_orderkey, l_linenumber) pairs in lineitem."""
+    return quality.unique_violations(A.table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@register("rule_foreign_key")
+def q_rule_fk(spark, sf):
+    """Event user ids without a customer, and line suppliers without a supplier."""
+    ev = quality.foreign_key_violations(A.table(spark, sf, "events"), "user_id",
+                                        A.table(spark, sf, "customer"), "c_custkey")
+    li = quality.foreign_key_violations(A.table(spark, sf, "lineitem"), "l_suppkey",
+                                        A.table(spark, sf, "supplier"), "s_suppkey")
+    return (ev.select(F.lit("events.user_id").alias("rule"), F.col("user_id").alias("key"), "n_rows")
+            .unionByName(li.select(F.lit("lineitem.l_suppkey").alias("rule"),
+                                   F.col("l_suppkey").alias("key"), "n_rows")))
+
+
+@register("rule_domain")
+def q_rule_domain(spark, sf):
+    """Facility types outside the declared list."""
+    d = A.shipments_domain(spark, sf)
+    return quality.domain_violations(d.facilities, "facility_type", FACILITY_TYPES)
+
+
+@register("rule_not_null")
+def q_rule_not_null(spark, sf):
+    """C4: NOT NULL / length / precision violations of readings and facilities."""
+    d = A.shipments_domain(spark, sf)
+    r = quality.column_rule_violations(d.readings, RULES["readings"])
+    f = quality.column_rule_violations(d.facilities, RULES["facilities"])
+    return (r.select(F.lit("readings").alias("table"), "*")
+            .unionByName(f.select(F.lit("facilities").alias("table"), "*")))
+
+
+# ---------------------------------------------------------------- sources
+
+@register("scan_default_column")
+def q_scan_default(spark, sf):
+    """Series written before the source column existed get its default."""
+    s = A.orders_series(spark, sf)
+    cut = F.lit("1998-01-01").cast("timestamp_ntz")
+    old = s.filter(F.col("recorded_at") < cut).drop("source")
+    new = s.filter(F.col("recorded_at") >= cut)
+    return evolve_union(old, new, {"source": "fingrid"})
+
+
+@register("json_payload_normalize")
+def q_json_payload(spark, sf):
+    """JSON property payloads parsed with a declared schema."""
+    ev = A.table(spark, sf, "events")
+    p = json_field("props", "k DOUBLE")
+    return ev.select(F.lit(1).alias("dataset_id"), F.lit("FI").alias("country"),
+                     F.col("ts").alias("recorded_at"), p["k"].alias("value"),
+                     F.col("event_type").alias("metric"), F.lit("fingrid").alias("source"))
+
+
+@register("completeness_gate")
+def q_completeness(spark, sf):
+    """(event type, day) slices of January 2024 without rows."""
+    s = A.events_series(spark, sf)
+    return missing_slices(s, s.select("metric"), "2024-01-01", "2024-02-01",
+                          step="1 day", unit="day", key="metric")
+
+
+@register("scan_csv_typed")
+def q_scan_csv(spark, sf):
+    """Events written as CSV (in the shared folder), read back typed."""
+    from ..session import scratch_path
+    path = scratch_path(spark, "events-csv")
+    fmt = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+    (A.table(spark, sf, "events").write.option("header", "true")
+     .option("timestampNTZFormat", fmt).csv(path))
+    schema = A.table(spark, sf, "events").schema
+    df = read_csv_typed(spark, path, schema, keep_corrupt=True)
+    good, _bad = split_corrupt(df)
+    return good
+
+
+# ---------------------------------------------------------------- loads
+
+LOAD_TARGET_END = "2024-01-20"
+LOAD_BATCH_START = "2024-01-15"
+LOAD_REPLAY = ("2024-01-25", "2024-01-26")
+
+
+def _load_inputs(spark, sf):
+    """Target = readings before the 20th; batch = readings from the 15th on
+    (5 days overlap), plus a later copy of the 25th with changed values, so
+    the batch has in-batch duplicates, conflicts and new keys."""
+    r = A.events_domain(spark, sf).readings
+    target = r.filter(F.col("recorded_at") < F.lit(LOAD_TARGET_END).cast("timestamp_ntz"))
+    part1 = (r.filter(F.col("recorded_at") >= F.lit(LOAD_BATCH_START).cast("timestamp_ntz"))
+             .withColumn("_ord", F.struct(F.lit(1).alias("part"), F.col("reading_id").alias("n"))))
+    lo, hi = (F.lit(x).cast("timestamp_ntz") for x in LOAD_REPLAY)
+    part2 = (r.filter((F.col("recorded_at") >= lo) & (F.col("recorded_at") < hi))
+             .withColumn("value", F.col("value") + F.lit(1000.0))
+             .withColumn("_ord", F.struct(F.lit(2).alias("part"), F.col("reading_id").alias("n"))))
+    return target, part1.unionByName(part2)
+
+
+@register("load_watermark")
+def q_load_watermark(spark, sf):
+    """L1: batch rows strictly after the target's high-watermark."""
+    target, batch = _load_inputs(spark, sf)
+    wm = load.high_watermark(target)
+    return load.watermark_filter(batch, wm).drop("_ord")
+
+
+@register("load_insert_absent")
+def q_load_insert(spark, sf):
+    """L2/L3: table state after insert-if-absent on (reading_id, recorded_at)."""
+    target, batch = _load_inputs(spark, sf)
+    ins = load.insert_if_absent(batch, target, ["reading_id", "recorded_at"], "_ord")
+    return target.unionByName(ins)
+
+
+@register("load_upsert")
+def q_load_upsert(spark, sf):
+    """L4: grid-style upsert on (dataset_id, recorded_at): value, metric and
+    source from the batch's last row, country kept from the first insert."""
+    target, batch = _load_inputs(spark, sf)
+
+    def grid(df, country, source):
+        return df.select(F.col("sensor_id").alias("dataset_id"), F.lit(country).alias("country"),
+                         "recorded_at", "value",
+                         F.when(F.col("is_anomaly"), F.lit("error")).otherwise(F.lit("ok")).alias("metric"),
+                         F.lit(source).alias("source"), *([c for c in df.columns if c == "_ord"]))
+    t = grid(target, "FI", "old")
+    b = grid(batch, "SE", "new").withColumn(
+        "country", F.when(F.col("_ord.part") == 2, F.lit("NO")).otherwise(F.col("country")))
+    return load.upsert(b, t, ["dataset_id", "recorded_at"], ["value", "metric", "source"], "_ord")
+
+
+@register("load_idempotent")
+def q_load_idempotent(spark, sf):
+    """Fate of every batch row (late / duplicate / conflict / insert),
+    without and with the watermark."""
+    target, batch = _load_inputs(spark, sf)
+    keys = ["reading_id", "recorded_at"]
+    wm = load.high_watermark(target)
+    plain = load.status_counts(load.tag_batch(batch, target, keys, "_ord"))
+    with_wm = load.status_counts(load.tag_batch(batch, target, keys, "_ord", wm=wm))
+    return (plain.select(F.lit(False).alias("use_watermark"), "*")
+            .unionByName(with_wm.select(F.lit(True).alias("use_watermark"), "*")))
+
+
+@register("range_delete")
+def q_range_delete(spark, sf):
+    """Readings left after DELETE WHERE ts in [Jan 10, Jan 12)."""
+    r = A.events_domain(spark, sf).readings
+    return load.without_range(r, "recorded_at", F.lit("2024-01-10").cast("timestamp_ntz"),
+                              F.lit("2024-01-12").cast("timestamp_ntz"))
+
+
+# ---------------------------------------------------------------- layout
+
+@register("partition_layout")
+def q_partition_layout(spark, sf):
+    """Readings clustered for the month layout (with the month column)."""
+    return layout.prepare_layout(A.events_domain(spark, sf).readings)
+
+
+@register("partition_route")
+def q_partition_route(spark, sf):
+    """Rows inside / outside the declared range [Jan 1, Jan 16), per day."""
+    r = layout.route(A.events_domain(spark, sf).readings, F.lit("2024-01-01").cast("timestamp_ntz"),
+                     F.lit("2024-01-16").cast("timestamp_ntz"))
+    return (r.groupBy(F.date_format("recorded_at", "yyyy-MM-dd").alias("day"), "accepted")
+            .agg(F.count(F.lit(1)).cast("bigint").alias("n_rows")))
+
+
+@register("range_read")
+def q_range_read(spark, sf):
+    """One sensor over a closed 6-day range (the benchmarked query)."""
+    r = A.events_domain(spark, sf).readings
+    return r.filter((F.col("sensor_id") == F.lit(5))
+                    & F.col("recorded_at").between(F.lit("2024-01-05").cast("timestamp_ntz"),
+                                                   F.lit("2024-01-11").cast("timestamp_ntz")))
+
+
+@register("verified_rewrite")
+def q_verified_rewrite(spark, sf):
+    """Per-month count and content hash that a copy must reproduce."""
+    return layout.fingerprint(A.events_domain(spark, sf).readings)
+
+
+@register("anomalies_json")
+def q_anomalies_json(spark, sf):
+    """The parameterised anomalies as one JSON envelope."""
+    d = A.events_domain(spark, sf)
+    out = scoring.anomalies(d.readings, d.sensors, d.facilities, 3.0, 100, None)
+    return json_envelope(out, {"z_threshold": 3.0, "facility_type": None}, "anomalies",
+                         order_by=[-F.col("z_score"), F.col("reading_id")])
