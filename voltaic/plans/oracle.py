@@ -352,7 +352,7 @@ FROM readings"""
 
 SQL["dq_volume"] = with_(EVENTS) + f"""
 SELECT count(*) AS actual_rows, CAST(10000 AS BIGINT) AS expected_rows,
-       {R('abs(count(*) - 10000) / 10000.0', 8)} AS deviation, 0.1 AS tolerance,
+       {R('abs(count(*) - 10000) / 10000.0', 8)} AS deviation, CAST(0.1 AS DOUBLE) AS tolerance,
        abs(count(*) - 10000) / 10000.0 <= 0.1 AS within_tolerance
 FROM readings"""
 
