@@ -42,7 +42,11 @@ def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType,
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good rows without the corrupt column, corrupt rows)."""
+    """(good rows without the corrupt column, corrupt rows).
+
+    Spark refuses a query over raw CSV that needs *only* the corrupt-record
+    column (e.g. ``bad.count()``); read the corrupt rows whole, or stage them
+    first."""
     if CORRUPT not in df.columns:
         return df, df.limit(0)
     bad = F.col(CORRUPT).isNotNull()
