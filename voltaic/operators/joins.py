@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 # Upper bound for an explicit broadcast.  The estimate Spark gives for a
 # filtered scan is the unfiltered file size scaled by row width, i.e. an
 # over-estimate, so anything under this bound really is small.
-BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
+BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -27,15 +27,33 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def sized_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """``broadcast(df)`` when its estimated size is within ``limit``.
-
-    Beyond the limit the frame is returned unhinted: the planner picks a
-    shuffle join and AQE may still broadcast it from runtime statistics.
+def row_width(df: DataFrame) -> int:
+    """Bytes per row by Spark's type sizes (strings count 20 bytes)."""
+    try:
+        return max(8, int(df._jdf.schema().defaultSize()))
+    except Exception:  # no JVM handle: 8 bytes per fixed-width field, 20 per other
+        fixed = ("int", "bigint", "double", "float", "boolean", "date", "timestamp", "smallint")
+        return max(8, sum(8 if f.dataType.simpleString().startswith(fixed) else 20
+                          for f in df.schema.fields))
+
+
+def sized_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES,
+                    measure: bool = True) -> DataFrame:
+    """``broadcast(df)`` when its size is shown to be within ``limit``.
+
+    First the optimizer's estimate.  Joins of dimensions are estimated as
+    the product of their inputs, so for those (``measure=True``, only for
+    dimension-sized plans that do not read the fact table) the rows are
+    counted and multiplied by the row width.  Beyond the limit the frame is
+    returned unhinted: the planner picks a shuffle join and AQE may still
+    broadcast it from runtime statistics.
     """
     size = estimated_bytes(df)
     if size is not None and size <= limit:
         return F.broadcast(df)
+    if measure:
+        if df.count() * row_width(df) <= limit:
+            return F.broadcast(df)
     return df
 
 

@@ -25,8 +25,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
 from .layout import month_key, touched_months
+from .stage import stage
 
 
 # ---------------------------------------------------------------- plans
@@ -171,18 +171,6 @@ def delete_path(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back.
-
-    Cuts the lineage (a lost executor re-reads the staged files instead of
-    recomputing the plan) and lets a plan that reads a table be written back
-    over that same table."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
-
-
 def load(spark: SparkSession, batch: DataFrame, target_path: str, keys: Sequence[str],
          order: str, ts: str = "recorded_at", use_watermark: bool = True,
          partition_by: str | None = "month") -> dict:

@@ -24,6 +24,7 @@ from pyspark.sql.types import DoubleType
 from ..functions.numeric import as_double, is_false, round_half, safe_div
 from ..functions.timefn import bucket, day_label
 from .joins import dims, enrich, sized_broadcast
+from .stage import stage
 
 
 def monthly_baseline(readings: DataFrame) -> DataFrame:
@@ -48,9 +49,13 @@ def score_readings(readings: DataFrame) -> DataFrame:
 
     Inner join: readings of a sensor-month without clean rows get no score.
     """
-    base = monthly_baseline(readings)
+    # The baseline (one row per sensor-month) is staged: it is computed once,
+    # its real size is known, and the readings stream past it map-side when
+    # it is small enough to broadcast (otherwise a shuffle join, AQE splits
+    # hot sensor-months).
+    base = stage(monthly_baseline(readings), "zscore-baseline")
     r = readings.withColumn("month", bucket("month", "recorded_at"))
-    scored = r.join(sized_broadcast(base), ["sensor_id", "month"])
+    scored = r.join(sized_broadcast(base, measure=False), ["sensor_id", "month"])
     return scored.withColumn(
         "z_score", z_expr(as_double("value"), F.col("mean_val"), F.col("stddev_val")))
 
