@@ -1,10 +1,13 @@
-"""Join helpers: size-checked broadcast, dimension enrichment, salting.
+"""Join helpers: size-checked broadcast and dimension enrichment.
 
 Dimensions (sensors, facilities) are joined to the fact table many times.
 They are broadcast only when the optimizer's size estimate of the *filtered,
 projected* dimension is under a limit; otherwise the join is left to the
 planner (sort-merge, with AQE converting it at runtime once real sizes are
-known and splitting skewed partitions).
+known and splitting skewed partitions).  Hot keys on the fact side of a
+shuffle join are split by AQE's skew-join handling (inner, left outer, semi
+and anti joins); the one full outer join (upsert) joins two key-unique
+sides, so it cannot be skewed.
 """
 
 from __future__ import annotations
@@ -69,7 +72,9 @@ def dims(sensors: DataFrame, facilities: DataFrame,
     """
     s = sensors if sensor_filter is None else sensors.filter(sensor_filter)
     f = facilities if facility_filter is None else facilities.filter(facility_filter)
-    d = s.join(sized_broadcast(f), "facility_id")
+    # dimension-to-dimension join: estimate only (the measured check is done
+    # once, on the joined result, in enrich)
+    d = s.join(sized_broadcast(f, measure=False), "facility_id")
     if columns is not None:
         keep = ["sensor_id"] + [c for c in columns if c != "sensor_id"]
         d = d.select(*keep)
@@ -79,20 +84,3 @@ def dims(sensors: DataFrame, facilities: DataFrame,
 def enrich(readings: DataFrame, dim: DataFrame) -> DataFrame:
     """Inner join of readings with a (sensor-keyed) dimension frame."""
     return readings.join(sized_broadcast(dim), "sensor_id")
-
-
-def salted_join(big: DataFrame, small: DataFrame, keys: list[str], salts: int,
-                how: str = "inner", salt_source: Column | None = None) -> DataFrame:
-    """Equi-join where a few keys of ``big`` hold a large share of its rows.
-
-    ``big`` rows get a salt in [0, salts) from a hash of ``salt_source`` (or
-    of all its columns); ``small`` is replicated once per salt.  A hot key is
-    then spread over ``salts`` tasks instead of one.  The small side grows
-    ``salts``-fold, so use it for the aggregate side of a fact join.
-    """
-    if salts <= 1:
-        return big.join(small, keys, how)
-    src = salt_source if salt_source is not None else F.struct(*[F.col(c) for c in big.columns])
-    b = big.withColumn("_salt", F.pmod(F.xxhash64(src), F.lit(salts)).cast("int"))
-    s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return b.join(s, keys + ["_salt"], how).drop("_salt")

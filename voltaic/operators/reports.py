@@ -33,13 +33,22 @@ def monthly_report(readings: DataFrame, sensors: DataFrame, facilities: DataFram
     d = dims(sensors, facilities, sensor_filter=F.col("sensor_type") == F.lit(sensor_type),
              columns=["facility_id", "country", "facility_type"])
     j = enrich(readings, d)
-    flagged = F.count_if(is_true("is_anomaly"))
-    m = (j.groupBy("country", "facility_type", bucket("month", "recorded_at").alias("month"))
-         .agg(F.count_distinct("facility_id").alias("active_facilities"),
-              F.avg(as_double("value")).alias("_avg"),
-              F.sum(F.col("value").cast(SUM_TYPE)).alias("_sum"),
-              flagged.alias("anomaly_count"),
-              F.count(F.lit(1)).alias("total_readings")))
+    # Two explicit levels instead of COUNT(DISTINCT): per facility-month
+    # first (partial aggregation on the fact rows), then per country/type/
+    # month over facility rows — no Expand, no duplicated fact rows.
+    month = bucket("month", "recorded_at").alias("month")
+    per_fac = (j.groupBy("country", "facility_type", month, "facility_id")
+               .agg(F.sum(as_double("value")).alias("_s"),
+                    F.count("value").alias("_nv"),
+                    F.sum(F.col("value").cast(SUM_TYPE)).alias("_sum"),
+                    F.count_if(is_true("is_anomaly")).alias("_a"),
+                    F.count(F.lit(1)).alias("_n")))
+    m = (per_fac.groupBy("country", "facility_type", "month")
+         .agg(F.count("facility_id").alias("active_facilities"),
+              F.try_divide(F.sum("_s"), F.sum("_nv").cast("double")).alias("_avg"),
+              F.sum("_sum").alias("_sum"),
+              F.sum("_a").alias("anomaly_count"),
+              F.sum("_n").alias("total_readings")))
     m = m.select("country", "facility_type", "month", "active_facilities",
                  round_half("_avg", 3).alias("avg_power_mw"),
                  F.round(F.col("_sum"), 1).alias("_total"),
