@@ -25,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .layout import month_key, touched_months
+from .layout import month_key, prepare_layout, touched_months
 from .stage import stage
 
 
@@ -171,36 +171,61 @@ def delete_path(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
+def plan_insert(batch: DataFrame, target: DataFrame | None, keys: Sequence[str], order: str,
+                ts: str = "recorded_at", bounds=None) -> DataFrame:
+    """One row per key of ``batch``: its first row, plus ``_exists`` (key
+    already in the target).  The rows to insert are those with ``_exists``
+    false; everything the load reports can be counted from this frame and
+    the batch."""
+    first = first_per_key(batch, keys, order)
+    if target is None:
+        return first.withColumn("_exists", F.lit(False))
+    tk = prune_to(target, ts, bounds).select(*keys).distinct().withColumn("_hit", F.lit(True))
+    return (first.join(tk, list(keys), "left")
+            .withColumn("_exists", F.coalesce(F.col("_hit"), F.lit(False))).drop("_hit"))
+
+
 def load(spark: SparkSession, batch: DataFrame, target_path: str, keys: Sequence[str],
          order: str, ts: str = "recorded_at", use_watermark: bool = True,
-         partition_by: str | None = "month") -> dict:
+         partition_by: str | None = "month", sort_by: Sequence[str] = ("sensor_id",)) -> dict:
     """Two-layer idempotent load of ``batch`` into the Parquet table at
     ``target_path`` (created when absent).
 
-    1. watermark (optional) 2. first-wins dedup 3. skip existing keys, all
-    decided in one tagged plan that is staged once; counts are read from the
-    staged result; the insert is one append job (all-or-nothing commit).
+    1. watermark (optional) 2. first-wins dedup 3. skip existing keys.  The
+    per-key plan is staged once in the shared checkpoint folder; counts come
+    from the staged frame plus one scan-only aggregate of the batch; the
+    insert is one append job (all-or-nothing commit).  With the month layout
+    the inserted rows are range-clustered on (month, sort keys, time) like
+    :func:`layout.prepare_layout`: few files per month and tight row-group
+    statistics, without one task per month.
     Returns counts: read, late, duplicate, conflict, inserted.
     """
     exists = path_exists(spark, target_path)
     target = spark.read.parquet(target_path) if exists else None
     wm = high_watermark(target, ts) if (use_watermark and target is not None) else None
+    late = (F.col(ts) <= F.lit(wm)) if wm is not None else F.lit(False)
+    b = batch.agg(F.count(F.lit(1)).alias("read"), F.count_if(late).alias("late"),
+                  F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
     live = watermark_filter(batch, wm, ts)
-    bounds = time_bounds(live, ts) if target is not None else None
-    tagged = stage(tag_batch(batch, target, keys, order, ts, wm, bounds), "load-tagged")
-    counts = {r["status"]: r["n_rows"] for r in status_counts(tagged).collect()}
-    inserts = tagged.filter(F.col("_status") == "insert").drop("_status", order)
-    if partition_by and partition_by not in inserts.columns:
-        inserts = inserts.withColumn(partition_by, F.date_format(F.col(ts), "yyyy-MM"))
-    n_ins = counts.get("insert", 0)
+    bounds = (b["lo"], b["hi"]) if target is not None else None
+    planned = stage(plan_insert(live, target, keys, order, ts, bounds), "load-plan")
+    k = planned.agg(F.count(F.lit(1)).alias("keys"),
+                    F.count_if(F.col("_exists")).alias("conflict")).first()
+    n_ins = k["keys"] - k["conflict"]
     if n_ins:
+        inserts = planned.filter(~F.col("_exists")).drop("_exists", order)
+        if partition_by == "month":
+            inserts = prepare_layout(inserts.drop("month"), ts,
+                                     [c for c in sort_by if c in inserts.columns])
+        elif partition_by and partition_by not in inserts.columns:
+            inserts = inserts.withColumn(partition_by, F.date_format(F.col(ts), "yyyy-MM"))
         w = inserts.write.mode("append")
         if partition_by:
             w = w.partitionBy(partition_by)
         w.parquet(target_path)
-    return {"read": sum(counts.values()), "late": counts.get("late", 0),
-            "duplicate": counts.get("duplicate", 0), "conflict": counts.get("conflict", 0),
-            "inserted": n_ins, "watermark": wm}
+    live_rows = b["read"] - b["late"]
+    return {"read": b["read"], "late": b["late"], "duplicate": live_rows - k["keys"],
+            "conflict": k["conflict"], "inserted": n_ins, "watermark": wm}
 
 
 def upsert_table(spark: SparkSession, batch: DataFrame, target_path: str, keys: Sequence[str],
