@@ -16,7 +16,7 @@ oracle in :mod:`voltaic.plans.oracle`.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,70 +26,123 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
+# Declared schemas of the driver tables this project reads (never inferred:
+# a declared schema also spares the footer-reading job at plan time).
+TABLE_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+              "value double, props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = TABLE_SCHEMAS.get(name)
+    r = spark.read.schema(schema) if schema else spark.read
+    return r.parquet(path)
 
 
-@dataclass(frozen=True)
 class Domain:
-    readings: DataFrame
-    sensors: DataFrame
-    facilities: DataFrame
+    """readings / sensors / facilities, each built on first use only."""
+
+    def __init__(self, readings, sensors, facilities):
+        self._r, self._s, self._f = readings, sensors, facilities
+
+    @cached_property
+    def readings(self) -> DataFrame:
+        return self._r()
+
+    @cached_property
+    def sensors(self) -> DataFrame:
+        return self._s()
+
+    @cached_property
+    def facilities(self) -> DataFrame:
+        return self._f()
 
 
 def events_domain(spark: SparkSession, sf_dir: str) -> Domain:
+    return Domain(lambda: _ev_readings(spark, sf_dir), lambda: _ev_sensors(spark, sf_dir),
+                  lambda: _ev_facilities(spark, sf_dir))
+
+
+def _ev_readings(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
-    readings = ev.select(
+    return ev.select(
         F.col("event_id").alias("reading_id"),
         F.col("user_id").alias("sensor_id"),
         F.col("ts").alias("recorded_at"),
         F.col("value"),
         (F.col("event_type") == F.lit("error")).alias("is_anomaly"),
     )
-    sensors = table(spark, sf_dir, "customer").select(
+
+
+def _ev_sensors(spark, sf_dir):
+    return table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("sensor_id"),
         F.col("c_nationkey").alias("facility_id"),
         F.col("c_mktsegment").alias("sensor_type"),
         F.lit("unit").alias("unit"),
     )
+
+
+def _ev_facilities(spark, sf_dir):
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
-    facilities = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
+    return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
         F.col("n_nationkey").alias("facility_id"),
         F.col("n_name").alias("facility_name"),
         F.col("r_name").alias("facility_type"),
         F.col("n_name").alias("country"),
         F.lit(100.0).alias("capacity_mw"),
     )
-    return Domain(readings, sensors, facilities)
 
 
 def shipments_domain(spark: SparkSession, sf_dir: str, value: str = "l_extendedprice") -> Domain:
+    return Domain(lambda: _sh_readings(spark, sf_dir, value), lambda: _sh_sensors(spark, sf_dir),
+                  lambda: _sh_facilities(spark, sf_dir))
+
+
+def _sh_readings(spark, sf_dir, value):
     li = table(spark, sf_dir, "lineitem")
-    readings = li.select(
+    return li.select(
         (F.col("l_orderkey") * F.lit(8) + F.col("l_linenumber")).alias("reading_id"),
         F.col("l_suppkey").alias("sensor_id"),
         F.col("l_shipdate").alias("recorded_at"),
         F.col(value).alias("value"),
         (F.col("l_returnflag") == F.lit("R")).alias("is_anomaly"),
     )
-    supplier = table(spark, sf_dir, "supplier")
-    sensors = supplier.select(
+
+
+def _sh_sensors(spark, sf_dir):
+    return table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("sensor_id"),
         F.col("s_suppkey").alias("facility_id"),
         F.lit("power_output").alias("sensor_type"),
         F.lit("MW").alias("unit"),
     )
+
+
+def _sh_facilities(spark, sf_dir):
+    supplier = table(spark, sf_dir, "supplier")
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
-    facilities = (supplier.join(nation, supplier.s_nationkey == nation.n_nationkey)
+    return (supplier.join(nation, supplier.s_nationkey == nation.n_nationkey)
                   .join(region, nation.n_regionkey == region.r_regionkey)
                   .select(F.col("s_suppkey").alias("facility_id"),
                           F.col("s_name").alias("facility_name"),
                           F.col("r_name").alias("facility_type"),
                           F.col("n_name").alias("country"),
                           F.col("s_acctbal").alias("capacity_mw")))
-    return Domain(readings, sensors, facilities)
 
 
 def orders_series(spark: SparkSession, sf_dir: str) -> DataFrame:
