@@ -40,6 +40,27 @@ def row_width(df: DataFrame) -> int:
                           for f in df.schema.fields))
 
 
+# Measured dimension sizes, keyed by the canonical plan and its size estimate
+# (the estimate changes with the input files), so one plan is counted once.
+_MEASURED: dict[tuple, bool] = {}
+
+
+def _plan_key(df: DataFrame, estimate: int | None):
+    try:
+        return (int(df._jdf.queryExecution().optimizedPlan().semanticHash()), estimate)
+    except Exception:
+        return None
+
+
+def fits(df: DataFrame, limit: int) -> bool:
+    """Whether ``df`` has at most ``limit / row_width`` rows.
+
+    Counts at most one row past that bound (``limit(n + 1).count()``), so
+    checking a large frame stops early instead of counting all of it."""
+    max_rows = max(1, limit // row_width(df))
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def sized_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES,
                     measure: bool = True) -> DataFrame:
     """``broadcast(df)`` when its size is shown to be within ``limit``.
@@ -47,7 +68,8 @@ def sized_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES,
     First the optimizer's estimate.  Joins of dimensions are estimated as
     the product of their inputs, so for those (``measure=True``, only for
     dimension-sized plans that do not read the fact table) the rows are
-    counted and multiplied by the row width.  Beyond the limit the frame is
+    counted — up to one past the bound — and the answer is remembered for
+    that plan and input size.  Beyond the limit the frame is
     returned unhinted: the planner picks a shuffle join and AQE may still
     broadcast it from runtime statistics.
     """
@@ -55,7 +77,13 @@ def sized_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES,
     if size is not None and size <= limit:
         return F.broadcast(df)
     if measure:
-        if df.count() * row_width(df) <= limit:
+        key = _plan_key(df, size)
+        ok = _MEASURED.get(key) if key is not None else None
+        if ok is None:
+            ok = fits(df, limit)
+            if key is not None:
+                _MEASURED[key] = ok
+        if ok:
             return F.broadcast(df)
     return df
 

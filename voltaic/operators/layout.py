@@ -74,11 +74,12 @@ def month_range_filter(start, stop, col: str = MONTH):
 
 
 def range_read(spark: SparkSession, path: str, sensor_id, start, stop,
-               ts: str = "recorded_at") -> DataFrame:
+               ts: str = "recorded_at", schema=None) -> DataFrame:
     """sensor_id = x AND ts BETWEEN start AND stop on the month layout:
     the month predicate prunes directories, the rest is pushed into the
-    Parquet scan."""
-    t = spark.read.parquet(path)
+    Parquet scan.  ``schema`` (data columns + ``month string``) spares the
+    footer read at plan time."""
+    t = (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
     return t.filter(month_range_filter(start, stop)
                     & (F.col("sensor_id") == F.lit(sensor_id))
                     & F.col(ts).between(F.lit(start).cast("timestamp_ntz")
