@@ -63,6 +63,16 @@ def q_anomalies_by_type(spark, sf):
     return out.withColumn("z_score", round_half("z_score", 8))
 
 
+@register("anomalies_by_type_sql")
+def q_anomalies_by_type_sql(spark, sf):
+    """A1/F11 through the SQL API: temp views + spark.sql with bound parameters."""
+    from .sql import anomalies_sql, register_views
+    d = A.events_domain(spark, sf)
+    register_views(spark, d.readings, d.sensors, d.facilities, prefix="voltaic_ev_")
+    out = anomalies_sql(spark, 3.0, 100, EVENTS_WIND_TYPE, prefix="voltaic_ev_")
+    return out.withColumn("z_score", round_half("z_score", 8))
+
+
 @register("rolling_24h")
 def q_rolling_24h(spark, sf):
     """P1 on the events adapter: hourly facility means, trailing 24-row mean."""

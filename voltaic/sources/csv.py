@@ -9,7 +9,7 @@ instead of failing the load.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,3 +63,12 @@ def cast_fields(df: DataFrame, schema: T.StructType, strict: bool = False) -> Da
         c = F.col(f.name)
         cols.append((c.cast(f.dataType) if strict else c.try_cast(f.dataType)).alias(f.name))
     return df.select(*cols)
+
+
+def input_order() -> Column:
+    """Input order of rows straight off a file scan (apply before any shuffle):
+    file path, split offset within the file, then the row's position within
+    its split (``monotonically_increasing_id`` grows along a split)."""
+    return F.struct(F.col("_metadata.file_path").alias("file"),
+                    F.col("_metadata.file_block_start").alias("block"),
+                    F.monotonically_increasing_id().alias("row"))
