@@ -27,7 +27,7 @@ def test_incremental_stream_is_idempotent(spark, tmp_dir):
     os.makedirs(src)
     _write(f"{src}/part1.csv", 0, 50)
     results = []
-    q = incremental_load(spark, src, SCHEMA, target, ["reading_id", "recorded_at"], "reading_id",
+    q = incremental_load(spark, src, SCHEMA, target, ["reading_id", "recorded_at"],
                          checkpoint=f"{tmp_dir}/ck", results=results)
     q.awaitTermination(120)
     assert spark.read.parquet(target).count() == 50

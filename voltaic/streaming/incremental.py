@@ -26,9 +26,8 @@ def file_stream(spark: SparkSession, source_dir: str, schema: T.StructType, fmt:
                 max_files_per_trigger: int | None = None) -> DataFrame:
     """New files under ``source_dir`` as a stream, with an input-order column.
 
-    Order within the stream: file modification time, file path, then the
-    ``order_within_file`` column chosen by the caller (CSV has no line
-    numbers; for readings files the row id follows the file order)."""
+    Order within the stream: file modification time, file path, split
+    offset; the row position inside a split is added per micro-batch."""
     r = spark.readStream.schema(schema)
     if fmt == "csv":
         r = r.option("header", "true")
@@ -36,22 +35,29 @@ def file_stream(spark: SparkSession, source_dir: str, schema: T.StructType, fmt:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     df = r.format(fmt).load(source_dir)
     return df.select("*", F.col("_metadata.file_modification_time").alias("_mtime"),
-                     F.col("_metadata.file_path").alias("_file"))
+                     F.col("_metadata.file_path").alias("_file"),
+                     F.col("_metadata.file_block_start").alias("_block"))
 
 
 def incremental_load(spark: SparkSession, source_dir: str, schema: T.StructType, target_path: str,
-                     keys: Sequence[str], order_within_file: str, ts: str = "recorded_at",
+                     keys: Sequence[str], order_within_file: str | None = None,
+                     ts: str = "recorded_at",
                      use_watermark: bool = True, checkpoint: str | None = None,
                      fmt: str = "csv", results: list | None = None) -> StreamingQuery:
     """Start an ``availableNow`` stream that loads every new file once.
 
-    ``results`` (optional list) receives the per-batch load counts.
+    Rows are ordered by (file time, file, split offset, position); the
+    position is ``order_within_file`` when given, else the row's position in
+    its split (taken inside the micro-batch, before any shuffle — streaming
+    plans do not allow generated ids).  ``results`` (optional list) receives
+    the per-batch load counts.
     """
     stream = file_stream(spark, source_dir, schema, fmt)
-    stream = stream.withColumn(ORDER, F.struct("_mtime", "_file", order_within_file)).drop(
-        "_mtime", "_file")
 
     def apply(batch: DataFrame, epoch: int) -> None:
+        pos = F.col(order_within_file) if order_within_file else F.monotonically_increasing_id()
+        batch = batch.withColumn(ORDER, F.struct("_mtime", "_file", "_block", pos.alias("_pos")))
+        batch = batch.drop("_mtime", "_file", "_block")
         counts = load(batch.sparkSession, batch, target_path, keys, ORDER, ts, use_watermark)
         if results is not None:
             results.append({"epoch": epoch, **counts})
