@@ -183,3 +183,11 @@ def test_anomaly_parameter_bounds(spark, dims):
         scoring.anomalies(r, s, f, z_threshold=0.5)
     with pytest.raises(ValueError):
         scoring.anomalies(r, s, f, limit=1001)
+
+
+def test_recommended_conf_scales_with_input():
+    from voltaic.session import recommended_conf
+    c = recommended_conf(100 * 1024 ** 4, 8000)
+    n = int(c["spark.sql.shuffle.partitions"])
+    assert n % 8000 == 0 and n * 256 * 1024 ** 2 >= 100 * 1024 ** 4
+    assert int(recommended_conf(10, 8)["spark.sql.shuffle.partitions"]) == 8

@@ -40,6 +40,32 @@ def build_session(master: str = "local[*]", app: str = "voltaic",
     return spark
 
 
+def recommended_conf(input_bytes: int, total_cores: int,
+                     target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Partition sizing for a cluster run over ``input_bytes`` of Parquet.
+
+    * scan splits of ``target_partition_bytes`` (files.maxPartitionBytes);
+    * an initial shuffle partition count large enough that no shuffle
+      partition of a full-table shuffle exceeds the target (AQE coalesces the
+      small ones back, and splits skewed ones in joins), rounded up to a
+      multiple of the core count so waves are full;
+    * AQE's advisory size set to the same target.
+    At 100 TB with 8,000 cores this gives ~400k initial partitions, which AQE
+    coalesces per stage to what the data after filters/partial aggregation
+    needs.
+    """
+    n = max(total_cores, -(-int(input_bytes) // target_partition_bytes))
+    n = -(-n // total_cores) * total_cores
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
+
+
 def ensure_defaults(spark: SparkSession) -> SparkSession:
     """Pin the required settings on an existing session (idempotent)."""
     for k, v in REQUIRED_CONF.items():
