@@ -230,25 +230,26 @@ def load(spark: SparkSession, batch: DataFrame, target_path: str, keys: Sequence
 
 def upsert_table(spark: SparkSession, batch: DataFrame, target_path: str, keys: Sequence[str],
                  update_cols: Sequence[str], order: str, ts: str = "recorded_at",
-                 partition_by: str = "month") -> int:
-    """Upsert ``batch`` into a month-partitioned table, rewriting only the
-    months the batch touches (staged, then dynamic partition overwrite).
+                 partition_by: str = "month", sort_by: Sequence[str] = ("metric",)) -> int:
+    """Upsert ``batch`` into a month-partitioned table (created when absent),
+    rewriting only the months the batch touches: merge, stage, then dynamic
+    partition overwrite.  Written rows are clustered on (month, sort keys,
+    time) so reads by series and time skip row groups.
     Returns the number of batch keys applied."""
-    b = batch if partition_by in batch.columns else batch.withColumn(
-        partition_by, F.date_format(F.col(ts), "yyyy-MM"))
+    b = batch.drop(partition_by) if partition_by in batch.columns else batch
+    cols = [c for c in b.columns if c != order]
+    sort_cols = [c for c in sort_by if c in cols]
     if not path_exists(spark, target_path):
-        first = first_per_key(b, keys, order)
-        lastv = last_per_key(b, keys, order).select(*keys, *update_cols)
-        init = first.drop(*update_cols, order).join(lastv, list(keys))
-        init.write.partitionBy(partition_by).parquet(target_path)
-        return init.count()
+        empty = spark.createDataFrame([], b.select(*cols).schema)
+        state = stage(upsert(b, empty, keys, update_cols, order), "upsert-init")
+        prepare_layout(state, ts, sort_cols).write.partitionBy(partition_by).parquet(target_path)
+        return state.count()
     target = spark.read.parquet(target_path)
     months = touched_months(b, ts)
-    touched = target.filter(F.col(partition_by).isin(months))
-    merged = stage(upsert(b.drop(partition_by), touched.drop(partition_by), keys, update_cols, order)
-                   .withColumn(partition_by, F.date_format(F.col(ts), "yyyy-MM")), "upsert")
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_by).parquet(target_path))
+    touched = target.filter(F.col(partition_by).isin(months)).drop(partition_by)
+    merged = stage(upsert(b, touched, keys, update_cols, order), "upsert")
+    (prepare_layout(merged, ts, sort_cols).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(target_path))
     return b.select(*keys).distinct().count()
 
 
