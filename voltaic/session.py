@@ -85,9 +85,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = tempfile.mkdtemp(prefix="voltaic-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(d)
+    try:  # RDD checkpoint folder too (not available on Spark Connect)
+        sc = spark.sparkContext
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(d)
+    except Exception:  # noqa: BLE001
+        pass
     return d
 
 
