@@ -191,3 +191,30 @@ def test_recommended_conf_scales_with_input():
     n = int(c["spark.sql.shuffle.partitions"])
     assert n % 8000 == 0 and n * 256 * 1024 ** 2 >= 100 * 1024 ** 4
     assert int(recommended_conf(10, 8)["spark.sql.shuffle.partitions"]) == 8
+
+
+def test_check_suite_error_counts_as_failed(spark, dims):
+    s, f = dims
+    r = readings(spark, [(1, 1, D(2023, 1, 1), 1.0, False), (2, 2, D(2023, 1, 2), None, False)])
+    checks = quality.default_checks(r, s, f, days_expected=2)
+    broken = quality.Check("broken", lambda: spark.sql("SELECT * FROM no_such_table_x"),
+                           lambda d: d, F.lit(False), F.lit("x"))
+    ok, rows = quality.run_checks(checks + [broken])
+    by = {x["check"]: x for x in rows}
+    assert not ok
+    assert by["orphan_sensors"]["passed"] is False and by["orphan_sensors"]["detail"] == "1"
+    assert by["null_values"]["passed"] is False and by["null_values"]["detail"] == "1"
+    assert by["anomaly_rate"]["passed"] is True
+    assert by["coverage"]["passed"] is True
+    assert by["broken"]["passed"] is False and by["broken"]["detail"].startswith("error")
+    summary = {x.check: x.passed for x in quality.check_summary(spark, checks + [broken]).collect()}
+    assert summary == {"orphan_sensors": False, "null_values": False, "anomaly_rate": True,
+                       "coverage": True, "broken": False}
+
+
+def test_volume_tolerance_bands(spark):
+    assert quality.volume_tolerance(99_999) == 0.10 and quality.volume_tolerance(100_000) == 0.05
+    df = spark.range(95)
+    r = quality.volume_check(df, 100).first()
+    assert r.actual_rows == 95 and r.within_tolerance
+    assert not quality.volume_check(spark.range(80), 100).first().within_tolerance
