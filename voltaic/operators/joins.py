@@ -24,8 +24,8 @@ BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
 def estimated_bytes(df: DataFrame) -> int | None:
     """Optimizer size estimate of ``df`` (None when it cannot be read)."""
     try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(str(stats.sizeInBytes().toString()))
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(size) if isinstance(size, int) else int(str(size.toString()))
     except Exception:  # Spark Connect or an unavailable estimate
         return None
 

@@ -23,7 +23,7 @@ from pyspark.sql.types import DoubleType
 
 from ..functions.numeric import as_double, is_false, round_half, safe_div
 from ..functions.timefn import bucket, day_label
-from .joins import dims, enrich, sized_broadcast
+from .joins import BROADCAST_LIMIT_BYTES, dims, enrich, estimated_bytes, sized_broadcast
 from .stage import stage
 
 
@@ -49,13 +49,19 @@ def score_readings(readings: DataFrame) -> DataFrame:
 
     Inner join: readings of a sensor-month without clean rows get no score.
     """
-    # The baseline (one row per sensor-month) is staged: it is computed once,
-    # its real size is known, and the readings stream past it map-side when
-    # it is small enough to broadcast (otherwise a shuffle join, AQE splits
-    # hot sensor-months).
-    base = stage(monthly_baseline(readings), "zscore-baseline")
+    # The baseline has one row per sensor-month.  When the optimizer's
+    # estimate (an upper bound: the input's size at the output's row width)
+    # is already small it is broadcast as is; otherwise it is staged first,
+    # so its real size is known before the join is planned: broadcast if
+    # small, else a shuffle join whose hot sensor-months AQE splits.
+    base = monthly_baseline(readings)
+    est = estimated_bytes(base)
+    if est is not None and est <= BROADCAST_LIMIT_BYTES:
+        base = F.broadcast(base)
+    else:
+        base = sized_broadcast(stage(base, "zscore-baseline"), measure=False)
     r = readings.withColumn("month", bucket("month", "recorded_at"))
-    scored = r.join(sized_broadcast(base, measure=False), ["sensor_id", "month"])
+    scored = r.join(base, ["sensor_id", "month"])
     return scored.withColumn(
         "z_score", z_expr(as_double("value"), F.col("mean_val"), F.col("stddev_val")))
 
