@@ -35,17 +35,17 @@ def monthly_report(readings: DataFrame, sensors: DataFrame, facilities: DataFram
     j = enrich(readings, d)
     # Two explicit levels instead of COUNT(DISTINCT): per facility-month
     # first (partial aggregation on the fact rows), then per country/type/
-    # month over facility rows — no Expand, no duplicated fact rows.
+    # month over facility rows — no Expand, no duplicated fact rows.  The
+    # mean is the exact decimal sum over the count.
     month = bucket("month", "recorded_at").alias("month")
     per_fac = (j.groupBy("country", "facility_type", month, "facility_id")
-               .agg(F.sum(as_double("value")).alias("_s"),
-                    F.count("value").alias("_nv"),
+               .agg(F.count("value").alias("_nv"),
                     F.sum(F.col("value").cast(SUM_TYPE)).alias("_sum"),
                     F.count_if(is_true("is_anomaly")).alias("_a"),
                     F.count(F.lit(1)).alias("_n")))
     m = (per_fac.groupBy("country", "facility_type", "month")
          .agg(F.count("facility_id").alias("active_facilities"),
-              F.try_divide(F.sum("_s"), F.sum("_nv").cast("double")).alias("_avg"),
+              F.try_divide(F.sum("_sum").cast("double"), F.sum("_nv").cast("double")).alias("_avg"),
               F.sum("_sum").alias("_sum"),
               F.sum("_a").alias("anomaly_count"),
               F.sum("_n").alias("total_readings")))
