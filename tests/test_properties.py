@@ -73,3 +73,24 @@ def test_layout_rewrite_keeps_multiset(spark, tmp_dir):
     files = (spark.read.parquet(f"{tmp_dir}/l")
              .groupBy(F.input_file_name().alias("f")).agg(F.countDistinct("month").alias("m")))
     assert files.filter("m > 1").count() == 0
+
+
+def test_chunked_interpolation_equals_whole_series(spark):
+    from voltaic.functions.interp import interpolate_linear_chunked
+    rng = random.Random(3)
+    t0 = dt.datetime(2023, 1, 25)
+    rows = []
+    for k in range(6):
+        p_null = rng.choice([0.2, 0.6, 0.9, 0.99])
+        for h in range(24 * 70):          # ~70 days: crosses 3 month boundaries
+            v = None if rng.random() < p_null else round(rng.uniform(-3, 9), 2)
+            rows.append((k, t0 + dt.timedelta(hours=h), v))
+    df = spark.createDataFrame(rows, "k int, ts timestamp_ntz, v double")
+    a = (interpolate_linear(df, "v", ["k"], "ts", 3, "f").select("k", "ts", "f")
+         .toPandas().sort_values(["k", "ts"]).reset_index(drop=True))
+    b = (interpolate_linear_chunked(df, "v", ["k"], "ts", 3, "f", 3600, "month")
+         .select("k", "ts", "f").toPandas().sort_values(["k", "ts"]).reset_index(drop=True))
+    x, y = a["f"].to_numpy(dtype="float64"), b["f"].to_numpy(dtype="float64")
+    assert len(x) == len(y)
+    assert np.array_equal(np.isnan(x), np.isnan(y))
+    assert np.allclose(x[~np.isnan(x)], y[~np.isnan(y)], atol=1e-9)

@@ -45,3 +45,67 @@ def interpolate_linear(df: DataFrame, value: str, keys: list[str], order: str, l
               .when(nv.isNotNull() & pv.isNull() & ((ni - i) <= lim), nv)
               .when(pv.isNotNull() & nv.isNull() & ((i - pi) <= lim), pv))
     return d.withColumn(out, filled).drop("_i", "_pv", "_pi", "_nv", "_ni")
+
+
+def interpolate_linear_chunked(df: DataFrame, value: str, keys: list[str], ts: str, limit: int,
+                               out: str, step_seconds: int = 3600,
+                               chunk_unit: str = "month") -> DataFrame:
+    """Same result as :func:`interpolate_linear` for a series on a regular
+    grid of ``step_seconds``, with window partitions bounded by a time chunk
+    (``chunk_unit``) instead of whole series.
+
+    * position = timestamp // step (the grid is regular, so no row_number);
+    * within a chunk, the neighbour windows run over (series, chunk);
+    * each chunk's first/last non-NULL value is aggregated (one row per
+      chunk), and the nearest ones in earlier/later chunks are carried in by
+      a window over those chunk rows — bounded by the number of chunks;
+    * the carries are joined back on (series, chunk).
+    A series of any length is spread over as many tasks as it has chunks.
+    """
+    keys = list(keys)
+    v = F.col(value)
+    d = df.select("*", (F.col(ts).cast("timestamp").cast("long")
+                        / F.lit(step_seconds)).cast("long").alias("_i"),
+                  F.date_trunc(chunk_unit, F.col(ts).cast("timestamp")).alias("_c"))
+    i = F.col("_i")
+    part = Window.partitionBy(*keys, "_c").orderBy("_i")
+    back = part.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    fwd = part.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    d = d.select("*",
+                 F.last(v, ignorenulls=True).over(back).alias("_pv"),
+                 F.last(F.when(v.isNotNull(), i), ignorenulls=True).over(back).alias("_pi"),
+                 F.first(v, ignorenulls=True).over(fwd).alias("_nv"),
+                 F.first(F.when(v.isNotNull(), i), ignorenulls=True).over(fwd).alias("_ni"))
+    # per chunk: last and first non-NULL (position, value); structs order by
+    # position first
+    chunks = (df.select(*keys, F.col(value),
+                        (F.col(ts).cast("timestamp").cast("long") / F.lit(step_seconds))
+                        .cast("long").alias("_i"),
+                        F.date_trunc(chunk_unit, F.col(ts).cast("timestamp")).alias("_c"))
+              .groupBy(*keys, "_c")
+              .agg(F.max(F.when(F.col(value).isNotNull(),
+                                F.struct(F.col("_i").alias("i"), F.col(value).alias("v"))))
+                   .alias("_last"),
+                   F.min(F.when(F.col(value).isNotNull(),
+                                F.struct(F.col("_i").alias("i"), F.col(value).alias("v"))))
+                   .alias("_first")))
+    cw = Window.partitionBy(*keys).orderBy("_c")
+    carry = chunks.select(
+        *keys, "_c",
+        F.last("_last", ignorenulls=True).over(
+            cw.rowsBetween(Window.unboundedPreceding, -1)).alias("_prev"),
+        F.first("_first", ignorenulls=True).over(
+            cw.rowsBetween(1, Window.unboundedFollowing)).alias("_next"))
+    d = d.join(carry, keys + ["_c"], "left")
+    pv = F.coalesce(F.col("_pv"), F.col("_prev.v"))
+    pi = F.coalesce(F.col("_pi"), F.col("_prev.i"))
+    nv = F.coalesce(F.col("_nv"), F.col("_next.v"))
+    ni = F.coalesce(F.col("_ni"), F.col("_next.i"))
+    lim = F.lit(limit)
+    both = pv.isNotNull() & nv.isNotNull()
+    line = pv + (nv - pv) * (i - pi).cast("double") / (ni - pi).cast("double")
+    filled = (F.when(v.isNotNull(), v)
+              .when(both & (((i - pi) <= lim) | ((ni - i) <= lim)), line)
+              .when(nv.isNotNull() & pv.isNull() & ((ni - i) <= lim), nv)
+              .when(pv.isNotNull() & nv.isNull() & ((i - pi) <= lim), pv))
+    return d.withColumn(out, filled).drop("_i", "_c", "_pv", "_pi", "_nv", "_ni", "_prev", "_next")

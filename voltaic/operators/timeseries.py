@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.interp import interpolate_linear
+from ..functions.interp import interpolate_linear, interpolate_linear_chunked
 from ..functions.numeric import as_double, clamp_low, is_false, round_half
 from ..functions.timefn import bucket, time_grid
 from .joins import dims, enrich
@@ -82,15 +82,31 @@ def resample(series: DataFrame, keys: Sequence[str] = SERIES_KEYS, ts: str = "re
             .select(*keys, ts, value))
 
 
+STEP_SECONDS = {"minute": 60, "hour": 3600, "day": 86400}
+
+
+def _interpolate(resampled: DataFrame, value: str, keys: Sequence[str], ts: str, limit: int,
+                 out: str, unit: str | None, chunk_unit: str | None) -> DataFrame:
+    """Chunked interpolation on a regular grid (window partitions bounded by
+    ``chunk_unit``), or whole-series windows when no grid/chunk is given."""
+    if unit in STEP_SECONDS and chunk_unit:
+        return interpolate_linear_chunked(resampled, value, list(keys), ts, limit, out,
+                                          STEP_SECONDS[unit], chunk_unit)
+    return interpolate_linear(resampled, value, list(keys), ts, limit, out)
+
+
 def fill_gaps(resampled: DataFrame, keys: Sequence[str] = SERIES_KEYS, ts: str = "recorded_at",
               value: str = "value", limit: int = 3, fill: float = 0.0,
-              lower: float | None = 0.0) -> DataFrame:
+              lower: float | None = 0.0, unit: str | None = "hour",
+              chunk_unit: str | None = "month") -> DataFrame:
     """Linear interpolation (at most ``limit`` steps from either side), then
     remaining gaps := ``fill``, then clamp below at ``lower``.
 
-    Column order and names are kept.
+    The input is a resampled grid of ``unit``; windows run per (series,
+    ``chunk_unit``) with the neighbours across chunk edges carried in, so a
+    long series is not one task.  Column order and names are kept.
     """
-    d = interpolate_linear(resampled, value, list(keys), ts, limit, "_int")
+    d = _interpolate(resampled, value, keys, ts, limit, "_int", unit, chunk_unit)
     filled = F.coalesce(F.col("_int"), F.lit(fill))
     if lower is not None:
         filled = clamp_low(filled, lower)
@@ -98,10 +114,11 @@ def fill_gaps(resampled: DataFrame, keys: Sequence[str] = SERIES_KEYS, ts: str =
 
 
 def gap_counts(resampled: DataFrame, keys: Sequence[str] = SERIES_KEYS, ts: str = "recorded_at",
-               value: str = "value", limit: int = 3) -> DataFrame:
+               value: str = "value", limit: int = 3, unit: str | None = "hour",
+               chunk_unit: str | None = "month") -> DataFrame:
     """One row: gaps before interpolation, gaps left after it (filled with
     0), negatives clamped.  Counts come from one aggregate."""
-    t = interpolate_linear(resampled, value, list(keys), ts, limit, "_int")
+    t = _interpolate(resampled, value, keys, ts, limit, "_int", unit, chunk_unit)
     t = t.select(F.col(value).alias("_raw"), F.col("_int"))
     return t.agg(F.count_if(F.col("_raw").isNull()).alias("nan_before"),
                   F.count_if(F.col("_int").isNull()).alias("nan_after"),
@@ -115,8 +132,8 @@ def normalize_hourly(series: DataFrame, keys: Sequence[str] = SERIES_KEYS, limit
 
     Columns: dataset_id, country, recorded_at, value, metric, source.
     """
-    r = resample(series, keys)
-    f = fill_gaps(r, keys, limit=limit)
+    r = resample(series, keys, unit="hour")
+    f = fill_gaps(r, keys, limit=limit, unit="hour", chunk_unit="month")
     return f.select("dataset_id", "country", "recorded_at", "value", "metric",
                     F.lit(source).alias("source"))
 
