@@ -94,3 +94,20 @@ def test_chunked_interpolation_equals_whole_series(spark):
     assert len(x) == len(y)
     assert np.array_equal(np.isnan(x), np.isnan(y))
     assert np.allclose(x[~np.isnan(x)], y[~np.isnan(y)], atol=1e-9)
+
+
+def test_resample_across_months_matches_pandas(spark):
+    rng = random.Random(5)
+    t0 = dt.datetime(2023, 1, 20)
+    rows = [(1, m, "FI", t0 + dt.timedelta(minutes=rng.randrange(0, 60 * 24 * 75)),
+             round(rng.uniform(0, 10), 2)) for m in ("a", "b") for _ in range(60)]
+    df = spark.createDataFrame(rows, "dataset_id int, metric string, country string, "
+                                     "recorded_at timestamp_ntz, value double")
+    got = timeseries.resample(df).toPandas().sort_values(["metric", "recorded_at"])
+    pdf = pd.DataFrame(rows, columns=["dataset_id", "metric", "country", "recorded_at", "value"])
+    want = (pdf.set_index("recorded_at").groupby(["dataset_id", "metric", "country"])
+            .resample("1h")["value"].mean().reset_index().sort_values(["metric", "recorded_at"]))
+    assert len(got) == len(want)
+    assert (got["recorded_at"].astype("datetime64[ns]").to_numpy()
+            == want["recorded_at"].astype("datetime64[ns]").to_numpy()).all()
+    assert got["value"].isna().sum() == want["value"].isna().sum()

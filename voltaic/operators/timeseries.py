@@ -62,12 +62,15 @@ SERIES_KEYS = ("dataset_id", "metric", "country")
 
 
 def resample(series: DataFrame, keys: Sequence[str] = SERIES_KEYS, ts: str = "recorded_at",
-             value: str = "value", unit: str = "hour") -> DataFrame:
+             value: str = "value", unit: str = "hour", chunk_unit: str = "month") -> DataFrame:
     """Mean per (series, time bucket), including the empty buckets between a
     series' own first and last bucket (value NULL there).
 
-    The grid is generated per series from its [min, max] bucket and left-joined
-    to the bucket means.  Rows with a NULL key are dropped (pandas groupby).
+    The grid is generated in two steps — the series' [min, max] span into
+    chunks (months), spread over tasks, then each chunk into buckets — so a
+    long or fine-grained series is generated by many tasks; it is then
+    left-joined to the bucket means.  Rows with a NULL key are dropped
+    (pandas groupby does the same).
     """
     keys = list(keys)
     nonnull = F.lit(True)
@@ -76,7 +79,14 @@ def resample(series: DataFrame, keys: Sequence[str] = SERIES_KEYS, ts: str = "re
     b = series.filter(nonnull).withColumn("_b", bucket(unit, ts))
     means = b.groupBy(*keys, "_b").agg(F.avg(as_double(value)).alias(value))
     span = means.groupBy(*keys).agg(F.min("_b").alias("_lo"), F.max("_b").alias("_hi"))
-    grid = span.select(*keys, time_grid(F.col("_lo"), F.col("_hi"), f"1 {unit}").alias("_b"))
+    lo, hi = F.col("_lo"), F.col("_hi")
+    chunks = (span.select(*keys, "_lo", "_hi",
+                          time_grid(bucket(chunk_unit, lo), bucket(chunk_unit, hi),
+                                    f"1 {chunk_unit}").alias("_m"))
+              .repartition(*keys, "_m"))
+    end = F.col("_m") + F.expr(f"INTERVAL 1 {chunk_unit}") - F.expr(f"INTERVAL 1 {unit}")
+    grid = chunks.select(*keys, time_grid(F.greatest(lo, F.col("_m")), F.least(hi, end),
+                                          f"1 {unit}").alias("_b"))
     return (grid.join(means, keys + ["_b"], "left")
             .withColumnRenamed("_b", ts)
             .select(*keys, ts, value))
