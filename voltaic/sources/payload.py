@@ -7,7 +7,6 @@ storage and are read here.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
