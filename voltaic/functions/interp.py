@@ -76,19 +76,11 @@ def interpolate_linear_chunked(df: DataFrame, value: str, keys: list[str], ts: s
                  F.last(F.when(v.isNotNull(), i), ignorenulls=True).over(back).alias("_pi"),
                  F.first(v, ignorenulls=True).over(fwd).alias("_nv"),
                  F.first(F.when(v.isNotNull(), i), ignorenulls=True).over(fwd).alias("_ni"))
-    # per chunk: last and first non-NULL (position, value); structs order by
-    # position first
-    chunks = (df.select(*keys, F.col(value),
-                        (F.col(ts).cast("timestamp").cast("long") / F.lit(step_seconds))
-                        .cast("long").alias("_i"),
-                        F.date_trunc(chunk_unit, F.col(ts).cast("timestamp")).alias("_c"))
-              .groupBy(*keys, "_c")
-              .agg(F.max(F.when(F.col(value).isNotNull(),
-                                F.struct(F.col("_i").alias("i"), F.col(value).alias("v"))))
-                   .alias("_last"),
-                   F.min(F.when(F.col(value).isNotNull(),
-                                F.struct(F.col("_i").alias("i"), F.col(value).alias("v"))))
-                   .alias("_first")))
+    # per chunk: last and first non-NULL (position, value) — structs order by
+    # position first.  Aggregated from the windowed frame, which is already
+    # partitioned by (series, chunk), so this needs no further shuffle.
+    nn = F.when(v.isNotNull(), F.struct(i.alias("i"), v.alias("v")))
+    chunks = d.groupBy(*keys, "_c").agg(F.max(nn).alias("_last"), F.min(nn).alias("_first"))
     cw = Window.partitionBy(*keys).orderBy("_c")
     carry = chunks.select(
         *keys, "_c",
