@@ -218,3 +218,27 @@ def test_volume_tolerance_bands(spark):
     r = quality.volume_check(df, 100).first()
     assert r.actual_rows == 95 and r.within_tolerance
     assert not quality.volume_check(spark.range(80), 100).first().within_tolerance
+
+
+@pytest.mark.parametrize("fn", ["facility_ranking", "ranking_direct"])
+def test_distributed_ranks_equal_window_ranks(spark, fn):
+    from voltaic import adapters as A
+    from .conftest import SF_ORACLE
+    d = A.shipments_domain(spark, SF_ORACLE)
+    f = getattr(ranking, fn)
+    a = f(d.readings, d.sensors, d.facilities, method="window").collect()
+    b = f(d.readings, d.sensors, d.facilities, method="distributed").collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def test_distributed_ranks_with_nulls_and_ties(spark):
+    s = spark.createDataFrame([(i, i, "power_output", "MW") for i in range(1, 8)], S_SCHEMA)
+    f = spark.createDataFrame([(1, "A", "wind", "FI", 100.0), (2, "B", "wind", "FI", 100.0),
+                               (3, "C", "solar", "FI", 100.0), (4, "Z", "solar", "FI", 0.0),
+                               (5, "Y", "wind", "FI", 0.0), (6, "D", "solar", "FI", 50.0),
+                               (7, "E", "wind", "FI", 200.0)], F_SCHEMA)
+    vals = [50.001, 50.004, 49.0, 1.0, 1.0, 25.0, 100.0]
+    r = readings(spark, [(i, i, D(2023, 1, 1), v, False) for i, v in enumerate(vals, 1)])
+    a = ranking.facility_ranking(r, s, f, method="window").collect()
+    b = ranking.facility_ranking(r, s, f, method="distributed").collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b))
