@@ -161,11 +161,24 @@ def test_column_rules_use_try_cast(spark):
     assert out[("not_null", "reading_id")] == 1
 
 
-def test_pearson_p_value_known_values():
+def test_pearson_p_value_known_values(spark):
+    import math
+    from voltaic.functions.stats import pearson_p_value
+    from ._tdist import t_two_sided_p
     # t = 2.0 with 10 degrees of freedom: two-sided p = 0.07338803
-    assert scoring.t_two_sided_p(2.0, 10.0) == pytest.approx(0.0733880, abs=1e-6)
+    assert t_two_sided_p(2.0, 10.0) == pytest.approx(0.0733880, abs=1e-6)
     # t = 1.0, df = 1 (Cauchy): p = 0.5
-    assert scoring.t_two_sided_p(1.0, 1.0) == pytest.approx(0.5, abs=1e-12)
+    assert t_two_sided_p(1.0, 1.0) == pytest.approx(0.5, abs=1e-12)
+    cases = [(0.0135, 1688), (0.5, 10), (-0.3, 50), (0.99, 5), (0.2, 3), (0.0, 100)]
+    df = spark.createDataFrame(cases, "r double, n long")
+    got = [x.p for x in df.select(pearson_p_value(F.col("r"), F.col("n")).alias("p")).collect()]
+    for (r, n), p in zip(cases, got):
+        dof = n - 2
+        want = t_two_sided_p(r * math.sqrt(dof / (1 - r * r)), dof)
+        assert p == pytest.approx(want, rel=1e-9, abs=1e-12)
+    edge = spark.createDataFrame([(None, 10), (1.0, 20), (0.5, 2)], "r double, n long")
+    assert [x.p for x in edge.select(pearson_p_value(F.col("r"), F.col("n")).alias("p"))
+            .collect()] == [None, 0.0, None]
 
 
 def test_pearson_test_frame(spark):

@@ -14,14 +14,11 @@ Plans, at scale:
 
 from __future__ import annotations
 
-import math
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 from ..functions.numeric import as_double, is_false, round_half, safe_div
+from ..functions.stats import pearson_p_value
 from ..functions.timefn import bucket, day_label
 from .joins import BROADCAST_LIMIT_BYTES, dims, enrich, estimated_bytes, sized_broadcast
 from .stage import stage
@@ -208,83 +205,18 @@ def normalized_monthly(series: DataFrame, readings: DataFrame, sensors: DataFram
 
 # ---------------------------------------------------------------- Pearson test
 
-def _betacf(a: float, b: float, x: float) -> float:
-    """Continued fraction of the incomplete beta function (modified Lentz)."""
-    tiny, eps = 1e-300, 3e-16
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c, d = 1.0, 1.0 - qab * x / qap
-    d = 1.0 / (d if abs(d) > tiny else tiny)
-    h = d
-    for m in range(1, 500):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        de = d * c
-        h *= de
-        if abs(de - 1.0) < eps:
-            break
-    return h
-
-
-def reg_inc_beta(a: float, b: float, x: float) -> float:
-    """Regularised incomplete beta I_x(a, b)."""
-    if x <= 0.0:
-        return 0.0
-    if x >= 1.0:
-        return 1.0
-    lbt = (math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
-           + a * math.log(x) + b * math.log1p(-x))
-    if x < (a + 1.0) / (a + b + 2.0):
-        return math.exp(lbt) * _betacf(a, b, x) / a
-    return 1.0 - math.exp(lbt) * _betacf(b, a, 1.0 - x) / b
-
-
-def t_two_sided_p(t: float, dof: float) -> float | None:
-    """Two-sided p-value of Student's t with ``dof`` degrees of freedom."""
-    if t is None or dof is None or dof <= 0 or (isinstance(t, float) and math.isnan(t)):
-        return None
-    if math.isinf(t):
-        return 0.0
-    return reg_inc_beta(dof / 2.0, 0.5, dof / (dof + t * t))
-
-
-@F.pandas_udf(DoubleType())
-def _p_value_udf(r: pd.Series, n: pd.Series) -> pd.Series:
-    out = []
-    for rv, nv in zip(r, n):
-        if pd.isna(rv) or pd.isna(nv) or nv < 3:
-            out.append(None)
-            continue
-        dof = float(nv) - 2.0
-        if abs(rv) >= 1.0:
-            out.append(0.0)
-            continue
-        t = rv * math.sqrt(dof / (1.0 - rv * rv))
-        out.append(t_two_sided_p(t, dof))
-    return pd.Series(out, dtype="float64")
-
-
 def pearson_test(pairs: DataFrame, x: str = "real_avg", y: str = "synthetic_avg",
                  alpha: float = 0.05) -> DataFrame:
     """n, df = n - 2, Pearson r, two-sided p, verdict at ``alpha``.
 
-    One distributed aggregate gives n and r; the p-value of the one
-    resulting row comes from the t distribution (t = r * sqrt(df / (1 - r^2)))
-    in a vectorised helper.
+    One distributed aggregate gives n and r; the p-value of the resulting
+    row comes from the t distribution (t = r * sqrt(df / (1 - r^2))), as a
+    JVM-side expression (:func:`voltaic.functions.stats.pearson_p_value`).
     """
     both = F.col(x).isNotNull() & F.col(y).isNotNull()
     agg = pairs.agg(F.count(F.when(both, F.lit(1))).alias("n"),
                     corr_expr(as_double(x), as_double(y)).alias("r"))
-    p = _p_value_udf(F.col("r"), F.col("n"))
+    p = pearson_p_value(F.col("r"), F.col("n"))
     return (agg.select(F.col("n").cast("bigint").alias("n"),
                        (F.col("n") - F.lit(2)).cast("bigint").alias("df"),
                        "r", p.alias("p_value"))
