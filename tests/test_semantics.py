@@ -179,6 +179,10 @@ def test_pearson_p_value_known_values(spark):
     edge = spark.createDataFrame([(None, 10), (1.0, 20), (0.5, 2)], "r double, n long")
     assert [x.p for x in edge.select(pearson_p_value(F.col("r"), F.col("n")).alias("p"))
             .collect()] == [None, 0.0, None]
+    from voltaic.functions.stats import with_pearson_p_value
+    staged = [x.p for x in with_pearson_p_value(df.unionByName(edge), "r", "n", "p").collect()]
+    assert staged[-3:] == [None, 0.0, None]
+    assert staged[:len(got)] == pytest.approx(got, rel=1e-12)
 
 
 def test_pearson_test_frame(spark):

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import as_double, is_false, round_half, safe_div
-from ..functions.stats import pearson_p_value
+from ..functions.stats import with_pearson_p_value
 from ..functions.timefn import bucket, day_label
 from .joins import BROADCAST_LIMIT_BYTES, dims, enrich, estimated_bytes, sized_broadcast
 from .stage import stage
@@ -216,10 +216,10 @@ def pearson_test(pairs: DataFrame, x: str = "real_avg", y: str = "synthetic_avg"
     both = F.col(x).isNotNull() & F.col(y).isNotNull()
     agg = pairs.agg(F.count(F.when(both, F.lit(1))).alias("n"),
                     corr_expr(as_double(x), as_double(y)).alias("r"))
-    p = pearson_p_value(F.col("r"), F.col("n"))
+    agg = with_pearson_p_value(agg, "r", "n", "p_value")
     return (agg.select(F.col("n").cast("bigint").alias("n"),
                        (F.col("n") - F.lit(2)).cast("bigint").alias("df"),
-                       "r", p.alias("p_value"))
+                       "r", "p_value")
             .withColumn("verdict",
                         F.when(F.col("p_value") < F.lit(alpha), F.lit("Statistically Significant"))
                         .otherwise(F.lit("Not Statistically Significant"))))
