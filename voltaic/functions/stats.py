@@ -101,8 +101,11 @@ def with_pearson_p_value(df: DataFrame, r: str = "r", n: str = "n",
     instead of repeating the branch expressions (smaller plans, faster
     analysis and code generation)."""
     rc, nc = F.col(r), F.col(n)
-    d = df.select("*", ((nc - F.lit(2)).cast("double") / F.lit(2.0)).alias("_pa"),
-                  (F.lit(1.0) - rc * rc).alias("_px"))
+    # rows outside the formula's domain get NULL inputs, so no later stage
+    # can divide by zero or take a logarithm of zero for them
+    valid = rc.isNotNull() & (nc >= F.lit(3)) & (F.abs(rc) < F.lit(1.0))
+    d = df.select("*", F.when(valid, (nc - F.lit(2)).cast("double") / F.lit(2.0)).alias("_pa"),
+                  F.when(valid, F.lit(1.0) - rc * rc).alias("_px"))
     a, b, x = F.col("_pa"), F.lit(0.5), F.col("_px")
     d = d.select("*", (x < (a + F.lit(1.0)) / (a + b + F.lit(2.0))).alias("_pd"))
     direct = F.col("_pd")
