@@ -259,3 +259,12 @@ def test_distributed_ranks_with_nulls_and_ties(spark):
     a = ranking.facility_ranking(r, s, f, method="window").collect()
     b = ranking.facility_ranking(r, s, f, method="distributed").collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def test_monthly_energy_weighting(spark, dims):
+    s, f = dims
+    r = readings(spark, [(i, 1, D(2023, 1, 1) + dt.timedelta(minutes=5 * i), 12.0, False)
+                         for i in range(12)])
+    plain = reports.monthly_report(r, s, f).first()
+    weighted = reports.monthly_report(r, s, f, sample_hours=5 / 60).first()
+    assert plain.total_energy_mwh == 144.0 and weighted.total_energy_mwh == 12.0

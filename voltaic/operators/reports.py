@@ -24,11 +24,16 @@ def severity(rate):
 
 
 def monthly_report(readings: DataFrame, sensors: DataFrame, facilities: DataFrame,
-                   sensor_type: str = "power_output") -> DataFrame:
+                   sensor_type: str = "power_output",
+                   sample_hours: float | None = None) -> DataFrame:
     """Per (country, facility_type, month): active facilities, mean (3 dp),
     total (1 dp), flagged count, flagged rate (2 dp), change of the total
     against the previous existing month (1 dp), severity band.  All rows
     count, flagged ones included.
+
+    The total is the plain sum of the samples, as in the reference.  With
+    ``sample_hours`` (e.g. 5/60 for 5-minute samples of MW) it is weighted
+    by the sampling interval, giving energy in MWh.
     """
     d = dims(sensors, facilities, sensor_filter=F.col("sensor_type") == F.lit(sensor_type),
              columns=["facility_id", "country", "facility_type"])
@@ -49,9 +54,12 @@ def monthly_report(readings: DataFrame, sensors: DataFrame, facilities: DataFram
               F.sum("_sum").alias("_sum"),
               F.sum("_a").alias("anomaly_count"),
               F.sum("_n").alias("total_readings")))
+    total = F.col("_sum")
+    if sample_hours is not None:
+        total = total * F.lit(str(sample_hours)).cast("decimal(20,12)")
     m = m.select("country", "facility_type", "month", "active_facilities",
                  round_half("_avg", 3).alias("avg_power_mw"),
-                 F.round(F.col("_sum"), 1).alias("_total"),
+                 F.round(total, 1).alias("_total"),
                  "anomaly_count",
                  round_half(pct(F.col("anomaly_count"), F.col("total_readings")), 2)
                  .alias("anomaly_rate_pct"))
