@@ -48,6 +48,11 @@ def test_cli_load_check_report_migrate(spark, tmp_dir):
         cli.main(["load", "--raw", raw, "--tables", tables, "--days-expected", "3", *args])
         assert spark.read.parquet(f"{tables}/readings").count() - before == added
     assert cli.main(["check", "--tables", tables, "--days-expected", "365"]) == 1
+    # data tests: 4 days (incl. the incremental one), 240 rows; flagged share 1.9 %
+    assert cli.main(["verify", "--tables", tables, "--days-expected", "4",
+                     "--rows-expected", "240"]) == 0
+    assert cli.main(["verify", "--tables", tables, "--days-expected", "5",
+                     "--rows-expected", "240"]) == 1
     assert cli.main(["report", "--tables", tables, "--out", out]) == 0
     names = sorted(d.rsplit("_", 2)[0] for d in os.listdir(out))
     assert names == ["facility_ranking", "monthly_report", "rolling_24h", "top3_per_sensor",

@@ -2,6 +2,7 @@
 
     python -m voltaic.cli load    --raw DIR --tables DIR [--incremental] [--no-watermark]
     python -m voltaic.cli check   --tables DIR [--days-expected N]
+    python -m voltaic.cli verify  --tables DIR [--days-expected N] [--rows-expected N]
     python -m voltaic.cli report  --tables DIR --out DIR
     python -m voltaic.cli migrate --src DIR --dst DIR
     python -m voltaic.cli grid    --payloads DIR --tables DIR [--start ... --stop ...]
@@ -69,7 +70,8 @@ def cmd_load(spark: SparkSession, a) -> int:
     good, _bad = split_corrupt(raw)
     batch = with_defaults(good, {"is_anomaly": False}).withColumn("_ord", input_order())
     counts = load.load(spark, batch, f"{base}/readings", KEYS["readings"], "_ord",
-                       use_watermark=not a.no_watermark)
+                       use_watermark=not a.no_watermark,
+                       watermark_by="sensor_id" if a.per_sensor_watermark else None)
     print(json.dumps({k: (str(v) if k == "watermark" else v) for k, v in counts.items()}))
     return cmd_check(spark, a)
 
@@ -84,6 +86,36 @@ def cmd_check(spark: SparkSession, a) -> int:
     return 0 if ok else 1
 
 
+def cmd_verify(spark: SparkSession, a) -> int:
+    """The data tests: no orphan sensors, no NULL values, global flagged rate
+    within [1, 4] %, at least ``days_expected`` days, row count within
+    tolerance of ``rows_expected`` (all overridable by environment:
+    DAYS_EXPECTED, ROWS_EXPECTED, ROWS_TOLERANCE)."""
+    import os
+    t = _tables(spark, a.tables)
+    r, s, f = t["readings"], t["sensors"], t["facilities"]
+    days = int(os.environ.get("DAYS_EXPECTED", a.days_expected))
+    rows = int(os.environ.get("ROWS_EXPECTED", a.rows_expected))
+    tol = os.environ.get("ROWS_TOLERANCE")
+    checks = [
+        quality.Check("no_orphan_sensors", lambda: quality.orphan_sensors(r, s, f),
+                      lambda d: d.agg(F.count(F.lit(1)).alias("n")), F.col("n") > 0, F.col("n")),
+        quality.Check("no_null_values", lambda: quality.null_values(r), lambda d: d,
+                      F.col("null_value_count") > 0, F.col("null_value_count")),
+        quality.Check("anomaly_rate_band", lambda: quality.global_anomaly_rate(r), lambda d: d,
+                      ~F.col("within_band"), F.round("anomaly_rate_pct", 3)),
+        quality.Check("days_covered", lambda: quality.coverage(r), lambda d: d,
+                      F.col("days_with_data") < F.lit(days), F.col("days_with_data")),
+        quality.Check("row_volume",
+                      lambda: quality.volume_check(r, rows, float(tol) if tol else None),
+                      lambda d: d, ~F.col("within_tolerance"), F.col("actual_rows")),
+    ]
+    ok, res = quality.run_checks(checks)
+    for x in res:
+        print(f"{'PASS' if x['passed'] else 'FAIL'}  {x['check']}: {x['detail']}")
+    return 0 if ok else 1
+
+
 def analysis_reports(t: dict[str, DataFrame]):
     r, s, f = t["readings"], t["sensors"], t["facilities"]
     reps = {
@@ -145,10 +177,15 @@ def main(argv: list[str] | None = None) -> int:
     lp.add_argument("--tables", required=True)
     lp.add_argument("--incremental", action="store_true")
     lp.add_argument("--no-watermark", action="store_true")
+    lp.add_argument("--per-sensor-watermark", action="store_true")
     lp.add_argument("--days-expected", type=int, default=365)
     cp = sub.add_parser("check")
     cp.add_argument("--tables", required=True)
     cp.add_argument("--days-expected", type=int, default=365)
+    vp = sub.add_parser("verify")
+    vp.add_argument("--tables", required=True)
+    vp.add_argument("--days-expected", type=int, default=365)
+    vp.add_argument("--rows-expected", type=int, default=60 * 365 * 288)
     rp = sub.add_parser("report")
     rp.add_argument("--tables", required=True)
     rp.add_argument("--out", required=True)
@@ -163,7 +200,7 @@ def main(argv: list[str] | None = None) -> int:
     a = p.parse_args(argv)
     spark = SparkSession.getActiveSession() or build_session()
     ensure_defaults(spark)
-    fn = {"load": cmd_load, "check": cmd_check, "report": cmd_report,
+    fn = {"load": cmd_load, "check": cmd_check, "verify": cmd_verify, "report": cmd_report,
           "migrate": cmd_migrate, "grid": cmd_grid}[a.cmd]
     return fn(spark, a)
 
