@@ -121,3 +121,15 @@ def test_json_envelope(spark):
 def test_schemas_declared():
     assert [f.name for f in FACILITIES.fields][0] == "facility_id"
     assert GRID_DATA["value"].dataType.precision == 12
+
+
+def test_iso8601_like_python_isoformat(spark):
+    import datetime as _dt
+    from voltaic.functions.timefn import iso8601
+    vals = [_dt.datetime(2024, 1, 1, 0, 0, 7, 179575), _dt.datetime(2023, 6, 1, 12, 0, 0)]
+    df = spark.createDataFrame([(v,) for v in vals], "t timestamp_ntz")
+    got = [r.s for r in df.select(iso8601("t").alias("s")).collect()]
+    assert got == [v.isoformat() for v in vals]
+    tz = df.select(F.col("t").cast("timestamp").alias("t"))
+    got = [r.s for r in tz.select(iso8601("t", with_offset=True).alias("s")).collect()]
+    assert got == [v.replace(tzinfo=_dt.timezone.utc).isoformat() for v in vals]

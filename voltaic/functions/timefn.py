@@ -31,9 +31,15 @@ def day_label(c: Column | str) -> Column:
     return F.date_format(_c(c), "yyyy-MM-dd")
 
 
-def iso8601(c: Column | str) -> Column:
-    """ISO-8601 text of a timestamp (what ``datetime.isoformat`` gives)."""
-    return F.date_format(_c(c), "yyyy-MM-dd'T'HH:mm:ss")
+def iso8601(c: Column | str, with_offset: bool = False) -> Column:
+    """ISO-8601 text of a timestamp, as ``datetime.isoformat`` writes it:
+    microseconds only when non-zero, and ``+00:00`` for zoned timestamps
+    (``with_offset``; the session zone is UTC)."""
+    c = _c(c)
+    zone = "xxx" if with_offset else ""
+    whole = F.date_format(c, f"yyyy-MM-dd'T'HH:mm:ss{zone}")
+    frac = F.date_format(c, f"yyyy-MM-dd'T'HH:mm:ss.SSSSSS{zone}")
+    return F.when(F.date_format(c, "SSSSSS") == F.lit("000000"), whole).otherwise(frac)
 
 
 def month_key(c: Column | str) -> Column:

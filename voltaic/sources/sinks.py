@@ -55,8 +55,12 @@ def json_ready(df: DataFrame) -> DataFrame:
         c = F.col(f.name)
         if isinstance(f.dataType, T.DecimalType):
             c = c.cast("double")
-        elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        elif isinstance(f.dataType, T.TimestampType):
+            c = iso8601(c, with_offset=True)
+        elif isinstance(f.dataType, T.TimestampNTZType):
             c = iso8601(c)
+        elif isinstance(f.dataType, T.DateType):
+            c = F.date_format(c, "yyyy-MM-dd")
         cols.append(c.alias(f.name))
     return df.select(*cols)
 
