@@ -88,12 +88,38 @@ def range_read(spark: SparkSession, path: str, sensor_id, start, stop,
                                         if isinstance(stop, str) else F.lit(stop)))
 
 
-def fingerprint(df: DataFrame, ts: str = "recorded_at", exclude: Sequence[str] = (MONTH,)
-                ) -> DataFrame:
+def _canonical_text(df: DataFrame, cols: Sequence[str]):
+    """One text per row that another engine can rebuild exactly: columns in
+    name order joined by '|', NULL as \\N, timestamps with six fractional
+    digits, numbers as DECIMAL(38,10)."""
+    types = dict(df.dtypes)
+    parts = []
+    for c in cols:
+        t, col = types[c], F.col(c)
+        if t.startswith("timestamp"):
+            txt = F.date_format(col, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        elif t in ("double", "float") or t.startswith("decimal"):
+            txt = col.try_cast("decimal(38,10)").cast("string")
+        else:
+            txt = col.cast("string")
+        parts.append(F.coalesce(txt, F.lit("\\N")))
+    return F.concat_ws("|", *parts)
+
+
+def fingerprint(df: DataFrame, ts: str = "recorded_at", exclude: Sequence[str] = (MONTH,),
+                portable: bool = False) -> DataFrame:
     """Per-month row count and an order-free content hash (sum of row hashes
-    as an exact decimal).  Columns: month, n_rows, content_hash."""
+    as an exact decimal).  Columns: month, n_rows, content_hash.
+
+    ``portable`` hashes a canonical text of each row with MD5 (first 60
+    bits), which another engine can reproduce — e.g. the source database of
+    a migration; the default xxhash64 is faster but Spark-specific."""
     cols = sorted(c for c in df.columns if c not in exclude)
-    h = F.xxhash64(*[F.col(c) for c in cols]).cast("decimal(38,0)")
+    if portable:
+        h = F.conv(F.substring(F.md5(_canonical_text(df, cols)), 1, 15), 16, 10)
+        h = h.cast("decimal(38,0)")
+    else:
+        h = F.xxhash64(*[F.col(c) for c in cols]).cast("decimal(38,0)")
     return (df.groupBy(F.date_format(F.col(ts), "yyyy-MM").alias("month"))
             .agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"),
                  F.sum(h).cast("string").alias("content_hash")))

@@ -412,8 +412,9 @@ def q_range_read(spark, sf):
 
 @register("verified_rewrite")
 def q_verified_rewrite(spark, sf):
-    """Per-month count and content hash that a copy must reproduce."""
-    return layout.fingerprint(A.events_domain(spark, sf).readings)
+    """Per-month count and content hash that a copy must reproduce
+    (portable form, so a second engine can verify it)."""
+    return layout.fingerprint(A.events_domain(spark, sf).readings, portable=True)
 
 
 @register("anomalies_json")
