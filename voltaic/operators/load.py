@@ -42,6 +42,25 @@ def high_watermark(target: DataFrame | None, ts: str = "recorded_at"):
     return target.agg(F.max(ts).alias("wm")).first()["wm"]
 
 
+def with_key_watermarks(batch: DataFrame, target: DataFrame, by: str,
+                        ts: str = "recorded_at") -> DataFrame:
+    """``batch`` plus ``_wm``: the newest target timestamp of the row's key
+    (NULL for keys the target has never seen).  The per-key maxima are an
+    aggregate over the target's rows of the batch's keys, staged so the size
+    of what is broadcast is known."""
+    keys_in_batch = batch.select(by).distinct()
+    wms = stage(target.join(keys_in_batch, by, "left_semi")
+                .groupBy(by).agg(F.max(ts).alias("_wm")), "load-watermarks")
+    return batch.join(sized_broadcast(wms, measure=False), by, "left")
+
+
+def key_watermark_filter(batch: DataFrame, target: DataFrame, by: str,
+                         ts: str = "recorded_at") -> DataFrame:
+    """Rows strictly newer than their own key's watermark."""
+    w = with_key_watermarks(batch, target, by, ts)
+    return w.filter(F.col("_wm").isNull() | (F.col(ts) > F.col("_wm"))).drop("_wm")
+
+
 def watermark_filter(batch: DataFrame, wm, ts: str = "recorded_at") -> DataFrame:
     """Rows strictly newer than the watermark (all rows when wm is None)."""
     return batch if wm is None else batch.filter(F.col(ts) > F.lit(wm))
@@ -211,10 +230,7 @@ def load(spark: SparkSession, batch: DataFrame, target_path: str, keys: Sequence
     target = spark.read.parquet(target_path) if exists else None
     wm = None
     if use_watermark and target is not None and watermark_by:
-        keys_in_batch = batch.select(watermark_by).distinct()
-        wms = stage(target.join(keys_in_batch, watermark_by, "left_semi")
-                    .groupBy(watermark_by).agg(F.max(ts).alias("_wm")), "load-watermarks")
-        batch = batch.join(sized_broadcast(wms, measure=False), watermark_by, "left")
+        batch = with_key_watermarks(batch, target, watermark_by, ts)
         late = F.col("_wm").isNotNull() & (F.col(ts) <= F.col("_wm"))
         wm = "per " + watermark_by
     else:

@@ -338,6 +338,13 @@ def q_load_watermark(spark, sf):
     return load.watermark_filter(batch, wm).drop("_ord")
 
 
+@register("load_watermark_per_sensor")
+def q_load_watermark_per_sensor(spark, sf):
+    """L1 variant: batch rows newer than their own sensor's high-watermark."""
+    target, batch = _load_inputs(spark, sf)
+    return load.key_watermark_filter(batch, target, "sensor_id").drop("_ord")
+
+
 @register("load_insert_absent")
 def q_load_insert(spark, sf):
     """L2/L3: table state after insert-if-absent on (reading_id, recorded_at)."""

@@ -519,6 +519,12 @@ SQL["load_watermark"] = with_(EVENTS, LOAD_INPUTS) + """
 SELECT reading_id, sensor_id, recorded_at, value, is_anomaly FROM batch
 WHERE recorded_at > (SELECT max(recorded_at) FROM target)"""
 
+SQL["load_watermark_per_sensor"] = with_(EVENTS, LOAD_INPUTS, """
+marks AS (SELECT sensor_id, max(recorded_at) AS wm FROM target GROUP BY sensor_id)""") + """
+SELECT b.reading_id, b.sensor_id, b.recorded_at, b.value, b.is_anomaly
+FROM batch b LEFT JOIN marks m ON b.sensor_id = m.sensor_id
+WHERE m.wm IS NULL OR b.recorded_at > m.wm"""
+
 SQL["load_insert_absent"] = with_(EVENTS, LOAD_INPUTS, """
 firsts AS (
   SELECT * FROM (
