@@ -92,35 +92,60 @@ def pearson_p_value(r: Column, n: Column) -> Column:
             .otherwise(p))
 
 
+def _lgamma_sql(z: str) -> str:
+    """SQL text of :func:`lgamma` for the column expression ``z``."""
+    z1 = f"({z} - 1D)"
+    terms = " + ".join([f"{LANCZOS[0]!r}D"] +
+                       [f"{c!r}D / ({z1} + {k}D)" for k, c in enumerate(LANCZOS[1:], start=1)])
+    t = f"({z1} + {LANCZOS_G + 0.5!r}D)"
+    return (f"({0.5 * math.log(2 * math.pi)!r}D + ({z1} + 0.5D) * ln({t}) - {t}"
+            f" + ln({terms}))")
+
+
+def _nz_sql(e: str) -> str:
+    return f"(CASE WHEN abs({e}) < {TINY!r}D THEN {TINY!r}D ELSE {e} END)"
+
+
+def _beta_cf_sql(a: str, b: str, x: str, steps: int = STEPS) -> str:
+    """SQL text of :func:`beta_cf` (one parse instead of many calls)."""
+    qab, qap, qam = f"({a} + {b})", f"({a} + 1D)", f"({a} - 1D)"
+    d0 = f"(1D / {_nz_sql(f'(1D - {qab} * {x} / {qap})')})"
+    m, m2 = "CAST(m AS DOUBLE)", "(2D * CAST(m AS DOUBLE))"
+    e1 = f"({m} * ({b} - {m}) * {x} / (({qam} + {m2}) * ({a} + {m2})))"
+    e2 = f"(-({a} + {m}) * ({qab} + {m}) * {x} / (({a} + {m2}) * ({qap} + {m2})))"
+    d1 = f"(1D / {_nz_sql(f'(1D + {e1} * acc.d)')})"
+    c1 = _nz_sql(f"(1D + {e1} / acc.c)")
+    d2 = f"(1D / {_nz_sql(f'(1D + {e2} * {d1})')})"
+    c2 = _nz_sql(f"(1D + {e2} / {c1})")
+    step = f"named_struct('c', {c2}, 'd', {d2}, 'h', acc.h * {d1} * {c1} * {d2} * {c2})"
+    return (f"aggregate(sequence(1, {steps}), named_struct('c', 1D, 'd', {d0}, 'h', {d0}),"
+            f" (acc, m) -> {step}).h")
+
+
 def with_pearson_p_value(df: DataFrame, r: str = "r", n: str = "n",
                          out: str = "p_value") -> DataFrame:
-    """Add ``out`` = :func:`pearson_p_value` computed in stages.
-
-    The same value as the single expression, but each stage materialises its
-    inputs as columns, so the fraction's loop body refers to plain columns
-    instead of repeating the branch expressions (smaller plans, faster
-    analysis and code generation)."""
-    rc, nc = F.col(r), F.col(n)
-    # rows outside the formula's domain get NULL inputs, so no later stage
-    # can divide by zero or take a logarithm of zero for them
-    valid = rc.isNotNull() & (nc >= F.lit(3)) & (F.abs(rc) < F.lit(1.0))
-    d = df.select("*", F.when(valid, (nc - F.lit(2)).cast("double") / F.lit(2.0)).alias("_pa"),
-                  F.when(valid, F.lit(1.0) - rc * rc).alias("_px"))
-    a, b, x = F.col("_pa"), F.lit(0.5), F.col("_px")
-    d = d.select("*", (x < (a + F.lit(1.0)) / (a + b + F.lit(2.0))).alias("_pd"))
-    direct = F.col("_pd")
-    d = d.select("*", F.when(direct, a).otherwise(b).alias("_paa"),
-                 F.when(direct, b).otherwise(a).alias("_pbb"),
-                 F.when(direct, x).otherwise(F.lit(1.0) - x).alias("_pxx"),
-                 (lgamma(a + b) - lgamma(a) - lgamma(b) + a * F.log(x)
-                  + b * F.log(F.lit(1.0) - x)).alias("_plbt"))
-    d = d.select("*", beta_cf(F.col("_paa"), F.col("_pbb"), F.col("_pxx")).alias("_ph"))
-    lbt, h = F.col("_plbt"), F.col("_ph")
-    p = (F.when(x <= F.lit(0.0), F.lit(0.0))
-         .when(x >= F.lit(1.0), F.lit(1.0))
-         .when(direct, F.exp(lbt) * h / a)
-         .otherwise(F.lit(1.0) - F.exp(lbt) * h / b))
-    p = (F.when(rc.isNull() | (nc < F.lit(3)), F.lit(None).cast("double"))
-         .when(F.abs(rc) >= F.lit(1.0), F.lit(0.0))
-         .otherwise(p))
-    return d.withColumn(out, p).drop("_pa", "_px", "_pd", "_paa", "_pbb", "_pxx", "_plbt", "_ph")
+    """Add ``out`` = :func:`pearson_p_value`, built as SQL expression text in
+    a few stages.
+
+    Same formula as the Column version, but each stage materialises its
+    inputs as columns (so the fraction's loop body refers to plain columns)
+    and each stage is parsed once on the JVM instead of being assembled call
+    by call.  Rows outside the formula's domain get NULL inputs, so no stage
+    can divide by zero or take a logarithm of zero for them."""
+    valid = f"({r} IS NOT NULL AND {n} >= 3 AND abs({r}) < 1D)"
+    d = df.selectExpr("*", f"CASE WHEN {valid} THEN CAST({n} - 2 AS DOUBLE) / 2D END AS _pa",
+                      f"CASE WHEN {valid} THEN 1D - {r} * {r} END AS _px")
+    d = d.selectExpr("*", "_px < (_pa + 1D) / (_pa + 0.5D + 2D) AS _pd")
+    d = d.selectExpr(
+        "*",
+        "CASE WHEN _pd THEN _pa ELSE 0.5D END AS _paa",
+        "CASE WHEN _pd THEN 0.5D ELSE _pa END AS _pbb",
+        "CASE WHEN _pd THEN _px ELSE 1D - _px END AS _pxx",
+        f"{_lgamma_sql('(_pa + 0.5D)')} - {_lgamma_sql('_pa')} - {_lgamma_sql('0.5D')}"
+        " + _pa * ln(_px) + 0.5D * ln(1D - _px) AS _plbt")
+    d = d.selectExpr("*", f"{_beta_cf_sql('_paa', '_pbb', '_pxx')} AS _ph")
+    p = ("CASE WHEN _px <= 0D THEN 0D WHEN _px >= 1D THEN 1D"
+         " WHEN _pd THEN exp(_plbt) * _ph / _pa ELSE 1D - exp(_plbt) * _ph / 0.5D END")
+    d = d.selectExpr("*", f"CASE WHEN {r} IS NULL OR {n} < 3 THEN CAST(NULL AS DOUBLE)"
+                          f" WHEN abs({r}) >= 1D THEN 0D ELSE {p} END AS `{out}`")
+    return d.drop("_pa", "_px", "_pd", "_paa", "_pbb", "_pxx", "_plbt", "_ph")
