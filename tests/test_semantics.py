@@ -268,3 +268,14 @@ def test_monthly_energy_weighting(spark, dims):
     plain = reports.monthly_report(r, s, f).first()
     weighted = reports.monthly_report(r, s, f, sample_hours=5 / 60).first()
     assert plain.total_energy_mwh == 144.0 and weighted.total_energy_mwh == 12.0
+
+
+def test_series_comparison_scalar_form_equals_window_form(spark):
+    from voltaic import adapters as A
+    from .conftest import SF_ORACLE
+    d = A.shipments_domain(spark, SF_ORACLE)
+    s = A.orders_series(spark, SF_ORACLE)
+    args = (s, d.readings, d.sensors, d.facilities, "1-URGENT", "EUROPE", "power_output")
+    a = scoring.series_comparison(*args).collect()
+    b = scoring.series_comparison(*args, method="scalar").collect()
+    assert a == b and len(a) > 100
