@@ -279,3 +279,14 @@ def test_series_comparison_scalar_form_equals_window_form(spark):
     a = scoring.series_comparison(*args).collect()
     b = scoring.series_comparison(*args, method="scalar").collect()
     assert a == b and len(a) > 100
+
+
+def test_normalized_monthly_scalar_form_equals_window_form(spark):
+    from voltaic import adapters as A
+    from .conftest import SF_ORACLE
+    d = A.shipments_domain(spark, SF_ORACLE)
+    s = A.orders_series(spark, SF_ORACLE)
+    args = (s, d.readings, d.sensors, d.facilities, "1-URGENT", "EUROPE", "power_output")
+    a = scoring.normalized_monthly(*args).collect()
+    b = scoring.normalized_monthly(*args, method="scalar").collect()
+    assert a == b and len(a) > 50

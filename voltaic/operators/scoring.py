@@ -209,21 +209,31 @@ def corr_expr(x: Column, y: Column, over=None) -> Column:
 
 def normalized_monthly(series: DataFrame, readings: DataFrame, sensors: DataFrame,
                        facilities: DataFrame, metric: str = "wind_production",
-                       facility_type: str = "wind", sensor_type: str = "power_output") -> DataFrame:
+                       facility_type: str = "wind", sensor_type: str = "power_output",
+                       method: str = "window") -> DataFrame:
     """Monthly mean of each series as a % of its own largest monthly mean.
 
     Columns: month, real_normalized_pct, synthetic_normalized_pct (1 dp).
-    The max over months is a window over a per-month aggregate (bounded).
+    The max over months is a window over a per-month aggregate (bounded);
+    ``method="scalar"`` stages the monthly means and reads each maximum back
+    as one aggregate value instead.
     """
-    whole = Window.partitionBy()
     real = (series.filter(F.col("metric") == F.lit(metric))
             .groupBy(bucket("month", "recorded_at").alias("month"))
-            .agg(F.avg(as_double("value")).alias("real_avg"))
-            .withColumn("max_real_avg", F.max("real_avg").over(whole)))
+            .agg(F.avg(as_double("value")).alias("real_avg")))
     syn = (synthetic_power(readings, sensors, facilities, facility_type, sensor_type)
            .groupBy(bucket("month", "recorded_at").alias("month"))
-           .agg(F.avg(as_double("value")).alias("synthetic_avg"))
-           .withColumn("max_synthetic_avg", F.max("synthetic_avg").over(whole)))
+           .agg(F.avg(as_double("value")).alias("synthetic_avg")))
+    if method == "scalar":
+        real, syn = stage(real, "monthly-real"), stage(syn, "monthly-synthetic")
+        mr = real.agg(F.max("real_avg")).first()[0]
+        ms = syn.agg(F.max("synthetic_avg")).first()[0]
+        real = real.withColumn("max_real_avg", F.lit(mr).cast("double"))
+        syn = syn.withColumn("max_synthetic_avg", F.lit(ms).cast("double"))
+    else:
+        whole = Window.partitionBy()
+        real = real.withColumn("max_real_avg", F.max("real_avg").over(whole))
+        syn = syn.withColumn("max_synthetic_avg", F.max("synthetic_avg").over(whole))
     j = real.join(syn, "month")
     return (j.select("month",
                      round_half(safe_div(F.col("real_avg"), F.col("max_real_avg")) * F.lit(100.0), 1)
