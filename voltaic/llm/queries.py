@@ -5,10 +5,11 @@ Each query derives its digest columns from what its operator returns.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, simhash
+from . import decontaminate, packing, pii, simhash, toxicity
 from .common import table
 
 
@@ -19,10 +20,38 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, score, predicted, evidence for every document."""
+    found = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted", "evidence")
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id for every document."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {"op1_decontamination": op1_decontamination, "op8_simhash": op8_simhash}
+def _spans(*columns: str):
+    """Lists of kind:start:end, united by start, then kind as numbered in ``pii.KINDS``."""
+    kinds = F.array(*[F.lit(k) for k in pii.KINDS])
+    parts = F.transform(F.concat(*columns), lambda x: F.struct(
+        F.split(x, ":")[1].cast("long").alias("start"), F.array_position(kinds, F.split(x, ":")[0]).alias("kind"), x.alias("name")))
+    return F.array_join(F.transform(F.array_sort(parts), lambda x: x["name"]), ",")
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, counts by kind, base_sha256 and all spans of every document."""
+    count = lambda k: F.size(F.filter("base", lambda x: x.startswith(f"{k}:"))).cast("long").alias(f"n_{k}")
+    return pii.find(table(spark, sf_dir, "documents")).select(
+        "doc_id", *[count(k) for k in pii.KINDS], F.sha2(F.array_join("base", ","), 256).alias("base_sha256"),
+        _spans("base", "more").alias("spans"))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+QUERIES = {"op1_decontamination": op1_decontamination, "op3_toxicity": op3_toxicity, "op8_simhash": op8_simhash,
+           "op9_pii": op9_pii, "op10_packing": op10_packing}
