@@ -14,6 +14,7 @@
 from __future__ import annotations
 
 import bisect
+import functools
 import unicodedata
 import zlib
 from collections import Counter
@@ -31,8 +32,8 @@ CAPACITY = 4096
 END_ID = 1
 #: Width of a length class as a share of the capacity, and documents of a pattern.
 CLASSES, DEPTH = 64, 4
-#: Word forms that a worker remembers.
-REMEMBERED = 400_000
+#: Word forms that a worker remembers, about 200 MB.
+REMEMBERED = 1_000_000
 
 _PIECE = {"doc_id": "long", "piece": "int", "start": "long", "length": "long", "ids_crc32": "long",
           "part": "int", "nth": "long"}
@@ -76,8 +77,6 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _learn(self, forms: list[bytes]) -> None:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
         for lo in range(0, len(forms), 2_000):
             part = forms[lo:lo + 2_000]
             ids = np.array(self.tokenizer.encode(b" ".join(part).decode(), add_special_tokens=False).ids, "<u4")
@@ -96,11 +95,18 @@ class Encoder:
         if (other and not all(map(self._is_simple, set(other.decode())))) or any(a in text for a in self.added):
             return self._whole(text.decode())
         forms = self.form.findall(text.lower())
-        got = list(map(self.known.get, forms))
-        if None in got:
-            self._learn(list({f for f, g in zip(forms, got) if g is None}))
-            got = [self.known[f] if g is None else g for f, g in zip(forms, got)]
-        return b"".join(got)
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        new = set(forms).difference(self.known)
+        if new:
+            self._learn(list(new))
+        return b"".join(map(self.known.__getitem__, forms))
+
+
+@functools.lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    """One encoder for each Python worker, so what it remembers serves all the worker's tasks."""
+    return Encoder(path)
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
@@ -109,11 +115,11 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
-        encoder, seen, part = Encoder(tokenizer_path), Counter(), TaskContext.get().partitionId()
+        own_encoder, seen, part = encoder(tokenizer_path), Counter(), TaskContext.get().partitionId()
         for b in batches:
             cols: dict[str, list] = {k: [] for k in _PIECE}
             for doc, t in zip(b.column("doc_id").to_pylist(), texts(b)):
-                ids = encoder.ids(t) + end
+                ids = own_encoder.ids(t) + end
                 for k, lo in enumerate(range(0, len(ids), 4 * capacity)):
                     own = ids[lo:lo + 4 * capacity]
                     n = len(own) // 4
@@ -307,7 +313,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACIT
     # A window holds one row for every task that met the length.
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     base = each.select("part", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    ranked = rows.join(base, ["part", "length"]).select(
+    ranked = rows.join(base.hint("merge"), ["part", "length"]).select(
         "doc_id", "piece", "start", "length", "ids_crc32", (F.col("base") + F.col("nth")).alias("rank"))
 
     def run(batches):
