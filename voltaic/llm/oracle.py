@@ -19,4 +19,15 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
        sha256(coalesce(ids, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM doc LEFT JOIN hit USING (rid) LEFT JOIN its USING (rid)""",
+    "op2_chat": r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+e AS (SELECT *, length(text) + length(role) + 26
+             + len(regexp_extract_all(text, '[<\[]\\*(\||/?s>|/?INST\])'))
+             + len(regexp_extract_all(role, '[<\[]\\*(\||/?s>|/?INST\])')) AS n FROM t),
+c AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS said,
+             coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss, sum(n) AS n
+      FROM e GROUP BY conv_id)
+SELECT conv_id, n_turns::BIGINT AS n_turns, sha256(said) AS turns_sha256, length(loss)::BIGINT AS loss_chars,
+       sha256(loss) AS loss_sha256, n::BIGINT AS formatted_chars FROM c""",
 }

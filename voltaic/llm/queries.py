@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, pii, simhash, toxicity
+from . import chat, decontaminate, licenses, packing, pii, quality, secrets, simhash, toxicity, urls
 from .common import table
 
 
@@ -20,12 +20,56 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """conv_id and digests read back from every formatted conversation, and from number -1."""
+    control = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)],
+                                  "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    done = chat.format_conversations(chat.text_parts(rows.unionByName(extra)))
+    back = done.select("conv_id", "formatted", chat.turns_of(F.col("formatted")).alias("turns"),
+                       chat.loss_text(F.col("formatted"), F.col("loss")).alias("loss_text"))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return back.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
+                       F.length("loss_text").cast("long").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"),
+                       F.length("formatted").cast("long").alias("formatted_chars"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, held_out, score, predicted, evidence for every document."""
     found = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return found.select("doc_id", "held_out", "score", "predicted", "evidence")
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score for every document."""
+    return licenses.find(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"), "score")
+
+
+def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, host, path, rule, verdict, score for every page."""
+    return urls.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, the base measures, base_failed, kept for every document."""
+    return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, counts by kind, base_sha256 and all spans of every document."""
+    kinds = F.array(*[F.lit(k) for k in secrets.KINDS])
+    named = lambda col: F.array_join(F.transform(col, lambda x: F.concat_ws(
+        ":", F.get(kinds, x["kind"]), x["start"].cast("string"), x["end"].cast("string"))), ",")
+    count = lambda k: F.size(F.filter("base", lambda x: x["kind"] == k)).cast("long").alias(f"n_{secrets.KINDS[k]}")
+    return secrets.find(table(spark, sf_dir, "documents")).select(
+        "doc_id", count(0), count(1), count(2), F.sha2(named(F.col("base")), 256).alias("base_sha256"),
+        named(F.array_sort(F.concat("base", "more"))).alias("spans"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id for every document."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -53,5 +97,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {"op1_decontamination": op1_decontamination, "op3_toxicity": op3_toxicity, "op8_simhash": op8_simhash,
-           "op9_pii": op9_pii, "op10_packing": op10_packing}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_chat, op3_toxicity, op4_licenses, op5_urls, op6_quality,
+                                   op7_secrets, op8_simhash, op9_pii, op10_packing)}
