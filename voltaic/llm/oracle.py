@@ -25,8 +25,8 @@ WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '')
 e AS (SELECT *, length(text) + length(role) + 26
              + len(regexp_extract_all(text, '[<\[]\\*(\||/?s>|/?INST\])'))
              + len(regexp_extract_all(role, '[<\[]\\*(\||/?s>|/?INST\])')) AS n FROM t),
-c AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS said,
-             coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss, sum(n) AS n
+c AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS said,
+             coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '') AS loss, sum(n) AS n
       FROM e GROUP BY conv_id)
 SELECT conv_id, n_turns::BIGINT AS n_turns, sha256(said) AS turns_sha256, length(loss)::BIGINT AS loss_chars,
        sha256(loss) AS loss_sha256, n::BIGINT AS formatted_chars FROM c""",
