@@ -13,8 +13,10 @@ This is what pandas' interpolate(method="linear", limit=L,
 limit_direction="both") yields: the middle of a long interior gap stays
 NULL, and filled points lie on the full line between the neighbours.
 
-All four windows share one partitioning and ordering, so they need a single
-shuffle and sort.
+Neighbours before and after come from the same running frame (unbounded preceding
+to current row) over ascending and descending positions.  A frame that ends at
+"unbounded following" would be evaluated anew for every row, so a second sort
+is the cheaper way: both passes are linear, on one shuffle.
 """
 
 from __future__ import annotations
@@ -30,11 +32,12 @@ def interpolate_linear(df: DataFrame, value: str, keys: list[str], order: str, l
     d = df.withColumn("_i", F.row_number().over(part))
     v, i = F.col(value), F.col("_i")
     back = part.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    fwd = part.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    fwd = (Window.partitionBy(*keys).orderBy(F.col("_i").desc())
+           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     pv = F.last(v, ignorenulls=True).over(back)
     pi = F.last(F.when(v.isNotNull(), i), ignorenulls=True).over(back)
-    nv = F.first(v, ignorenulls=True).over(fwd)
-    ni = F.first(F.when(v.isNotNull(), i), ignorenulls=True).over(fwd)
+    nv = F.last(v, ignorenulls=True).over(fwd)
+    ni = F.last(F.when(v.isNotNull(), i), ignorenulls=True).over(fwd)
     d = d.select("*", pv.alias("_pv"), pi.alias("_pi"), nv.alias("_nv"), ni.alias("_ni"))
     pv, pi, nv, ni = F.col("_pv"), F.col("_pi"), F.col("_nv"), F.col("_ni")
     lim = F.lit(limit)
@@ -70,12 +73,13 @@ def interpolate_linear_chunked(df: DataFrame, value: str, keys: list[str], ts: s
     i = F.col("_i")
     part = Window.partitionBy(*keys, "_c").orderBy("_i")
     back = part.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    fwd = part.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    fwd = (Window.partitionBy(*keys, "_c").orderBy(F.col("_i").desc())
+           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     d = d.select("*",
                  F.last(v, ignorenulls=True).over(back).alias("_pv"),
                  F.last(F.when(v.isNotNull(), i), ignorenulls=True).over(back).alias("_pi"),
-                 F.first(v, ignorenulls=True).over(fwd).alias("_nv"),
-                 F.first(F.when(v.isNotNull(), i), ignorenulls=True).over(fwd).alias("_ni"))
+                 F.last(v, ignorenulls=True).over(fwd).alias("_nv"),
+                 F.last(F.when(v.isNotNull(), i), ignorenulls=True).over(fwd).alias("_ni"))
     # per chunk: last and first non-NULL (position, value) — structs order by
     # position first.  Aggregated from the windowed frame, which is already
     # partitioned by (series, chunk), so this needs no further shuffle.
@@ -86,8 +90,9 @@ def interpolate_linear_chunked(df: DataFrame, value: str, keys: list[str], ts: s
         *keys, "_c",
         F.last("_last", ignorenulls=True).over(
             cw.rowsBetween(Window.unboundedPreceding, -1)).alias("_prev"),
-        F.first("_first", ignorenulls=True).over(
-            cw.rowsBetween(1, Window.unboundedFollowing)).alias("_next"))
+        F.last("_first", ignorenulls=True).over(
+            Window.partitionBy(*keys).orderBy(F.col("_c").desc())
+            .rowsBetween(Window.unboundedPreceding, -1)).alias("_next"))
     d = d.join(carry, keys + ["_c"], "left")
     pv = F.coalesce(F.col("_pv"), F.col("_prev.v"))
     pi = F.coalesce(F.col("_pi"), F.col("_prev.i"))
