@@ -237,28 +237,28 @@ def test_volume_tolerance_bands(spark):
     assert not quality.volume_check(spark.range(80), 100).first().within_tolerance
 
 
-@pytest.mark.parametrize("fn", ["facility_ranking", "ranking_direct"])
-def test_distributed_ranks_equal_window_ranks(spark, fn):
-    from voltaic import adapters as A
-    from .conftest import SF_ORACLE
-    d = A.shipments_domain(spark, SF_ORACLE)
-    f = getattr(ranking, fn)
-    a = f(d.readings, d.sensors, d.facilities, method="window").collect()
-    b = f(d.readings, d.sensors, d.facilities, method="distributed").collect()
-    assert sorted(map(tuple, a)) == sorted(map(tuple, b))
-
-
-def test_distributed_ranks_with_nulls_and_ties(spark):
-    s = spark.createDataFrame([(i, i, "power_output", "MW") for i in range(1, 8)], S_SCHEMA)
-    f = spark.createDataFrame([(1, "A", "wind", "FI", 100.0), (2, "B", "wind", "FI", 100.0),
-                               (3, "C", "solar", "FI", 100.0), (4, "Z", "solar", "FI", 0.0),
-                               (5, "Y", "wind", "FI", 0.0), (6, "D", "solar", "FI", 50.0),
-                               (7, "E", "wind", "FI", 200.0)], F_SCHEMA)
-    vals = [50.001, 50.004, 49.0, 1.0, 1.0, 25.0, 100.0]
-    r = readings(spark, [(i, i, D(2023, 1, 1), v, False) for i, v in enumerate(vals, 1)])
-    a = ranking.facility_ranking(r, s, f, method="window").collect()
-    b = ranking.facility_ranking(r, s, f, method="distributed").collect()
-    assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+def _window_ranks(df):
+    from pyspark.sql import Window
+    e = F.col("v")
+    desc, asc = e.desc_nulls_first(), e.asc_nulls_last()
+    return df.select("id", F.rank().over(Window.orderBy(desc)).alias("_rank"),
+                     F.rank().over(Window.partitionBy("g").orderBy(desc)).alias("_rank_in_group"),
+                     F.ntile(4).over(Window.orderBy(desc, F.col("id"))).alias("_tile"),
+                     F.percent_rank().over(Window.orderBy(asc)).alias("_pct_rank"))
+
+
+@pytest.mark.parametrize("n,parts", [(1, 3), (7, 4), (500, 6)])
+def test_distributed_ranks_equal_window_ranks(spark, n, parts):
+    """Heavy ties, NULL values and NULL groups."""
+    import random
+
+    from voltaic.operators.rank import distributed_ranks
+    r = random.Random(n)
+    rows = [(k, r.choice([None, 1.0, 1.0, 1.0, 2.5, float(r.randint(0, 40))]), r.choice([None, "a", "b"])) for k in range(n)]
+    df = spark.createDataFrame(rows, "id long, v double, g string").repartition(3)
+    got = distributed_ranks(df, "v", "id", "g", 4, parts)
+    cols = ["id", "_rank", "_rank_in_group", "_tile", "_pct_rank"]
+    assert sorted(tuple(x[c] for c in cols) for x in got.collect()) == sorted(tuple(x[c] for c in cols) for x in _window_ranks(df).collect())
 
 
 def test_monthly_energy_weighting(spark, dims):

@@ -1,17 +1,18 @@
 """Whole-set ranking without a single-partition window.
 
 RANK / NTILE / PERCENT_RANK over an entire frame are normally windows with
-no PARTITION BY, so every row goes to one task.  That is fine for a bounded
-frame (one row per facility, checked by the caller).  For frames without such
-a bound this module computes the same numbers distributed:
+no PARTITION BY, so every row goes to one task.  Here the same numbers are
+computed distributed:
 
-1. range-partition the rows on the ranking value (rows with equal value
-   always land in the same partition, so ties never straddle partitions)
-   and stage the result with its partition id;
-2. count rows per (partition, group) — a small table, one row per
-   partition and group — and turn it into start offsets;
-3. rank / row_number inside each partition with a window partitioned by the
-   partition id, then add the offset.
+1. range-partition the rows on (value, tie breaker) and stage them with their
+   partition id; rows of one value may spread over many partitions, so a hot
+   value (or many NULLs) is no single task;
+2. count rows per (partition, group) and sum the counts of the partitions
+   before, which gives start offsets;
+3. number the rows inside each partition and add the offset: the row number
+   over the whole set, and within each group;
+4. a value's RANK is its smallest row number: one aggregate per value,
+   combined before the shuffle and joined back NULL-safely.
 
 Ordering: value DESC NULLS FIRST (PostgreSQL's DESC), ties broken by
 ``tie_breaker`` for NTILE; PERCENT_RANK uses value ASC NULLS LAST.
@@ -25,58 +26,37 @@ from pyspark.sql import functions as F
 from .stage import stage
 
 
-def _offsets(counts: list, keys: list[str]) -> dict:
-    """Start offset of every (partition, group...) from per-partition counts,
-    accumulated in partition order within each group."""
-    run: dict = {}
-    out: dict = {}
-    for r in sorted(counts, key=lambda r: r["_pid"]):
-        g = tuple(r[k] for k in keys)
-        out[(r["_pid"], *g)] = run.get(g, 0)
-        run[g] = run.get(g, 0) + r["n"]
-    return out
-
-
-def _lookup(offsets: dict, cols: list[str]):
-    """CASE-free lookup of an offset by (partition, group) via a literal map."""
-    if not offsets:
-        return F.lit(0).cast("bigint")
-    key = F.concat_ws("\u0001", *[F.col(c).cast("string") for c in cols])
-    pairs = []
-    for k, v in offsets.items():
-        pairs += [F.lit("\u0001".join("" if x is None else str(x) for x in k)), F.lit(v)]
-    return F.coalesce(F.create_map(*pairs)[key], F.lit(0)).cast("bigint")
-
-
 def distributed_ranks(df: DataFrame, value: str, tie_breaker: str, group: str,
                       tiles: int = 4, partitions: int | None = None) -> DataFrame:
     """Adds ``_rank`` (global RANK, value DESC NULLS FIRST), ``_rank_in_group``
-    (RANK within ``group``), ``_tile`` (NTILE(``tiles``) over value DESC NULLS
-    FIRST, ``tie_breaker``) and ``_pct_rank`` (PERCENT_RANK over value ASC
-    NULLS LAST)."""
-    v = F.col(value)
-    order = v.desc_nulls_first()
-    n_parts = partitions or df.sparkSession.sparkContext.defaultParallelism
-    ranged = df.repartitionByRange(n_parts, order)
-    staged = stage(ranged.withColumn("_pid", F.spark_partition_id()), "rank-ranged")
-    counts = (staged.groupBy("_pid", group)
-              .agg(F.count(F.lit(1)).alias("n"),
-                   F.count_if(v.isNull()).alias("nulls")).collect())
-    n_total = sum(r["n"] for r in counts)
-    n_null = sum(r["nulls"] for r in counts)
-    n_valid = n_total - n_null
-    glob = _offsets([{"_pid": r["_pid"], "n": r["n"]} for r in _merge(counts)], [])
-    in_group = _offsets(counts, [group])
-    w = Window.partitionBy("_pid").orderBy(order)
-    wg = Window.partitionBy("_pid", group).orderBy(order)
-    wt = Window.partitionBy("_pid").orderBy(order, F.col(tie_breaker))
-    wv = Window.partitionBy("_pid", value)
-    ranked = staged.select(
-        "*",
-        (F.rank().over(w) + _lookup(glob, ["_pid"])).alias("_rank"),
-        (F.rank().over(wg) + _lookup(in_group, ["_pid", group])).alias("_rank_in_group"),
-        (F.row_number().over(wt) + _lookup(glob, ["_pid"])).alias("_rn"),
-        F.count(F.lit(1)).over(wv).alias("_ties"))
+    (RANK within ``group``; NULL is a group of its own), ``_tile``
+    (NTILE(``tiles``) over value DESC NULLS FIRST, ``tie_breaker``) and
+    ``_pct_rank`` (PERCENT_RANK over value ASC NULLS LAST)."""
+    order = [F.col(value).desc_nulls_first(), F.col(tie_breaker).asc_nulls_first()]
+    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    rows = stage(ranged.withColumn("_pid", F.spark_partition_id()), "rank-ranged")
+    counts = stage(rows.groupBy("_pid", F.col(group).alias("_g")).agg(F.count(F.lit(1)).alias("_n")), "rank-counts")
+    totals = rows.agg(F.count(F.lit(1)).alias("n"), F.count(F.col(value)).alias("valid")).first()
+    n_total, n_valid = totals["n"], totals["valid"]
+    # one row per partition, and per (partition, group)
+    before = (Window.orderBy("_pid"), Window.partitionBy("_g").orderBy("_pid"))
+    upto = [w.rowsBetween(Window.unboundedPreceding, -1) for w in before]
+    per_part = counts.groupBy("_pid").agg(F.sum("_n").alias("_n"))
+    start = per_part.select("_pid", F.coalesce(F.sum("_n").over(upto[0]), F.lit(0)).alias("_at"))
+    start_g = counts.select("_pid", "_g", F.coalesce(F.sum("_n").over(upto[1]), F.lit(0)).alias("_at_g"))
+    numbered = (rows.join(start, "_pid")
+                .join(start_g.withColumnRenamed("_pid", "_p"),
+                      (F.col("_pid") == F.col("_p")) & F.col(group).eqNullSafe(F.col("_g")))
+                .drop("_p", "_g")
+                .withColumn("_rn", F.col("_at") + F.row_number().over(Window.partitionBy("_pid").orderBy(*order)))
+                .withColumn("_rn_g", F.col("_at_g") + F.row_number().over(Window.partitionBy("_pid", group).orderBy(*order)))
+                .drop("_pid", "_at", "_at_g"))
+    ties = numbered.groupBy(F.col(value).alias("_v"), F.col(group).alias("_g")).agg(
+        F.min("_rn").alias("_first"), F.min("_rn_g").alias("_rank_in_group"), F.count(F.lit(1)).alias("_n"))
+    whole = ties.groupBy("_v").agg(F.min("_first").alias("_rank"), F.sum("_n").alias("_ties"))
+    ranked = (numbered.join(whole, F.col(value).eqNullSafe(F.col("_v"))).drop("_v")
+              .join(ties.select("_v", "_g", "_rank_in_group"),
+                    F.col(value).eqNullSafe(F.col("_v")) & F.col(group).eqNullSafe(F.col("_g"))).drop("_v", "_g"))
     # NTILE: the first (n mod k) tiles hold one row more
     q, r = divmod(n_total, tiles) if tiles else (0, 0)
     rn = F.col("_rn")
@@ -84,19 +64,11 @@ def distributed_ranks(df: DataFrame, value: str, tie_breaker: str, group: str,
     tile = (F.when(rn <= big, (rn - 1) / F.lit(max(q + 1, 1)) + 1)
             .otherwise(F.lit(r) + (rn - 1 - big) / F.lit(max(q, 1)) + 1))
     # rank in ASC NULLS LAST order: 1 + rows with a smaller value
-    greater = F.col("_rank") - 1 - F.lit(n_null)
-    asc_rank = F.when(v.isNull(), F.lit(n_valid + 1)).otherwise(
+    greater = F.col("_rank") - 1 - F.lit(n_total - n_valid)
+    asc_rank = F.when(F.col(value).isNull(), F.lit(n_valid + 1)).otherwise(
         F.lit(n_valid) - greater - F.col("_ties") + 1)
     pct = (F.lit(0.0) if n_total <= 1
            else (asc_rank - 1).cast("double") / F.lit(float(n_total - 1)))
     return (ranked.withColumn("_tile", F.floor(tile).cast("bigint"))
             .withColumn("_pct_rank", pct)
-            .drop("_pid", "_rn", "_ties"))
-
-
-def _merge(counts: list) -> list:
-    """Per-partition totals from per-(partition, group) counts."""
-    tot: dict = {}
-    for r in counts:
-        tot[r["_pid"]] = tot.get(r["_pid"], 0) + r["n"]
-    return [{"_pid": p, "n": n} for p, n in tot.items()]
+            .drop("_rn", "_rn_g", "_ties"))

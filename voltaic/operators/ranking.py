@@ -2,11 +2,9 @@
 
 Aggregations run on the narrow key (facility_id, month) and facility
 attributes are joined back afterwards, so the shuffle carries ids, not names.
-The ranking windows run over one row per facility.  Up to
-``RANK_WINDOW_MAX_ROWS`` facilities (counted on the dimension, at most one row
-past the bound) the whole-set windows (global RANK, NTILE, PERCENT_RANK) run
-in one task; beyond it the same ranks are computed distributed by range
-partitioning with per-partition offsets (:mod:`voltaic.operators.rank`).
+Whole-set ranks (global RANK, NTILE, PERCENT_RANK) are computed by range
+partitioning with per-partition offsets (:mod:`voltaic.operators.rank`), at any
+number of facilities.
 """
 
 from __future__ import annotations
@@ -21,18 +19,6 @@ from .rank import distributed_ranks
 
 FACILITY_COLS = ["facility_id", "facility_name", "facility_type", "country", "capacity_mw"]
 
-# Up to this many facilities the whole-set ranking windows run in one task;
-# beyond it (checked on the facility dimension, which bounds the ranked
-# frame) the ranks are computed distributed (see operators/rank.py).
-RANK_WINDOW_MAX_ROWS = 1_000_000
-
-
-def _use_windows(facilities: DataFrame, method: str) -> bool:
-    if method in ("window", "distributed"):
-        return method == "window"
-    ids = facilities.select("facility_id")
-    return ids.limit(RANK_WINDOW_MAX_ROWS + 1).count() <= RANK_WINDOW_MAX_ROWS
-
 
 def _power_readings(readings: DataFrame, sensors: DataFrame, facilities: DataFrame,
                     sensor_type: str, clean: bool) -> DataFrame:
@@ -44,7 +30,7 @@ def _power_readings(readings: DataFrame, sensors: DataFrame, facilities: DataFra
 
 
 def facility_ranking(readings: DataFrame, sensors: DataFrame, facilities: DataFrame,
-                     sensor_type: str = "power_output", method: str = "auto") -> DataFrame:
+                     sensor_type: str = "power_output") -> DataFrame:
     """Efficiency = mean over months of (monthly mean output / capacity * 100).
 
     Ranks are taken on the value rounded to 2 dp (ties share a rank).  NULL
@@ -61,34 +47,19 @@ def facility_ranking(readings: DataFrame, sensors: DataFrame, facilities: DataFr
            .groupBy(*FACILITY_COLS)
            .agg(round_half(F.avg(safe_div(F.col("avg_output_mw"), as_double("capacity_mw")) * F.lit(100.0)), 2)
                 .alias("avg_efficiency_pct")))
-    e = F.col("avg_efficiency_pct")
     cols = ["facility_name", "facility_type", "country",
             as_double("capacity_mw").alias("capacity_mw"), "avg_efficiency_pct"]
-    if not _use_windows(facilities, method):
-        r = distributed_ranks(eff, "avg_efficiency_pct", "facility_id", "facility_type", 4)
-        return (r.select(*cols, F.col("_rank").cast("bigint").alias("overall_rank"),
-                         F.col("_rank_in_group").cast("bigint").alias("rank_within_type"),
-                         F.col("_tile").cast("bigint").alias("performance_quartile"),
-                         round_half(F.col("_pct_rank") * F.lit(100.0), 1).alias("percentile"),
-                         "facility_id")
-                .orderBy("overall_rank", "facility_id").drop("facility_id"))
-    # One row per facility (bounded, checked above): global windows are cheap.
-    w_all = Window.orderBy(e.desc_nulls_first())
-    w_type = Window.partitionBy("facility_type").orderBy(e.desc_nulls_first())
-    w_tile = Window.orderBy(e.desc_nulls_first(), F.col("facility_id"))
-    w_pct = Window.orderBy(e.asc_nulls_last())
-    return (eff.select(
-        *cols,
-        F.rank().over(w_all).cast("bigint").alias("overall_rank"),
-        F.rank().over(w_type).cast("bigint").alias("rank_within_type"),
-        F.ntile(4).over(w_tile).cast("bigint").alias("performance_quartile"),
-        round_half(F.percent_rank().over(w_pct) * F.lit(100.0), 1).alias("percentile"),
-        "facility_id")
-        .orderBy("overall_rank", "facility_id").drop("facility_id"))
+    r = distributed_ranks(eff, "avg_efficiency_pct", "facility_id", "facility_type", 4)
+    return (r.select(*cols, F.col("_rank").cast("bigint").alias("overall_rank"),
+                     F.col("_rank_in_group").cast("bigint").alias("rank_within_type"),
+                     F.col("_tile").cast("bigint").alias("performance_quartile"),
+                     round_half(F.col("_pct_rank") * F.lit(100.0), 1).alias("percentile"),
+                     "facility_id")
+            .orderBy("overall_rank", "facility_id").drop("facility_id"))
 
 
 def ranking_direct(readings: DataFrame, sensors: DataFrame, facilities: DataFrame,
-                   sensor_type: str = "power_output", method: str = "auto") -> DataFrame:
+                   sensor_type: str = "power_output") -> DataFrame:
     """Mean over all clean readings / capacity, ranked on the unrounded ratio.
 
     Columns: facility_name, facility_type, country, capacity_mw (2 dp),
@@ -102,12 +73,8 @@ def ranking_direct(readings: DataFrame, sensors: DataFrame, facilities: DataFram
             round_half("capacity_mw", 2).alias("capacity_mw"),
             round_half(F.col("_ratio") * F.lit(100.0), 2).alias("avg_efficiency_pct")]
     j = j.withColumn("_ratio", ratio)
-    if not _use_windows(facilities, method):
-        r = distributed_ranks(j, "_ratio", "facility_id", "facility_type", 4)
-        rank = F.col("_rank")
-    else:
-        r, rank = j, F.rank().over(Window.orderBy(F.col("_ratio").desc_nulls_first()))
-    return (r.select(*cols, rank.cast("bigint").alias("overall_rank"), "facility_id")
+    r = distributed_ranks(j, "_ratio", "facility_id", "facility_type", 4)
+    return (r.select(*cols, F.col("_rank").cast("bigint").alias("overall_rank"), "facility_id")
             .orderBy("overall_rank", "facility_id").drop("facility_id"))
 
 
