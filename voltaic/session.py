@@ -40,9 +40,12 @@ def build_session(master: str = "local[*]", app: str = "voltaic",
     return spark
 
 
-def recommended_conf(input_bytes: int, total_cores: int,
+def recommended_conf(shuffle_bytes: int, total_cores: int,
                      target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
-    """Partition sizing for a cluster run over ``input_bytes`` of Parquet.
+    """Partition sizing for a cluster run whose largest shuffle moves ``shuffle_bytes``.
+
+    Reports shuffle partial aggregates, not their input, so this is far below the table size;
+    a full-table rewrite is the exception.
 
     * scan splits of ``target_partition_bytes`` (files.maxPartitionBytes);
     * an initial shuffle partition count large enough that no shuffle
@@ -50,11 +53,8 @@ def recommended_conf(input_bytes: int, total_cores: int,
       small ones back, and splits skewed ones in joins), rounded up to a
       multiple of the core count so waves are full;
     * AQE's advisory size set to the same target.
-    At 100 TB with 8,000 cores this gives ~400k initial partitions, which AQE
-    coalesces per stage to what the data after filters/partial aggregation
-    needs.
     """
-    n = max(total_cores, -(-int(input_bytes) // target_partition_bytes))
+    n = max(total_cores, -(-int(shuffle_bytes) // target_partition_bytes))
     n = -(-n // total_cores) * total_cores
     return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
@@ -77,20 +77,19 @@ def ensure_defaults(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and staged writes.
 
-    Read ``spark.checkpoint.dir`` from the session (the cluster names a
-    shared location there).  Only when it is unset — local tests — a fresh
-    scratch folder is created and registered.
+    ``spark.checkpoint.dir`` of the session, else a checkpoint folder that was already set on
+    the context.  Without either, a scratch folder is made for a local master only: on a
+    cluster the executors could not see it, so that raises.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="voltaic-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    try:  # RDD checkpoint folder too (not available on Spark Connect)
-        sc = spark.sparkContext
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(d)
-    except Exception:  # noqa: BLE001
-        pass
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d
 
 
