@@ -57,7 +57,35 @@ def test_cli_load_check_report_migrate(spark, tmp_dir):
     names = sorted(d.rsplit("_", 2)[0] for d in os.listdir(out))
     assert names == ["facility_ranking", "monthly_report", "rolling_24h", "top3_per_sensor",
                      "zscore_anomalies"]
-    assert cli.main(["migrate", "--src", f"{tables}/readings", "--dst", f"{tmp_dir}/moved"]) == 0
+    assert cli.main(["migrate", "--src", f"{tables}/readings", "--dst", f"{tmp_dir}/moved", "--pointer", f"{tmp_dir}/current"]) == 0
+    from voltaic.operators.layout import current_copy, point_to
+    assert current_copy(spark, f"{tmp_dir}/current") == f"{tmp_dir}/moved"
+    point_to(spark, f"{tmp_dir}/current", "elsewhere")
+    assert current_copy(spark, f"{tmp_dir}/current") == "elsewhere" and spark.read.parquet(f"{tables}/readings").count() > 0
+
+
+def test_cli_load_refuses_and_keeps_bad_rows(spark, tmp_dir):
+    """Every bad line is stored with its reason, counted, and fails the exit status; a replay
+    adds nothing."""
+    raw, tables = f"{tmp_dir}/raw", f"{tmp_dir}/tables"
+    _write_raw(raw)
+    with open(f"{raw}/facilities.csv", "a") as fh:
+        fh.write("7,Odd,banana,Finland,1.00,2010\n8,Big,wind,Finland,12345678.00,2010\n9,Cut,wind\n")
+    with open(f"{raw}/sensors.csv", "a") as fh:
+        fh.write("50,99,power_output,MW\n")
+    with open(f"{raw}/readings.csv", "a") as fh:
+        fh.write("9001,777,2023-12-29 00:00:00,1.0,False\n9002,1,not a time,1.0,False\n9003,1,,1.0,False\n"
+                 "9004,1,2023-12-29 00:00:00,abc,False\nx,1,2023-12-29 00:00:00,1.0,False\n9006,1,1999-01-01 00:00:00,1.0,False\n")
+    args = ["load", "--raw", raw, "--tables", tables, "--days-expected", "3", "--time-from", "2023-01-01", "--time-to", "2025-01-01"]
+    assert cli.main(args) == 1
+    why = lambda t: sorted(r["_reject"] for r in spark.read.parquet(f"{tables}/rejects/{t}").collect())
+    assert why("facilities") == ["bad capacity_mw", "malformed line", "not in domain facility_type"]
+    assert why("sensors") == ["no such facility_id"]
+    assert why("readings") == ["bad reading_id", "bad recorded_at", "bad value", "missing recorded_at", "no such sensor_id", "outside the range recorded_at"]
+    n = spark.read.parquet(f"{tables}/readings").count()
+    assert n == 3 * 24 * 3
+    assert cli.main([*args, "--no-watermark"]) == 1
+    assert spark.read.parquet(f"{tables}/readings").count() == n
 
 
 def test_cli_grid_payloads(spark, tmp_dir):
@@ -71,7 +99,7 @@ def test_cli_grid_payloads(spark, tmp_dir):
                  "value": (k % 7) - 1.0} for k in range(4 * 24 * 31) if not (40 <= k < 60)]
         with open(f"{d}/jan.json", "w") as fh:
             json.dump({"data": recs}, fh)
-    assert cli.main(["grid", "--payloads", pay, "--tables", tables,
+    assert cli.main(["grid", "--payloads", pay, "--tables", tables, "--datasets", "124_consumption,75_wind_production",
                      "--start", "2023-01-01", "--stop", "2023-02-01"]) == 0
     g = spark.read.parquet(f"{tables}/grid_data")
     assert g.count() == 2 * 24 * 31
@@ -81,5 +109,9 @@ def test_cli_grid_payloads(spark, tmp_dir):
     import pytest
     from voltaic.sources.payload import IncompletePayload
     with pytest.raises(IncompletePayload):
-        cli.main(["grid", "--payloads", pay, "--tables", tables,
+        cli.main(["grid", "--payloads", pay, "--tables", tables, "--datasets", "124_consumption,75_wind_production",
                   "--start", "2023-01-01", "--stop", "2023-03-01"])
+    # so does a declared dataset without any payload
+    with pytest.raises(IncompletePayload, match="99"):
+        cli.main(["grid", "--payloads", pay, "--tables", tables, "--datasets", "124_consumption,99_solar",
+                  "--start", "2023-01-01", "--stop", "2023-02-01"])

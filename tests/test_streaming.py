@@ -33,7 +33,7 @@ def test_incremental_stream_is_idempotent(spark, tmp_dir):
     assert spark.read.parquet(target).count() == 50
     # a new file that repeats 10 old rows and adds 20 new ones
     _write(f"{src}/part2.csv", 40, 30)
-    q = incremental_load(spark, src, SCHEMA, target, ["reading_id", "recorded_at"], "reading_id",
+    q = incremental_load(spark, src, SCHEMA, target, ["reading_id", "recorded_at"], order_within_file="reading_id",
                          checkpoint=f"{tmp_dir}/ck", results=results)
     q.awaitTermination(120)
     assert spark.read.parquet(target).count() == 70

@@ -5,11 +5,12 @@
     python -m voltaic.cli verify  --tables DIR [--days-expected N] [--rows-expected N]
     python -m voltaic.cli report  --tables DIR --out DIR
     python -m voltaic.cli migrate --src DIR --dst DIR
-    python -m voltaic.cli grid    --payloads DIR --tables DIR [--start ... --stop ...]
+    python -m voltaic.cli grid    --payloads DIR --tables DIR --datasets ID_METRIC,... [--start ... --stop ...]
 
 Tables live under ``--tables``: facilities/, sensors/, readings/ (month
-layout) and grid_data/ (month layout), all Parquet.  Exit status is 1 when
-the quality gate fails, as the reference's loader and checker do.
+layout) and grid_data/ (month layout), all Parquet; rows that a load refuses
+go to rejects/<table>/ with their reason.  Exit status is 1 when the quality
+gate fails or a load refused any row.
 """
 
 from __future__ import annotations
@@ -22,13 +23,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators import layout, load, quality, ranking, reports, scoring, timeseries
-from .operators.stage import stage
+from .operators.stage import Scratch
 from .plans.runner import run_reports
-from .schemas import FACILITIES, READINGS, SENSORS
+from .schemas import FACILITIES, READINGS, RULES, SENSORS
 from .session import build_session, ensure_defaults
-from .sources.csv import input_order, read_csv_typed, split_corrupt
+from .sources.csv import read_csv_checked
 from .sources.defaults import with_defaults
-from .sources.payload import assert_complete, missing_slices, payload_rows, read_payload
+from .sources.payload import assert_complete, declared_series, missing_slices, payload_rows, read_payload
 
 KEYS = {"facilities": ["facility_id"], "sensors": ["sensor_id"],
         "readings": ["reading_id", "recorded_at"], "grid_data": ["dataset_id", "recorded_at"]}
@@ -43,37 +44,41 @@ def _tables(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     return out
 
 
-def _insert_dimension(spark: SparkSession, df: DataFrame, path: str, keys: list[str]) -> int:
-    """Insert-if-absent for a small dimension file (first row of a key wins)."""
-    batch = df.withColumn("_ord", input_order())
-    target = spark.read.parquet(path) if load.path_exists(spark, path) else None
-    if target is None:
-        rows = load.first_per_key(batch, keys, "_ord").drop("_ord")
-    else:
-        rows = load.insert_if_absent(batch, target, keys, "_ord")
-    rows = stage(rows, "dim-insert")
-    n = rows.count()
-    if n:
-        rows.write.mode("append").parquet(path)
-    return n
+def _references(spark: SparkSession, base: str, table: str) -> dict[str, DataFrame]:
+    """Frames of the tables that a table's foreign keys point to."""
+    out = {}
+    for col, (other, key) in RULES[table].references.items():
+        path = f"{base}/{other}"
+        out[col] = (spark.read.parquet(path).select(key) if load.path_exists(spark, path)
+                    else spark.createDataFrame([], f"{key} int"))
+    return out
+
+
+def _load_table(spark: SparkSession, batch: DataFrame, base: str, table: str, **how) -> dict:
+    """Load a checked CSV scan: declared defaults and rules apply, rejects are stored."""
+    filled = with_defaults(batch, RULES[table].defaults) if RULES[table].defaults else batch
+    counts = load.load(spark, filled, f"{base}/{table}", KEYS[table], "_ord", rules=RULES[table],
+                       references=_references(spark, base, table), rejects_path=f"{base}/rejects/{table}", **how)
+    print(json.dumps({"table": table} | counts))
+    return counts
 
 
 def cmd_load(spark: SparkSession, a) -> int:
     base = a.tables.rstrip("/")
+    refused = 0
     if not a.incremental:
         for name, schema in (("facilities", FACILITIES), ("sensors", SENSORS)):
-            good, bad = split_corrupt(read_csv_typed(spark, f"{a.raw}/{name}.csv", schema))
-            n = _insert_dimension(spark, good, f"{base}/{name}", KEYS[name])
-            print(f"{name}: {n} rows inserted")
+            refused += _load_table(spark, read_csv_checked(spark, f"{a.raw}/{name}.csv", schema), base, name,
+                                   ts=None, use_watermark=False, partition_by=None)["rejected"]
     fname = "readings_incremental.csv" if a.incremental else "readings.csv"
-    raw = read_csv_typed(spark, f"{a.raw}/{fname}", READINGS)
-    good, _bad = split_corrupt(raw)
-    batch = with_defaults(good, {"is_anomaly": False}).withColumn("_ord", input_order())
-    counts = load.load(spark, batch, f"{base}/readings", KEYS["readings"], "_ord",
-                       use_watermark=not a.no_watermark,
-                       watermark_by="sensor_id" if a.per_sensor_watermark else None)
-    print(json.dumps({k: (str(v) if k == "watermark" else v) for k, v in counts.items()}))
-    return cmd_check(spark, a)
+    bounds = (a.time_from, a.time_to) if a.time_from and a.time_to else None
+    refused += _load_table(spark, read_csv_checked(spark, f"{a.raw}/{fname}", READINGS), base, "readings",
+                           use_watermark=not a.no_watermark, bounds=bounds,
+                           watermark_by="sensor_id" if a.per_sensor_watermark else None)["rejected"]
+    status = cmd_check(spark, a)
+    if refused:
+        print(f"{refused} rows refused, see {base}/rejects")
+    return max(status, int(refused > 0))
 
 
 def cmd_check(spark: SparkSession, a) -> int:
@@ -144,27 +149,32 @@ def cmd_report(spark: SparkSession, a) -> int:
 
 
 def cmd_migrate(spark: SparkSession, a) -> int:
-    res = layout.verified_rewrite(spark, a.src, a.dst, view="readings")
+    res = layout.verified_rewrite(spark, a.src, a.dst, pointer=a.pointer)
     print(json.dumps(res))
     return 0 if res["ok"] else 1
 
 
 def cmd_grid(spark: SparkSession, a) -> int:
-    """Payload files per dataset (``<payloads>/<dataset_id>_<metric>/*.json``)
-    -> completeness gate -> hourly clean series -> upsert into grid_data."""
-    import os
-    parts = []
-    for d in sorted(os.listdir(a.payloads)):
-        ds, metric = d.split("_", 1)
-        parts.append(payload_rows(read_payload(spark, f"{a.payloads}/{d}"), int(ds), metric))
-    rows = parts[0]
-    for p in parts[1:]:
-        rows = rows.unionByName(p)
+    """Payload files of the declared datasets (``<payloads>/<dataset_id>_<metric>/*.json``)
+    -> completeness gate per (dataset, month) -> hourly clean series -> upsert into grid_data."""
+    declared = [d.split("_", 1) for d in a.datasets.split(",")]
+    rows = None
+    for ds, metric in declared:
+        path = f"{a.payloads.rstrip('/')}/{ds}_{metric}"
+        if load.path_exists(spark, path):  # a folder that is missing shows up in the gate
+            own = payload_rows(read_payload(spark, path), int(ds), metric)
+            rows = own if rows is None else rows.unionByName(own)
+    if rows is None:
+        raise FileNotFoundError(f"no payloads of {a.datasets} under {a.payloads}")
     rows = rows.withColumn("recorded_at", F.col("recorded_at").cast("timestamp_ntz"))
-    assert_complete(missing_slices(rows, rows.select("metric"), a.start, a.stop))
-    hourly = timeseries.normalize_hourly(rows).withColumn("_ord", F.lit(0))
-    n = load.upsert_table(spark, hourly, f"{a.tables.rstrip('/')}/grid_data", KEYS["grid_data"],
-                          ["value", "metric", "source"], "_ord")
+    with Scratch(spark) as scratch:
+        rows = scratch.put(rows, "payload-rows")
+        expected = declared_series(spark, [int(ds) for ds, _ in declared], "dataset_id")
+        assert_complete(missing_slices(rows, expected, a.start, a.stop, key="dataset_id"), key="dataset_id")
+        # the grid has one row per key, so any order is the input order
+        hourly = timeseries.normalize_hourly(rows).withColumn("_ord", F.col("recorded_at"))
+        n = load.upsert_table(spark, hourly, f"{a.tables.rstrip('/')}/grid_data", KEYS["grid_data"],
+                              ["value", "metric", "source"], "_ord")
     print(f"grid_data: {n} keys upserted")
     return 0
 
@@ -179,6 +189,8 @@ def main(argv: list[str] | None = None) -> int:
     lp.add_argument("--no-watermark", action="store_true")
     lp.add_argument("--per-sensor-watermark", action="store_true")
     lp.add_argument("--days-expected", type=int, default=365)
+    lp.add_argument("--time-from", help="refuse readings before this time")
+    lp.add_argument("--time-to", help="refuse readings from this time on")
     cp = sub.add_parser("check")
     cp.add_argument("--tables", required=True)
     cp.add_argument("--days-expected", type=int, default=365)
@@ -192,9 +204,11 @@ def main(argv: list[str] | None = None) -> int:
     mp = sub.add_parser("migrate")
     mp.add_argument("--src", required=True)
     mp.add_argument("--dst", required=True)
+    mp.add_argument("--pointer", help="file that names the table's current copy")
     gp = sub.add_parser("grid")
     gp.add_argument("--payloads", required=True)
     gp.add_argument("--tables", required=True)
+    gp.add_argument("--datasets", required=True, help="expected datasets, as 124_consumption,75_wind_production")
     gp.add_argument("--start", default="2023-01-01")
     gp.add_argument("--stop", default="2024-01-01")
     a = p.parse_args(argv)

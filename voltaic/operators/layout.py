@@ -11,11 +11,14 @@ everything but the wanted sensor's rows (PushedFilters).
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .stage import Scratch
+
 MONTH = "month"
 
 
@@ -134,23 +137,44 @@ def compare_fingerprints(a: DataFrame, b: DataFrame) -> DataFrame:
                       & F.col("h_old").eqNullSafe(F.col("h_new"))))
 
 
-def verified_rewrite(spark: SparkSession, src_path: str, dst_path: str, view: str | None = None,
+def verified_rewrite(spark: SparkSession, src_path: str, dst_path: str, pointer: str | None = None,
                      ts: str = "recorded_at", sort_by: Sequence[str] = ("sensor_id",)) -> dict:
     """Copy ``src_path`` into the month layout at ``dst_path``; switch to the
     copy only when per-month counts and content hashes agree.
 
-    The source is kept.  When ``view`` is given it is (re)pointed at the
-    accepted copy.  Returns {ok, old_rows, new_rows, mismatched_months}.
+    Old and new are scanned once each: both fingerprints are staged.  The source is kept.
+    ``pointer`` names a small file that says which copy is current (see :func:`current_copy`);
+    it is replaced in one rename when the copy is accepted.
+    Returns {ok, old_rows, new_rows, mismatched_months}.
     """
     src = spark.read.parquet(src_path)
     write_layout(src, dst_path, ts, sort_by)
-    dst = spark.read.parquet(dst_path)
-    fo, fn = fingerprint(src, ts), fingerprint(dst, ts)
-    bad = compare_fingerprints(fo, fn).select("month").collect()
-    old_rows = fo.agg(F.sum("n_rows")).first()[0] or 0
-    new_rows = fn.agg(F.sum("n_rows")).first()[0] or 0
+    with Scratch(spark) as scratch:
+        fo = scratch.put(fingerprint(src, ts), "fingerprint-old")
+        fn = scratch.put(fingerprint(spark.read.parquet(dst_path), ts), "fingerprint-new")
+        bad = [r["month"] for r in compare_fingerprints(fo, fn).select("month").collect()]  # a row per month at most
+        old_rows, new_rows = (f.agg(F.sum("n_rows")).first()[0] or 0 for f in (fo, fn))
     ok = not bad and old_rows == new_rows
-    if ok and view:
-        spark.read.parquet(dst_path).createOrReplaceTempView(view)
-    return {"ok": ok, "old_rows": int(old_rows), "new_rows": int(new_rows),
-            "mismatched_months": [r[0] for r in bad]}
+    if ok and pointer:
+        point_to(spark, pointer, dst_path)
+    return {"ok": ok, "old_rows": int(old_rows), "new_rows": int(new_rows), "mismatched_months": bad}
+
+
+def point_to(spark: SparkSession, pointer: str, path: str) -> None:
+    """Make ``path`` the current copy: written beside the pointer, then renamed over it."""
+    sc = spark.sparkContext
+    hadoop = sc._jvm.org.apache.hadoop.fs
+    conf = sc._jsc.hadoopConfiguration()
+    target, fresh = hadoop.Path(pointer), hadoop.Path(f"{pointer}.{uuid.uuid4().hex}")
+    files = hadoop.FileContext.getFileContext(target.getFileSystem(conf).getUri(), conf)
+    out = fresh.getFileSystem(conf).create(fresh)
+    out.write(bytearray(path.encode()))
+    out.close()
+    rename = sc._gateway.new_array(hadoop.Options.Rename, 1)
+    rename[0] = hadoop.Options.Rename.OVERWRITE
+    files.rename(fresh, target, rename)
+
+
+def current_copy(spark: SparkSession, pointer: str) -> str:
+    """The path that a pointer names."""
+    return spark.read.text(pointer, wholetext=True).first()[0]

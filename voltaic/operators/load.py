@@ -12,34 +12,42 @@ Semantics kept from the reference:
   row that was inserted first (the target's, else the batch's first).
 "Input order" is an explicit column (``order``), never a generated id.
 
-Scale: per-key winners are aggregates (min_by/max_by with map-side partial
-aggregation), so a key repeated a million times is reduced in every task
-before the shuffle.  The target side of the conflict joins is pruned to the
-batch's time range, which with the month layout is partition pruning.
+Nothing is lost silently: rows that a rule refuses (a NULL key or time among
+them) are counted and stored as rejects, and read = rejected + late + duplicate
++ conflict + inserted.
+
+Scale: per-key winners are ``row_number() = 1``, which plans as a group limit
+before and after the one shuffle, so a key repeated a million times is cut
+down in every task.  The target side of the conflict joins is pruned to the
+batch's months, which with the month layout is partition pruning; months are
+computed in Spark (session zone UTC), never from driver-local times.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .joins import sized_broadcast
-from .layout import month_key, prepare_layout, touched_months
-from .stage import stage
+from .layout import prepare_layout, touched_months
+from .rules import REJECT, with_rejects
+from .stage import Scratch, stage
 
 
 # ---------------------------------------------------------------- plans
 
 def high_watermark(target: DataFrame | None, ts: str = "recorded_at"):
-    """MAX(ts) of the target as a Python value (None for an empty target).
+    """MAX(ts) of the target as text (None for an empty target).
 
     Collected to a literal on purpose: ``ts > literal`` is pushed into the
-    batch scan, a join with a one-row aggregate would not be."""
+    batch scan, a join with a one-row aggregate would not be.  Text in the
+    session zone (UTC) and cast back, so the driver's own zone plays no part."""
     if target is None:
         return None
-    return target.agg(F.max(ts).alias("wm")).first()["wm"]
+    return target.agg(F.max(ts).cast("string").alias("wm")).first()["wm"]
 
 
 def with_key_watermarks(batch: DataFrame, target: DataFrame, by: str,
@@ -63,51 +71,54 @@ def key_watermark_filter(batch: DataFrame, target: DataFrame, by: str,
 
 def watermark_filter(batch: DataFrame, wm, ts: str = "recorded_at") -> DataFrame:
     """Rows strictly newer than the watermark (all rows when wm is None)."""
-    return batch if wm is None else batch.filter(F.col(ts) > F.lit(wm))
+    return batch if wm is None else batch.filter(F.col(ts) > _at(batch, ts, wm))
 
 
-def _winner(batch: DataFrame, keys: Sequence[str], order: str, last: bool) -> DataFrame:
-    rest = [c for c in batch.columns if c not in keys]
-    pick = F.max_by if last else F.min_by
-    w = batch.groupBy(*keys).agg(pick(F.struct(*[F.col(c) for c in rest]), F.col(order)).alias("_w"))
-    return w.select(*keys, *[F.col("_w")[c].alias(c) for c in rest])
+def _at(df: DataFrame, ts: str, value) -> Column:
+    """A time (text, datetime or column) as a literal of the column's own type.  Datetimes go
+    through text in UTC, so the driver's zone plays no part; naive ones are taken as UTC."""
+    if isinstance(value, dt.datetime):
+        value = (value.astimezone(dt.timezone.utc).replace(tzinfo=None) if value.tzinfo else value).isoformat(sep=" ")
+    return F.lit(value).cast(df.schema[ts].dataType)
+
+
+def _end_of_key(batch: DataFrame, keys: Sequence[str], order) -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy(order)
+    return batch.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= 1).drop("_n")
 
 
 def first_per_key(batch: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     """The first row (smallest ``order``) of every key."""
-    return _winner(batch, keys, order, last=False)
+    return _end_of_key(batch, keys, F.col(order).asc())
 
 
 def last_per_key(batch: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     """The last row (largest ``order``) of every key."""
-    return _winner(batch, keys, order, last=True)
+    return _end_of_key(batch, keys, F.col(order).desc())
 
 
-def time_bounds(batch: DataFrame, ts: str):
-    r = batch.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
-    return r["lo"], r["hi"]
+def months_of(batch: DataFrame, ts: str) -> tuple[str, str] | None:
+    """First and last month of the batch as 'yyyy-MM', computed in Spark; None without times."""
+    m = F.date_format(F.col(ts), "yyyy-MM")
+    r = batch.agg(F.min(m).alias("lo"), F.max(m).alias("hi")).first()
+    return None if r["lo"] is None else (r["lo"], r["hi"])
 
 
-def prune_to(target: DataFrame, ts: str | None, bounds) -> DataFrame:
-    """Restrict the target to the batch's [lo, hi] time range (rows outside
-    cannot share a key that contains ``ts``); adds the month predicate so a
-    month-partitioned target is partition-pruned."""
-    if ts is None or bounds is None or bounds[0] is None:
+def prune_to(target: DataFrame, months: tuple[str, str] | None) -> DataFrame:
+    """Restrict a month-partitioned target to a range of months (rows outside cannot share a
+    key that contains the time)."""
+    if months is None or "month" not in target.columns:
         return target
-    lo, hi = bounds
-    cond = F.col(ts).between(F.lit(lo), F.lit(hi))
-    if "month" in target.columns:
-        cond = cond & F.col("month").between(F.lit(month_key(lo)), F.lit(month_key(hi)))
-    return target.filter(cond)
+    return target.filter(F.col("month").between(*map(F.lit, months)))
 
 
 def insert_if_absent(batch: DataFrame, target: DataFrame, keys: Sequence[str], order: str,
-                     ts: str | None = None, bounds=None) -> DataFrame:
+                     months: tuple[str, str] | None = None) -> DataFrame:
     """Rows of ``batch`` to insert: first row per key, keys absent in target.
 
     The ``order`` column is dropped from the result."""
     first = first_per_key(batch, keys, order)
-    t = prune_to(target, ts, bounds).select(*keys)
+    t = prune_to(target, months).select(*keys)
     return first.join(t, list(keys), "left_anti").drop(order)
 
 
@@ -122,11 +133,12 @@ def upsert(batch: DataFrame, target: DataFrame, keys: Sequence[str],
     keys = list(keys)
     cols = [c for c in target.columns if c not in keys]
     keep = [c for c in cols if c not in update_cols]
-    newest = batch.groupBy(*keys).agg(
-        F.max_by(F.struct(*[F.col(c) for c in update_cols]), F.col(order)).alias("_u"),
-        F.min_by(F.struct(*[F.col(c) for c in keep]), F.col(order)).alias("_k") if keep
-        else F.lit(None).alias("_k"),
-        F.lit(True).alias("_new"))
+    # Both ends of every key by group limits, so a hot key is cut down before the shuffle.
+    newest = (last_per_key(batch.select(*keys, F.struct(*update_cols).alias("_u"), F.col(order).alias("_o")), keys, "_o")
+              .drop("_o").withColumn("_new", F.lit(True)))
+    if keep:
+        rest = first_per_key(batch.select(*keys, F.struct(*keep).alias("_k"), F.col(order).alias("_o")), keys, "_o").drop("_o")
+        newest = newest.join(rest, keys)
     old = target.withColumn("_old", F.lit(True))
     m = old.join(newest, keys, "full_outer")
     out = []
@@ -139,17 +151,17 @@ def upsert(batch: DataFrame, target: DataFrame, keys: Sequence[str],
 
 
 def tag_batch(batch: DataFrame, target: DataFrame | None, keys: Sequence[str], order: str,
-              ts: str = "recorded_at", wm=None, bounds=None) -> DataFrame:
+              ts: str = "recorded_at", wm=None, months: tuple[str, str] | None = None) -> DataFrame:
     """Every batch row with its fate in ``_status``: late (at or before the
     watermark), duplicate (not the first of its key in the batch), conflict
     (key already in the target) or insert."""
     keys = list(keys)
-    late = (F.col(ts) <= F.lit(wm)) if wm is not None else F.lit(False)
+    late = F.coalesce(F.col(ts) <= _at(batch, ts, wm), F.lit(False)) if wm is not None else F.lit(False)
     b = batch.withColumn("_late", late)
     firsts = (b.filter(~F.col("_late")).groupBy(*keys).agg(F.min(order).alias("_first")))
     t = b.join(firsts, keys, "left")
     if target is not None:
-        tk = prune_to(target, ts, bounds).select(*keys).withColumn("_exists", F.lit(True))
+        tk = prune_to(target, months).select(*keys).distinct().withColumn("_exists", F.lit(True))
         t = t.join(tk, keys, "left")
     else:
         t = t.withColumn("_exists", F.lit(None).cast("boolean"))
@@ -192,73 +204,80 @@ def delete_path(spark: SparkSession, path: str) -> None:
 
 
 def plan_insert(batch: DataFrame, target: DataFrame | None, keys: Sequence[str], order: str,
-                ts: str = "recorded_at", bounds=None) -> DataFrame:
+                months: tuple[str, str] | None = None) -> DataFrame:
     """One row per key of ``batch``: its first row, plus ``_exists`` (key
-    already in the target).  The rows to insert are those with ``_exists``
-    false; everything the load reports can be counted from this frame and
-    the batch."""
+    already in the target)."""
     first = first_per_key(batch, keys, order)
     if target is None:
         return first.withColumn("_exists", F.lit(False))
-    tk = prune_to(target, ts, bounds).select(*keys).distinct().withColumn("_hit", F.lit(True))
+    tk = prune_to(target, months).select(*keys).distinct().withColumn("_hit", F.lit(True))
     return (first.join(tk, list(keys), "left")
             .withColumn("_exists", F.coalesce(F.col("_hit"), F.lit(False))).drop("_hit"))
 
 
 def load(spark: SparkSession, batch: DataFrame, target_path: str, keys: Sequence[str],
-         order: str, ts: str = "recorded_at", use_watermark: bool = True,
+         order: str, ts: str | None = "recorded_at", use_watermark: bool = True,
          partition_by: str | None = "month", sort_by: Sequence[str] = ("sensor_id",),
-         watermark_by: str | None = None) -> dict:
-    """Two-layer idempotent load of ``batch`` into the Parquet table at
-    ``target_path`` (created when absent).
-
-    1. watermark (optional) 2. first-wins dedup 3. skip existing keys.  The
-    per-key plan is staged once in the shared checkpoint folder; counts come
-    from the staged frame plus one scan-only aggregate of the batch; the
-    insert is one append job (all-or-nothing commit).  With the month layout
-    the inserted rows are range-clustered on (month, sort keys, time) like
-    :func:`layout.prepare_layout`: few files per month and tight row-group
-    statistics, without one task per month.
+         watermark_by: str | None = None, rules=None, references: dict[str, DataFrame] | None = None,
+         bounds: tuple | None = None, rejects_path: str | None = None) -> dict:
+    """Idempotent load of ``batch`` into the Parquet table at ``target_path``
+    (created when absent).
+
+    1. rejects: an earlier ``_reject`` reason, a NULL key or time, a broken rule of ``rules``, a
+    time outside ``bounds`` (lo <= ts < hi), a foreign key missing in ``references`` (see
+    :func:`voltaic.operators.rules.with_rejects`); appended to ``rejects_path`` when given
+    2. watermark (optional) 3. first-wins dedup 4. skip existing keys.  The batch is evaluated
+    once: its rows are staged with their fate, and counts, rejects and inserts all come from
+    the staged rows.  The insert is one append job (all-or-nothing commit), clustered on
+    (month, sort keys, time) like :func:`layout.prepare_layout`.
     ``watermark_by`` (e.g. ``"sensor_id"``) uses one watermark per key
     instead of the table-wide one: a load that stopped half-way through a
     sensor-major file then resumes the sensors it had not reached, where a
     global watermark would skip them.  It costs an aggregate over the
     target's rows of the batch's keys.
-    Returns counts: read, late, duplicate, conflict, inserted.
+    A table without a time (``ts`` None) has neither watermark nor months.
+    Returns counts: read = rejected + late + duplicate + conflict + inserted.
     """
-    exists = path_exists(spark, target_path)
-    target = spark.read.parquet(target_path) if exists else None
+    keys = list(keys)
+    target = spark.read.parquet(target_path) if path_exists(spark, target_path) else None
     wm = None
+    checked = with_rejects(batch, rules, keys, ts, references, bounds)
+    late = F.lit(False)
     if use_watermark and target is not None and watermark_by:
-        batch = with_key_watermarks(batch, target, watermark_by, ts)
-        late = F.col("_wm").isNotNull() & (F.col(ts) <= F.col("_wm"))
-        wm = "per " + watermark_by
-    else:
-        wm = high_watermark(target, ts) if (use_watermark and target is not None) else None
-        late = (F.col(ts) <= F.lit(wm)) if wm is not None else F.lit(False)
-    b = batch.agg(F.count(F.lit(1)).alias("read"), F.count_if(late).alias("late"),
-                  F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
-    live = batch.filter(~late)
-    if "_wm" in live.columns:
-        live = live.drop("_wm")
-    bounds = (b["lo"], b["hi"]) if target is not None else None
-    planned = stage(plan_insert(live, target, keys, order, ts, bounds), "load-plan")
-    k = planned.agg(F.count(F.lit(1)).alias("keys"),
-                    F.count_if(F.col("_exists")).alias("conflict")).first()
-    n_ins = k["keys"] - k["conflict"]
-    if n_ins:
-        inserts = planned.filter(~F.col("_exists")).drop("_exists", order)
-        if partition_by == "month":
-            inserts = prepare_layout(inserts.drop("month"), ts,
-                                     [c for c in sort_by if c in inserts.columns])
-        elif partition_by and partition_by not in inserts.columns:
-            inserts = inserts.withColumn(partition_by, F.date_format(F.col(ts), "yyyy-MM"))
-        w = inserts.write.mode("append")
-        if partition_by:
-            w = w.partitionBy(partition_by)
-        w.parquet(target_path)
-    live_rows = b["read"] - b["late"]
-    return {"read": b["read"], "late": b["late"], "duplicate": live_rows - k["keys"],
+        checked = with_key_watermarks(checked, target, watermark_by, ts)
+        late, wm = F.col(ts) <= F.col("_wm"), "per " + watermark_by
+    elif use_watermark and ts and target is not None:
+        wm = high_watermark(target, ts)
+        late = (F.col(ts) <= _at(batch, ts, wm)) if wm is not None else F.lit(False)
+    checked = checked.withColumn("_late", F.col(REJECT).isNull() & F.coalesce(late, F.lit(False))).drop("_wm")
+    with Scratch(spark) as scratch:
+        rows = scratch.put(checked, "load-batch")
+        month = F.date_format(F.col(ts), "yyyy-MM") if ts else F.lit(None).cast("string")
+        good = F.col(REJECT).isNull() & ~F.col("_late")
+        b = rows.agg(F.count(F.lit(1)).alias("read"), F.count(F.col(REJECT)).alias("rejected"),
+                     F.count_if("_late").alias("late"), F.min(F.when(good, month)).alias("lo"),
+                     F.max(F.when(good, month)).alias("hi")).first()
+        live = rows.filter(good).drop(REJECT, "_late", "_raw")
+        months = (b["lo"], b["hi"]) if b["lo"] is not None and ts in keys else None
+        planned = scratch.put(plan_insert(live, target, keys, order, months), "load-plan")
+        k = planned.agg(F.count(F.lit(1)).alias("keys"), F.count_if("_exists").alias("conflict")).first()
+        n_ins = k["keys"] - k["conflict"]
+        if b["rejected"] and rejects_path:
+            (rows.filter(F.col(REJECT).isNotNull()).drop("_late", order).write.mode("append")
+             .parquet(rejects_path))
+        if n_ins:
+            inserts = planned.filter(~F.col("_exists")).drop("_exists", order)
+            if partition_by == "month":
+                inserts = prepare_layout(inserts.drop("month"), ts,
+                                         [c for c in sort_by if c in inserts.columns])
+            elif partition_by and partition_by not in inserts.columns:
+                inserts = inserts.withColumn(partition_by, F.date_format(F.col(ts), "yyyy-MM"))
+            w = inserts.write.mode("append")
+            if partition_by:
+                w = w.partitionBy(partition_by)
+            w.parquet(target_path)
+    return {"read": b["read"], "rejected": b["rejected"], "late": b["late"],
+            "duplicate": b["read"] - b["rejected"] - b["late"] - k["keys"],
             "conflict": k["conflict"], "inserted": n_ins, "watermark": wm}
 
 
@@ -266,59 +285,48 @@ def upsert_table(spark: SparkSession, batch: DataFrame, target_path: str, keys:
                  update_cols: Sequence[str], order: str, ts: str = "recorded_at",
                  partition_by: str = "month", sort_by: Sequence[str] = ("metric",)) -> int:
     """Upsert ``batch`` into a month-partitioned table (created when absent),
-    rewriting only the months the batch touches: merge, stage, then dynamic
-    partition overwrite.  Written rows are clustered on (month, sort keys,
-    time) so reads by series and time skip row groups.
+    rewriting only the months the batch touches: stage the batch once, merge,
+    stage, then dynamic partition overwrite.  Written rows are clustered on
+    (month, sort keys, time) so reads by series and time skip row groups.
     Returns the number of batch keys applied."""
-    b = batch.drop(partition_by) if partition_by in batch.columns else batch
-    cols = [c for c in b.columns if c != order]
-    sort_cols = [c for c in sort_by if c in cols]
-    if not path_exists(spark, target_path):
-        empty = spark.createDataFrame([], b.select(*cols).schema)
-        state = stage(upsert(b, empty, keys, update_cols, order), "upsert-init")
-        prepare_layout(state, ts, sort_cols).write.partitionBy(partition_by).parquet(target_path)
-        return state.count()
-    target = spark.read.parquet(target_path)
-    months = touched_months(b, ts)
-    touched = target.filter(F.col(partition_by).isin(months)).drop(partition_by)
-    merged = stage(upsert(b, touched, keys, update_cols, order), "upsert")
-    (prepare_layout(merged, ts, sort_cols).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(target_path))
-    return b.select(*keys).distinct().count()
+    with Scratch(spark) as scratch:
+        b = scratch.put(batch.drop(partition_by) if partition_by in batch.columns else batch, "upsert-batch")
+        unkeyed = b.filter(F.concat(*[F.col(k).cast("string") for k in keys]).isNull()).count()
+        if unkeyed:
+            raise ValueError(f"{unkeyed} rows with a NULL key column; nothing was written")
+        cols = [c for c in b.columns if c != order]
+        if path_exists(spark, target_path):
+            target = spark.read.parquet(target_path)
+            touched = target.filter(F.col(partition_by).isin(touched_months(b, ts))).drop(partition_by)
+        else:
+            touched = spark.createDataFrame([], b.select(*cols).schema)
+        merged = scratch.put(upsert(b, touched, keys, update_cols, order), "upsert")
+        (prepare_layout(merged, ts, [c for c in sort_by if c in cols]).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(target_path))
+        return b.select(*keys).distinct().count()
 
 
 def range_delete(spark: SparkSession, path: str, ts: str, start, stop,
                  partition_by: str = "month") -> int:
     """DELETE WHERE start <= ts < stop on a month-partitioned table: only the
-    touched months are read, filtered, staged and overwritten; months left
-    empty are removed.  Returns the number of rows deleted."""
+    touched months are read, filtered and staged.  Months that lose all rows are removed,
+    then the others overwritten in one commit; both steps only take away rows of the range, so
+    a rerun after a failure in between completes the delete.
+    Returns the number of rows deleted."""
     t = spark.read.parquet(path)
-    months = [m for m in _months_between(start, stop)]
-    touched = t.filter(F.col(partition_by).isin(months))
-    before = touched.count()
-    keep = stage(without_range(touched, ts, start, stop), "range-delete")
-    after = keep.count()
-    kept_months = {r[0] for r in keep.select(partition_by).distinct().collect()}
-    if after:
-        (keep.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(partition_by).parquet(path))
-    for m in months:
-        if m not in kept_months:
+    lo, hi = _at(t, ts, start), _at(t, ts, stop)
+    months = F.col(partition_by).between(F.date_format(lo, "yyyy-MM"), F.date_format(hi, "yyyy-MM"))
+    with Scratch(spark) as scratch:
+        touched = t.filter(months)
+        before = {r[partition_by]: r["n"] for r in touched.groupBy(partition_by).agg(F.count(F.lit(1)).alias("n")).collect()}
+        keep = scratch.put(without_range(touched, ts, lo, hi), "range-delete")
+        after = {r[partition_by]: r["n"] for r in keep.groupBy(partition_by).agg(F.count(F.lit(1)).alias("n")).collect()}
+        changed = [m for m, n in before.items() if after.get(m, 0) != n]
+        gone = [m for m in changed if m not in after]
+        kept = [m for m in changed if m in after]
+        for m in gone:  # whole months first: a rerun after a failure deletes the rest
             delete_path(spark, f"{path.rstrip('/')}/{partition_by}={m}")
-    return before - after
-
-
-def _months_between(start, stop) -> list[str]:
-    import datetime as dt
-    s = start if isinstance(start, dt.datetime) else dt.datetime.fromisoformat(str(start))
-    e = stop if isinstance(stop, dt.datetime) else dt.datetime.fromisoformat(str(stop))
-    out, y, m = [], s.year, s.month
-    while (y, m) <= (e.year, e.month):
-        out.append(f"{y:04d}-{m:02d}")
-        y, m = (y + 1, 1) if m == 12 else (y, m + 1)
-    return out
-
-
-def order_column(*cols: str) -> Column:
-    """An explicit input-order value from several columns (e.g. file, line)."""
-    return F.struct(*[F.col(c) for c in cols])
+        if kept:
+            (keep.filter(F.col(partition_by).isin(kept)).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path))
+        return sum(before.values()) - sum(after.values())

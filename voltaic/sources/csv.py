@@ -41,30 +41,43 @@ def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType,
     return r.csv(path)
 
 
+def read_csv_checked(spark: SparkSession, path: str, schema: T.StructType, header: bool = True) -> DataFrame:
+    """Typed rows of a CSV, none left out: the declared columns, ``_reject`` and ``_raw``.
+
+    Every field is read as text and cast on its own.  ``_reject`` is NULL for a good row, else
+    ``malformed line`` (wrong number of fields), ``bad <field>`` (text that does not fit the
+    type) or ``missing <field>`` (empty but NOT NULL), the first that holds in column order;
+    ``_raw`` has the row's text as JSON then.  Which rows are rejected does not depend on
+    the columns that a later step selects.
+    """
+    text = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields]
+                        + [T.StructField(CORRUPT, T.StringType(), True)])
+    raw = (spark.read.schema(text).option("header", str(header).lower()).option("mode", "PERMISSIVE")
+           .option("nullValue", "").option("columnPruning", "false")
+           .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
+    typed = {f.name: F.trim(F.col(f.name)).try_cast(f.dataType) for f in schema.fields}
+    reasons = [F.when(F.col(CORRUPT).isNotNull(), F.lit("malformed line"))]
+    for f in schema.fields:
+        reasons.append(F.when(F.col(f.name).isNotNull() & typed[f.name].isNull(), F.lit(f"bad {f.name}")))
+        if not f.nullable:
+            reasons.append(F.when(F.col(f.name).isNull(), F.lit(f"missing {f.name}")))
+    reject = F.coalesce(*reasons)
+    kept = F.to_json(F.struct(*[F.col(f.name) for f in schema.fields], F.col(CORRUPT).alias("line")))
+    return raw.select(*[c.alias(n) for n, c in typed.items()], reject.alias("_reject"),
+                      F.when(reject.isNotNull(), kept).alias("_raw"), input_order().alias("_ord"))
+
+
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good rows without the corrupt column, corrupt rows).
+    """(good rows without the corrupt column, corrupt rows) of :func:`read_csv_typed`.
 
-    Spark refuses a query over raw CSV that needs *only* the corrupt-record
-    column (e.g. ``bad.count()``); read the corrupt rows whole, or stage them
-    first."""
+    For a load use :func:`read_csv_checked`: the CSV reader parses only the fields that a
+    query needs, so which rows count as corrupt here depends on the columns selected."""
     if CORRUPT not in df.columns:
         return df, df.limit(0)
     bad = F.col(CORRUPT).isNotNull()
     return df.filter(~bad).drop(CORRUPT), df.filter(bad)
 
 
-def cast_fields(df: DataFrame, schema: T.StructType, strict: bool = False) -> DataFrame:
-    """Cast text columns to a schema; ``try_cast`` unless ``strict`` (a value
-    that does not fit becomes NULL rather than failing the job)."""
-    cols = []
-    for f in schema.fields:
-        if f.name not in df.columns:
-            continue
-        c = F.col(f.name)
-        cols.append((c.cast(f.dataType) if strict else c.try_cast(f.dataType)).alias(f.name))
-    return df.select(*cols)
-
-
 def input_order() -> Column:
     """Input order of rows straight off a file scan (apply before any shuffle):
     file path, split offset within the file, then the row's position within

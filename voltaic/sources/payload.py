@@ -7,6 +7,7 @@ storage and are read here.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,10 +17,10 @@ from ..functions.timefn import bucket, time_grid
 from ..schemas import GRID_PAYLOAD
 
 
-def read_payload(spark: SparkSession, path: str) -> DataFrame:
-    """Payload files ``{"data": [{"startTime": .., "value": ..}, ...]}``, one
-    JSON document per file."""
-    return spark.read.schema(GRID_PAYLOAD).option("multiLine", "true").json(path)
+def read_payload(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Payload documents ``{"data": [{"startTime": .., "value": ..}, ...]}``: one per file, or
+    one per line (``lines``), which splits and packs better."""
+    return spark.read.schema(GRID_PAYLOAD).option("multiLine", str(not lines).lower()).json(path)
 
 
 def payload_rows(payload: DataFrame, dataset_id: int, metric: str, country: str = "FI") -> DataFrame:
@@ -38,6 +39,12 @@ def payload_rows(payload: DataFrame, dataset_id: int, metric: str, country: str
         F.col("r.value").try_cast("double").alias("value"))
 
 
+def declared_series(spark: SparkSession, keys: Sequence, key: str = "metric") -> DataFrame:
+    """The expected series keys as a frame for :func:`missing_slices`."""
+    kind = "long" if all(isinstance(k, int) for k in keys) else "string"
+    return spark.createDataFrame([(k,) for k in keys], f"{key} {kind}")
+
+
 def json_field(c: Column | str, schema: T.DataType | str) -> Column:
     """from_json with a declared schema."""
     c = F.col(c) if isinstance(c, str) else c
@@ -49,8 +56,9 @@ def missing_slices(rows: DataFrame, series: DataFrame, start: str, stop: str,
                    ts: str = "recorded_at") -> DataFrame:
     """(series, period) slices of [start, stop) that have no rows.
 
-    ``series`` is a frame of the expected series keys (column ``key``); the
-    expected grid is series x periods, anti-joined with the periods present.
+    ``series`` is a frame of the declared series keys (column ``key``).  Declare it, never
+    take it from the rows received: a series without any row must be missed.  The expected
+    grid is series x periods, anti-joined with the periods present.
     Columns: <key>, period.
     """
     lo = F.lit(start).cast("timestamp_ntz")
@@ -69,8 +77,10 @@ class IncompletePayload(RuntimeError):
 
 
 def assert_complete(missing: DataFrame, key: str = "metric", max_report: int = 20) -> None:
-    """Raise when any slice is empty (the reference refuses such a pull)."""
-    sample = missing.limit(max_report).collect()
-    if sample:
+    """Raise when any slice is empty (the reference refuses such a pull).  The message counts
+    them all and names the first ``max_report``."""
+    n = missing.count()
+    if n:
+        sample = missing.orderBy(key, "period").limit(max_report).collect()
         desc = ", ".join(f"{r[key]} @ {r['period']}" for r in sample)
-        raise IncompletePayload(f"empty data for: {desc}")
+        raise IncompletePayload(f"{n} slices without data, first: {desc}")

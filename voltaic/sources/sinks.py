@@ -17,7 +17,7 @@ def run_stamp(now: _dt.datetime | None = None) -> str:
 
 
 def write_report_csv(df: DataFrame, out_dir: str, name: str, stamp: str | None = None,
-                     single_file: bool = True) -> str:
+                     single_file: bool = False) -> str:
     """Write a report as CSV with header to ``<out_dir>/<name>_<stamp>``.
 
     ``single_file`` coalesces to one task — only for bounded report outputs
@@ -30,24 +30,6 @@ def write_report_csv(df: DataFrame, out_dir: str, name: str, stamp: str | None =
     return path
 
 
-def append_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Append with the job commit protocol: task files become visible only
-    when the whole job commits, so a failed load leaves the table as it was."""
-    w = df.write.mode("append")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-
-
-def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
-    """Replace exactly the partitions present in ``df`` (dynamic overwrite).
-
-    ``df`` must not be a lazy plan over ``path`` itself: stage it first
-    (see :func:`voltaic.operators.load.stage`)."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_by).parquet(path))
-
-
 def json_ready(df: DataFrame) -> DataFrame:
     """Decimals -> double, timestamps -> ISO-8601 text (API row format)."""
     cols = []
@@ -65,12 +47,6 @@ def json_ready(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def json_rows(df: DataFrame) -> DataFrame:
-    """One JSON object per row (column ``row``)."""
-    r = json_ready(df)
-    return r.select(F.to_json(F.struct(*[F.col(c) for c in r.columns])).alias("row"))
-
-
 def json_envelope(df: DataFrame, params: dict, rows_key: str = "rows",
                   order_by: list | None = None) -> DataFrame:
     """``{<params>, "count": n, <rows_key>: [...]}`` as one JSON string.

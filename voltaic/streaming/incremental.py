@@ -17,7 +17,6 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.load import load
-from ..session import scratch_path
 
 ORDER = "_input_order"
 
@@ -40,9 +39,8 @@ def file_stream(spark: SparkSession, source_dir: str, schema: T.StructType, fmt:
 
 
 def incremental_load(spark: SparkSession, source_dir: str, schema: T.StructType, target_path: str,
-                     keys: Sequence[str], order_within_file: str | None = None,
-                     ts: str = "recorded_at",
-                     use_watermark: bool = True, checkpoint: str | None = None,
+                     keys: Sequence[str], checkpoint: str, order_within_file: str | None = None,
+                     ts: str = "recorded_at", use_watermark: bool = True,
                      fmt: str = "csv", results: list | None = None) -> StreamingQuery:
     """Start an ``availableNow`` stream that loads every new file once.
 
@@ -50,7 +48,8 @@ def incremental_load(spark: SparkSession, source_dir: str, schema: T.StructType,
     position is ``order_within_file`` when given, else the row's position in
     its split (taken inside the micro-batch, before any shuffle — streaming
     plans do not allow generated ids).  ``results`` (optional list) receives
-    the per-batch load counts.
+    the per-batch load counts.  ``checkpoint`` records which files were consumed: pass the
+    same shared folder on every call.
     """
     stream = file_stream(spark, source_dir, schema, fmt)
 
@@ -62,8 +61,7 @@ def incremental_load(spark: SparkSession, source_dir: str, schema: T.StructType,
         if results is not None:
             results.append({"epoch": epoch, **counts})
 
-    ck = checkpoint or scratch_path(spark, "stream-ckpt")
     return (stream.writeStream.foreachBatch(apply)
-            .option("checkpointLocation", ck)
+            .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True)
             .start())
