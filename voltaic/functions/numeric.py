@@ -11,22 +11,25 @@ from pyspark.sql import functions as F
 # A value that is an exact half in decimal (2-decimal measures make this
 # common) lands a few ULPs either side of it once averaged in binary floating
 # point, and engines then round it differently.  PostgreSQL NUMERIC rounds the
-# exact half away from zero; nudging by this much, away from zero, reproduces
-# that and makes the result independent of summation order.
+# exact half away from zero; a nudge away from zero reproduces that and makes
+# the result independent of summation order.  It is at most a hundred-thousandth
+# of the last digit kept, so it moves no value that is not a half.
 HALF_NUDGE = 1e-9
 
 
+def half_nudge(scale: int) -> float:
+    return min(HALF_NUDGE, 10.0 ** -(scale + 5))
+
+
 def as_double(c: Column | str) -> Column:
     c = F.col(c) if isinstance(c, str) else c
     return c.cast("double")
 
 
-def round_half(c: Column | str, scale: int, nudge: float = HALF_NUDGE) -> Column:
+def round_half(c: Column | str, scale: int) -> Column:
     """ROUND(x, scale) with half away from zero on double input."""
     c = as_double(c)
-    if not nudge:
-        return F.round(c, scale)
-    return F.round(c + F.signum(c) * F.lit(nudge), scale)
+    return F.round(c + F.signum(c) * F.lit(half_nudge(scale)), scale)
 
 
 def safe_div(num: Column, den: Column) -> Column:

@@ -19,9 +19,9 @@ from ..operators import layout, load, quality, ranking, reports, scoring, timese
 from ..schemas import RULES
 from ..sources.csv import read_csv_typed, split_corrupt
 from ..sources.defaults import evolve_union
-from ..sources.payload import json_field, missing_slices
+from ..sources.payload import declared_series, json_field, missing_slices, payload_rows, read_payload
 from ..sources.sinks import json_envelope
-from ..session import ensure_defaults
+from ..session import ensure_defaults, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -297,7 +297,6 @@ def q_completeness(spark, sf):
 @register("scan_csv_typed")
 def q_scan_csv(spark, sf):
     """Events written as CSV (in the shared folder), read back typed."""
-    from ..session import scratch_path
     path = scratch_path(spark, "events-csv")
     fmt = "yyyy-MM-dd HH:mm:ss.SSSSSS"
     (A.table(spark, sf, "events").write.option("header", "true")
@@ -433,3 +432,122 @@ def q_anomalies_json(spark, sf):
     out = out.withColumn("z_score", round_half("z_score", 8))
     return json_envelope(out, {"z_threshold": 3.0, "facility_type": None}, "anomalies",
                          order_by=[-F.col("z_score"), F.col("reading_id")])
+
+
+# ---------------------------------------------------------------- on storage
+# These write into the shared scratch folder and run the operator that they are named for.
+
+def _stored_readings(spark, sf) -> str:
+    path = scratch_path(spark, "readings-layout")
+    layout.write_layout(A.events_domain(spark, sf).readings, path)
+    return path
+
+
+@register("range_read_layout")
+def q_range_read_layout(spark, sf):
+    """The benchmarked range query through the month layout's pruning reader."""
+    return layout.range_read(spark, _stored_readings(spark, sf), 5, "2024-01-05", "2024-01-11").drop("month")
+
+
+@register("range_delete_stored")
+def q_range_delete_stored(spark, sf):
+    """The table left by a range delete on storage."""
+    path = _stored_readings(spark, sf)
+    load.range_delete(spark, path, "recorded_at", "2024-01-10", "2024-01-12")
+    return spark.read.parquet(path).drop("month")
+
+
+@register("rewrite_switch")
+def q_rewrite_switch(spark, sf):
+    """Copy, compare, switch the pointer; the rows of the copy that is then current."""
+    src, dst, pointer = (scratch_path(spark, n) for n in ("rewrite-src", "rewrite-dst", "rewrite-current"))
+    A.events_domain(spark, sf).readings.write.parquet(src)
+    layout.point_to(spark, pointer, src)
+    layout.verified_rewrite(spark, src, dst, pointer=pointer)
+    return spark.read.parquet(layout.current_copy(spark, pointer)).drop("month")
+
+
+@register("load_end_to_end")
+def q_load_end_to_end(spark, sf):
+    """load() four times (target; batch with watermark; replay without; replay with):
+    fates by run, rows that rules refuse included, and the table's rows by month."""
+    target, batch = _load_inputs(spark, sf)
+    sensors = A.events_domain(spark, sf).sensors.select("sensor_id")
+    first = batch.filter("_ord.part = 1")
+
+    def broken(rest, **change):
+        cols = {k: F.lit(v).cast(batch.schema[k].dataType) for k, v in change.items()}
+        return (first.filter(F.col("reading_id") % 10 == rest)
+                .withColumn("_ord", F.struct(F.lit(3).alias("part"), F.col("reading_id").alias("n"))).withColumns(cols))
+
+    given = (batch.unionByName(broken(0, recorded_at=None)).unionByName(broken(1, reading_id=None))
+             .unionByName(broken(2, sensor_id=-1)))
+    path, keys = scratch_path(spark, "load-table"), ["reading_id", "recorded_at"]
+    runs = [(target.withColumn("_ord", F.struct(F.lit(0).alias("part"), F.col("reading_id").alias("n"))), True),
+            (given, True), (given, False), (given, True)]
+    rows = []
+    for k, (rows_in, wm) in enumerate(runs, 1):
+        counts = load.load(spark, rows_in, path, keys, "_ord", use_watermark=wm, rules=RULES["readings"],
+                           references={"sensor_id": sensors}, rejects_path=scratch_path(spark, "load-rejects"))
+        rows += [(k, s, counts[s]) for s in ("rejected", "late", "duplicate", "conflict", "inserted") if counts[s]]
+    done = spark.createDataFrame(rows, "run int, status string, n_rows bigint")
+    return done.unionByName(spark.read.parquet(path).groupBy(F.concat(F.lit("table "), F.col("month")).alias("status"))
+                            .agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(5).alias("run"), "status", "n_rows"))
+
+
+@register("load_watermark_half_loaded")
+def q_load_watermark_half_loaded(spark, sf):
+    """A sensor-major load that stopped half-way (even sensors stored, odd ones not
+    reached) is resumed: the per-sensor watermark passes exactly the odd sensors' rows."""
+    r = A.events_domain(spark, sf).readings
+    return load.key_watermark_filter(r, r.filter(F.col("sensor_id") % 2 == 0), "sensor_id")
+
+
+@register("rule_foreign_key_broken")
+def q_rule_fk_broken(spark, sf):
+    """C2 with violations: events of users missing in a dimension without every seventh."""
+    known = A.table(spark, sf, "customer").filter(F.col("c_custkey") % 7 != 0)
+    return quality.foreign_key_violations(A.table(spark, sf, "events"), "user_id", known, "c_custkey")
+
+
+@register("completeness_gate_declared")
+def q_completeness_declared(spark, sf):
+    """S7 over declared series, one of which has no row at all."""
+    return missing_slices(A.events_series(spark, sf), declared_series(spark, ["error", "never_sent"]),
+                          "2024-01-01", "2024-02-01", step="1 day", unit="day")
+
+
+@register("payload_rows")
+def q_payload_rows(spark, sf):
+    """Payload documents (one per hour) written as JSON and read back through the operator."""
+    ev = A.table(spark, sf, "events").filter("event_type = 'error'")
+    record = F.struct(F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z")).alias("startTime"),
+                      F.col("value").cast("string").alias("value"))
+    path = scratch_path(spark, "payload")
+    ev.groupBy(F.date_trunc("hour", "ts")).agg(F.collect_list(record).alias("data")).select("data").write.json(path)
+    rows = payload_rows(read_payload(spark, path, lines=True), 7, "error")
+    return rows.withColumn("recorded_at", F.col("recorded_at").cast("timestamp_ntz"))
+
+
+def _thinned(spark, sf):
+    """Hourly event series with gaps of 3, 6, 7 and 20 hours, empty edges and negative values."""
+    s = timeseries.resample(A.events_series(spark, sf), unit="hour")
+    p = F.floor(F.unix_seconds(F.col("recorded_at").cast("timestamp")) / 3600) % 60
+    at = lambda t: F.lit(t).cast("timestamp_ntz")
+    empty = (p.between(3, 5) | p.between(10, 15) | p.between(20, 26) | p.between(35, 54)
+             | (F.col("recorded_at") < at("2024-01-01 05:00:00")) | (F.col("recorded_at") >= at("2024-01-29 20:00:00")))
+    return s.withColumn("value", F.when(~empty, F.col("value") - 50))
+
+
+@register("gap_interpolate_thinned")
+def q_gap_thinned(spark, sf):
+    """G2-G5 where they all matter: long and edge gaps, residual fill, clamping."""
+    f = timeseries.fill_gaps(_thinned(spark, sf))
+    return f.select("dataset_id", "country", "recorded_at", round_half("value", 6).alias("value"), "metric",
+                    F.lit("fingrid").alias("source"))
+
+
+@register("gap_counts")
+def q_gap_counts(spark, sf):
+    """Gaps before and after interpolation, and negatives."""
+    return timeseries.gap_counts(_thinned(spark, sf))
