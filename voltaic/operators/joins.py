@@ -1,8 +1,8 @@
 """Join helpers: size-checked broadcast and dimension enrichment.
 
 Dimensions (sensors, facilities) are joined to the fact table many times.
-They are broadcast only when the optimizer's size estimate of the *filtered,
-projected* dimension is under a limit; otherwise the join is left to the
+They are broadcast only when the measured size of the *filtered, projected*
+dimension is under a limit; otherwise the join is left to the
 planner (sort-merge, with AQE converting it at runtime once real sizes are
 known and splitting skewed partitions).  Hot keys on the fact side of a
 shuffle join are split by AQE's skew-join handling (inner, left outer, semi
@@ -15,10 +15,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Upper bound for an explicit broadcast.  The estimate Spark gives for a
-# filtered scan is the unfiltered file size scaled by row width, i.e. an
-# over-estimate, so anything under this bound really is small.
+# Upper bound for an explicit broadcast, in bytes of plain rows.  Spark's own
+# estimate of a Parquet scan is the compressed file size, which says little
+# about the rows, so the rows are measured.
 BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
+# Where rows cannot be measured first, a compressed estimate must be this much smaller.
+COMPRESSION_ALLOWANCE = 8
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -30,62 +32,53 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def row_width(df: DataFrame) -> int:
-    """Bytes per row by Spark's type sizes (strings count 20 bytes)."""
-    try:
-        return max(8, int(df._jdf.schema().defaultSize()))
-    except Exception:  # no JVM handle: 8 bytes per fixed-width field, 20 per other
-        fixed = ("int", "bigint", "double", "float", "boolean", "date", "timestamp", "smallint")
-        return max(8, sum(8 if f.dataType.simpleString().startswith(fixed) else 20
-                          for f in df.schema.fields))
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of all rows: 16 for each field, and the length of every text or binary value."""
+    size = F.lit(16 * len(df.columns)).cast("long")
+    for f in df.schema.fields:
+        if f.dataType.typeName() in ("string", "binary", "varchar", "char"):
+            size = size + F.coalesce(F.octet_length(F.col(f.name)), F.lit(0))
+        elif f.dataType.typeName() in ("array", "map", "struct", "variant"):
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f.name)))), F.lit(0))
+    return int(df.agg(F.sum(size)).first()[0] or 0)
 
 
-# Measured dimension sizes, keyed by the canonical plan and its size estimate
-# (the estimate changes with the input files), so one plan is counted once.
+# Decisions already made, by plan, its estimate and its input files (new files are new names).
 _MEASURED: dict[tuple, bool] = {}
 
 
-def _plan_key(df: DataFrame, estimate: int | None):
+def _plan_key(df: DataFrame):
     try:
-        return (int(df._jdf.queryExecution().optimizedPlan().semanticHash()), estimate)
+        return (int(df._jdf.queryExecution().optimizedPlan().semanticHash()), estimated_bytes(df), tuple(sorted(df.inputFiles())))
     except Exception:
         return None
 
 
 def fits(df: DataFrame, limit: int) -> bool:
-    """Whether ``df`` has at most ``limit / row_width`` rows.
-
-    Counts at most one row past that bound (``limit(n + 1).count()``), so
-    checking a large frame stops early instead of counting all of it."""
-    max_rows = max(1, limit // row_width(df))
-    return df.limit(max_rows + 1).count() <= max_rows
+    return measured_bytes(df) <= limit
 
 
 def sized_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES,
                     measure: bool = True) -> DataFrame:
     """``broadcast(df)`` when its size is shown to be within ``limit``.
 
-    First the optimizer's estimate.  Joins of dimensions are estimated as
-    the product of their inputs, so for those (``measure=True``, only for
-    dimension-sized plans that do not read the fact table) the rows are
-    counted — up to one past the bound — and the answer is remembered for
-    that plan and input size.  Beyond the limit the frame is
+    The rows are measured by one aggregate (for dimension-sized plans that do
+    not read the fact table); the answer is remembered for that plan and
+    those input files.  With ``measure=False`` only the optimizer's estimate
+    is looked at, with an allowance for compression.  Beyond the limit the frame is
     returned unhinted: the planner picks a shuffle join and AQE may still
     broadcast it from runtime statistics.
     """
-    size = estimated_bytes(df)
-    if size is not None and size <= limit:
-        return F.broadcast(df)
-    if measure:
-        key = _plan_key(df, size)
-        ok = _MEASURED.get(key) if key is not None else None
-        if ok is None:
-            ok = fits(df, limit)
-            if key is not None:
-                _MEASURED[key] = ok
-        if ok:
-            return F.broadcast(df)
-    return df
+    if not measure:
+        size = estimated_bytes(df)
+        return F.broadcast(df) if size is not None and size * COMPRESSION_ALLOWANCE <= limit else df
+    key = _plan_key(df)
+    ok = _MEASURED.get(key) if key is not None else None
+    if ok is None:
+        ok = fits(df, limit)
+        if key is not None:
+            _MEASURED[key] = ok
+    return F.broadcast(df) if ok else df
 
 
 def dims(sensors: DataFrame, facilities: DataFrame,

@@ -59,7 +59,7 @@ def with_key_watermarks(batch: DataFrame, target: DataFrame, by: str,
     keys_in_batch = batch.select(by).distinct()
     wms = stage(target.join(keys_in_batch, by, "left_semi")
                 .groupBy(by).agg(F.max(ts).alias("_wm")), "load-watermarks")
-    return batch.join(sized_broadcast(wms, measure=False), by, "left")
+    return batch.join(sized_broadcast(wms), by, "left")
 
 
 def key_watermark_filter(batch: DataFrame, target: DataFrame, by: str,

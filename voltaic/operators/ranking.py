@@ -20,13 +20,18 @@ from .rank import distributed_ranks
 FACILITY_COLS = ["facility_id", "facility_name", "facility_type", "country", "capacity_mw"]
 
 
-def _power_readings(readings: DataFrame, sensors: DataFrame, facilities: DataFrame,
-                    sensor_type: str, clean: bool) -> DataFrame:
-    """Readings of one sensor type tagged with their facility_id."""
+def _facility_means(readings: DataFrame, sensors: DataFrame, facilities: DataFrame,
+                    sensor_type: str, *by) -> DataFrame:
+    """Mean clean value per facility and ``by`` (avg_output_mw): fact rows are reduced per
+    sensor first, then the dimension is joined once."""
     d = dims(sensors, facilities, sensor_filter=F.col("sensor_type") == F.lit(sensor_type),
-             columns=["facility_id"])
-    r = readings.filter(is_false("is_anomaly")) if clean else readings
-    return enrich(r, d)
+             columns=FACILITY_COLS)
+    v = as_double("value")
+    per_sensor = (readings.filter(is_false("is_anomaly")).groupBy("sensor_id", *by)
+                  .agg(F.sum(v).alias("_s"), F.count(v).alias("_n")))
+    names = [c for c in per_sensor.columns if c not in ("sensor_id", "_s", "_n")]
+    return (enrich(per_sensor, d).groupBy(*FACILITY_COLS, *names)
+            .agg(F.try_divide(F.sum("_s"), F.sum("_n")).alias("avg_output_mw")))
 
 
 def facility_ranking(readings: DataFrame, sensors: DataFrame, facilities: DataFrame,
@@ -39,12 +44,8 @@ def facility_ranking(readings: DataFrame, sensors: DataFrame, facilities: DataFr
     avg_efficiency_pct, overall_rank, rank_within_type, performance_quartile,
     percentile.
     """
-    p = _power_readings(readings, sensors, facilities, sensor_type, clean=True)
-    monthly = (p.groupBy("facility_id", bucket("month", "recorded_at").alias("month"))
-               .agg(F.avg(as_double("value")).alias("avg_output_mw")))
-    fac = sized_broadcast(facilities.select(*FACILITY_COLS))
-    eff = (monthly.join(fac, "facility_id")
-           .groupBy(*FACILITY_COLS)
+    monthly = _facility_means(readings, sensors, facilities, sensor_type, bucket("month", "recorded_at").alias("month"))
+    eff = (monthly.groupBy(*FACILITY_COLS)
            .agg(round_half(F.avg(safe_div(F.col("avg_output_mw"), as_double("capacity_mw")) * F.lit(100.0)), 2)
                 .alias("avg_efficiency_pct")))
     cols = ["facility_name", "facility_type", "country",
@@ -65,9 +66,7 @@ def ranking_direct(readings: DataFrame, sensors: DataFrame, facilities: DataFram
     Columns: facility_name, facility_type, country, capacity_mw (2 dp),
     avg_efficiency_pct (2 dp), overall_rank.
     """
-    p = _power_readings(readings, sensors, facilities, sensor_type, clean=True)
-    avg = p.groupBy("facility_id").agg(F.avg(as_double("value")).alias("avg_output_mw"))
-    j = avg.join(sized_broadcast(facilities.select(*FACILITY_COLS)), "facility_id")
+    j = _facility_means(readings, sensors, facilities, sensor_type)
     ratio = safe_div(F.col("avg_output_mw"), as_double("capacity_mw"))
     cols = ["facility_name", "facility_type", "country",
             round_half("capacity_mw", 2).alias("capacity_mw"),

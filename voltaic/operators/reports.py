@@ -37,17 +37,17 @@ def monthly_report(readings: DataFrame, sensors: DataFrame, facilities: DataFram
     """
     d = dims(sensors, facilities, sensor_filter=F.col("sensor_type") == F.lit(sensor_type),
              columns=["facility_id", "country", "facility_type"])
-    j = enrich(readings, d)
-    # Two explicit levels instead of COUNT(DISTINCT): per facility-month
-    # first (partial aggregation on the fact rows), then per country/type/
-    # month over facility rows — no Expand, no duplicated fact rows.  The
-    # mean is the exact decimal sum over the count.
-    month = bucket("month", "recorded_at").alias("month")
-    per_fac = (j.groupBy("country", "facility_type", month, "facility_id")
-               .agg(F.count("value").alias("_nv"),
-                    F.sum(F.col("value").cast(SUM_TYPE)).alias("_sum"),
-                    F.count_if(is_true("is_anomaly")).alias("_a"),
-                    F.count(F.lit(1)).alias("_n")))
+    # The fact rows are reduced per (sensor, month) on their own narrow key,
+    # before the dimension's text columns are joined; facility, country and
+    # type come in two more levels over those few rows.  Counting facilities
+    # needs no COUNT(DISTINCT).  The mean is the exact decimal sum over the count.
+    per_sensor = (readings.groupBy("sensor_id", bucket("month", "recorded_at").alias("month"))
+                  .agg(F.count("value").alias("_nv"),
+                       F.sum(F.col("value").cast(SUM_TYPE)).alias("_sum"),
+                       F.count_if(is_true("is_anomaly")).alias("_a"),
+                       F.count(F.lit(1)).alias("_n")))
+    per_fac = (enrich(per_sensor, d).groupBy("country", "facility_type", "month", "facility_id")
+               .agg(*[F.sum(c).alias(c) for c in ("_nv", "_sum", "_a", "_n")]))
     m = (per_fac.groupBy("country", "facility_type", "month")
          .agg(F.count("facility_id").alias("active_facilities"),
               F.try_divide(F.sum("_sum").cast("double"), F.sum("_nv").cast("double")).alias("_avg"),

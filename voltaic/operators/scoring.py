@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import as_double, is_false, round_half, safe_div
 from ..functions.stats import with_pearson_p_value
 from ..functions.timefn import bucket, day_label
-from .joins import BROADCAST_LIMIT_BYTES, dims, enrich, estimated_bytes, sized_broadcast
+from .joins import BROADCAST_LIMIT_BYTES, COMPRESSION_ALLOWANCE, dims, enrich, estimated_bytes, sized_broadcast
 from .stage import stage
 
 
@@ -47,16 +47,16 @@ def score_readings(readings: DataFrame) -> DataFrame:
     Inner join: readings of a sensor-month without clean rows get no score.
     """
     # The baseline has one row per sensor-month.  When the optimizer's
-    # estimate (an upper bound: the input's size at the output's row width)
-    # is already small it is broadcast as is; otherwise it is staged first,
+    # estimate (the input's compressed size at the output's row width, with an
+    # allowance for compression) is already small it is broadcast as is; otherwise it is staged first,
     # so its real size is known before the join is planned: broadcast if
     # small, else a shuffle join whose hot sensor-months AQE splits.
     base = monthly_baseline(readings)
     est = estimated_bytes(base)
-    if est is not None and est <= BROADCAST_LIMIT_BYTES:
+    if est is not None and est * COMPRESSION_ALLOWANCE <= BROADCAST_LIMIT_BYTES:
         base = F.broadcast(base)
     else:
-        base = sized_broadcast(stage(base, "zscore-baseline"), measure=False)
+        base = sized_broadcast(stage(base, "zscore-baseline"))
     r = readings.withColumn("month", bucket("month", "recorded_at"))
     scored = r.join(base, ["sensor_id", "month"])
     return scored.withColumn(
@@ -95,20 +95,18 @@ def anomalies(readings: DataFrame, sensors: DataFrame, facilities: DataFrame,
               facility_type: str | None = None) -> DataFrame:
     """Parameterised anomalies (unrounded), optionally for one facility type.
 
-    The type filter is applied to the dimension first and reaches the fact
-    table as a broadcast semi-join, so baselines are only computed for the
-    sensors that can appear in the answer (baselines are per sensor, so the
-    result is unchanged).
+    With a type, the filtered dimension is joined to the readings once, up
+    front: baselines are then computed only for the sensors that can appear in
+    the answer (they are per sensor, so the result is unchanged).  Without
+    one, only the hits are joined.
     """
     validate_anomaly_params(z_threshold, limit)
     ffilter = None if facility_type is None else (F.col("facility_type") == F.lit(facility_type))
     d = dims(sensors, facilities, facility_filter=ffilter,
              columns=["facility_name", "facility_type", "sensor_type", "unit"])
-    r = readings
-    if facility_type is not None:
-        r = r.join(sized_broadcast(d.select("sensor_id")), "sensor_id", "left_semi")
+    r = readings if facility_type is None else enrich(readings, d)
     hits = score_readings(r).filter(F.col("z_score") > F.lit(float(z_threshold)))
-    out = enrich(hits, d)
+    out = enrich(hits, d) if facility_type is None else hits
     return (out.orderBy(F.col("z_score").desc(), F.col("reading_id"), F.col("recorded_at"))
             .limit(int(limit))
             .select("reading_id", "sensor_id", "recorded_at", as_double("value").alias("value"),

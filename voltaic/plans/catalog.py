@@ -443,8 +443,8 @@ def _stored_readings(spark, sf) -> str:
     return path
 
 
-@register("range_read_layout")
-def q_range_read_layout(spark, sf):
+@register("range_read_stored")
+def q_range_read_stored(spark, sf):
     """The benchmarked range query through the month layout's pruning reader."""
     return layout.range_read(spark, _stored_readings(spark, sf), 5, "2024-01-05", "2024-01-11").drop("month")
 

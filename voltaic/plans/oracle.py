@@ -593,7 +593,7 @@ SELECT month, count(*) AS n_rows,
 FROM canon GROUP BY month"""
 
 # Operators on storage: the table that they leave behind is what the plan says -------------
-SQL["range_read_layout"] = SQL["range_read"]
+SQL["range_read_stored"] = SQL["range_read"]
 SQL["range_delete_stored"] = SQL["range_delete"]
 SQL["rewrite_switch"] = with_(EVENTS) + "\nSELECT * FROM readings"
 
