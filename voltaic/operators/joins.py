@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 # about the rows, so the rows are measured.
 BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
 # Where rows cannot be measured first, a compressed estimate must be this much smaller.
-COMPRESSION_ALLOWANCE = 8
+COMPRESSION_ALLOWANCE = 4
 
 
 def estimated_bytes(df: DataFrame) -> int | None:

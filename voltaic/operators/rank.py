@@ -4,9 +4,10 @@ RANK / NTILE / PERCENT_RANK over an entire frame are normally windows with
 no PARTITION BY, so every row goes to one task.  Here the same numbers are
 computed distributed:
 
-1. range-partition the rows on (value, tie breaker) and stage them with their
-   partition id; rows of one value may spread over many partitions, so a hot
-   value (or many NULLs) is no single task;
+1. stage the rows (range partitioning samples its input, which would evaluate
+   the plan before it twice), range-partition them on (value, tie breaker) and
+   stage them with their partition id; rows of one value may spread over many
+   partitions, so a hot value (or many NULLs) is no single task;
 2. count rows per (partition, group) and sum the counts of the partitions
    before, which gives start offsets;
 3. number the rows inside each partition and add the offset: the row number
@@ -26,37 +27,39 @@ from pyspark.sql import functions as F
 from .stage import stage
 
 
-def distributed_ranks(df: DataFrame, value: str, tie_breaker: str, group: str,
+def distributed_ranks(df: DataFrame, value: str, tie_breaker: str, group: str | None = None,
                       tiles: int = 4, partitions: int | None = None) -> DataFrame:
     """Adds ``_rank`` (global RANK, value DESC NULLS FIRST), ``_rank_in_group``
-    (RANK within ``group``; NULL is a group of its own), ``_tile``
+    (RANK within ``group``, when one is given; NULL is a group of its own), ``_tile``
     (NTILE(``tiles``) over value DESC NULLS FIRST, ``tie_breaker``) and
     ``_pct_rank`` (PERCENT_RANK over value ASC NULLS LAST)."""
     order = [F.col(value).desc_nulls_first(), F.col(tie_breaker).asc_nulls_first()]
+    df = stage(df, "rank-input")
     ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
     rows = stage(ranged.withColumn("_pid", F.spark_partition_id()), "rank-ranged")
-    counts = stage(rows.groupBy("_pid", F.col(group).alias("_g")).agg(F.count(F.lit(1)).alias("_n")), "rank-counts")
     totals = rows.agg(F.count(F.lit(1)).alias("n"), F.count(F.col(value)).alias("valid")).first()
     n_total, n_valid = totals["n"], totals["valid"]
-    # one row per partition, and per (partition, group)
-    before = (Window.orderBy("_pid"), Window.partitionBy("_g").orderBy("_pid"))
-    upto = [w.rowsBetween(Window.unboundedPreceding, -1) for w in before]
-    per_part = counts.groupBy("_pid").agg(F.sum("_n").alias("_n"))
-    start = per_part.select("_pid", F.coalesce(F.sum("_n").over(upto[0]), F.lit(0)).alias("_at"))
-    start_g = counts.select("_pid", "_g", F.coalesce(F.sum("_n").over(upto[1]), F.lit(0)).alias("_at_g"))
+
+    def numbered_from(counts, by):
+        """Rows before every partition, of the same group where there is one: a window over one
+        row for each partition (and group)."""
+        upto = (Window.partitionBy(*by) if by else Window).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+        return counts.select("_pid", *by, F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_at"))
+
+    start = numbered_from(rows.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")), [])
     numbered = (rows.join(start, "_pid")
-                .join(start_g.withColumnRenamed("_pid", "_p"),
-                      (F.col("_pid") == F.col("_p")) & F.col(group).eqNullSafe(F.col("_g")))
-                .drop("_p", "_g")
-                .withColumn("_rn", F.col("_at") + F.row_number().over(Window.partitionBy("_pid").orderBy(*order)))
-                .withColumn("_rn_g", F.col("_at_g") + F.row_number().over(Window.partitionBy("_pid", group).orderBy(*order)))
-                .drop("_pid", "_at", "_at_g"))
-    ties = numbered.groupBy(F.col(value).alias("_v"), F.col(group).alias("_g")).agg(
-        F.min("_rn").alias("_first"), F.min("_rn_g").alias("_rank_in_group"), F.count(F.lit(1)).alias("_n"))
-    whole = ties.groupBy("_v").agg(F.min("_first").alias("_rank"), F.sum("_n").alias("_ties"))
-    ranked = (numbered.join(whole, F.col(value).eqNullSafe(F.col("_v"))).drop("_v")
-              .join(ties.select("_v", "_g", "_rank_in_group"),
-                    F.col(value).eqNullSafe(F.col("_v")) & F.col(group).eqNullSafe(F.col("_g"))).drop("_v", "_g"))
+                .withColumn("_rn", F.col("_at") + F.row_number().over(Window.partitionBy("_pid").orderBy(*order))).drop("_at"))
+    first = numbered.groupBy(F.col(value).alias("_v")).agg(F.min("_rn").alias("_rank"), F.count(F.lit(1)).alias("_ties"))
+    ranked = numbered.join(first, F.col(value).eqNullSafe(F.col("_v"))).drop("_v")
+    if group is not None:
+        start_g = (numbered_from(rows.groupBy("_pid", F.col(group).alias("_g")).agg(F.count(F.lit(1)).alias("_n")), ["_g"])
+                   .withColumnRenamed("_pid", "_p"))
+        in_group = (rows.select("_pid", F.col(value).alias("_v"), F.col(group).alias("_h"), F.col(tie_breaker).alias("_t"))
+                    .join(start_g, (F.col("_pid") == F.col("_p")) & F.col("_h").eqNullSafe(F.col("_g"))))
+        w = Window.partitionBy("_pid", "_h").orderBy(F.col("_v").desc_nulls_first(), F.col("_t").asc_nulls_first())
+        first_g = (in_group.select("_v", "_h", (F.col("_at") + F.row_number().over(w)).alias("_rn_g"))
+                   .groupBy("_v", "_h").agg(F.min("_rn_g").alias("_rank_in_group")))
+        ranked = ranked.join(first_g, F.col(value).eqNullSafe(F.col("_v")) & F.col(group).eqNullSafe(F.col("_h"))).drop("_v", "_h")
     # NTILE: the first (n mod k) tiles hold one row more
     q, r = divmod(n_total, tiles) if tiles else (0, 0)
     rn = F.col("_rn")
@@ -71,4 +74,4 @@ def distributed_ranks(df: DataFrame, value: str, tie_breaker: str, group: str,
            else (asc_rank - 1).cast("double") / F.lit(float(n_total - 1)))
     return (ranked.withColumn("_tile", F.floor(tile).cast("bigint"))
             .withColumn("_pct_rank", pct)
-            .drop("_rn", "_rn_g", "_ties"))
+            .drop("_pid", "_rn", "_ties"))

@@ -22,15 +22,15 @@ FACILITY_COLS = ["facility_id", "facility_name", "facility_type", "country", "ca
 
 def _facility_means(readings: DataFrame, sensors: DataFrame, facilities: DataFrame,
                     sensor_type: str, *by) -> DataFrame:
-    """Mean clean value per facility and ``by`` (avg_output_mw): fact rows are reduced per
-    sensor first, then the dimension is joined once."""
+    """Mean clean value per facility_id and ``by`` (avg_output_mw).  Fact rows are reduced per
+    sensor first; only ids move."""
     d = dims(sensors, facilities, sensor_filter=F.col("sensor_type") == F.lit(sensor_type),
-             columns=FACILITY_COLS)
+             columns=["facility_id"])
     v = as_double("value")
     per_sensor = (readings.filter(is_false("is_anomaly")).groupBy("sensor_id", *by)
                   .agg(F.sum(v).alias("_s"), F.count(v).alias("_n")))
     names = [c for c in per_sensor.columns if c not in ("sensor_id", "_s", "_n")]
-    return (enrich(per_sensor, d).groupBy(*FACILITY_COLS, *names)
+    return (enrich(per_sensor, d).groupBy("facility_id", *names)
             .agg(F.try_divide(F.sum("_s"), F.sum("_n")).alias("avg_output_mw")))
 
 
@@ -45,9 +45,11 @@ def facility_ranking(readings: DataFrame, sensors: DataFrame, facilities: DataFr
     percentile.
     """
     monthly = _facility_means(readings, sensors, facilities, sensor_type, bucket("month", "recorded_at").alias("month"))
-    eff = (monthly.groupBy(*FACILITY_COLS)
-           .agg(round_half(F.avg(safe_div(F.col("avg_output_mw"), as_double("capacity_mw")) * F.lit(100.0)), 2)
-                .alias("avg_efficiency_pct")))
+    # capacity is one value per facility, so the mean of the ratios is the ratio of the mean
+    mean = monthly.groupBy("facility_id").agg(F.avg("avg_output_mw").alias("_mean"))
+    eff = (mean.join(sized_broadcast(facilities.select(*FACILITY_COLS)), "facility_id")
+           .withColumn("avg_efficiency_pct", round_half(safe_div(F.col("_mean"), as_double("capacity_mw")) * F.lit(100.0), 2))
+           .drop("_mean"))
     cols = ["facility_name", "facility_type", "country",
             as_double("capacity_mw").alias("capacity_mw"), "avg_efficiency_pct"]
     r = distributed_ranks(eff, "avg_efficiency_pct", "facility_id", "facility_type", 4)
@@ -66,13 +68,14 @@ def ranking_direct(readings: DataFrame, sensors: DataFrame, facilities: DataFram
     Columns: facility_name, facility_type, country, capacity_mw (2 dp),
     avg_efficiency_pct (2 dp), overall_rank.
     """
-    j = _facility_means(readings, sensors, facilities, sensor_type)
+    j = (_facility_means(readings, sensors, facilities, sensor_type)
+         .join(sized_broadcast(facilities.select(*FACILITY_COLS)), "facility_id"))
     ratio = safe_div(F.col("avg_output_mw"), as_double("capacity_mw"))
     cols = ["facility_name", "facility_type", "country",
             round_half("capacity_mw", 2).alias("capacity_mw"),
             round_half(F.col("_ratio") * F.lit(100.0), 2).alias("avg_efficiency_pct")]
     j = j.withColumn("_ratio", ratio)
-    r = distributed_ranks(j, "_ratio", "facility_id", "facility_type", 4)
+    r = distributed_ranks(j, "_ratio", "facility_id")
     return (r.select(*cols, F.col("_rank").cast("bigint").alias("overall_rank"), "facility_id")
             .orderBy("overall_rank", "facility_id").drop("facility_id"))
 
