@@ -24,8 +24,8 @@ from .common import ddl, record_batch, texts, words
 WINDOW = 13
 #: Words after which a segment is closed.
 SEGMENT_WORDS = 400_000
-#: (window, item) pairs of a block: what is broadcast at once, about 30 MB at most.
-BLOCK_PAIRS = 100_000
+#: (window, item) pairs of a block: what is broadcast at once, about 15 MB at most.
+BLOCK_PAIRS = 50_000
 
 _SEGMENT = {"segment": "string", "doc_id": "array<long>", "text_key": "array<long>", "n_words": "array<int>",
             "term": "array<string>", "ends": "array<int>", "positions": "binary"}
