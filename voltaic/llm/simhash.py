@@ -29,8 +29,12 @@ from .common import arrow_schema, map_rows, spaced_words
 
 SHINGLE = 4
 RADIUS = 4
-#: Rows of a tile; a task holds two tiles of 8-byte fingerprints.
+#: Rows of a tile at most; a task holds two tiles of 8-byte fingerprints.
 TILE_ROWS = 131_072
+#: Share of all rows that a tile holds at most, so that there are many pairs of tiles of like
+#: size even where the strips near 32 bits hold most rows; small inputs have no tiles below
+#: LEAST_TILE_ROWS.
+TILE_SHARE, LEAST_TILE_ROWS = 1 / 32, 512
 #: Rows of a block within a tile.
 BLOCK_ROWS = 256
 
@@ -142,6 +146,7 @@ def links(nodes: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_ROWS) ->
     ``radius`` bits apart; no link is lost, but a chain may stand for a group's pairs."""
     counts = {r["p"]: r["n"] for r in
               nodes.groupBy(F.bit_count("fp").alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    tile_rows = min(tile_rows, max(LEAST_TILE_ROWS, int(sum(counts.values()) * TILE_SHARE)))
     tiles = [-(-counts.get(p, 0) // tile_rows) for p in range(65)]
     base = [sum(tiles[:p]) for p in range(65)]
     per_strip, first = (F.array(*[F.lit(x) for x in xs]) for xs in (tiles, base))
