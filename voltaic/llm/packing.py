@@ -32,8 +32,8 @@ CAPACITY = 4096
 END_ID = 1
 #: Width of a length class as a share of the capacity, and documents of a pattern.
 CLASSES, DEPTH = 64, 4
-#: Word forms that a worker remembers, about 200 MB.
-REMEMBERED = 1_000_000
+#: Word forms that a worker remembers, about 150 MB.
+REMEMBERED = 750_000
 
 _PIECE = {"doc_id": "long", "piece": "int", "start": "long", "length": "long", "ids_crc32": "long",
           "part": "int", "nth": "long"}

@@ -128,7 +128,7 @@ def vocabulary(sample: DataFrame) -> list[str]:
                 for t in texts(b):
                     got = _terms(dict.fromkeys(words(t), 1)).keys()
                     seen.update(got if wanted is None else got & wanted.value)
-                if len(seen) > 500_000:
+                if len(seen) > 200_000:
                     yield record_batch(spec, {"term": [k.decode("latin-1") for k in seen], "n": list(seen.values())})
                     seen = Counter()
             yield record_batch(spec, {"term": [k.decode("latin-1") for k in seen], "n": list(seen.values())})
