@@ -32,7 +32,7 @@ CAPACITY = 4096
 END_ID = 1
 #: Width of a length class as a share of the capacity, and documents of a pattern.
 CLASSES, DEPTH = 64, 4
-#: Word forms that a worker remembers, about 150 MB.
+#: Word forms that a worker remembers, about 150 MB: the half met last and the half before it.
 REMEMBERED = 750_000
 
 _PIECE = {"doc_id": "long", "piece": "int", "start": "long", "length": "long", "ids_crc32": "long",
@@ -63,6 +63,7 @@ class Encoder:
         self.form = re.compile(rb"'(?:s|t|re|ve|m|ll|d)|[a-z\x80-\xff]+|[0-9]|[^\sa-z0-9\x80-\xff]+")
         self.ascii = bytes(range(128))
         self.known: dict[bytes, bytes] = {}
+        self.earlier: dict[bytes, bytes] = {}
         self.simple: dict[str, bool] = {}
 
     def _is_simple(self, c: str) -> bool:
@@ -79,11 +80,12 @@ class Encoder:
     def _learn(self, forms: list[bytes]) -> None:
         for lo in range(0, len(forms), 2_000):
             part = forms[lo:lo + 2_000]
-            ids = np.array(self.tokenizer.encode(b" ".join(part).decode(), add_special_tokens=False).ids, "<u4")
-            cuts = np.flatnonzero(self.ends[ids]) + 1
+            joined = b" ".join(part).decode()
+            ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+            cuts = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
             if len(cuts) == len(part):
-                for f, a, b in zip(part, [0, *cuts[:-1].tolist()], cuts.tolist()):
-                    self.known[f] = ids[a:b].tobytes()
+                packed = ids.tobytes()
+                self.known.update(zip(part, map(packed.__getitem__, map(slice, [0, *cuts[:-1]], cuts))))
             else:  # a form that is not one word for the tokenizer
                 for f in part:
                     self.known[f] = self._whole(f.decode())
@@ -95,11 +97,17 @@ class Encoder:
         if (other and not all(map(self._is_simple, set(other.decode())))) or any(a in text for a in self.added):
             return self._whole(text.decode())
         forms = self.form.findall(text.lower())
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
+        if len(self.known) > REMEMBERED // 2:  # forms that are met again come back from there
+            self.known, self.earlier = {}, self.known
         new = set(forms).difference(self.known)
         if new:
-            self._learn(list(new))
+            earlier, fresh = self.earlier, []
+            for f in new:
+                if f in earlier:
+                    self.known[f] = earlier[f]
+                else:
+                    fresh.append(f)
+            self._learn(fresh)
         return b"".join(map(self.known.__getitem__, forms))
 
 
