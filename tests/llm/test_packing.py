@@ -37,6 +37,17 @@ def test_encoder_on_random_text(text):
     assert packing.Encoder(PATH).ids(text.encode()) == plain_ids(text)
 
 
+def test_encoder_forgets_by_halves(monkeypatch):
+    """Ids stay right while remembered forms move to the earlier half, come back and go."""
+    monkeypatch.setattr(packing, "REMEMBERED", 8)
+    own = packing.Encoder(PATH)
+    for k in range(40):
+        text = f"the word form{'abcdefgh'[k % 8]} {'xyzuvw'[k % 6]}ing, the don't {k}"
+        assert own.ids(text.encode()) == plain_ids(text)
+    assert own.earlier and len(own.earlier) < 30
+    assert own.ids(None) == own.ids(b"") == b""
+
+
 def check(rows, texts, capacity=4096):
     """Whole documents, right checksums, gapless sequences; returns the number of sequences."""
     by_doc, by_seq = defaultdict(list), defaultdict(list)
