@@ -79,3 +79,23 @@ def test_rows_and_redaction(spark):
     assert pii.find(frame(spark, ["a"]).limit(0)).count() == 0
     assert pii.redact(frame(spark, ["a"]).limit(0)).count() == 0
     assert all(not brute(r.text or "") for r in rows.values())
+
+
+@pytest.mark.parametrize("t,whole,plain", [
+    ("to jаne@example.com now", "jаne@example.com", "ne@example.com"),
+    ("to john@mail.exаmple.com now", "john@mail.exаmple.com", "john@mail.ex"),
+    ("ip 10.20.30.4０ now", "10.20.30.4０", "10.20.30.4"),
+])
+def test_plain_fragments_of_a_disguised_span(t, whole, plain):
+    base, more = pii.spans(t)
+    assert base == brute(t) and plain in [t[a:b] for a, _, b in base]
+    assert [t[a:b] for a, _, b in more] == [whole]
+    left, right = t.split(whole)
+    assert re.fullmatch(re.escape(left) + r"\[[A-Z]+\]" + re.escape(right), pii.redact_text(t))
+
+
+def test_equal_and_inner_spans_are_not_repeated():
+    t = "é j\u200bane@a.com, bob@b.com 1.2.3.4 +1 858 555 2128"
+    base, more = pii.spans(t)
+    assert base == brute(t) and [t[a:b] for a, _, b in more] == ["j\u200bane@a.com"]
+    assert pii.redact_text(t) == "é [EMAIL], [EMAIL] [IP] [PHONE]"

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_right
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -151,18 +152,18 @@ def normalise(t: str) -> Rewritten | None:
 def spans(t: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """Spans in plain sight, and those that only the normal form shows, in source characters.
 
-    A disguised span that touches one in plain sight is left out.
+    A span of the normal form is left out if one of its kind in plain sight is equal to it or
+    covers it; one that reaches further than a plain fragment of itself is returned besides it.
     """
     base = identifiers(t) if t else []
     form = normalise(t) if t else None
     more = []
     if form is not None:
-        taken = np.zeros(len(t) + 1, bool)
-        for a, _, b in base:
-            taken[a:b] = True
+        plain = {k: [(a, b) for a, kind, b in base if kind == k] for k in range(len(KINDS))}
         for a, kind, b in identifiers(form.text):
             s, e = int(form.start[a]), int(form.end[b - 1])
-            if not taken[s:e].any():
+            at = bisect_right(plain[kind], (s, len(t))) - 1  # those of a kind are disjoint
+            if at < 0 or plain[kind][at][1] < e:
                 more.append((s, kind, e))
     return base, more
 
