@@ -1,4 +1,5 @@
 import re
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -99,3 +100,37 @@ def test_equal_and_inner_spans_are_not_repeated():
     base, more = pii.spans(t)
     assert base == brute(t) and [t[a:b] for a, _, b in more] == ["j\u200bane@a.com"]
     assert pii.redact_text(t) == "é [EMAIL], [EMAIL] [IP] [PHONE]"
+
+
+@pytest.mark.parametrize("t,kind,whole", [
+    ("call plus 1 858 555 2128 now", "phone", "plus 1 858 555 2128"),
+    ("call +1 858 555 two one two eight now", "phone", "+1 858 555 two one two eight"),
+    ("call +one eight five eight five five five two one two eight", "phone", "+one eight five eight five five five two one two eight"),
+    ("write jane at example.com now", "email", "jane at example.com"),
+    ("write jane at example dot jp now", "email", "jane at example dot jp"),
+    ("write jane@example dot com now", "email", "jane@example dot com"),
+    ("write jane (at) example dot com now", "email", "jane (at) example dot com"),
+    ("write jane at example [dot] nl now", "email", "jane at example [dot] nl"),
+    ("write jane dot doe @ mail.example dot museum now", "email", "jane dot doe @ mail.example dot museum"),
+    ("ip 192 dot 168 dot 0 dot 1 end", "ip", "192 dot 168 dot 0 dot 1"),
+    ("ip one nine two dot one six eight dot zero dot one end", "ip", "one nine two dot one six eight dot zero dot one"),
+    ("ip 192.168.0.one end", "ip", "192.168.0.one"),
+    ("card 4757 9653 0066 nine seven three seven end", "card", "4757 9653 0066 nine seven three seven"),
+])
+def test_mixed_disguises(t, kind, whole):
+    assert (kind, whole) in [(pii.KINDS[k], t[a:b]) for a, k, b in pii.spans(t)[1]]
+    assert pii.redact_text(t) == t.replace(whole, f"[{kind.upper()}]")
+
+
+def test_running_text_stays():
+    for t in ["He came at noon.Then he left.", "The aim at the dot in it", "It is at example.com now", "see it at example.com/page",
+              "at 10.30 or at 192.168.0", "version 1 dot 5 plus 3", "one, two. Three dot four", "oh no, null and zero-one", "at www.example.com"]:
+        assert pii.spans(t) == ([], []), t
+    assert pii.spans("10.0.0.1 one of a@b.com dot the i") == ([(0, 1, 8), (16, 0, 23)], [])
+
+
+def test_long_runs_take_linear_time():
+    for t in ["a dot " * 30_000, "a at " * 30_000, "1 " * 60_000 + "x one", "one " * 30_000 + "x", "1-one." * 30_000, "a at b.c dot " * 20_000, "@a.a" * 30_000]:
+        started = time.perf_counter()
+        pii.spans(t)
+        assert time.perf_counter() - started < 5, t[:20]

@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from bisect import bisect_right
+from copy import copy
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -34,18 +35,23 @@ _INVISIBLE = frozenset("​‌‍⁠﻿­")
 _DIGITS = {"zero": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7",
            "eight": "8", "nine": "9", "oh": "0", "null": "0"}
 _SPELLED = "|".join(_DIGITS)
-#: Seven or more spelled digits or digits in a row, the first one spelled.
-_SPELLED_RUN = re.compile(rf"(?<![A-Za-z0-9])(?:{_SPELLED})(?:[ ,.-]{{1,2}}(?:{_SPELLED}|[0-9]))" + r"{6,}(?![A-Za-z0-9])", re.I | re.A)
-_SPELLED_ONE = re.compile(rf"({_SPELLED})|([0-9])|[ ,.-]+", re.I | re.A)
-_PLUS = re.compile(r"(?<![A-Za-z])plus +(?=[0-9])", re.I | re.A)
+#: Spelled digits and groups of digits in a row; every start lies behind the run before it.
+_ITEM = rf"(?:{_SPELLED}|[0-9]++)(?![A-Za-z0-9])"
+_SPELLED_RUN = re.compile(rf"(?<![A-Za-z0-9]){_ITEM}(?:[ ,.-]{{1,2}}{_ITEM})*+", re.I | re.A)
+_SPELLED_ONE = re.compile(rf"({_SPELLED})|([0-9]+)|[ ,.-]+", re.I | re.A)
+_PLUS = re.compile(r"(?<![A-Za-z])plus *(?=[0-9])", re.I | re.A)
 _AT = re.compile(r"(?<=[A-Za-z0-9]) ?[\[({<] ?(?:at|@) ?[\])}>] ?(?=[A-Za-z0-9])", re.I | re.A)
 _DOT = re.compile(r"(?<=[A-Za-z0-9]) ?[\[({<] ?(?:dot|\.) ?[\])}>] ?(?=[A-Za-z0-9])", re.I | re.A)
-#: Bare "at" and "dot" are common words: they count only before a known last label (fixed values).
-_BARE = re.compile(r"(?<=[A-Za-z0-9]) at (?:[A-Za-z0-9-]+(?: dot |\.))*[A-Za-z0-9-]+ dot "
-                   r"(?:com|org|net|edu|gov|mil|info|io|dev|de|fr|uk|eu)(?![A-Za-z0-9])", re.I | re.A)
-_BARE_ONE = re.compile(r" (at|dot) ", re.I | re.A)
-#: A text without any of these has nothing to undo.
-_DISGUISED = re.compile(rf"[\[({{<] ?(?:at|@|dot|\.) ?[\])}}>]| dot |(?<![A-Za-z0-9])(?:{_SPELLED})[ ,.-]{{1,2}}(?:{_SPELLED}|[0-9])[ ,.-]", re.I | re.A)
+_NUMBER_DOT = re.compile(r"(?<=[0-9]) dot (?=[0-9])", re.I | re.A)
+#: What may follow a local part: an at and a domain, whose dots may be bare words.
+_BARE = re.compile(r"(?:(?<=[A-Za-z0-9._%+-])@|(?<=[A-Za-z0-9]) (?:at|@) )([A-Za-z0-9-]++(?:(?:\.| dot )[A-Za-z0-9-]++)+)", re.I | re.A)
+_LABEL = re.compile(r"(\.| dot |^)([A-Za-z0-9-]+)", re.I | re.A)
+_TOP_LABEL = re.compile(r"[A-Za-z]{2,24}|xn--[A-Za-z0-9-]+", re.A)
+#: Words of running text.  Those that begin no domain after a bare at, those that
+#: are no top-level label after a bare dot, and those that are no local part before a bare at.
+_NO_DOMAIN = frozenset("the a an this that these those each every any some all his her its their our my your which what www".split())
+_NO_TOP = frozenset("the and or of on if we he she they up that this these those for with from which when where who was were are but not".split())
+_NO_LOCAL = frozenset("is are was were be been and or but it them him her us not only here there".split())
 
 
 def luhn(digits: str) -> bool:
@@ -90,9 +96,9 @@ def _phones(t: str):
                 yield m.span()
 
 
-def identifiers(t: str) -> list[tuple[int, int, int]]:
+def identifiers(t: str, kinds: tuple[int, ...] = tuple(range(len(KINDS)))) -> list[tuple[int, int, int]]:
     """(start, kind number, end) of identifiers in plain sight, by start, then kind."""
-    return sorted((a, k, b) for k, find in enumerate((_emails, _ips, _cards, _phones)) for a, b in find(t))
+    return sorted((a, k, b) for k, find in enumerate((_emails, _ips, _cards, _phones)) if k in kinds for a, b in find(t))
 
 
 class Rewritten:
@@ -130,23 +136,91 @@ def _plain(c: str) -> str:
     return c if got is None else got
 
 
-def normalise(t: str) -> Rewritten | None:
-    """The normal form of a text, or None where it is the text itself."""
+def _addresses(t: str) -> list[tuple[int, int, str]]:
+    """Edits that write out e-mail addresses with bare words or spaces for at and dots."""
+    edits, free = [], 0
+    for m in _BARE.finditer(t):
+        at, lo = m[0][:m.start(1) - m.start()], m.start()
+        bare, labels = at != "@", [(x, m.start(1)) for x in _LABEL.finditer(m[1])]
+        keep = 1
+        while keep < len(labels) and (labels[keep][0][1] == "." or labels[keep][0][2].lower() not in _NO_TOP):
+            keep += 1
+        if bare or any(x[1] not in ("", ".") for x, _ in labels[:keep]):
+            while keep > 1 and not _TOP_LABEL.fullmatch(labels[keep - 1][0][2]):
+                keep -= 1
+        if keep < 2:
+            continue
+        words, end = [x[2] for x, _ in labels[:keep]], m.start(1) + labels[keep - 1][0].end()
+        dots = [(x.start(1) + o, x.end(1) + o, ".") for x, o in labels[1:keep] if x[1] != "."]
+        first, left = lo, []
+        while first > free and t[first - 1] in _LOCAL:
+            first -= 1
+        if bare:
+            if words[0].lower() in _NO_DOMAIN or t[first:lo].lower() in _NO_LOCAL or t[end:end + 1] == "/":
+                continue
+            if not dots and words[-1].istitle() and not words[-2].istitle():
+                continue  # two sentences without a space between them
+        while t[max(first - 5, free):first].lower() == " dot " and first - 6 >= free and t[first - 6] in _LOCAL:
+            k = first - 5
+            while k > free and t[k - 1] in _LOCAL:
+                k -= 1
+            if t[k:first - 5].lower() in _NO_DOMAIN:
+                break
+            left.append((first - 5, first, "."))
+            first = k
+        edits += [*left[::-1], *([(lo, m.start(1), "@")] if bare else []), *dots]
+        free = end
+    return edits
+
+
+def _numbers(form: Rewritten, dots: bool) -> Rewritten:
+    """Spelled digits as digits.  What stands between two spelled ones goes; so does, unless
+    ``dots``, what stands between a spelled one and digits.  With ``dots`` a dot stays one."""
+    edits = []
+    for m in _SPELLED_RUN.finditer(form.text):
+        parts = list(_SPELLED_ONE.finditer(m[0]))
+        for k, x in enumerate(parts):
+            span = (m.start() + x.start(), m.start() + x.end())
+            if x[1]:
+                edits.append((*span, _DIGITS[x[1].lower()]))
+            elif not x[2]:
+                spelled = bool(parts[k - 1][1]) + bool(parts[k + 1][1])
+                if dots and "." in x[0]:
+                    edits.append((*span, "."))
+                elif spelled == 2 or spelled and not dots:
+                    edits.append((*span, ""))
+    if not edits:
+        return form
+    out = copy(form)
+    out.replace(edits)
+    return out
+
+
+def normalise(t: str) -> list[tuple[Rewritten, tuple[int, ...]]]:
+    """The normal forms of a text that differ from it, each with the kinds to look for in it.
+
+    Spelled digits need two: a dot next to one parts the numbers of an address, but not the
+    digit groups of a card or phone.  Which edits make an identifier is for its check to say.
+    """
     out, plain = Rewritten(t), {}
     if not t.isascii():
         plain = {c: p for c in set(t) if not c.isascii() for p in (_plain(c),) if p != c}
         if plain:
             out.replace([(k, k + 1, plain[c]) for k, c in enumerate(t) if c in plain])
-    if not plain and not _DISGUISED.search(t):
-        return None
-    out.replace([(m.start() + x.start(), m.start() + x.end(), _DIGITS[x[1].lower()] if x[1] else x[2] or "")
-                 for m in _SPELLED_RUN.finditer(out.text) for x in _SPELLED_ONE.finditer(m[0])])
-    out.replace([(*m.span(), "+") for m in _PLUS.finditer(out.text)])
-    out.replace([(m.start() + x.start(), m.start() + x.end(), "@" if x[1].lower() == "at" else ".")
-                 for m in _BARE.finditer(out.text) for x in _BARE_ONE.finditer(m[0])])
-    out.replace([(*m.span(), "@") for m in _AT.finditer(out.text)])
-    out.replace([(*m.span(), ".") for m in _DOT.finditer(out.text)])
-    return None if out.text == t else out
+    if any(c in out.text for c in "[({<"):
+        out.replace([(*m.span(), "@") for m in _AT.finditer(out.text)])
+        out.replace([(*m.span(), ".") for m in _DOT.finditer(out.text)])
+    out.replace(_addresses(out.text))
+    low = out.text.lower()
+    spelled = any(w in low for w in _DIGITS)
+    groups, parted = (_numbers(out, False), _numbers(out, True)) if spelled else (out, out)
+    if " dot " in low:
+        parted = copy(parted)
+        parted.replace([(*m.span(), ".") for m in _NUMBER_DOT.finditer(parted.text)])
+    if "plus" in low:
+        groups = copy(groups)
+        groups.replace([(*m.span(), "+") for m in _PLUS.finditer(groups.text)])
+    return [(form, kinds) for form, kinds in ((out, (0,)), (parted, (1,)), (groups, (2, 3))) if form.text != t]
 
 
 def spans(t: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
@@ -156,16 +230,15 @@ def spans(t: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[int, in
     covers it; one that reaches further than a plain fragment of itself is returned besides it.
     """
     base = identifiers(t) if t else []
-    form = normalise(t) if t else None
     more = []
-    if form is not None:
-        plain = {k: [(a, b) for a, kind, b in base if kind == k] for k in range(len(KINDS))}
-        for a, kind, b in identifiers(form.text):
+    plain = {k: [(a, b) for a, kind, b in base if kind == k] for k in range(len(KINDS))}
+    for form, kinds in normalise(t) if t else ():
+        for a, kind, b in identifiers(form.text, kinds):
             s, e = int(form.start[a]), int(form.end[b - 1])
             at = bisect_right(plain[kind], (s, len(t))) - 1  # those of a kind are disjoint
             if at < 0 or plain[kind][at][1] < e:
                 more.append((s, kind, e))
-    return base, more
+    return base, sorted(more)
 
 
 def _named(found: list[tuple[int, int, int]]) -> list[str]:
