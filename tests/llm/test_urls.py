@@ -78,3 +78,38 @@ def test_edges_of_input(spark):
     rows = x.judge(df).collect()
     assert len(rows) == 3 and all(r.verdict == "allow" for r in rows)
     assert x.judge(df.limit(0)).count() == 0
+
+
+def test_registered_query_reads_whole_urls(spark, tmp_path):
+    import zlib
+
+    from voltaic.llm.queries import QUERIES
+    r = random.Random(3)
+    data = [f"{u}?{'ref=news' if '.com' in u else 'bonus=win&x'}{r.randint(0, 9)}#{'top' if '.com' in u else 'bet%20now'}" for u in some()] + URLS
+    data += ["https://nice5.org/fr/7?ref=news1#top", "https://nice5.org/fr/7?bonus=win&x1#bet%20now", "https://nice5.org/fr/7", "plain text", "bonus=win"]
+    spark.createDataFrame([(k, u) for k, u in enumerate(data)], "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {p.page_id: p for p in QUERIES["op5_urls"](spark, str(tmp_path)).collect()}
+    assert len(got) == len(data)
+    at = len(data) - 5
+    assert got[at].score > got[at + 2].score > got[at + 1].score and got[at + 3].score != got[at + 4].score
+    simple = lambda u: "^" * x.ORDER + re.sub("[^a-z0./_?#=&%-]", "~", "".join("0" if "1" <= c <= "9" else chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in u or "")) + "$"
+    texts = [simple(u) for u in data]
+    n = {"allow": Counter(), "block": Counter()}
+    for u, t in zip(data, texts):
+        v = brute_rule(*brute_split(u))[1]
+        if v and zlib.crc32(t.encode()) % 5:
+            for i in range(x.ORDER, len(t)):
+                for c in range(x.ORDER + 1):
+                    n[v]["g", t[i - c:i + 1]] += 1
+                    n[v]["h", t[i - c:i]] += 1
+
+    def prob(v, t, i):
+        p = None
+        for c in range(x.ORDER + 1):
+            g, h = n[v]["g", t[i - c:i + 1]], n[v]["h", t[i - c:i]]
+            p = (g + x.ALPHA) / (h + x.ALPHA * 39) if not c else (g + x.LAMBDA * p) / (h + x.LAMBDA)
+        return p
+    for k, t in enumerate(texts):
+        assert (got[k].host, got[k].path) == brute_split(data[k])
+        want = sum(math.log(prob("allow", t, i) / prob("block", t, i)) for i in range(x.ORDER, len(t))) / (len(t) - x.ORDER)
+        assert abs(got[k].score - want) < 1e-9, data[k]

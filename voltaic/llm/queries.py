@@ -49,8 +49,8 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """page_id, host, path, rule, verdict, score for every page."""
-    return urls.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "score")
+    """page_id, host, path, rule, verdict, score for every page; the models read whole URLs."""
+    return urls.judge(table(spark, sf_dir, "pages"), whole=True).select("page_id", "host", "path", "rule", "verdict", "score")
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
