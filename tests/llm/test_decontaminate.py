@@ -79,3 +79,19 @@ def test_edges_of_input(spark):
     assert sorted(str(r.text) for r in kept.collect()) == ["None", "x"]
     assert d.contamination(df, none).where("contaminated").count() == 0
     assert d.contamination(df.limit(0), items).count() == 0
+
+
+def test_registered_query_returns_near_matches(spark, tmp_path):
+    import __spark_entry__ as E
+
+    item = ["p%d" % k for k in range(26)]
+    moved = item[:6] + [item[7], item[6]] + item[8:18] + [item[19], item[18]] + item[20:]  # no 13 words in a row survive
+    put = item[:7] + ["new"] + item[7:19] + ["new"] + item[19:]
+    frame(spark, [" ".join(item), "q " + " ".join(moved) + " z", " ".join(put), "p0 p5 p25", None]).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(7, " ".join(item)), (8, "other words")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = {r.doc_id: r for r in E.queries()["op1_proximity"](spark, str(tmp_path)).collect()}
+    exact = {r.doc_id: r for r in E.queries()["op1_decontamination"](spark, str(tmp_path)).collect()}
+    assert [got[k].near_items for k in range(5)] == ["", "7", "7", "", ""]
+    assert [got[k].n_near > 0 for k in range(5)] == [False, True, True, False, False]
+    assert [got[k].n_hit for k in range(5)] == [26, 0, 0, 0, 0]
+    assert all(tuple(got[k])[:6] == tuple(exact[k]) for k in exact) and len(got) == len(exact) == 5

@@ -22,6 +22,8 @@ from .common import ddl, record_batch, texts, words
 
 #: Words of a window; shorter items are one window.
 WINDOW = 13
+#: Words that a word of a near match may be off its place.
+SLOP = 2
 #: Words after which a segment is closed.
 SEGMENT_WORDS = 400_000
 #: (window, item) pairs of a block: what is broadcast at once, about 15 MB at most.
@@ -30,7 +32,8 @@ BLOCK_PAIRS = 50_000
 _SEGMENT = {"segment": "string", "doc_id": "array<long>", "text_key": "array<long>", "n_words": "array<int>",
             "term": "array<string>", "ends": "array<int>", "positions": "binary"}
 _FOUND = {"segment": "string", "ordinal": "int", "doc_id": "long", "text_key": "long", "n_words": "int",
-          "starts": "array<int>", "ends": "array<int>", "items": "array<string>", "n_near": "long"}
+          "starts": "array<int>", "ends": "array<int>", "items": "array<string>", "n_near": "long",
+          "near_items": "array<string>"}
 _WINDOW = {"window": "string", "item_id": "string"}
 
 
@@ -121,10 +124,10 @@ def _shifted(places: np.ndarray, starts: np.ndarray, slop: int) -> np.ndarray:
     return (np.abs(after - starts) <= slop) | (np.abs(starts - before) <= slop)
 
 
-def match(lists: dict[str, np.ndarray], plan: list[tuple[str, int]], slop: int = 0) -> np.ndarray:
-    """Starts of a phrase: the rarest term's places less its offset, kept while every further
-    term has a place where its offset puts it, or at most ``slop`` away."""
-    starts = None
+def match(lists: dict[str, np.ndarray], plan: list[tuple[str, int]], slop: int = 0,
+          starts: np.ndarray | None = None) -> np.ndarray:
+    """Starts of a phrase: the rarest term's places less its offset (or ``starts``), kept while
+    every further term has a place where its offset puts it, or at most ``slop`` away."""
     for term, offset in plan:
         places = lists.get(term)
         if places is None:
@@ -137,8 +140,10 @@ def match(lists: dict[str, np.ndarray], plan: list[tuple[str, int]], slop: int =
 
 def search(index: DataFrame, phrases: dict[str, list[str]], freq: dict[str, int], slop: int = 0) -> DataFrame:
     """One row per document of ``index``: word intervals covered by exact occurrences of
-    ``phrases`` (window -> item ids), the items they belong to, and ``n_near``: further
-    places where all words of a phrase lie within ``slop`` words of their own place."""
+    ``phrases`` (window -> item ids), the items they belong to, ``n_near``: further places
+    (more than ``slop`` words from an exact one) where all words of a phrase lie within
+    ``slop`` words of their own place, seen from its rarest word, and the items of those.
+    One word of the text may stand for two equal words of a phrase that are so near."""
     plans: dict[str, list] = {}
     for phrase, items in phrases.items():
         ws = phrase.split(" ")
@@ -164,13 +169,19 @@ def _in_segment(seg: dict, plans: dict, slop: int, gap: int = 64) -> dict[str, l
     edge = np.zeros(base[-1] + 1, np.int32)
     items: list[set] = [set() for _ in n_words]
     near = np.zeros(len(n_words), np.int64)
+    near_items: list[set] = [set() for _ in n_words]
     for rare in plans.keys() & lists.keys():
         for plan, size, owners in plans[rare]:
-            starts = match(lists, plan)
-            if slop:
-                loose = np.setdiff1d(match(lists, plan, slop), starts)
+            loose = match(lists, plan, slop) if slop else None
+            starts = match(lists, plan, 0, loose)  # the exact ones are among the loose ones
+            if slop and len(loose) > len(starts):
+                if len(starts):
+                    loose = loose[~_shifted(starts, loose, slop)]
                 # a phrase that lost words at an end of a text starts there
-                np.add.at(near, np.searchsorted(base, np.maximum(loose + plan[0][1], 0), "right") - 1, 1)
+                of = np.searchsorted(base, np.maximum(loose + plan[0][1], 0), "right") - 1
+                np.add.at(near, of, 1)
+                for d in set(of.tolist()):
+                    near_items[d].update(owners)
             if len(starts):
                 np.add.at(edge, starts, 1)
                 np.add.at(edge, starts + size, -1)
@@ -184,7 +195,8 @@ def _in_segment(seg: dict, plans: dict, slop: int, gap: int = 64) -> dict[str, l
     n = len(n_words)
     return {"segment": [seg["segment"]] * n, "ordinal": list(range(n)), "doc_id": seg["doc_id"],
             "text_key": seg["text_key"], "n_words": seg["n_words"], "starts": [s for s, _ in spans],
-            "ends": [e for _, e in spans], "items": [sorted(x) for x in items], "n_near": near}
+            "ends": [e for _, e in spans], "items": [sorted(x) for x in items], "n_near": near,
+            "near_items": [sorted(x) for x in near_items]}
 
 
 def _merged(found: list[DataFrame]) -> DataFrame:
@@ -207,17 +219,20 @@ def _merged(found: list[DataFrame]) -> DataFrame:
             .agg(F.first("doc_id").alias("doc_id"), F.first("text_key").alias("text_key"),
                  F.first("n_words").alias("n_words"), spans.alias("spans"),
                  F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-                 F.sum("n_near").alias("n_near"))
+                 F.sum("n_near").alias("n_near"),
+                 F.array_sort(F.array_distinct(F.flatten(F.collect_list("near_items")))).alias("near_items"))
             .withColumn("spans", united)
             .select("segment", "ordinal", "doc_id", "text_key", "n_words", F.col("spans.starts").alias("starts"),
-                    F.col("spans.ends").alias("ends"), "items", "n_near"))
+                    F.col("spans.ends").alias("ends"), "items", "n_near", "near_items"))
 
 
 def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW, slop: int = 0,
                   share: int = 20, block_pairs: int = BLOCK_PAIRS) -> DataFrame:
     """One row per document: doc_id, text_key, n_words, n_hit, n_items, items (sorted ids as
-    text), contaminated, n_near.
+    text), contaminated, n_near, near_items (sorted ids as text).
 
+    n_near counts places where a window occurs with words up to ``slop`` off their places, and
+    near_items lists its items; both are empty with ``slop`` 0 and do not bear on the others.
     A word is hit if it lies inside any occurrence of a window of ``size`` consecutive item
     words; contaminated: at least one hit and ``share * n_hit >= n_words``.  Null and empty
     texts have no words and are never contaminated; items without words have no windows; a
@@ -238,7 +253,7 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW, slop: i
     n_hit = F.aggregate(F.zip_with("starts", "ends", lambda s, e: (e - s).cast("long")), F.lit(0).cast("long"), lambda a, x: a + x)
     return (_merged(found)
             .select("doc_id", "text_key", F.col("n_words").cast("long").alias("n_words"), n_hit.alias("n_hit"),
-                    F.size("items").cast("long").alias("n_items"), "items", "n_near")
+                    F.size("items").cast("long").alias("n_items"), "items", "n_near", "near_items")
             .withColumn("contaminated", (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))))
 
 

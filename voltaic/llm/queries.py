@@ -20,6 +20,14 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op1_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op1_decontamination, and n_near and near_items (ids with commas): windows
+    with words up to ``decontaminate.SLOP`` off their places."""
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), slop=decontaminate.SLOP)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                        "contaminated", "n_near", F.array_join("near_items", ",").alias("near_items"))
+
+
 def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """conv_id and digests read back from every formatted conversation, and from number -1."""
     control = "</s>[INST] ok [/INST]"
@@ -99,3 +107,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_decontamination, op2_chat, op3_toxicity, op4_licenses, op5_urls, op6_quality,
                                    op7_secrets, op8_simhash, op9_pii, op10_packing)}
+#: Queries beside those: op1's SQL has exact matches only, and its columns are compared by name.
+FURTHER = {f.__name__: f for f in (op1_proximity,)}
