@@ -133,3 +133,22 @@ def test_iso8601_like_python_isoformat(spark):
     tz = df.select(F.col("t").cast("timestamp").alias("t"))
     got = [r.s for r in tz.select(iso8601("t", with_offset=True).alias("s")).collect()]
     assert got == [v.replace(tzinfo=_dt.timezone.utc).isoformat() for v in vals]
+
+
+def test_payload_documents_are_bounded(spark):
+    rows = spark.sql("SELECT CASE WHEN id < 3000 THEN 1L WHEN id < 3005 THEN 2L END AS g, CASE WHEN id % 2 = 0 THEN 7L ELSE id END AS v FROM range(3010)")
+    docs = [[r.v for r in d.data] for d in payload.payload_documents(rows, F.col("g"), F.struct("v"), size=100).collect()]
+    assert max(map(len, docs)) < 200 and 30 <= len(docs) <= 32
+    assert sorted(v for d in docs for v in d) == sorted(r.v for r in rows.collect())
+
+
+def test_registered_payload_documents_are_bounded(spark, tmp_dir, monkeypatch):
+    from voltaic.plans import catalog
+
+    sizes = []
+    monkeypatch.setattr(catalog, "read_payload", lambda s, path, **k: sizes.append(
+        payload.read_payload(s, path, **k).agg(F.max(F.size("data"))).first()[0]) or payload.read_payload(s, path, **k))
+    spark.sql("SELECT id AS event_id, 'error' AS event_type, CAST(id AS double) AS value,"
+              " TIMESTAMP_NTZ '2024-01-01 05:00:00' AS ts FROM range(30000)").write.parquet(f"{tmp_dir}/hot/events.parquet")
+    assert catalog.REGISTRY["payload_rows"](spark, f"{tmp_dir}/hot").agg(F.sum("value")).first()[0] == sum(range(30000))
+    assert sizes[0] < 11_000

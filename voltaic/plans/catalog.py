@@ -19,7 +19,7 @@ from ..operators import layout, load, quality, ranking, reports, scoring, timese
 from ..schemas import RULES
 from ..sources.csv import read_csv_typed, split_corrupt
 from ..sources.defaults import evolve_union
-from ..sources.payload import declared_series, json_field, missing_slices, payload_rows, read_payload
+from ..sources.payload import declared_series, json_field, missing_slices, payload_documents, payload_rows, read_payload
 from ..sources.sinks import json_envelope
 from ..session import ensure_defaults, scratch_path
 
@@ -519,12 +519,13 @@ def q_completeness_declared(spark, sf):
 
 @register("payload_rows")
 def q_payload_rows(spark, sf):
-    """Payload documents (one per hour) written as JSON and read back through the operator."""
+    """Payload documents (of one hour and about 10,000 records at most) written as JSON and
+    read back through the operator."""
     ev = A.table(spark, sf, "events").filter("event_type = 'error'")
     record = F.struct(F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z")).alias("startTime"),
                       F.col("value").cast("string").alias("value"))
     path = scratch_path(spark, "payload")
-    ev.groupBy(F.date_trunc("hour", "ts")).agg(F.collect_list(record).alias("data")).select("data").write.json(path)
+    payload_documents(ev, F.date_trunc("hour", "ts"), record).write.json(path)
     rows = payload_rows(read_payload(spark, path, lines=True), 7, "error")
     return rows.withColumn("recorded_at", F.col("recorded_at").cast("timestamp_ntz"))
 

@@ -23,6 +23,18 @@ def read_payload(spark: SparkSession, path: str, lines: bool = False) -> DataFra
     return spark.read.schema(GRID_PAYLOAD).option("multiLine", str(not lines).lower()).json(path)
 
 
+def payload_documents(rows: DataFrame, group: Column, record: Column, size: int = 10_000) -> DataFrame:
+    """``record`` of every row, in documents ``data`` of one ``group`` each.
+
+    A group of n rows is dealt over ceil(n / size) documents by a hash of the row's number, so
+    documents hold about ``size`` records at most whatever the group; equal rows part too.
+    """
+    each = rows.select(group.alias("g"), record.alias("record"), F.xxhash64(F.monotonically_increasing_id()).alias("k"))
+    sizes = rows.select(group.alias("of")).groupBy("of").agg(F.ceil(F.count(F.lit(1)) / size).alias("n"))
+    return (each.join(F.broadcast(sizes), F.col("g").eqNullSafe(F.col("of")))  # a row for each group
+            .groupBy("g", F.pmod("k", "n").alias("part")).agg(F.collect_list("record").alias("data")).select("data"))
+
+
 def payload_rows(payload: DataFrame, dataset_id: int, metric: str, country: str = "FI") -> DataFrame:
     """Unnest ``data`` and tag rows with the series they belong to.
 
