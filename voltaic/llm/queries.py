@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, licenses, packing, pii, quality, secrets, simhash, toxicity, urls
+from . import chat, decontaminate, fim, licenses, lines, packing, pii, quality, secrets, simhash, toxicity, urls, vector_codes
 from .common import table
 
 
@@ -105,7 +105,26 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n, form, prefix_chars, middle_chars, digests of output and restored text of every document."""
+    done = fim.transform(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(fim.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """vec_id, code, error, label_error, codebooks_sha256 of every whole vector."""
+    coded, books = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error", F.lit(vector_codes.books_digest(books)).alias("codebooks_sha256"))
+
+
+def op13_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_lines, n_dropped, kept_sha256 of every document."""
+    left = lines.drop_repeated(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
+    return left.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (op1_decontamination, op2_chat, op3_toxicity, op4_licenses, op5_urls, op6_quality,
-                                   op7_secrets, op8_simhash, op9_pii, op10_packing)}
+                                   op7_secrets, op8_simhash, op9_pii, op10_packing, op11_fim, op12_vector_codes, op13_lines)}
 #: Queries beside those: op1's SQL has exact matches only, and its columns are compared by name.
 FURTHER = {f.__name__: f for f in (op1_proximity,)}
