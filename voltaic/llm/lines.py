@@ -64,23 +64,24 @@ def _key_rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_key"), text.alias("text"))
 
 
-def _notes(halves: np.ndarray, segments: int):
+def _notes(halves: np.ndarray, segments: int, width: int):
     """Rows (segment, places met once or more, places of keys met twice), as sorted uint32."""
     _, at, count = np.unique(halves[:, 0], return_index=True, return_counts=True)
     whole = halves[at]
-    bits = np.uint64(segments * SEGMENT_BITS)
+    bits = np.uint64(segments * width)
     once, twice = np.unique(whole % bits), np.unique(whole[count > 1] % bits)
     parts = []
     for places in (once, twice):
-        ends = np.searchsorted(places, np.arange(segments + 1, dtype=np.uint64) * np.uint64(SEGMENT_BITS))
-        local = (places % np.uint64(SEGMENT_BITS)).astype(np.uint32)
+        ends = np.searchsorted(places, np.arange(segments + 1, dtype=np.uint64) * np.uint64(width))
+        local = (places % np.uint64(width)).astype(np.uint32)
         parts.append([local[x:y].tobytes() for x, y in zip(ends[:-1], ends[1:])])
     rows = [(s, o, t) for s, (o, t) in enumerate(zip(*parts)) if o]
     return record_batch(_NOTE, dict(zip(_NOTE, map(list, zip(*rows))))) if rows else None
 
 
-def seen_twice(rows: DataFrame, segments: int, least: int) -> np.ndarray:
-    """The second filter as bytes: all places of every key that two documents hold are set."""
+def seen_twice(rows: DataFrame, segments: int, least: int, width: int = SEGMENT_BITS, flush: int = FLUSH) -> np.ndarray:
+    """The second filter as bytes, of ``segments`` of ``width`` bits (a multiple of 8): all places
+    of every key that two documents hold are set."""
     def note(batches):
         held, size = [], 0
         for b in batches:
@@ -88,11 +89,11 @@ def seen_twice(rows: DataFrame, segments: int, least: int) -> np.ndarray:
                 found = set(digests(t, least)) - {None}
                 held.extend(found)
                 size += len(found)
-            if size >= FLUSH:
-                if (out := _notes(_halves(held), segments)) is not None:
+            if size >= flush:
+                if (out := _notes(_halves(held), segments, width)) is not None:
                     yield out
                 held, size = [], 0
-        if held and (out := _notes(_halves(held), segments)) is not None:
+        if held and (out := _notes(_halves(held), segments, width)) is not None:
             yield out
 
     def merge(batches):  # rows come sorted by segment; one segment's filters are in memory
@@ -103,7 +104,7 @@ def seen_twice(rows: DataFrame, segments: int, least: int) -> np.ndarray:
                 if s != now:
                     if now is not None:
                         yield done()
-                    now, once, twice = s, np.zeros(SEGMENT_BITS, bool), np.zeros(SEGMENT_BITS, bool)
+                    now, once, twice = s, np.zeros(width, bool), np.zeros(width, bool)
                 o = np.frombuffer(o, np.uint32)
                 twice[o[once[o]]] = True
                 twice[np.frombuffer(t, np.uint32)] = True
@@ -113,8 +114,8 @@ def seen_twice(rows: DataFrame, segments: int, least: int) -> np.ndarray:
 
     merged = (rows.select("text").mapInArrow(note, ddl(_NOTE))
               .repartition(F.col("segment")).sortWithinPartitions("segment").mapInArrow(merge, "segment int, bits binary"))
-    out = np.zeros(segments * SEGMENT_BITS // 8, np.uint8)
-    step = SEGMENT_BITS // 8
+    out = np.zeros(segments * width // 8, np.uint8)
+    step = width // 8
     for r in merged.collect():  # at most MAX_FILTER_BITS
         out[r["segment"] * step:(r["segment"] + 1) * step] = np.frombuffer(r["bits"], np.uint8)
     return out
@@ -217,7 +218,7 @@ def _drop_joined(rows: DataFrame, repeated: DataFrame, bits, least: int, first:
 
 
 def drop_repeated(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep: str = "none",
-                  max_filter_bits: int = MAX_FILTER_BITS, max_sent: int = MAX_SENT) -> DataFrame:
+                  max_filter_bits: int = MAX_FILTER_BITS, max_sent: int = MAX_SENT, segment_bits: int = SEGMENT_BITS) -> DataFrame:
     """One row per document: doc_id, n_lines (before dropping), n_dropped, text (what is left).
 
     Lines end at \\n.  A line's key is the line without ASCII white space at both ends, A-Z
@@ -236,8 +237,8 @@ def drop_repeated(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep:
     lines = rows.agg(F.sum(F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1)).first()[0] or 0
     bits = None
     if lines * LEAST_BITS <= max_filter_bits:
-        segments = -(-min(lines * BITS_PER_LINE, max_filter_bits) // SEGMENT_BITS)
-        bits = rows.sparkSession.sparkContext.broadcast(seen_twice(rows, max(1, segments), min_chars))
+        segments = -(-min(lines * BITS_PER_LINE, max_filter_bits) // segment_bits)
+        bits = rows.sparkSession.sparkContext.broadcast(seen_twice(rows, max(1, segments), min_chars, segment_bits))
     repeated = stage(_repeated(rows, bits, min_docs, min_chars, first), "lines-repeated")
     if repeated.count() <= max_sent:
         return _drop_sent(rows, repeated, min_chars, first)
