@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import adapters as A
 from ..functions.numeric import round_half
-from ..operators import layout, load, quality, ranking, reports, scoring, timeseries
+from ..operators import layout, load, quality, ranking, reports, scoring, suite, timeseries
 from ..schemas import RULES
 from ..sources.csv import read_csv_typed, split_corrupt
 from ..sources.defaults import evolve_union
@@ -229,6 +229,18 @@ def q_dq_summary(spark, sf):
     return quality.check_summary(spark, checks)
 
 
+@register("dq_suite")
+def q_dq_suite(spark, sf):
+    """Q7 (with Q1-Q6): the suite over one scan, with two checks that raise on some rows: they are
+    failed rows and the others stand."""
+    d = A.events_domain(spark, sf)
+    checks = suite.post_load(d.sensors, d.facilities, QUALITY_DAYS_EXPECTED, VOLUME_EXPECTED)
+    broken = suite.RowCheck("raises_on_a_row", {"n": F.count_if(F.lit(1) / (F.col("sensor_id") - 5) > 0)}, lambda v: False, lambda v: v["n"])
+    cast = suite.RowCheck("raises_on_a_cast", {"n": F.max(F.when(F.col("is_anomaly"), F.lit("many")).otherwise(F.lit("1")).cast("int"))},
+                          lambda v: False, lambda v: v["n"])
+    return suite.suite_frame(d.readings, [*checks[:3], broken, *checks[3:], cast])
+
+
 @register("rule_unique")
 def q_rule_unique(spark, sf):
     """Repeated (l_orderkey, l_linenumber) pairs in lineitem."""
