@@ -22,6 +22,7 @@ from ..sources.defaults import evolve_union
 from ..sources.payload import declared_series, json_field, missing_slices, payload_documents, payload_rows, read_payload
 from ..sources.sinks import json_envelope
 from ..session import ensure_defaults, scratch_path
+from ..streaming import stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -564,3 +565,62 @@ def q_gap_thinned(spark, sf):
 def q_gap_counts(spark, sf):
     """Gaps before and after interpolation, and negatives."""
     return timeseries.gap_counts(_thinned(spark, sf))
+
+
+# ---------------------------------------------------------------- arriving files
+
+def _arrivals(spark, sf):
+    """Readings as they arrive in five runs: days 1-10; days 16-30 of even sensors, ahead of the
+    others; days 8-20 of all, with rows repeated; run 3 again, after a failure before it was recorded;
+    days 1-10 sent again beside days 21-31 of all."""
+    r = A.events_domain(spark, sf).readings
+    days = lambda a, b: r.filter(F.dayofmonth("recorded_at").between(a, b))
+    return [days(1, 10), days(16, 30).filter(F.col("sensor_id") % 2 == 0), days(8, 20).unionByName(days(12, 13)), None,
+            days(1, 10).unionByName(days(21, 31))]
+
+
+def _run_arrivals(spark, sf, start):
+    """Write each run's files, load them with ``start(source, checkpoint, results)``; counts by run."""
+    source, checkpoint = scratch_path(spark, "arrivals"), scratch_path(spark, "arrivals-checkpoint")
+    rows, epoch = [], -1
+    for k, batch in enumerate(_arrivals(spark, sf), 1):
+        if batch is None:
+            stateful.forget_commit(spark, checkpoint, epoch)
+        else:
+            batch.write.parquet(f"{source}/run{k}")
+        results = []
+        query = start(source, checkpoint, results)
+        query.awaitTermination()
+        for r in results:
+            epoch = r["epoch"] if r["inserted"] else epoch
+            rows += [(k, name, n) for name, n in r.items() if name in ("late", "duplicate", "inserted") and n]
+        if late := stateful.late_rows(query):
+            rows.append((k, "dropped", late))
+    return rows
+
+
+def _loaded(spark, rows, target):
+    done = spark.createDataFrame(rows, "run int, status string, n_rows bigint")
+    by_day = spark.read.parquet(target).groupBy(F.concat(F.lit("table "), F.date_format("recorded_at", "yyyy-MM-dd")).alias("status"))
+    return done.unionByName(by_day.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(9).alias("run"), "status", "n_rows"))
+
+
+@register("load_incremental_files")
+def q_load_incremental(spark, sf):
+    """Five availableNow runs with per-sensor watermarks, files out of order, one run
+    replayed: fates by run, then the table's rows by day."""
+    target, state = scratch_path(spark, "incremental-table"), scratch_path(spark, "incremental-state")
+    schema = A.events_domain(spark, sf).readings.schema
+    rows = _run_arrivals(spark, sf, lambda source, checkpoint, results: stateful.watermarked_load(
+        spark, source, schema, target, ["reading_id", "recorded_at"], state, checkpoint, fmt="parquet", results=results))
+    return _loaded(spark, rows, target)
+
+
+@register("load_incremental_keys")
+def q_load_incremental_keys(spark, sf):
+    """L6 without watermark: the same runs, with row keys in the state store: every key once."""
+    target = scratch_path(spark, "incremental-table")
+    schema = A.events_domain(spark, sf).readings.schema
+    rows = _run_arrivals(spark, sf, lambda source, checkpoint, results: stateful.deduplicated_load(
+        spark, source, schema, target, ["reading_id", "recorded_at"], checkpoint, "40 days", fmt="parquet", results=results))
+    return _loaded(spark, rows, target)

@@ -665,3 +665,30 @@ SELECT 1 AS dataset_id, 'FI' AS country, h AS recorded_at, {R('greatest(coalesce
 FROM line"""
 SQL["gap_counts"] = "WITH " + _THIN + """
 SELECT count_if(v IS NULL)::BIGINT AS nan_before, count_if(x IS NULL)::BIGINT AS nan_after, count_if(x < 0)::BIGINT AS negatives FROM line"""
+
+# L6 -------------------------------------------------------------------------
+# Arrivals by run; run 4 repeats run 3.  A sensor's mark before a run is the newest time it had
+# sent in any earlier one.
+_ARRIVALS = """
+day AS (SELECT *, day(recorded_at) AS d FROM readings),
+sent AS (
+  SELECT 1 AS run, 1 AS copy, * FROM day WHERE d <= 10
+  UNION ALL SELECT 2, 1, * FROM day WHERE d BETWEEN 16 AND 30 AND sensor_id % 2 = 0
+  UNION ALL SELECT 3, 1, * FROM day WHERE d BETWEEN 8 AND 20
+  UNION ALL SELECT 3, 2, * FROM day WHERE d IN (12, 13)
+  UNION ALL SELECT 5, 1, * FROM day WHERE d <= 10 OR d >= 21),
+newest AS (SELECT run, sensor_id, max(recorded_at) AS t FROM sent GROUP BY ALL),"""
+SQL["load_incremental_files"] = with_(EVENTS, _ARRIVALS + """
+mark AS (SELECT s.run, s.sensor_id, max(n.t) AS t FROM (SELECT DISTINCT run, sensor_id FROM sent) AS s
+         JOIN newest AS n ON n.sensor_id = s.sensor_id AND n.run < s.run GROUP BY ALL),
+fate AS (SELECT run, recorded_at, CASE WHEN recorded_at <= t THEN 'late' WHEN copy > 1 THEN 'duplicate' ELSE 'inserted' END AS status
+         FROM sent LEFT JOIN mark USING (run, sensor_id))""") + """
+SELECT run, status, count(*) AS n_rows FROM fate GROUP BY ALL
+UNION ALL SELECT 4, status, count(*) FROM fate WHERE run = 3 GROUP BY ALL
+UNION ALL SELECT 9, 'table ' || strftime(recorded_at, '%Y-%m-%d'), count(*) FROM fate WHERE status = 'inserted' GROUP BY ALL"""
+
+SQL["load_incremental_keys"] = with_(EVENTS, _ARRIVALS + """
+first AS (SELECT reading_id, recorded_at, min(run) AS run FROM sent GROUP BY ALL)""") + """
+SELECT run, 'inserted' AS status, count(*) AS n_rows FROM first GROUP BY run
+UNION ALL SELECT 4, 'inserted', count(*) FROM first WHERE run = 3
+UNION ALL SELECT 9, 'table ' || strftime(recorded_at, '%Y-%m-%d'), count(*) FROM first GROUP BY ALL"""
