@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .joins import sized_broadcast
+from .keyfilter import FILTER_BITS, may_hold, span_columns, spans_of, within
 from .layout import prepare_layout, touched_months
 from .rules import REJECT, with_rejects
 from .stage import Scratch, stage
@@ -113,12 +114,13 @@ def prune_to(target: DataFrame, months: tuple[str, str] | None) -> DataFrame:
 
 
 def insert_if_absent(batch: DataFrame, target: DataFrame, keys: Sequence[str], order: str,
-                     months: tuple[str, str] | None = None) -> DataFrame:
+                     months: tuple[str, str] | None = None, filter_bits: int = FILTER_BITS) -> DataFrame:
     """Rows of ``batch`` to insert: first row per key, keys absent in target.
 
-    The ``order`` column is dropped from the result."""
+    Target rows whose key the batch cannot hold are cut before they are shuffled
+    (:mod:`voltaic.operators.keyfilter`).  The ``order`` column is dropped from the result."""
     first = first_per_key(batch, keys, order)
-    t = prune_to(target, months).select(*keys)
+    t = may_hold(prune_to(target, months).select(*keys), batch, keys, filter_bits)
     return first.join(t, list(keys), "left_anti").drop(order)
 
 
@@ -204,13 +206,16 @@ def delete_path(spark: SparkSession, path: str) -> None:
 
 
 def plan_insert(batch: DataFrame, target: DataFrame | None, keys: Sequence[str], order: str,
-                months: tuple[str, str] | None = None) -> DataFrame:
+                months: tuple[str, str] | None = None, spans: dict | None = None,
+                filter_bits: int = FILTER_BITS) -> DataFrame:
     """One row per key of ``batch``: its first row, plus ``_exists`` (key
-    already in the target)."""
+    already in the target).  The target is read within the key ``spans`` (pushed into the scan),
+    and rows whose key the batch cannot hold are cut before the shuffle."""
     first = first_per_key(batch, keys, order)
     if target is None:
         return first.withColumn("_exists", F.lit(False))
-    tk = prune_to(target, months).select(*keys).distinct().withColumn("_hit", F.lit(True))
+    tk = within(prune_to(target, months), spans or {}).select(*keys)
+    tk = may_hold(tk, batch, keys, filter_bits).distinct().withColumn("_hit", F.lit(True))
     return (first.join(tk, list(keys), "left")
             .withColumn("_exists", F.coalesce(F.col("_hit"), F.lit(False))).drop("_hit"))
 
@@ -256,10 +261,10 @@ def load(spark: SparkSession, batch: DataFrame, target_path: str, keys: Sequence
         good = F.col(REJECT).isNull() & ~F.col("_late")
         b = rows.agg(F.count(F.lit(1)).alias("read"), F.count(F.col(REJECT)).alias("rejected"),
                      F.count_if("_late").alias("late"), F.min(F.when(good, month)).alias("lo"),
-                     F.max(F.when(good, month)).alias("hi")).first()
+                     F.max(F.when(good, month)).alias("hi"), *span_columns(rows, keys, good)).first()
         live = rows.filter(good).drop(REJECT, "_late", "_raw")
         months = (b["lo"], b["hi"]) if b["lo"] is not None and ts in keys else None
-        planned = scratch.put(plan_insert(live, target, keys, order, months), "load-plan")
+        planned = scratch.put(plan_insert(live, target, keys, order, months, spans_of(b, rows, keys)), "load-plan")
         k = planned.agg(F.count(F.lit(1)).alias("keys"), F.count_if("_exists").alias("conflict")).first()
         n_ins = k["keys"] - k["conflict"]
         if b["rejected"] and rejects_path:

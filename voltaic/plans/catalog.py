@@ -365,6 +365,18 @@ def q_load_insert(spark, sf):
     return target.unionByName(ins)
 
 
+@register("load_insert_filtered")
+def q_load_insert_filtered(spark, sf):
+    """L2/L3 where the key filter matters: a batch of the last ten days against a table of all before,
+    with a filter so small that it lets most other keys pass: same answer."""
+    target, batch = _load_inputs(spark, sf)
+    late = batch.filter(F.col("recorded_at") >= F.lit("2024-01-19").cast("timestamp_ntz"))
+    ins = load.insert_if_absent(late, target, ["reading_id", "recorded_at"], "_ord", filter_bits=4096)
+    exact = load.insert_if_absent(late.select("sensor_id", "recorded_at", "value", "_ord"), target, ["sensor_id"], "_ord")
+    return (ins.select(F.lit("reading_id, recorded_at").alias("keys"), "sensor_id", "recorded_at", "value")
+            .unionByName(exact.select(F.lit("sensor_id").alias("keys"), "sensor_id", "recorded_at", "value")))
+
+
 @register("load_upsert")
 def q_load_upsert(spark, sf):
     """L4: grid-style upsert on (dataset_id, recorded_at): value, metric and

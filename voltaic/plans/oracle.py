@@ -492,6 +492,16 @@ SELECT reading_id, sensor_id, recorded_at, value, is_anomaly FROM firsts f
 WHERE NOT EXISTS (SELECT 1 FROM target t
                   WHERE t.reading_id = f.reading_id AND t.recorded_at = f.recorded_at)"""
 
+# Rows of the last days: those the table has not, and the first of each sensor it never saw.
+SQL["load_insert_filtered"] = with_(EVENTS, LOAD_INPUTS, """
+given AS (SELECT * FROM batch WHERE recorded_at >= TIMESTAMP '2024-01-19'),
+missing AS (SELECT reading_id, recorded_at FROM given EXCEPT SELECT reading_id, recorded_at FROM target)""") + """
+SELECT 'reading_id, recorded_at' AS keys, arg_min(sensor_id, part) AS sensor_id, recorded_at, arg_min(value, part) AS value
+FROM given SEMI JOIN missing USING (reading_id, recorded_at) GROUP BY reading_id, recorded_at
+UNION ALL
+SELECT 'sensor_id', sensor_id, arg_min(recorded_at, (part, reading_id)), arg_min(value, (part, reading_id)) FROM given
+WHERE sensor_id NOT IN (SELECT sensor_id FROM target) GROUP BY sensor_id"""
+
 SQL["load_upsert"] = with_(EVENTS, LOAD_INPUTS, """
 t AS (
   SELECT sensor_id AS dataset_id, 'FI' AS country, recorded_at, value,
