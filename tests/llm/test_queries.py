@@ -29,9 +29,12 @@ CONTRACT = {
     "op8": "doc_id bigint,fingerprint string,component_id bigint",
     "op9": "doc_id bigint,n_email bigint,n_ip bigint,n_card bigint,n_phone bigint,base_sha256 string,spans string",
     "op10": "doc_id bigint,piece int,start bigint,length bigint,ids_crc32 bigint,sequence_id bigint,offset bigint",
+    "op11": "doc_id bigint,n bigint,form string,prefix_chars bigint,middle_chars bigint,output_sha256 string,restored_sha256 string",
+    "op12": "vec_id bigint,code string,error bigint,label_error bigint,codebooks_sha256 string",
+    "op13": "doc_id bigint,n_lines bigint,n_dropped bigint,kept_sha256 string",
 }
 CON = duckdb.connect()
-for t in ("documents", "benchmark", "conversations", "pages", "labels"):
+for t in ("documents", "benchmark", "conversations", "pages", "labels", "embeddings"):
     CON.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF_SMALL}/{t}.parquet'")
 TEXTS = dict(CON.execute("SELECT doc_id, text FROM documents").fetchall())
 
@@ -54,7 +57,7 @@ def test_all_are_registered():
 def test_contract_columns(results, op):
     types, df = results[op]
     assert {c: types.get(c) for c in (x.split()[0] for x in CONTRACT[op].split(","))} == dict(x.split() for x in CONTRACT[op].split(","))
-    table = {"op2": "conversations", "op5": "pages"}.get(op, "documents")
+    table = {"op2": "conversations", "op5": "pages", "op12": "embeddings"}.get(op, "documents")
     if op == "op2":
         assert len(df) == CON.execute("SELECT count(DISTINCT conv_id) + 1 FROM conversations").fetchone()[0]
     elif op != "op10":
@@ -64,8 +67,8 @@ def test_contract_columns(results, op):
 @pytest.mark.parametrize("key", sorted(SQL))
 def test_sql_agrees(results, key):
     want = CON.execute(SQL[key]).df()
-    got = results[key.split("_")[0]][1][list(want.columns)]
-    rows = lambda d: sorted(map(repr, d.itertuples(index=False, name=None)))
+    got = results[key.split("_")[0]][1][list(want.columns)].astype(want.dtypes.to_dict())
+    rows = lambda d: sorted(map(repr, d.astype(object).where(d.notna(), None).itertuples(index=False, name=None)))
     assert rows(got) == rows(want)
 
 

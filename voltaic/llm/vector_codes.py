@@ -147,6 +147,8 @@ def first_books(rows: DataFrame, parts: int = PARTS, entries: int = ENTRIES) ->
     """Codebooks (parts x entries x width) of the rows with the smallest vec_id, null last, then
     by their components; of fewer rows, all."""
     first = rows.orderBy(F.col("vec_id").asc_nulls_last(), "q").limit(entries).select("q").collect()
+    if not first:
+        return np.zeros((parts, 0, 0), np.int64)
     return np.array([r["q"] for r in first], np.int64).reshape(len(first), parts, -1).transpose(1, 0, 2)
 
 
