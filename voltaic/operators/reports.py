@@ -35,8 +35,6 @@ def monthly_report(readings: DataFrame, sensors: DataFrame, facilities: DataFram
     ``sample_hours`` (e.g. 5/60 for 5-minute samples of MW) it is weighted
     by the sampling interval, giving energy in MWh.
     """
-    d = dims(sensors, facilities, sensor_filter=F.col("sensor_type") == F.lit(sensor_type),
-             columns=["facility_id", "country", "facility_type"])
     # The fact rows are reduced per (sensor, month) on their own narrow key,
     # before the dimension's text columns are joined; facility, country and
     # type come in two more levels over those few rows.  Counting facilities
@@ -46,6 +44,15 @@ def monthly_report(readings: DataFrame, sensors: DataFrame, facilities: DataFram
                        F.sum(F.col("value").cast(SUM_TYPE)).alias("_sum"),
                        F.count_if(is_true("is_anomaly")).alias("_a"),
                        F.count(F.lit(1)).alias("_n")))
+    return report_of(per_sensor, sensors, facilities, sensor_type, sample_hours)
+
+
+def report_of(per_sensor: DataFrame, sensors: DataFrame, facilities: DataFrame, sensor_type: str = "power_output",
+              sample_hours: float | None = None) -> DataFrame:
+    """The report from one row per (sensor_id, month): _nv values, their exact _sum, _a flagged
+    readings of _n."""
+    d = dims(sensors, facilities, sensor_filter=F.col("sensor_type") == F.lit(sensor_type),
+             columns=["facility_id", "country", "facility_type"])
     per_fac = (enrich(per_sensor, d).groupBy("country", "facility_type", "month", "facility_id")
                .agg(*[F.sum(c).alias(c) for c in ("_nv", "_sum", "_a", "_n")]))
     m = (per_fac.groupBy("country", "facility_type", "month")

@@ -57,6 +57,11 @@ def score_readings(readings: DataFrame) -> DataFrame:
         base = F.broadcast(base)
     else:
         base = sized_broadcast(stage(base, "zscore-baseline"))
+    return score_against(readings, base)
+
+
+def score_against(readings: DataFrame, base: DataFrame) -> DataFrame:
+    """Every reading with its z-score against a baseline: sensor_id, month, mean_val, stddev_val."""
     r = readings.withColumn("month", bucket("month", "recorded_at"))
     scored = r.join(base, ["sensor_id", "month"])
     return scored.withColumn(
@@ -64,13 +69,15 @@ def score_readings(readings: DataFrame) -> DataFrame:
 
 
 def zscore_anomalies(readings: DataFrame, sensors: DataFrame, facilities: DataFrame,
-                     threshold: float = 3.0, limit: int = 200) -> DataFrame:
-    """Readings whose z-score exceeds ``threshold``, highest first.
+                     threshold: float = 3.0, limit: int = 200, baseline: DataFrame | None = None) -> DataFrame:
+    """Readings whose z-score exceeds ``threshold``, highest first; against a stored ``baseline``
+    (:func:`voltaic.operators.monthly.baseline`) when given.
 
     Columns: reading_id, sensor_id, recorded_at, value (4 dp), z_score (2 dp),
     was_flagged_in_source, facility_name, sensor_type, unit.
     """
-    hits = score_readings(readings).filter(F.col("z_score") > F.lit(threshold))
+    scored = score_readings(readings) if baseline is None else score_against(readings, sized_broadcast(baseline))
+    hits = scored.filter(F.col("z_score") > F.lit(threshold))
     d = dims(sensors, facilities, columns=["facility_name", "sensor_type", "unit"])
     out = enrich(hits, d)
     return (out.orderBy(F.col("z_score").desc(), F.col("reading_id"), F.col("recorded_at"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import adapters as A
 from ..functions.numeric import round_half
-from ..operators import layout, load, quality, ranking, reports, scoring, suite, timeseries
+from ..operators import layout, load, monthly, quality, ranking, reports, scoring, suite, timeseries
 from ..schemas import RULES
 from ..sources.csv import read_csv_typed, split_corrupt
 from ..sources.defaults import evolve_union
@@ -636,3 +636,43 @@ def q_load_incremental_keys(spark, sf):
     rows = _run_arrivals(spark, sf, lambda source, checkpoint, results: stateful.deduplicated_load(
         spark, source, schema, target, ["reading_id", "recorded_at"], checkpoint, "40 days", fmt="parquet", results=results))
     return _loaded(spark, rows, target)
+
+
+# ---------------------------------------------------------------- kept statistics
+
+def _kept_statistics(spark, readings):
+    """Monthly statistics of ``readings`` from three batches that share months, the second of them
+    contributed twice, with a compaction in between."""
+    root = scratch_path(spark, "monthly")
+    third = F.pmod(F.col("reading_id"), F.lit(3))
+    for k, name in ((0, "a"), (1, "b"), (1, "b")):
+        monthly.contribute(readings.filter(third == k), root, name)
+    monthly.compact(spark, root)
+    monthly.contribute(readings.filter(third == 2), root, "c")
+    return monthly.state(spark, root)
+
+
+@register("zscore_from_monthly")
+def q_zscore_kept(spark, sf):
+    """P2 against the kept baseline (moments merged by Chan's rule)."""
+    d = A.events_domain(spark, sf)
+    return scoring.zscore_anomalies(d.readings, d.sensors, d.facilities, 3.0, 200, monthly.baseline(_kept_statistics(spark, d.readings)))
+
+
+@register("monthly_report_from_monthly")
+def q_report_kept(spark, sf):
+    """P4 from the kept statistics: no reading is read."""
+    d = A.shipments_domain(spark, sf)
+    return reports.report_of(monthly.sensor_months(_kept_statistics(spark, d.readings)), d.sensors, d.facilities, SHIP_POWER_SENSOR)
+
+
+@register("anomaly_trend_from_monthly")
+def q_trend_kept(spark, sf):
+    """D2 from the kept statistics."""
+    return monthly.trend(_kept_statistics(spark, A.shipments_domain(spark, sf).readings))
+
+
+@register("dq_coverage_from_monthly")
+def q_coverage_kept(spark, sf):
+    """Q4/AG6 from the kept statistics: distinct days by uniting day masks."""
+    return monthly.coverage(_kept_statistics(spark, A.events_domain(spark, sf).readings))

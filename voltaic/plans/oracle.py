@@ -702,3 +702,9 @@ first AS (SELECT reading_id, recorded_at, min(run) AS run FROM sent GROUP BY ALL
 SELECT run, 'inserted' AS status, count(*) AS n_rows FROM first GROUP BY run
 UNION ALL SELECT 4, 'inserted', count(*) FROM first WHERE run = 3
 UNION ALL SELECT 9, 'table ' || strftime(recorded_at, '%Y-%m-%d'), count(*) FROM first GROUP BY ALL"""
+
+# Kept statistics answer as a full recomputation does -----------------------------------
+SQL["zscore_from_monthly"] = SQL["zscore_anomalies"]
+SQL["monthly_report_from_monthly"] = SQL["monthly_report"]
+SQL["anomaly_trend_from_monthly"] = SQL["dash_anomaly_trend"]
+SQL["dq_coverage_from_monthly"] = SQL["dq_coverage"]
