@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import adapters as A
 from ..functions.numeric import round_half
-from ..operators import layout, load, monthly, quality, ranking, reports, scoring, suite, timeseries
+from ..operators import layout, load, lookup, monthly, quality, ranking, reports, scoring, suite, timeseries
 from ..schemas import RULES
 from ..sources.csv import read_csv_typed, split_corrupt
 from ..sources.defaults import evolve_union
@@ -474,6 +474,22 @@ def q_range_read_stored(spark, sf):
     return layout.range_read(spark, _stored_readings(spark, sf), 5, "2024-01-05", "2024-01-11").drop("month")
 
 
+@register("lookup_stored")
+def q_lookup_stored(spark, sf):
+    """Readings appended in three loads to a table laid out for lookups, then read by sensors,
+    by sensor and time, and by time alone."""
+    path, r = scratch_path(spark, "readings-lookup"), A.events_domain(spark, sf).readings
+    for k in range(3):
+        lookup.write_lookup(r.filter(F.pmod("reading_id", F.lit(3)) == k), path, row_group_bytes=1 << 17)
+    asked = {"sensors": {"sensors": [3, 5, -1]}, "sensor and days": {"sensors": [5], "start": "2024-01-05", "stop": "2024-01-11"},
+             "hours": {"start": "2024-01-09 05:00:00", "stop": "2024-01-09 07:30:00"}, "from": {"sensors": [8], "start": "2024-01-20"}}
+    found = [lookup.lookup(spark, path, **a).drop("month").select(F.lit(k).alias("asked"), "*") for k, a in asked.items()]
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
+    return out
+
+
 @register("range_delete_stored")
 def q_range_delete_stored(spark, sf):
     """The table left by a range delete on storage."""

@@ -604,6 +604,12 @@ FROM canon GROUP BY month"""
 
 # Operators on storage: the table that they leave behind is what the plan says -------------
 SQL["range_read_stored"] = SQL["range_read"]
+SQL["lookup_stored"] = with_(EVENTS) + """
+SELECT unnest(list_filter([if(sensor_id IN (3, 5), 'sensors', NULL),
+                           if(sensor_id = 5 AND recorded_at BETWEEN '2024-01-05' AND '2024-01-11', 'sensor and days', NULL),
+                           if(recorded_at BETWEEN '2024-01-09 05:00:00' AND '2024-01-09 07:30:00', 'hours', NULL),
+                           if(sensor_id = 8 AND recorded_at >= '2024-01-20', 'from', NULL)], lambda x: x IS NOT NULL)) AS asked, readings.*
+FROM readings"""
 SQL["range_delete_stored"] = SQL["range_delete"]
 SQL["rewrite_switch"] = with_(EVENTS) + "\nSELECT * FROM readings"
 
