@@ -67,3 +67,45 @@ def test_edges_of_input(spark):
     assert len(rows) == 4 and [len(r.base) for r in rows if r.doc_id == 1] == [1, 1]
     assert [[tuple(b) for b in r.base] for r in rows if r.doc_id == 2] == [[(0, 2, 200_000), (200_001, 0, 200_014)]]
     assert x.find(frame(spark, ["a"]).limit(0)).count() == 0
+
+
+KEY = "Ab3dE9kLm2Pq7Rs5TuVw8XyZ"
+
+
+def test_every_class_and_parts_of_candidates(spark):
+    """(text, spans that must be found)"""
+    data = [("qWxPzLmTrNvBgHyKuJcSdFo", ["qWxPzLmTrNvBgHyKuJcSdFo"]), ("83920174650192837465", ["83920174650192837465"]),
+            (f"path/sample/{KEY}", [KEY]), (f"sample_key={KEY}1", [f"{KEY}1"]), (f"a {KEY} b", [KEY]), (f"{KEY}==", [KEY]),
+            (f"see {KEY}/{KEY[::-1]}", [KEY, KEY[::-1]]), ("Zx9/Qw7+Er5/Ty3=Ui1/Op0+", ["Zx9/Qw7+Er5/Ty3=Ui1/Op0+"])]
+    rows = {q.doc_id: q for q in x.find(frame(spark, [t for t, _ in data])).collect()}
+    for k, (t, want) in enumerate(data):
+        assert [t[m.start:m.end] for m in rows[k].more] == want, t
+
+
+def test_the_allow_list_still_suppresses(spark):
+    data = [f"EXAMPLE{KEY}", f"{KEY}EXAMPLE", f"your_{KEY}", f"xxxxxxxx{KEY}", "12345678901234567890", "abcdefghijklmnopqrstuvwxyz", "0" * 30,
+            "550e8400-e29b-41d4-a716-446655440000", "some-long-path/of_plain/words-and-dashes/here", "-" * 60, "=" * 60, "_" * 20 + "=" * 20,
+            "Donaudampfschifffahrtsgesellschaftskapitaen", "counterrevolutionaries", "Internationalisierungsbestrebungen"]
+    assert [r.doc_id for r in x.find(frame(spark, data)).collect() if r.more] == []
+
+
+def test_long_candidates_take_linear_time(spark):
+    import time
+    r = random.Random(1)
+    took = []
+    for n in (1, 100_000, 200_000, 1_000_000):
+        t = "".join(r.choice(x._SYMBOLS[:62]) for _ in range(n))
+        started = time.perf_counter()
+        more = x.find(frame(spark, [t], parts=1)).first().more
+        took.append(time.perf_counter() - started)
+        assert [(m.start, m.end) for m in more] == ([(0, n)] if n > 20 else [])
+    assert took[3] < 60 and took[2] < 2.5 * took[1] + 2, took
+
+
+def test_many_matches_take_linear_time(spark):
+    import time
+    t = "0123456789abcdef01234567 " * 40_000
+    started = time.perf_counter()
+    base = x.find(frame(spark, [t], parts=1)).first().base
+    assert [(b.start, b.end) for b in base] == [(25 * k, 25 * k + 24) for k in range(40_000)]
+    assert time.perf_counter() - started < 60
