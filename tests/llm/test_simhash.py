@@ -104,3 +104,32 @@ def test_edges_of_input(spark):
     assert simhash.keep_one(frame(spark, [t, t, t], ids=[1, 1, 1])).count() == 1
     assert simhash.near_duplicates(frame(spark, ["a"]).limit(0)).count() == 0
     assert simhash.near_duplicates(frame(spark, [None, "a b"], ids=[None, None])).where("component_id is null").count() == 2
+
+
+@pytest.mark.parametrize("order", ["ordered", "shuffled", "zigzag"])
+def test_edges_never_grow(spark, order, monkeypatch):
+    """Chains of 5,000 nodes: no step holds more edges than the chain has."""
+    import random
+    ids = list(range(5000))
+    if order == "shuffled":
+        random.Random(1).shuffle(ids)
+    if order == "zigzag":
+        ids = [k // 2 if k % 2 else 4999 - k // 2 for k in range(5000)]
+    most, delete = [], simhash.delete_path
+
+    def counted(spark, path):
+        df = spark.read.parquet(path)
+        most.append(df.count() if "hi" in df.columns else 0)
+        delete(spark, path)
+    monkeypatch.setattr(simhash, "delete_path", counted)
+    roots = simhash.components(spark.createDataFrame(list(zip(ids, ids[1:])), "u long, v long").repartition(4))
+    assert {(r.node, r.root) for r in roots.collect()} == {(k, 0) for k in range(1, 5000)}
+    assert max(most) <= 4999 and len(most) < 80
+
+
+def test_one_is_kept_with_any_columns(spark):
+    texts = ["the same words again and again here", "the same words again and again here", "other text altogether, with nothing alike at all", None, ""]
+    df = frame(spark, texts).selectExpr("*", "doc_id as _keep_id", "doc_id as keep_id", "text as keep_row", "1 as _keep_row", "2 as KEEP_KEY")
+    out = simhash.keep_one(df)
+    assert out.columns == df.columns
+    assert sorted(r.doc_id for r in out.collect()) == [0, 2, 3]

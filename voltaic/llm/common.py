@@ -23,6 +23,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name`` with underscores in front until no column of ``df`` has it, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def words(text: bytes | None) -> list[bytes]:
     """Lower-cased words of a UTF-8 text; bytes.lower() changes A-Z only."""
     return _WORD.findall(text.lower()) if text else []

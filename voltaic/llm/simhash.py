@@ -24,8 +24,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.load import delete_path
 from ..operators.stage import stage
-from .common import arrow_schema, map_rows, spaced_words
+from ..session import scratch_path
+from .common import arrow_schema, free_name, map_rows, spaced_words
 
 SHINGLE = 4
 RADIUS = 4
@@ -176,24 +178,36 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, root) for every node that has a smaller one in its connected component, which
     is then the smallest: columns of ``edges`` are u and v, in either order.
 
-    Alternates large-star and small-star until the edges no longer change.  Edges point from
-    the larger node ``hi`` to the smaller ``lo``.  Many edges may point at one centre: both
-    sides of the join on it are staged files, so AQE can split the centre's rows.
+    Alternates large-star (every larger neighbour of a node points at the least node around it)
+    and small-star (so do its smaller neighbours, and itself) until the edges no longer change.
+    Edges point from the larger node ``hi`` to the smaller ``lo``; neither step makes more
+    edges than it was given, and rounds grow with the logarithm of the longest chain.  Many edges
+    may point at one centre: both sides of the joins are staged files, so AQE can split the centre's
+    rows, and least neighbours are partial aggregates.  A step's files go when the next has them.
     """
+    spark = edges.sparkSession
+    held: list[str] = []
+
     def hold(df):
-        return stage(df.distinct(), "components")
+        path = scratch_path(spark, "components")
+        df.write.parquet(path)
+        held.append(path)
+        return spark.read.parquet(path)
+
+    def let_go(keep: int):
+        while len(held) > keep:
+            delete_path(spark, held.pop(0))
 
-    now = hold(edges.where("u <> v").select(F.greatest("u", "v").alias("hi"), F.least("u", "v").alias("lo")))
+    now = hold(edges.where("u <> v").select(F.greatest("u", "v").alias("hi"), F.least("u", "v").alias("lo")).distinct())
     seen = None
     for _ in range(max_rounds):
-        least = stage(now.groupBy(F.col("hi").alias("via")).agg(F.min("lo").alias("m")), "components-least")
-        # Large star: what points at a node that itself points lower, points there instead.
-        large = (now.join(least, now["lo"] == least["via"], "left")
-                 .select("hi", F.coalesce("m", "lo").alias("lo"))
-                 .union(least.select(F.col("via").alias("hi"), F.col("m").alias("lo")))
-                 .union(now.join(least, now["hi"] == least["via"]).where("lo > m")
-                        .select(F.col("lo").alias("hi"), F.col("m").alias("lo"))))
-        now = hold(large)
+        around = now.select(F.col("lo").alias("via"), F.col("hi").alias("x")).union(now.select("hi", "lo"))
+        least = hold(around.groupBy("via").agg(F.least(F.min("x"), F.col("via")).alias("m")))
+        now = hold(now.join(least, now["lo"] == least["via"]).select("hi", F.col("m").alias("lo")).distinct())
+        least = hold(now.groupBy(F.col("hi").alias("via")).agg(F.min("lo").alias("m")))
+        small = now.join(least, now["hi"] == least["via"]).where("lo > m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
+        now = hold(small.union(least.select("via", "m")).distinct())
+        let_go(1)
         state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
         if state == seen:
             return now.select(F.col("hi").alias("node"), F.col("lo").alias("root"))
@@ -226,14 +240,16 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> D
     """The rows of ``docs``, all columns, with one row left of every near-duplicate group.
 
     The row with the smallest doc_id stays (null last), ties by text hash; of rows repeated
-    in id and text one stays.
+    in id and text one stays, whatever their other columns.  Null and blank texts are near copies of each
+    other.  An empty table gives an empty one.  Columns may have any names besides doc_id and
+    text; they are carried, not read.
     """
     found = stage(near_duplicates(docs, shingle, radius), "simhash-found")
     best = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("k"))
-    keys = best.select(F.col("k.doc_id").alias("_keep_id"), F.col("k.text_key").alias("_keep_key"))
-    kept = (docs.withColumn("_keep_row", row_key())
-            .join(keys, F.col("doc_id").cast("long").eqNullSafe(F.col("_keep_id")) & (F.col("_keep_row") == F.col("_keep_key")),
-                  "left_semi"))
+    one, key, row = (free_name(docs, n) for n in ("keep_id", "keep_key", "keep_row"))
+    keys = best.select(F.col("k.doc_id").alias(one), F.col("k.text_key").alias(key))
+    kept = (docs.withColumn(row, row_key())
+            .join(keys, F.col("doc_id").cast("long").eqNullSafe(F.col(one)) & (F.col(row) == F.col(key)), "left_semi"))
     if not found.groupBy("doc_id", "text_key").count().where("count > 1").isEmpty():
-        kept = kept.dropDuplicates(["doc_id", "_keep_row"])
-    return kept.drop("_keep_row")
+        kept = kept.dropDuplicates(["doc_id", row])
+    return kept.drop(row)
