@@ -95,3 +95,26 @@ def test_registered_query_returns_near_matches(spark, tmp_path):
     assert [got[k].n_near > 0 for k in range(5)] == [False, True, True, False, False]
     assert [got[k].n_hit for k in range(5)] == [26, 0, 0, 0, 0]
     assert all(tuple(got[k])[:6] == tuple(exact[k]) for k in exact) and len(got) == len(exact) == 5
+
+
+@pytest.mark.parametrize("more", [{"block_pairs": 3}, {"block_pairs": 3, "max_terms": 0}, {"max_terms": 0}])
+def test_one_index_serves_all_blocks(spark, more, monkeypatch):
+    built, build = [], d.build_index
+    monkeypatch.setattr(d, "build_index", lambda *a, **b: built.append(1) or build(*a, **b))
+    texts = [f"start {' '.join(f'w{k * 7 + j}' for j in range(20))} end" for k in range(12)] + [None, ""]
+    items = spark.createDataFrame([(k, " ".join(f"w{k * 14 + j}" for j in range(15))) for k in range(6)] + [(9, "end")], "item_id long, text string")
+    rows = lambda df: sorted(map(tuple, df.select("doc_id", "n_words", "n_hit", "items", "contaminated", "n_near", "near_items").collect()))
+    want = rows(d.contamination(frame(spark, texts), items, slop=2))
+    built.clear()
+    assert rows(d.contamination(frame(spark, texts), items, slop=2, **more)) == want
+    assert len(built) == 1
+
+
+def test_dropping_keeps_any_columns(spark):
+    line = " ".join(f"w{j}" for j in range(13))
+    items = spark.createDataFrame([(1, line)], "item_id long, text string")
+    df = frame(spark, [line, "clean", None, ""]).selectExpr("*", "doc_id as _bad_id", "text as bad_row", "1 as _bad_row", "2 as BAD_KEY")
+    out = d.drop_contaminated(df, items)
+    assert out.columns == df.columns and sorted(r.doc_id for r in out.collect()) == [1, 2, 3]
+    assert d.drop_contaminated(df, items.limit(0)).count() == 4
+    assert d.drop_contaminated(df.limit(0), items).count() == 0

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.stage import stage
-from .common import ddl, record_batch, texts, words
+from .common import ddl, free_name, record_batch, texts, words
 
 #: Words of a window; shorter items are one window.
 WINDOW = 13
@@ -28,6 +28,8 @@ SLOP = 2
 SEGMENT_WORDS = 400_000
 #: (window, item) pairs of a block: what is broadcast at once, about 15 MB at most.
 BLOCK_PAIRS = 50_000
+#: Different words of all windows that are sent to all tasks at most.
+MAX_TERMS = 500_000
 
 _SEGMENT = {"segment": "string", "doc_id": "array<long>", "text_key": "array<long>", "n_words": "array<int>",
             "term": "array<string>", "ends": "array<int>", "positions": "binary"}
@@ -227,7 +229,7 @@ def _merged(found: list[DataFrame]) -> DataFrame:
 
 
 def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW, slop: int = 0,
-                  share: int = 20, block_pairs: int = BLOCK_PAIRS) -> DataFrame:
+                  share: int = 20, block_pairs: int = BLOCK_PAIRS, max_terms: int = MAX_TERMS) -> DataFrame:
     """One row per document: doc_id, text_key, n_words, n_hit, n_items, items (sorted ids as
     text), contaminated, n_near, near_items (sorted ids as text).
 
@@ -241,14 +243,22 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW, slop: i
     """
     pairs = stage(windows(items, size), "windows")
     blocks = max(1, -(-pairs.count() // block_pairs))
+    # One index for all blocks: the corpus is read once however long the benchmark is.  Beyond
+    # max_terms different words the list of them is not sent and all words are indexed.
+    vocabulary = stage(pairs.select(F.explode(F.split("window", " ")).alias("term")).distinct(), "terms")
+    terms = [r["term"] for r in vocabulary.collect()] if vocabulary.count() <= max_terms else None
+    index = build_index(docs, terms)
+    counts = frequencies(index)
     found = []
     for k in range(blocks):
         phrases: dict[str, list[str]] = {}
         own = pairs if blocks == 1 else pairs.where(F.pmod(F.xxhash64("window", "item_id"), F.lit(blocks)) == k)
         for r in own.toLocalIterator():
             phrases.setdefault(r["window"], []).append(r["item_id"])
-        index = build_index(docs, list({w for p in phrases for w in p.split(" ")}))
-        freq = {r["term"]: r["n"] for r in frequencies(index).toLocalIterator()}
+        if k == 0 and blocks > 1:
+            counts = stage(counts, "term-counts")
+        used = own.select(F.explode(F.split("window", " ")).alias("term")).distinct()
+        freq = {r["term"]: r["n"] for r in counts.join(used, "term", "left_semi").toLocalIterator()}
         found.append(search(index, phrases, freq, slop))
     n_hit = F.aggregate(F.zip_with("starts", "ends", lambda s, e: (e - s).cast("long")), F.lit(0).cast("long"), lambda a, x: a + x)
     return (_merged(found)
@@ -258,9 +268,13 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW, slop: i
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
-    """The rows of ``docs``, all columns, without contaminated texts."""
-    bad = (contamination(docs, items, size).where("contaminated")
-           .select(F.col("doc_id").alias("_bad_id"), F.col("text_key").alias("_bad_key")))
-    return docs.withColumn("_bad_row", text_key()).join(
-        bad, F.col("doc_id").cast("long").eqNullSafe(F.col("_bad_id")) & (F.col("_bad_row") == F.col("_bad_key")),
-        "left_anti").drop("_bad_row")
+    """The rows of ``docs``, all columns, without contaminated texts.
+
+    Null and empty texts stay.  Repeated rows go or stay together.  Without rows of ``items``
+    all rows stay; an empty table gives an empty one.  Columns may have any names besides doc_id
+    and text; they are carried, not read.
+    """
+    one, key, row = (free_name(docs, n) for n in ("bad_id", "bad_key", "bad_row"))
+    bad = contamination(docs, items, size).where("contaminated").select(F.col("doc_id").alias(one), F.col("text_key").alias(key))
+    return docs.withColumn(row, text_key()).join(
+        bad, F.col("doc_id").cast("long").eqNullSafe(F.col(one)) & (F.col(row) == F.col(key)), "left_anti").drop(row)
