@@ -134,3 +134,24 @@ def test_long_runs_take_linear_time():
         started = time.perf_counter()
         pii.spans(t)
         assert time.perf_counter() - started < 5, t[:20]
+
+
+PROSE = ["The library is available at github.com for free.", "We shop at amazon.com", "works at node.js level", "file stored at config.yaml",
+         "good at math dot product", "I arrived at work.she left", "Look at example.com", "aim at red dot sights", "dinner at eight dot in the hall",
+         "python3 at python.org", "meet us at 10.30", "the talk at pycon.org was good", "read more at docs.python.org/3", "He laughed at it.and left",
+         "in 2023 at github.com", "click at start dot then wait", "Version two at gitlab.com", "He was at home.then he slept", "founded at mit.edu in May",
+         "the stars at night.they shine", "prices at shop.de rose"]
+
+
+def test_plain_sentences_stay_untouched():
+    """Precision on running text: domains, file names and sentence ends after a bare "at"."""
+    assert [t for t in PROSE if pii.redact_text(t) != t] == []
+
+
+@pytest.mark.parametrize("t,whole", [
+    ("mail bob at shop.de today", "bob at shop.de"), ("his address is bob at shop.de", "bob at shop.de"), ("Contact: bob at shop.de", "bob at shop.de"),
+    ("jane.doe at github.com wrote", "jane.doe at github.com"), ("bob77 at shop.de wrote", "bob77 at shop.de"), ("bob at shop dot de wrote", "bob at shop dot de"),
+    ("bob at shop dot com wrote", "bob at shop dot com"), ("jane dot doe at shop.de wrote", "jane dot doe at shop.de"), ("bob @ shop.de wrote", "bob @ shop.de"),
+])
+def test_addresses_told_by_evidence(t, whole):
+    assert pii.redact_text(t) == t.replace(whole, "[EMAIL]")

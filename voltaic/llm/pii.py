@@ -52,6 +52,13 @@ _TOP_LABEL = re.compile(r"[A-Za-z]{2,24}|xn--[A-Za-z0-9-]+", re.A)
 _NO_DOMAIN = frozenset("the a an this that these those each every any some all his her its their our my your which what www".split())
 _NO_TOP = frozenset("the and or of on if we he she they up that this these those for with from which when where who was were are but not".split())
 _NO_LOCAL = frozenset("is are was were be been and or but it them him her us not only here there".split())
+#: What tells an address with a bare "at" from running text: a request to write right before it,
+#: a name that is written like one, or a bare dot before a label that ends addresses.  Fixed values: the
+#: generic labels, and the two-letter ones that are English words and so tell nothing.
+_ASKED = re.compile(r"(?:^|[^A-Za-z])(?:(?:e-?)?mails?|mailto|contacts?|write|writes|reach|ask|address|send)(?: (?:to|is|me|us|him|her|them))?[ :]+$", re.I | re.A)
+_LIKE_LOCAL = re.compile(r"[A-Za-z][A-Za-z0-9-]*[._+%][A-Za-z]|[A-Za-z]{2}[0-9]{2,}$", re.A)
+_TOPS = frozenset("com org net edu gov mil int info biz name pro museum app dev xyz online site".split())
+_TWO_LETTER_WORDS = frozenset("am an as at be by do go he hi if in is it me my no of oh ok on or so to up us we".split())
 
 
 def luhn(digits: str) -> bool:
@@ -160,6 +167,11 @@ def _addresses(t: str) -> list[tuple[int, int, str]]:
                 continue
             if not dots and words[-1].istitle() and not words[-2].istitle():
                 continue  # two sentences without a space between them
+            top = words[-1].lower()
+            ends = bool(dots) and (top in _TOPS or len(top) == 2 and top not in _TWO_LETTER_WORDS)
+            if at.strip() != "@" and not (ends or _LIKE_LOCAL.search(t[first:lo]) or t[max(first - 5, free):first].lower() == " dot "
+                                          or _ASKED.search(t[max(first - 24, 0):first])):
+                continue
         while t[max(first - 5, free):first].lower() == " dot " and first - 6 >= free and t[first - 6] in _LOCAL:
             k = first - 5
             while k > free and t[k - 1] in _LOCAL:
