@@ -71,7 +71,7 @@ def cmd_load(spark: SparkSession, a) -> int:
             refused += _load_table(spark, read_csv_checked(spark, f"{a.raw}/{name}.csv", schema), base, name,
                                    ts=None, use_watermark=False, partition_by=None)["rejected"]
     fname = "readings_incremental.csv" if a.incremental else "readings.csv"
-    bounds = (a.time_from, a.time_to) if a.time_from and a.time_to else None
+    bounds = (a.time_from, a.time_to) if a.time_from or a.time_to else None  # one end may be open
     refused += _load_table(spark, read_csv_checked(spark, f"{a.raw}/{fname}", READINGS), base, "readings",
                            use_watermark=not a.no_watermark, bounds=bounds,
                            watermark_by="sensor_id" if a.per_sensor_watermark else None)["rejected"]

@@ -135,12 +135,11 @@ def upsert(batch: DataFrame, target: DataFrame, keys: Sequence[str],
     keys = list(keys)
     cols = [c for c in target.columns if c not in keys]
     keep = [c for c in cols if c not in update_cols]
-    # Both ends of every key by group limits, so a hot key is cut down before the shuffle.
-    newest = (last_per_key(batch.select(*keys, F.struct(*update_cols).alias("_u"), F.col(order).alias("_o")), keys, "_o")
-              .drop("_o").withColumn("_new", F.lit(True)))
+    # Both ends of every key in one aggregate; partial ends cut a hot key down before the shuffle.
+    ends = [F.max(F.struct(F.col(order).alias("_o"), F.struct(*update_cols).alias("_u")))["_u"].alias("_u")]
     if keep:
-        rest = first_per_key(batch.select(*keys, F.struct(*keep).alias("_k"), F.col(order).alias("_o")), keys, "_o").drop("_o")
-        newest = newest.join(rest, keys)
+        ends.append(F.min(F.struct(F.col(order).alias("_o"), F.struct(*keep).alias("_k")))["_k"].alias("_k"))
+    newest = batch.groupBy(*keys).agg(*ends).withColumn("_new", F.lit(True))
     old = target.withColumn("_old", F.lit(True))
     m = old.join(newest, keys, "full_outer")
     out = []
@@ -220,6 +219,13 @@ def plan_insert(batch: DataFrame, target: DataFrame | None, keys: Sequence[str],
             .withColumn("_exists", F.coalesce(F.col("_hit"), F.lit(False))).drop("_hit"))
 
 
+def store_rejects(rejects: DataFrame, path: str) -> None:
+    """Keep refused rows under ``path`` in a partition (``batch``) named by what they hold, so that a
+    load that is retried after it failed between rejects and inserts stores them once."""
+    what = rejects.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*rejects.columns).cast("decimal(38,0)")).alias("h")).first()
+    rejects.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={what['n']}_{what['h']}")
+
+
 def load(spark: SparkSession, batch: DataFrame, target_path: str, keys: Sequence[str],
          order: str, ts: str | None = "recorded_at", use_watermark: bool = True,
          partition_by: str | None = "month", sort_by: Sequence[str] = ("sensor_id",),
@@ -230,7 +236,8 @@ def load(spark: SparkSession, batch: DataFrame, target_path: str, keys: Sequence
 
     1. rejects: an earlier ``_reject`` reason, a NULL key or time, a broken rule of ``rules``, a
     time outside ``bounds`` (lo <= ts < hi), a foreign key missing in ``references`` (see
-    :func:`voltaic.operators.rules.with_rejects`); appended to ``rejects_path`` when given
+    :func:`voltaic.operators.rules.with_rejects`); kept under ``rejects_path`` when given, the
+    same ones once however often the load is retried
     2. watermark (optional) 3. first-wins dedup 4. skip existing keys.  The batch is evaluated
     once: its rows are staged with their fate, and counts, rejects and inserts all come from
     the staged rows.  The insert is one append job (all-or-nothing commit), clustered on
@@ -268,8 +275,7 @@ def load(spark: SparkSession, batch: DataFrame, target_path: str, keys: Sequence
         k = planned.agg(F.count(F.lit(1)).alias("keys"), F.count_if("_exists").alias("conflict")).first()
         n_ins = k["keys"] - k["conflict"]
         if b["rejected"] and rejects_path:
-            (rows.filter(F.col(REJECT).isNotNull()).drop("_late", order).write.mode("append")
-             .parquet(rejects_path))
+            store_rejects(rows.filter(F.col(REJECT).isNotNull()).drop("_late", order), rejects_path)
         if n_ins:
             inserts = planned.filter(~F.col("_exists")).drop("_exists", order)
             if partition_by == "month":

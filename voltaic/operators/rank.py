@@ -5,9 +5,10 @@ no PARTITION BY, so every row goes to one task.  Here the same numbers are
 computed distributed:
 
 1. stage the rows (range partitioning samples its input, which would evaluate
-   the plan before it twice), range-partition them on (value, tie breaker) and
-   stage them with their partition id; rows of one value may spread over many
-   partitions, so a hot value (or many NULLs) is no single task;
+   the plan before it twice), range-partition them on (value, tie breaker) into as many
+   parts as ROWS_PER_PART asks for and stage them with their part's number; rows of one value may
+   spread over many parts, so a hot value (or many NULLs) is no single task.  Rows that
+   are one part need no second copy;
 2. count rows per (partition, group) and sum the counts of the partitions
    before, which gives start offsets;
 3. number the rows inside each partition and add the offset: the row number
@@ -26,6 +27,9 @@ from pyspark.sql import functions as F
 
 from .stage import stage
 
+#: Rows of one part, about; one task sorts a part.
+ROWS_PER_PART = 250_000
+
 
 def distributed_ranks(df: DataFrame, value: str, tie_breaker: str, group: str | None = None,
                       tiles: int = 4, partitions: int | None = None) -> DataFrame:
@@ -35,10 +39,11 @@ def distributed_ranks(df: DataFrame, value: str, tie_breaker: str, group: str |
     ``_pct_rank`` (PERCENT_RANK over value ASC NULLS LAST)."""
     order = [F.col(value).desc_nulls_first(), F.col(tie_breaker).asc_nulls_first()]
     df = stage(df, "rank-input")
-    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
-    rows = stage(ranged.withColumn("_pid", F.spark_partition_id()), "rank-ranged")
-    totals = rows.agg(F.count(F.lit(1)).alias("n"), F.count(F.col(value)).alias("valid")).first()
+    totals = df.agg(F.count(F.lit(1)).alias("n"), F.count(F.col(value)).alias("valid")).first()
     n_total, n_valid = totals["n"], totals["valid"]
+    parts = partitions or max(1, -(-n_total // ROWS_PER_PART))
+    rows = (stage(df.repartitionByRange(parts, *order).withColumn("_pid", F.spark_partition_id()), "rank-ranged") if parts > 1
+            else df.withColumn("_pid", F.lit(0)))
 
     def numbered_from(counts, by):
         """Rows before every partition, of the same group where there is one: a window over one

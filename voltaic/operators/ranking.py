@@ -91,10 +91,13 @@ def top_efficiency(readings: DataFrame, sensors: DataFrame, facilities: DataFram
     """
     d = dims(sensors, facilities, sensor_filter=F.col("sensor_type") == F.lit(sensor_type),
              columns=["facility_name", "capacity_mw"])
-    j = enrich(readings, d)
-    agg = (j.groupBy("facility_name", "capacity_mw")
-           .agg(F.avg(safe_div(as_double("value"), as_double("capacity_mw")) * F.lit(100.0))
-                .alias("eff")))
+    # Capacity is one value in a group, so the mean of the ratios is the ratio of the mean, and
+    # readings are reduced per sensor before the join.
+    v = as_double("value")
+    per_sensor = readings.groupBy("sensor_id").agg(F.sum(v).alias("_s"), F.count(v).alias("_n"))
+    agg = (enrich(per_sensor, d).groupBy("facility_name", "capacity_mw")
+           .agg(F.try_divide(F.sum("_s"), F.sum("_n")).alias("_mean"))
+           .withColumn("eff", safe_div(F.col("_mean"), as_double("capacity_mw")) * F.lit(100.0)))
     return (agg.select("facility_name", as_double("capacity_mw").alias("capacity_mw"),
                        round_half("eff", 2).alias("avg_efficiency_pct"))
             .orderBy(F.col("avg_efficiency_pct").desc_nulls_first(), "facility_name", "capacity_mw")

@@ -35,7 +35,8 @@ def broken_rule(df: DataFrame, rules: TableRules) -> Column:
 def with_rejects(df: DataFrame, rules: TableRules | None = None, keys=(), ts: str | None = None,
                  references: dict[str, DataFrame] | None = None, bounds: tuple | None = None) -> DataFrame:
     """``df`` with ``_reject``: an earlier reason (as from a CSV scan), else ``missing <key>``,
-    else the first broken rule, else ``outside the range <ts>``, else ``no such <column>`` for
+    else the first broken rule, else ``outside the range <ts>`` (lo <= ts < hi; an end that is None
+    is open), else ``no such <column>`` for
     a foreign key that the referenced table (``references``: column -> frame whose first
     column holds the keys) does not have.  NULL foreign keys are not looked up."""
     d = df if REJECT in df.columns else df.withColumn(REJECT, F.lit(None).cast("string"))
@@ -44,8 +45,10 @@ def with_rejects(df: DataFrame, rules: TableRules | None = None, keys=(), ts: st
     if rules is not None:
         reasons.append(broken_rule(df, rules))
     if bounds is not None and ts:
-        lo, hi = (F.lit(x).cast(df.schema[ts].dataType) for x in bounds)
-        reasons.append(F.when((F.col(ts) < lo) | (F.col(ts) >= hi), F.lit(f"outside the range {ts}")))
+        at = lambda x: F.lit(x).cast(df.schema[ts].dataType)
+        lo, hi = bounds
+        outside = [F.col(ts) < at(lo)] * (lo is not None) + [F.col(ts) >= at(hi)] * (hi is not None)
+        reasons += [F.when(o, F.lit(f"outside the range {ts}")) for o in outside]
     d = d.withColumn(REJECT, F.coalesce(*reasons))
     for c, table in (references or {}).items():
         known = sized_broadcast(table.select(F.col(table.columns[0]).alias(c)).where(F.col(c).isNotNull()).distinct()

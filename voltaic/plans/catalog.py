@@ -8,6 +8,7 @@ are mapped to the adapter's equivalents here, in one place.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,11 +19,12 @@ from ..functions.numeric import round_half
 from ..operators import layout, load, lookup, monthly, quality, ranking, reports, scoring, suite, timeseries
 from ..schemas import RULES
 from ..sources.csv import read_csv_typed, split_corrupt
-from ..sources.defaults import evolve_union
+from ..sources.defaults import add_column, create_table, evolve_union
 from ..sources.payload import declared_series, json_field, missing_slices, payload_documents, payload_rows, read_payload
 from ..sources.sinks import json_envelope
 from ..session import ensure_defaults, scratch_path
 from ..streaming import stateful
+from .runner import run_reports
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -138,7 +140,7 @@ def q_series_comparison(spark, sf):
     d = A.shipments_domain(spark, sf)
     s = A.orders_series(spark, sf)
     return scoring.series_comparison(s, d.readings, d.sensors, d.facilities,
-                                     SERIES_METRIC, SHIP_WIND_TYPE, SHIP_POWER_SENSOR)
+                                     SERIES_METRIC, SHIP_WIND_TYPE, SHIP_POWER_SENSOR, method="scalar")
 
 
 @register("pearson_test")
@@ -156,7 +158,7 @@ def q_dash_normalized(spark, sf):
     d = A.shipments_domain(spark, sf)
     s = A.orders_series(spark, sf)
     return scoring.normalized_monthly(s, d.readings, d.sensors, d.facilities,
-                                      SERIES_METRIC, SHIP_WIND_TYPE, SHIP_POWER_SENSOR)
+                                      SERIES_METRIC, SHIP_WIND_TYPE, SHIP_POWER_SENSOR, method="scalar")
 
 
 @register("resample_hourly")
@@ -595,6 +597,65 @@ def q_gap_counts(spark, sf):
     return timeseries.gap_counts(_thinned(spark, sf))
 
 
+def _table_name(kind: str) -> str:
+    return f"voltaic_{kind}_{uuid.uuid4().hex[:12]}"
+
+
+@register("scan_catalog_default")
+def q_scan_catalog_default(spark, sf):
+    """L14/C5 in the catalog: rows stored before ADD COLUMN get its default on read, rows that
+    do not give it get it on write, and a NULL that is given stays."""
+    s, name = A.orders_series(spark, sf), _table_name("grid")
+    cut = lambda t: F.lit(t).cast("timestamp_ntz")
+    old = s.filter(F.col("recorded_at") < cut("1996-01-01")).drop("source")
+    create_table(old, name, scratch_path(spark, "grid-evolved"))
+    add_column(spark, name, "source", "string", "'fingrid'")
+    add_column(spark, name, "source", "string", "'again'")  # IF NOT EXISTS
+    given = s.filter(F.col("recorded_at") >= cut("1997-01-01"))
+    given.withColumn("source", F.when(F.col("dataset_id") != 3, F.col("source"))).write.insertInto(name)
+    between = s.filter((F.col("recorded_at") >= cut("1996-01-01")) & (F.col("recorded_at") < cut("1997-01-01")))
+    between.createOrReplaceTempView(f"{name}_between")
+    columns = ", ".join(old.columns)
+    spark.sql(f"INSERT INTO {name} ({columns}) SELECT {columns} FROM {name}_between")
+    return spark.table(name)
+
+
+@register("top3_bucketed")
+def q_top3_bucketed(spark, sf):
+    """P7 over a bucketed table: the window needs no shuffle of the readings."""
+    d, name = A.shipments_domain(spark, sf), _table_name("readings")
+    layout.write_bucketed(d.readings, name, scratch_path(spark, "readings-bucketed"), 8)
+    return ranking.top_readings_per_sensor(spark.table(name), d.sensors, d.facilities, "1998-12-01", "1999-01-01", 3)
+
+
+@register("report_runner")
+def q_report_runner(spark, sf):
+    """Reports run by name to CSV folders, one fails half-way and leaves nothing: what the
+    runner says, and the rows that a reader finds."""
+    d = A.events_domain(spark, sf)
+    broken = d.readings.select(F.lit(1) / (F.col("sensor_id") - 5))
+    asked = {"b_fails": lambda s: broken, "c_trend": lambda s: reports.anomaly_trend(d.readings),
+             "a_rates": lambda s: quality.anomaly_rate_by_facility(d.readings, d.sensors, d.facilities)}
+    out = scratch_path(spark, "reports")
+    done = run_reports(spark, asked, out, "20240101_000000")
+    rows = [(k, r["name"], r["ok"], r["rows"], spark.read.csv(r["path"], header=True).count() if r["ok"] else load.path_exists(spark, f"{out}/{r['name']}_20240101_000000") * 1)
+            for k, r in enumerate(done, 1)]
+    return spark.createDataFrame(rows, "place int, report string, ok boolean, n_rows bigint, n_found bigint")
+
+
+@register("series_by_metric_and_time")
+def q_series_by_metric(spark, sf):
+    """The external series upserted into its table, which lies by month, metric and time, and
+    one metric read over a time range."""
+    path = scratch_path(spark, "grid-table")
+    s = A.orders_series(spark, sf).withColumn("_ord", F.struct("value", "metric"))
+    s = s.filter((F.col("recorded_at") >= F.lit("1997-06-01").cast("timestamp_ntz")) & (F.col("recorded_at") < F.lit("1997-12-01").cast("timestamp_ntz")))
+    load.upsert_table(spark, s, path, ["dataset_id", "recorded_at"], ["value", "metric", "source"], "_ord")
+    t = spark.read.parquet(path)
+    return t.filter((F.col("metric") == SERIES_METRIC) & layout.month_range_filter("1997-07-10", "1997-08-20") & F.col("recorded_at").between(
+        F.lit("1997-07-10").cast("timestamp_ntz"), F.lit("1997-08-20").cast("timestamp_ntz"))).drop("month")
+
+
 # ---------------------------------------------------------------- arriving files
 
 def _arrivals(spark, sf):

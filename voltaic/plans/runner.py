@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.sinks import run_stamp, write_report_csv
+from ..sources.sinks import commit_report, run_stamp
 
 Report = Callable[[SparkSession], DataFrame]
 
@@ -16,16 +16,15 @@ def run_reports(spark: SparkSession, reports: Mapping[str, Report], out_dir: str
                 stamp: str | None = None) -> list[dict]:
     """Run ``reports`` in lexicographic order of their names.
 
-    Each result is written once; the row count is read from what was
-    written (a cheap pass over the small output, not a recomputation of the
-    report).  Returns one dict per report: name, ok, rows, path, error.
+    Each result is written once, all or nothing, and the writing job counts its rows
+    (:func:`voltaic.sources.sinks.commit_report`).  Returns one dict per report: name, ok, rows,
+    path, error.
     """
     stamp = stamp or run_stamp()
     out = []
     for name in sorted(reports):
         try:
-            path = write_report_csv(reports[name](spark), out_dir, name, stamp)
-            rows = spark.read.option("header", "true").csv(path).count()
+            path, rows = commit_report(reports[name](spark), out_dir, name, stamp)
             out.append({"name": name, "ok": True, "rows": rows, "path": path, "error": None})
         except Exception as e:  # noqa: BLE001 — a failed report must not stop the run
             out.append({"name": name, "ok": False, "rows": None, "path": None,

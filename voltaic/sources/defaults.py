@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -18,6 +18,23 @@ def with_defaults(df: DataFrame, defaults: dict[str, object]) -> DataFrame:
     return df
 
 
+def add_column(spark: SparkSession, table: str, name: str, kind: str, default: str) -> None:
+    """ADD COLUMN IF NOT EXISTS ... DEFAULT on a catalog table of Parquet files.
+
+    No file is rewritten: the catalog keeps the default as the column's existence default, which readers
+    give to rows of files without the column.  Later rows get it where the column is not given; a NULL
+    that is given stays.  ``default`` is a SQL literal."""
+    if name.lower() not in (c.lower() for c in spark.table(table).columns):
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS (`{name}` {kind} DEFAULT {default})")
+
+
+def create_table(df: DataFrame, table: str, path: str) -> None:
+    """A catalog table of Parquet files at ``path`` with the columns of ``df``, and its rows."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    df.sparkSession.sql(f"CREATE TABLE {table} ({columns}) USING parquet LOCATION '{path}'")
+    df.write.insertInto(table)
+
+
 def evolve_union(old: DataFrame, new: DataFrame, defaults: dict[str, object]) -> DataFrame:
     """Union of data written before and after ``ADD COLUMN ... DEFAULT``.
 

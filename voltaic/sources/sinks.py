@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +31,27 @@ def write_report_csv(df: DataFrame, out_dir: str, name: str, stamp: str | None =
     return path
 
 
+def commit_report(df: DataFrame, out_dir: str, name: str, stamp: str | None = None, single_file: bool = False) -> tuple[str, int]:
+    """Write a report like :func:`write_report_csv`, all or nothing: under a name that readers skip, then
+    renamed; a report that fails leaves no folder.  Returns the folder and the number of rows, which
+    the writing job itself counts (its last stage counts every task once), so nothing is read again."""
+    spark, seen = df.sparkSession, Observation()
+    path = f"{out_dir.rstrip('/')}/{name}_{stamp or run_stamp()}"
+    part = f"{out_dir.rstrip('/')}/_{name}_{uuid.uuid4().hex}"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(hadoop.Path(path)):
+        raise FileExistsError(path)
+    rows = df.coalesce(1) if single_file else df
+    try:
+        rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.option("header", "true").csv(part)
+        if not fs.rename(hadoop.Path(part), hadoop.Path(path)):
+            raise FileExistsError(path)
+    finally:
+        fs.delete(hadoop.Path(part), True)
+    return path, int(seen.get["rows"])
+
+
 def json_ready(df: DataFrame) -> DataFrame:
     """Decimals -> double, timestamps -> ISO-8601 text (API row format)."""
     cols = []
