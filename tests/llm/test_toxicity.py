@@ -87,3 +87,90 @@ def test_edges_of_input(spark):
     assert x.score(df, odd).count() == 5
     assert x.score(df.limit(0), odd).count() == 0
     assert x.drop_toxic(df, none).columns == df.columns and x.drop_toxic(df, none).count() == 5
+
+
+def test_whole_index_is_exact():
+    """Against dense cosines of all words, words that no example has included."""
+    from voltaic.llm import whole_texts as w
+    r = random.Random(3)
+    draw = lambda: {b"w%d" % min(int(r.paretovariate(.6)), 400): r.randint(1, 4) for _ in range(r.randint(0, 40))}
+    texts = [draw() for _ in range(300)]
+    texts += [{k: n for k, n in t.items() if r.random() < .9} for t in texts[:100]] + texts[:5]
+    found = {}
+    for t in texts:
+        for k in t:
+            found[k] = found.get(k, 0) + 1
+    weights = w.Weights(found, 1000)
+    every = [weights.vector(t) for t in texts]
+    index = w.WholeTexts(every, len(found), block=16)
+
+    def dense(v):
+        out = np.zeros(len(found))
+        out[v[0]] = v[1]
+        return out
+    matrix = np.array([dense(v) for v in every])
+    n = 0
+    for k, t in enumerate(texts[:60] + [draw() | {b"unseen": 2} for _ in range(60)]):
+        v = weights.vector(t)
+        assert sum(x * x for x in v[1]) <= 1 + 1e-9 and (b"unseen" not in t or sum(x * x for x in v[1]) < 1)
+        want = matrix @ dense(v)
+        for floor in (.3, .6, .95):
+            got, sims = index.near(*v, floor)
+            assert sorted(got.tolist()) == np.flatnonzero(want >= floor - 1e-9).tolist()
+            assert np.allclose(sims, want[got])
+            n += len(got)
+        assert k not in index.near(*every[k], .3, without=k)[0].tolist()
+    assert n > 300
+
+
+def test_rare_words_of_an_example_tell(spark):
+    """A toxic example of five words that nothing else has, and texts near and far from it."""
+    texts, toxic = corpus(500)
+    rare = "qarzul mibbet dronkel vuspar hexlim"
+    at = next(k for k in range(500, 600) if zlib.crc32(str(k).encode()) % 4 != 2)
+    more = {at: rare, 9001: rare, 9002: rare + " " + texts[0].split()[0], 9003: texts[0], 9004: "qarzul " + texts[0]}
+    labels = spark.createDataFrame([(k, 1, t) for k, t in enumerate(toxic)] + [(at, 1, 1)], LABELS)
+    rows = {r.doc_id: r for r in x.score(frame(spark, texts + list(more.values()), ids=[*range(500), *more]), labels).collect()}
+    assert rows[at].predicted == rows[9001].predicted == rows[9002].predicted == 1
+    assert rows[9001].evidence[0] == at and rows[9001].similarity[0] == 1
+    assert rows[9003].score == rows[0].score and rows[9004].predicted == rows[0].predicted
+
+
+def test_score_is_the_votes_of_dense_cosines(spark):
+    """The whole-text side of every score, from dense vectors over all words."""
+    texts, toxic = corpus(260, seed=8)
+    labels = spark.createDataFrame([(k, 1, t) for k, t in enumerate(toxic)], LABELS)
+    df = frame(spark, texts + texts[:40] + [t + " extra" for t in texts[40:80]])
+    model = x.fit(df, labels)
+    all_texts = [r.text for r in df.orderBy("doc_id").collect()]
+    words = sorted({w for t in all_texts for w in t.split()})
+    spot = {w: k for k, w in enumerate(words)}
+    has = np.zeros(len(words))
+    known = {w for i in model.ids for w in texts[i].split()}
+    for t in all_texts:
+        has[[spot[w] for w in set(t.split())]] += 1
+    idf = np.array([math.log(1 + len(all_texts) / (1 + (has[k] if w in known else 1))) for k, w in enumerate(words)])
+
+    def dense(t):
+        v = np.zeros(len(words))
+        for w in set(t.split()):
+            v[spot[w]] = (1 + math.log(t.split().count(w))) * idf[spot[w]]
+        return v / (np.linalg.norm(v) or 1)
+    matrix = np.array([dense(texts[i]) for i in model.ids])
+    numbers = {k.encode("latin-1"): n for n, k in enumerate(model.terms)}
+    scorer, near = x.Scorer(model), 0
+    for t in all_texts[200:]:
+        counts = x.whole_texts.counted(t.encode())
+        got = x._picked(counts, numbers)
+        telling = model.unit(tuple(sorted(got)), tuple(got[k] for k in sorted(got)))
+        same = [sum(telling.get(k, 0) * v for k, v in o.items()) if telling or o else 1.0 for o in model.own]
+        sims = matrix @ dense(t) * np.array(same)
+        votes = np.flatnonzero(sims >= x.NEAR)
+        p = model.index.vote(tuple(sorted(got)), tuple(got[k] for k in sorted(got)))[0]
+        if len(votes):
+            near += 1
+            w = 1 / (1.05 - sims[votes])
+            share = ((sims.max() - x.NEAR) / (1 - x.NEAR)) ** 2
+            p = (1 - share) * p + share * (w * model.labels[votes]).sum() / w.sum()
+        assert math.isclose(scorer(t.encode())[0], min(1, max(0, np.interp(p, *model.knots))), abs_tol=1e-9)
+    assert near > 60

@@ -2,17 +2,24 @@
 
 Fit (on a bounded, documented sample of labelled rows):
 
-* one example is kept of every group of near copies (a min-hash of word triples), so a text
-  copied many times does not make its words look telling;
-* terms are words and word beginnings; those that toxic examples hold significantly more
-  often (likelihood ratio) make up the vocabulary, of bounded size;
-* inverse document frequencies of these terms are counted over all documents;
-* examples with equal vectors become one prototype that carries the label counts;
+* one example is kept of every group of near copies (several min-hashes of word triples agree), so
+  a text copied many times does not make its words look telling;
+* telling terms are words and word beginnings that toxic examples hold significantly more
+  often (likelihood ratio), a bounded number;
+* document frequencies of the telling terms and of all words of the examples are counted over
+  all documents;
+* examples with equal vectors of telling terms become one prototype that carries the label counts;
 * scores are calibrated by isotonic regression on leave-one-out votes.
 
-Scoring: a document's vector is compared with the prototypes by exact cosine over an
-inverted index whose posting lists are cut into blocks; a block whose largest possible
-similarity (its maximum weights times the query) is below the k-th best so far is skipped.
+Scoring compares a document with the examples in two ways, both by exact cosine over block-max
+inverted indexes:
+
+* whole texts (:mod:`voltaic.llm.whole_texts`), all words; what differs in telling terms counts for
+  less: the similarity is the cosine of the whole vectors times that of the telling terms;
+* telling terms alone, among the prototypes, so that a few of them tell in a long text.
+
+Both give distance-weighted votes.  The closer the nearest whole text, the more its side decides:
+alone at a copy, not at all below NEAR.
 """
 
 from __future__ import annotations
@@ -26,7 +33,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.stage import stage
-from .common import arrow_schema, ddl, record_batch, texts, words
+from . import whole_texts
+from .common import ddl, record_batch, texts, words
 
 #: Labelled rows that the model is fitted on, at most.
 MAX_EXAMPLES = 20_000
@@ -42,6 +50,10 @@ BLOCK = 64
 #: Prototypes whose leave-one-out votes calibrate the scores, at most.
 MAX_CALIBRATION = 1_500
 THRESHOLD = 0.3
+#: Least similarity of whole texts that vote.
+NEAR = 0.6
+#: Min-hashes that near copies among the examples share.
+HASHES = 3
 
 _VECTOR = {"doc_id": "long", "terms": "array<int>", "counts": "array<int>"}
 _SCORE = {"doc_id": "long", "score": "double", "evidence": "array<long>", "similarity": "array<double>"}
@@ -79,7 +91,8 @@ def _picked(counts: dict[bytes, int], ids: dict[bytes, int]) -> dict[int, int]:
 
 def _signature(ws: list[bytes]) -> int:
     triples = {b" ".join(ws[k:k + 3]) for k in range(max(1, len(ws) - 2))}
-    return min(xxhash.xxh64_intdigest(t, 5) for t in triples) - 2**63
+    least = [min(xxhash.xxh64_intdigest(t, 5 + seed) for t in triples) for seed in range(HASHES)]
+    return xxhash.xxh64_intdigest(repr(least)) - 2**63
 
 
 def _ratio(a, b, pos: int, neg: int):
@@ -261,95 +274,145 @@ def isotonic(x: list[float], y: list[float], weight: list[float]) -> tuple[list[
 
 
 class Model:
-    def __init__(self, index: BlockMaxIndex, knots: tuple[list[float], list[float]], prior: float, terms: list[str]):
+    def __init__(self, index: BlockMaxIndex, knots: tuple[list[float], list[float]], prior: float, terms: list[str],
+                 weights: whole_texts.Weights, whole: whole_texts.WholeTexts, labels: np.ndarray, ids: list, own: list[dict[int, float]]):
+        """own: every example's unit vector of telling terms."""
         self.index, self.knots, self.prior, self.terms = index, knots, prior, terms
+        self.weights, self.whole, self.labels, self.ids, self.own = weights, whole, labels, ids, own
+
+    def unit(self, terms, counts) -> dict[int, float]:
+        return dict(zip(*self.index.weights(terms, counts)))
+
+    def whole_vote(self, vector, telling: dict[int, float], without: int | None = None):
+        """How much whole texts decide (0 to 1), their vote, similarities and examples, nearest first."""
+        found, sims = self.whole.near(*vector, NEAR, without)
+        same = [sum(w * self.own[k].get(t, 0.0) for t, w in telling.items()) if telling and self.own[k] else float(not telling and not self.own[k])
+                for k in found.tolist()]
+        sims = np.round(sims * np.array(same, float), 12)
+        kept = sims >= NEAR
+        found, sims = found[kept], sims[kept]
+        if not len(found):
+            return 0.0, 0.0, sims, found
+        order = np.lexsort((found, -sims))
+        found, sims = found[order], sims[order]
+        w = 1 / (1 - sims + 0.05)
+        return ((float(sims[0]) - NEAR) / (1 - NEAR)) ** 2, float((w * self.labels[found]).sum() / w.sum()), sims, found
 
-    def score(self, terms, counts) -> tuple[float, list[int], list[float]]:
+    def votes(self, vector, terms, counts, leave: tuple[int, int, int] | None = None, telling=None):
+        """The joint vote, and similarities and doc_ids of its evidence.
+
+        leave: (example, prototype, label) that must not vote for itself.  telling: the answer of
+        the prototypes, where it is known already."""
+        p, sims, near = telling or self.index.vote(terms, counts, leave=leave[1:] if leave else None)
+        share, q, wsims, found = self.whole_vote(vector, self.unit(terms, counts), leave[0] if leave else None)
+        ids = [self.ids[k] for k in found.tolist()] + [self.index.ids[k] for k in near]
+        return (1 - share) * p + share * q, wsims.tolist() + list(sims), ids
+
+    def score(self, words_counted: dict[bytes, int], terms, counts, telling=None) -> tuple[float, list[int], list[float]]:
         if not self.index.protos:
             return self.prior, [], []
-        vote, sims, near = self.index.vote(terms, counts)
+        vote, sims, ids = self.votes(self.weights.vector(words_counted), terms, counts, None, telling)
         p = float(np.interp(vote, *self.knots)) if self.knots[0] else vote
-        return min(1.0, max(0.0, p)), [self.index.ids[k] for k in near[:NEIGHBOURS]], sims[:NEIGHBOURS].tolist()
+        shown: dict[int, float] = {}
+        for i, x in zip(ids, sims):
+            shown.setdefault(i, float(x))
+        return min(1.0, max(0.0, p)), list(shown)[:NEIGHBOURS], list(shown.values())[:NEIGHBOURS]
+
 
+class Scorer:
+    """Scores texts; the prototypes' answer to a vector of telling terms is kept for the next text."""
 
-def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES) -> tuple[Model, DataFrame]:
-    """The model, and the staged vectors of all documents that its frequencies come from."""
+    def __init__(self, model: Model):
+        self.model, self.known = model, {}
+        self.numbers = {k.encode("latin-1"): n for n, k in enumerate(model.terms)}
+
+    def __call__(self, text: bytes | None) -> tuple[float, list[int], list[float]]:
+        counts = whole_texts.counted(text)
+        got = _picked(counts, self.numbers)
+        terms = tuple(sorted(got))
+        key = terms, tuple(got[k] for k in terms)
+        if self.model.index.protos and key not in self.known:
+            if len(self.known) > 10_000:
+                self.known.clear()
+            self.known[key] = self.model.index.vote(*key)
+        return self.model.score(counts, *key, self.known.get(key))
+
+
+def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES) -> Model:
+    """The model; the driver sees max_examples vectors and the counts of their words."""
     sample = stage(examples(docs, labels, max_examples), "toxicity-sample")
     terms = vocabulary(sample)
-    every = stage(vectors(docs, terms), "toxicity-vectors")
-    total = every.count()
-    df = {r["t"]: r["n"] for r in every.select(F.explode("terms").alias("t")).groupBy("t")
-          .agg(F.count(F.lit(1)).alias("n")).collect()}  # a row for each of MAX_TERMS at most
-    idf = np.array([math.log(1 + total / (1 + df.get(k, 0))) for k in range(len(terms))])
-    own = vectors(sample, terms).join(F.broadcast(sample.select("doc_id", "toxic")), "doc_id")
-    protos = [(tuple(r["terms"]), tuple(r["counts"]), r["pos"], r["n"] - r["pos"], r["doc_id"]) for r in
-              own.groupBy("terms", "counts").agg(F.sum("toxic").alias("pos"), F.count(F.lit(1)).alias("n"),
-                                                 F.min("doc_id").alias("doc_id")).collect()]  # max_examples at most
+    every = vectors(docs, terms).select("terms")
+    counted = {r["t"]: r["n"] for r in every.select(F.explode(F.concat("terms", F.array(F.lit(-1)))).alias("t")).groupBy("t")
+               .agg(F.count(F.lit(1)).alias("n")).collect()}  # a row for each of MAX_TERMS at most, and all documents
+    total = counted.get(-1, 0)
+    idf = np.array([math.log(1 + total / (1 + counted.get(k, 0))) for k in range(len(terms))])
+    weights = whole_texts.Weights(whole_texts.frequencies(docs, sample), total)
+    told = {r["doc_id"]: (tuple(r["terms"]), tuple(r["counts"])) for r in vectors(sample, terms).toLocalIterator()}
+    wholes, toxic, ids = [], [], []
+    for r in whole_texts.vectors(sample, weights).orderBy("doc_id").toLocalIterator():
+        wholes.append((np.array(r["ids"], np.int64), np.array(r["weights"], float)))
+        toxic.append(r["toxic"])
+        ids.append(r["doc_id"])
+    groups: dict[tuple, list[int]] = {}
+    for k, i in enumerate(ids):
+        groups.setdefault(told[i], []).append(k)
+    protos = [(*key, sum(toxic[k] for k in own), sum(1 - toxic[k] for k in own), min(ids[k] for k in own)) for key, own in groups.items()]
     index = BlockMaxIndex(protos, idf)
-    n = index.votes.sum()
-    prior = float((index.votes[:, 0].sum() + 0.05) / (n + 1)) if n else 0.0
+    number = {p[:2]: k for k, p in enumerate(index.protos)}
+    n = len(ids)
+    prior = (sum(toxic) + 0.05) / (n + 1) if n else 0.0
+    model = Model(index, ([], []), prior, terms, weights, whole_texts.WholeTexts(wholes, len(weights.ids)), np.array(toxic, float), ids,
+                  [dict(zip(*index.weights(*told[i]))) for i in ids])
     x, y, w = [], [], []
-    chosen = sorted(range(len(index.protos)), key=lambda k: (bool(index.protos[k][0]), xxhash.xxh64_intdigest(repr(index.protos[k][:2]), 3)))
-    for k in chosen[:MAX_CALIBRATION]:
-        for label in (1, 0):
-            count = index.votes[k][1 - label]
-            if count:
-                x.append(index.vote(*index.protos[k][:2], leave=(k, label))[0])
-                y.append(float(label))
-                w.append(float(count))
-    return Model(index, isotonic(x, y, w), prior, terms), every
+    for label in (1, 0):
+        own = sorted((k for k in range(n) if toxic[k] == label), key=lambda k: xxhash.xxh64_intdigest(str(ids[k]), 3))
+        chosen = own[:MAX_CALIBRATION // 2]
+        for k in chosen:
+            key = told[ids[k]]
+            x.append(model.votes(wholes[k], *key, leave=(k, number[key], label))[0])
+            y.append(float(label))
+            w.append(len(own) / len(chosen))
+    model.knots = isotonic(x, y, w)
+    return model
 
 
 def score(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted, evidence, similarity.
 
     score depends on the text alone, so equal texts score alike; null and empty texts have no
-    terms and score like other texts without telling terms.  evidence lists the doc_ids of the
-    nearest examples (one for each distinct vector), similarity their cosines.  Labels other
+    words and score like other texts without telling terms.  evidence lists the doc_ids of the
+    nearest examples, whole texts first, similarity what they were found by.  Labels other
     than 0 and 1 are skipped; a document labelled twice counts as toxic if any label says
     so.  Without usable labels every score is 0.  A null doc_id is not held out.  Repeated
     rows give repeated rows; an empty table gives none.  Other columns are not read.
     """
-    model, every = fit(docs, labels, max_examples)
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # MAX_TERMS and max_examples bound it
+    sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, max_examples))  # max_examples bounds it
 
     def run(batches):
-        known, model = {}, sent.value
+        scorer = Scorer(sent.value)
         for b in batches:
-            out = []
-            for t, c in zip(b.column("terms").to_pylist(), b.column("counts").to_pylist()):
-                key = (tuple(t), tuple(c))
-                if key not in known:
-                    if len(known) > 100_000:
-                        known.clear()
-                    known[key] = model.score(*key)
-                out.append(known[key])
+            out = [scorer(t) for t in texts(b)]
             yield record_batch(_SCORE, {"doc_id": b.column("doc_id").to_pylist(), "score": [x[0] for x in out],
                                         "evidence": [x[1] for x in out], "similarity": [x[2] for x in out]})
 
-    return (every.mapInArrow(run, ddl(_SCORE))
+    return (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, ddl(_SCORE))
             .select("doc_id", held_out().alias("held_out"), "score",
                     (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "evidence", "similarity"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs``, all columns, that score below ``threshold``; nothing is shuffled."""
-    model, _ = fit(docs, labels)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    """The rows of ``docs``, all columns, that score below ``threshold``; nothing is shuffled.
+
+    Null and empty texts score like others without telling terms.  Repeated rows go or stay together.
+    Without usable labels all rows stay; an empty table gives an empty one.  Columns may have
+    any names besides doc_id and text; they are carried, not read.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
 
     def run(batches):
-        model, known = sent.value, {}
-        ids = {k.encode("latin-1"): n for n, k in enumerate(model.terms)}
+        scorer = Scorer(sent.value)
         for b in batches:
-            keep = []
-            for t in texts(b):
-                got = _picked(Counter(words(t)), ids)
-                key = tuple(sorted(got.items()))
-                if key not in known:
-                    if len(known) > 100_000:
-                        known.clear()
-                    known[key] = model.score(tuple(k for k, _ in key), tuple(n for _, n in key))[0]
-                keep.append(known[key] < threshold)
-            yield b.filter(np.array(keep, bool))
+            yield b.filter(np.array([scorer(t)[0] < threshold for t in texts(b)], bool))
 
     return docs.mapInArrow(run, docs.schema)
