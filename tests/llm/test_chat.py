@@ -44,3 +44,31 @@ def test_round_trip_and_edges(spark):
     assert [(t.role, t.text) for t in by[8].t] == [("", "n"), ("a", "z"), ("a|>b<|", "m")]
     assert chat.format_conversations(chat.text_parts(df.limit(0))).count() == 0
     assert hashlib.sha256(b"").hexdigest() == hashlib.sha256("".encode()).hexdigest()
+
+
+def test_long_conversations_take_linear_time(spark):
+    """Loss spans of every assistant turn of a conversation of many turns."""
+    import time
+
+    from pyspark.sql import functions as F
+
+    from voltaic.llm import chat as c
+    took = []
+    for n in (10, 4_000, 8_000):
+        rows = spark.range(n).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"),
+                                     F.concat(F.lit("é<|x"), F.col("id")).alias("text"))
+        started = time.perf_counter()
+        got = c.format_conversations(c.text_parts(rows)).first()
+        took.append(time.perf_counter() - started)
+        said = [got.formatted[s.start:s.end] for s in got.loss]
+        assert [c_.replace("\\", "") for c_ in said] == [f"é<|x{k}" for k in range(1, n, 2)]
+    assert took[2] < 2.5 * took[1] + 2, took
+
+
+def test_running_starts(spark):
+    from voltaic.llm.common import running_starts
+    from pyspark.sql import functions as F
+    for n in (0, 1, 127, 128, 129, 1000):
+        sizes = [k % 7 for k in range(n)]
+        got = spark.range(1).select(running_starts(F.lit(sizes).cast("array<int>") if sizes else F.expr("cast(array() as array<int>)")).alias("s")).first().s
+        assert got == [sum(sizes[:k]) for k in range(n)]

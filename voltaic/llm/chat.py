@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import running_starts
+
 #: Marks of the template.  Text can never hold "<|", so they cannot be forged.
 TURN, CONTENT, END = "<|turn|>", "<|content|>", "<|end|>"
 #: Starts of control strings, of this template and of others: an opening character, any number
@@ -132,10 +134,9 @@ def format_conversations(turns: DataFrame) -> DataFrame:
                            lambda a, b: _order(a, b))
     head = F.lit(len(TURN) + len(CONTENT))
     length = lambda t: head + F.length(t["role"]) + F.length(t["content"]) + len(END)
-    start = lambda k: F.aggregate(F.slice("t", 1, k), F.lit(0), lambda a, t: a + length(t))
-    spans = F.transform("t", lambda t, k: F.struct(
-        t["role"].alias("role"), (start(k) + head + F.length(t["role"])).alias("start"),
-        (start(k) + head + F.length(t["role"]) + F.length(t["content"])).alias("end")))
+    spans = F.zip_with("t", running_starts(F.transform("t", length)), lambda t, at: F.struct(
+        t["role"].alias("role"), (at + head + F.length(t["role"])).alias("start"),
+        (at + head + F.length(t["role"]) + F.length(t["content"])).alias("end")))
     return (flat.groupBy("conv_id", "alone").agg(ordered.alias("t"))
             .select("conv_id",
                     F.array_join(F.transform("t", lambda t: F.concat(F.lit(TURN), t["role"], F.lit(CONTENT), t["content"], F.lit(END))), "").alias("formatted"),

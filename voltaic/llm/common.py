@@ -6,7 +6,7 @@ import re
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A word after A-Z are lower-cased: digits, letters and every code point beyond ASCII.
@@ -31,6 +31,31 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def running_starts(sizes: Column, chunk: int = 128) -> Column:
+    """Where each of several stretches begins that follow one another: sums of the sizes before it.
+
+    Appending copies a list, so lists stay short: the starts of chunks first, then those within."""
+    append = lambda s, n: F.concat(s, F.array(F.element_at(s, -1) + n))
+
+    def chunked(sizes: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.size(sizes) - 1) / chunk).cast("int"))
+        chunks = F.transform(numbers, lambda c: F.slice(sizes, c * chunk + 1, F.lit(chunk)))
+
+        def placed(chunks: Column) -> Column:
+            totals = F.transform(chunks, lambda c: F.aggregate(c, F.lit(0), lambda a, x: a + x))
+            starts = F.aggregate(totals, F.array(F.lit(0)), append)
+            inner = lambda c, at: F.aggregate(c, F.array(at), append)
+            return F.flatten(F.zip_with(chunks, F.slice(starts, 1, F.size(chunks)), lambda c, at: F.slice(inner(c, at), 1, F.size(c))))
+        return once(chunks, placed)
+
+    return F.when(F.size(sizes) > 0, once(sizes, chunked)).otherwise(F.expr("cast(array() as array<int>)"))
+
+
 def words(text: bytes | None) -> list[bytes]:
     """Lower-cased words of a UTF-8 text; bytes.lower() changes A-Z only."""
     return _WORD.findall(text.lower()) if text else []
