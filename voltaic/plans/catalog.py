@@ -638,8 +638,8 @@ def q_report_runner(spark, sf):
              "a_rates": lambda s: quality.anomaly_rate_by_facility(d.readings, d.sensors, d.facilities)}
     out = scratch_path(spark, "reports")
     done = run_reports(spark, asked, out, "20240101_000000")
-    rows = [(k, r["name"], r["ok"], r["rows"], spark.read.csv(r["path"], header=True).count() if r["ok"] else load.path_exists(spark, f"{out}/{r['name']}_20240101_000000") * 1)
-            for k, r in enumerate(done, 1)]
+    found = lambda r: spark.read.csv(r["path"], header=True).count() if r["ok"] else int(load.path_exists(spark, f"{out}/{r['name']}_20240101_000000"))
+    rows = [(k, r["name"], r["ok"], r["rows"] if r["ok"] else -1, found(r)) for k, r in enumerate(done, 1)]
     return spark.createDataFrame(rows, "place int, report string, ok boolean, n_rows bigint, n_found bigint")
 
 

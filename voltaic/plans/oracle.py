@@ -727,7 +727,7 @@ SQL["report_runner"] = with_(EVENTS, SITE) + """,
 rates AS (SELECT count(DISTINCT (facility_name, facility_type)) AS n FROM readings JOIN site USING (sensor_id)),
 months AS (SELECT count(DISTINCT (year(recorded_at), month(recorded_at))) AS n FROM readings)
 SELECT 1 AS place, 'a_rates' AS report, TRUE AS ok, n AS n_rows, n AS n_found FROM rates
-UNION ALL SELECT 2, 'b_fails', FALSE, NULL, 0
+UNION ALL SELECT 2, 'b_fails', FALSE, -1, 0
 UNION ALL SELECT 3, 'c_trend', TRUE, n, n FROM months"""
 
 # The last row of each (dataset, time) gives value, metric and source.
