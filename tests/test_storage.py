@@ -69,7 +69,7 @@ def test_rejects_of_a_retried_load_are_kept_once(spark, tmp_dir, monkeypatch):
     batch = readings(spark, 6).withColumn("_ord", F.col("reading_id"))
     bad = batch.where("reading_id < 2").withColumn("sensor_id", F.lit(None).cast("long")).withColumn("recorded_at", F.lit(None).cast("timestamp"))
     given = batch.unionByName(bad)
-    how = dict(keys=["reading_id", "recorded_at"], order="_ord", use_watermark=False, rejects_path=f"{tmp_dir}/rejects")
+    how = dict(keys=["reading_id", "recorded_at"], order="_ord", use_watermark=False, rejects_path=f"{tmp_dir}/rejects", batch_id="b1")
     layout_of = load.prepare_layout
     monkeypatch.setattr(load, "prepare_layout", lambda *a, **b: (_ for _ in ()).throw(RuntimeError("lost")))
     with pytest.raises(RuntimeError):  # fails between rejects and inserts
@@ -79,7 +79,7 @@ def test_rejects_of_a_retried_load_are_kept_once(spark, tmp_dir, monkeypatch):
         got = load.load(spark, given, f"{tmp_dir}/t", **how)
         assert (got["rejected"], got["inserted"]) == (2, want)
     assert spark.read.parquet(f"{tmp_dir}/rejects").count() == 2
-    load.load(spark, bad.limit(1), f"{tmp_dir}/t", **how)
+    load.load(spark, bad.limit(1), f"{tmp_dir}/t", **how | {"batch_id": None})
     assert spark.read.parquet(f"{tmp_dir}/rejects").count() == 3
 
 

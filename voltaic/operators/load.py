@@ -26,6 +26,7 @@ computed in Spark (session zone UTC), never from driver-local times.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -219,25 +220,25 @@ def plan_insert(batch: DataFrame, target: DataFrame | None, keys: Sequence[str],
             .withColumn("_exists", F.coalesce(F.col("_hit"), F.lit(False))).drop("_hit"))
 
 
-def store_rejects(rejects: DataFrame, path: str) -> None:
-    """Keep refused rows under ``path`` in a partition (``batch``) named by what they hold, so that a
-    load that is retried after it failed between rejects and inserts stores them once."""
-    what = rejects.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*rejects.columns).cast("decimal(38,0)")).alias("h")).first()
-    rejects.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={what['n']}_{what['h']}")
+def store_rejects(rejects: DataFrame, path: str, batch_id: str | None = None) -> None:
+    """Keep refused rows under ``path`` in the partition ``batch`` of that name, in place of what an
+    earlier try of the same batch left there; without a name the rows are a batch of their own."""
+    rejects.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch_id or uuid.uuid4().hex}")
 
 
 def load(spark: SparkSession, batch: DataFrame, target_path: str, keys: Sequence[str],
          order: str, ts: str | None = "recorded_at", use_watermark: bool = True,
          partition_by: str | None = "month", sort_by: Sequence[str] = ("sensor_id",),
          watermark_by: str | None = None, rules=None, references: dict[str, DataFrame] | None = None,
-         bounds: tuple | None = None, rejects_path: str | None = None) -> dict:
+         bounds: tuple | None = None, rejects_path: str | None = None, batch_id: str | None = None) -> dict:
     """Idempotent load of ``batch`` into the Parquet table at ``target_path``
     (created when absent).
 
     1. rejects: an earlier ``_reject`` reason, a NULL key or time, a broken rule of ``rules``, a
     time outside ``bounds`` (lo <= ts < hi), a foreign key missing in ``references`` (see
-    :func:`voltaic.operators.rules.with_rejects`); kept under ``rejects_path`` when given, the
-    same ones once however often the load is retried
+    :func:`voltaic.operators.rules.with_rejects`); kept under ``rejects_path`` when given.
+    A load that is retried after it failed between rejects and inserts names its batch both times
+    (``batch_id``) and has them stored once
     2. watermark (optional) 3. first-wins dedup 4. skip existing keys.  The batch is evaluated
     once: its rows are staged with their fate, and counts, rejects and inserts all come from
     the staged rows.  The insert is one append job (all-or-nothing commit), clustered on
@@ -275,7 +276,7 @@ def load(spark: SparkSession, batch: DataFrame, target_path: str, keys: Sequence
         k = planned.agg(F.count(F.lit(1)).alias("keys"), F.count_if("_exists").alias("conflict")).first()
         n_ins = k["keys"] - k["conflict"]
         if b["rejected"] and rejects_path:
-            store_rejects(rows.filter(F.col(REJECT).isNotNull()).drop("_late", order), rejects_path)
+            store_rejects(rows.filter(F.col(REJECT).isNotNull()).drop("_late", order), rejects_path, batch_id)
         if n_ins:
             inserts = planned.filter(~F.col("_exists")).drop("_exists", order)
             if partition_by == "month":
