@@ -116,8 +116,8 @@ def test_whole_index_is_exact():
         want = matrix @ dense(v)
         for floor in (.3, .6, .95):
             got, sims = index.near(*v, floor)
-            assert sorted(got.tolist()) == np.flatnonzero(want >= floor - 1e-9).tolist()
-            assert np.allclose(sims, want[got])
+            assert set(np.flatnonzero(want >= floor + 2e-6)) <= set(got.tolist()) <= set(np.flatnonzero(want >= floor - 2e-6))
+            assert np.allclose(sims, want[got], atol=2e-6)
             n += len(got)
         assert k not in index.near(*every[k], .3, without=k)[0].tolist()
     assert n > 300
@@ -169,8 +169,8 @@ def test_score_is_the_votes_of_dense_cosines(spark):
         p = model.index.vote(tuple(sorted(got)), tuple(got[k] for k in sorted(got)))[0]
         if len(votes):
             near += 1
-            w = 1 / (1.05 - sims[votes])
+            w = model.counts[votes] / (1.05 - sims[votes])
             share = ((sims.max() - x.NEAR) / (1 - x.NEAR)) ** 2
             p = (1 - share) * p + share * (w * model.labels[votes]).sum() / w.sum()
-        assert math.isclose(scorer(t.encode())[0], min(1, max(0, np.interp(p, *model.knots))), abs_tol=1e-9)
+        assert math.isclose(scorer(t.encode())[0], min(1, max(0, np.interp(p, *model.knots))), abs_tol=1e-3)
     assert near > 60

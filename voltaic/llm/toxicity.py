@@ -52,6 +52,8 @@ MAX_CALIBRATION = 1_500
 THRESHOLD = 0.3
 #: Least similarity of whole texts that vote.
 NEAR = 0.6
+#: Examples whose whole texts are compared, at most: toxic ones first, up to half, then others.
+MAX_WHOLE = 8_000
 #: Min-hashes that near copies among the examples share.
 HASHES = 3
 
@@ -275,10 +277,12 @@ def isotonic(x: list[float], y: list[float], weight: list[float]) -> tuple[list[
 
 class Model:
     def __init__(self, index: BlockMaxIndex, knots: tuple[list[float], list[float]], prior: float, terms: list[str],
-                 weights: whole_texts.Weights, whole: whole_texts.WholeTexts, labels: np.ndarray, ids: list, own: list[dict[int, float]]):
-        """own: every example's unit vector of telling terms."""
+                 weights: whole_texts.Weights, whole: whole_texts.WholeTexts, labels: np.ndarray, ids: list, own: list[dict[int, float]],
+                 counts: np.ndarray):
+        """own: unit vectors of telling terms of the examples whose whole texts are compared; counts:
+        how many examples each of them stands for."""
         self.index, self.knots, self.prior, self.terms = index, knots, prior, terms
-        self.weights, self.whole, self.labels, self.ids, self.own = weights, whole, labels, ids, own
+        self.weights, self.whole, self.labels, self.ids, self.own, self.counts = weights, whole, labels, ids, own, counts
 
     def unit(self, terms, counts) -> dict[int, float]:
         return dict(zip(*self.index.weights(terms, counts)))
@@ -295,7 +299,7 @@ class Model:
             return 0.0, 0.0, sims, found
         order = np.lexsort((found, -sims))
         found, sims = found[order], sims[order]
-        w = 1 / (1 - sims + 0.05)
+        w = self.counts[found] / (1 - sims + 0.05)
         return ((float(sims[0]) - NEAR) / (1 - NEAR)) ** 2, float((w * self.labels[found]).sum() / w.sum()), sims, found
 
     def votes(self, vector, terms, counts, leave: tuple[int, int, int] | None = None, telling=None):
@@ -338,41 +342,55 @@ class Scorer:
         return self.model.score(counts, *key, self.known.get(key))
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES) -> Model:
-    """The model; the driver sees max_examples vectors and the counts of their words."""
+def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, max_whole: int = MAX_WHOLE) -> Model:
+    """The model; the driver sees max_examples vectors of telling terms, max_whole of whole texts
+    and the counts of their words."""
     sample = stage(examples(docs, labels, max_examples), "toxicity-sample")
     terms = vocabulary(sample)
-    every = vectors(docs, terms).select("terms")
-    counted = {r["t"]: r["n"] for r in every.select(F.explode(F.concat("terms", F.array(F.lit(-1)))).alias("t")).groupBy("t")
-               .agg(F.count(F.lit(1)).alias("n")).collect()}  # a row for each of MAX_TERMS at most, and all documents
-    total = counted.get(-1, 0)
-    idf = np.array([math.log(1 + total / (1 + counted.get(k, 0))) for k in range(len(terms))])
-    weights = whole_texts.Weights(whole_texts.frequencies(docs, sample), total)
+    numbers = {k.encode("latin-1"): n for n, k in enumerate(terms)}
+    sent = docs.sparkSession.sparkContext.broadcast(numbers)
+
+    def telling():
+        ids = sent.value
+        return lambda own: [b"\0", *(b"\0%d" % k for k in _picked(dict.fromkeys(own, 1), ids))]  # no word has a zero byte
+
+    # Whole texts of a bounded number of examples: toxic ones first, which are few, then others.
+    every = {r["doc_id"]: r["toxic"] for r in sample.select("doc_id", "toxic").toLocalIterator()}
+    chosen: list[int] = []
+    for label, most in ((1, max_whole // 2), (0, max_whole)):
+        own = sorted((i for i, t in every.items() if t == label), key=lambda i: xxhash.xxh64_intdigest(str(i), 7))
+        chosen += own[:most - len(chosen)]
+    kept = sample.join(F.broadcast(docs.sparkSession.createDataFrame([(i,) for i in chosen], "doc_id long")), "doc_id")
+
+    known = whole_texts.own_words(kept)
+    counted = whole_texts.frequencies(docs, known, telling)  # a row for each word of the examples and each term
+    total = counted.get(b"\0", 0)
+    idf = np.array([math.log(1 + total / (1 + counted.get(b"\0%d" % k, 0))) for k in range(len(terms))])
+    weights = whole_texts.Weights({w: counted.get(w, 0) for w in known}, total)
     told = {r["doc_id"]: (tuple(r["terms"]), tuple(r["counts"])) for r in vectors(sample, terms).toLocalIterator()}
-    wholes, toxic, ids = [], [], []
-    for r in whole_texts.vectors(sample, weights).orderBy("doc_id").toLocalIterator():
-        wholes.append((np.array(r["ids"], np.int64), np.array(r["weights"], float)))
-        toxic.append(r["toxic"])
-        ids.append(r["doc_id"])
     groups: dict[tuple, list[int]] = {}
-    for k, i in enumerate(ids):
-        groups.setdefault(told[i], []).append(k)
-    protos = [(*key, sum(toxic[k] for k in own), sum(1 - toxic[k] for k in own), min(ids[k] for k in own)) for key, own in groups.items()]
+    for i, key in told.items():
+        groups.setdefault(key, []).append(i)
+    protos = [(*key, sum(every[i] for i in own), sum(1 - every[i] for i in own), min(own)) for key, own in groups.items()]
     index = BlockMaxIndex(protos, idf)
     number = {p[:2]: k for k, p in enumerate(index.protos)}
-    n = len(ids)
-    prior = (sum(toxic) + 0.05) / (n + 1) if n else 0.0
+    prior = (sum(every.values()) + 0.05) / (len(every) + 1) if every else 0.0
+
+    found = whole_texts.vectors(kept, weights).orderBy("doc_id").toArrow()
+    ids, toxic = found.column("doc_id").to_pylist(), found.column("toxic").to_pylist()
+    wholes = [(np.frombuffer(i.as_py(), np.int32).astype(np.int64), np.frombuffer(w.as_py(), np.float32).astype(float))
+              for i, w in zip(found.column("ids"), found.column("weights"))]
+    of = {label: sum(t == label for t in every.values()) / max(1, sum(t == label for t in toxic)) for label in (0, 1)}
     model = Model(index, ([], []), prior, terms, weights, whole_texts.WholeTexts(wholes, len(weights.ids)), np.array(toxic, float), ids,
-                  [dict(zip(*index.weights(*told[i]))) for i in ids])
+                  [dict(zip(*index.weights(*told[i]))) for i in ids], np.array([of[t] for t in toxic], float))
     x, y, w = [], [], []
     for label in (1, 0):
-        own = sorted((k for k in range(n) if toxic[k] == label), key=lambda k: xxhash.xxh64_intdigest(str(ids[k]), 3))
-        chosen = own[:MAX_CALIBRATION // 2]
-        for k in chosen:
+        own = sorted((k for k in range(len(ids)) if toxic[k] == label), key=lambda k: xxhash.xxh64_intdigest(str(ids[k]), 3))[:MAX_CALIBRATION // 2]
+        for k in own:
             key = told[ids[k]]
             x.append(model.votes(wholes[k], *key, leave=(k, number[key], label))[0])
             y.append(float(label))
-            w.append(len(own) / len(chosen))
+            w.append(sum(t == label for t in every.values()) / len(own))
     model.knots = isotonic(x, y, w)
     return model
 

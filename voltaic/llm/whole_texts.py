@@ -24,30 +24,44 @@ BLOCK = 256
 HELD = 200_000
 
 _WORD = {"word": "binary", "n": "long"}
-_ROW = {"doc_id": "long", "toxic": "int", "ids": "array<int>", "weights": "array<double>"}
-
-
-def frequencies(docs: DataFrame, sample: DataFrame) -> dict[bytes, int]:
-    """Documents of ``docs`` that hold each word of ``sample``: as many rows as its words."""
-    def distinct(wanted):
-        def run(batches):
-            known, seen = wanted and wanted.value, {}
-            for b in batches:
-                for t in texts(b):
-                    for w in set(words(t)):
-                        if known is None or w in known:
-                            seen[w] = seen.get(w, 0) + 1
-                if len(seen) > HELD and known is None:
-                    yield record_batch(_WORD, {"word": list(seen), "n": list(seen.values())})
-                    seen = {}
-            yield record_batch(_WORD, {"word": list(seen), "n": list(seen.values())})
-        return run
-
-    count = lambda df, wanted: df.select(F.col("text").cast("string").alias("text")).mapInArrow(distinct(wanted), ddl(_WORD)) \
-        .groupBy("word").agg(F.sum("n").alias("n"))
-    own = frozenset(bytes(r["word"]) for r in count(sample, None).toLocalIterator())
-    sent = sample.sparkSession.sparkContext.broadcast(own)  # words of the bounded sample
-    return {bytes(r["word"]): r["n"] for r in count(docs, sent).toLocalIterator()}
+_ROW = {"doc_id": "long", "toxic": "int", "ids": "binary", "weights": "binary"}
+
+
+def own_words(sample: DataFrame) -> frozenset[bytes]:
+    """The words of the examples, whose number bounds them."""
+    def run(batches):
+        seen: set[bytes] = set()
+        for b in batches:
+            for t in texts(b):
+                seen.update(words(t))
+            if len(seen) > HELD:
+                yield record_batch(_WORD, {"word": list(seen), "n": [1] * len(seen)})
+                seen = set()
+        yield record_batch(_WORD, {"word": list(seen), "n": [1] * len(seen)})
+
+    found = sample.select(F.col("text").cast("string").alias("text")).mapInArrow(run, ddl(_WORD)).select("word").distinct()
+    return frozenset(found.toArrow().column("word").to_pylist())
+
+
+def frequencies(docs: DataFrame, known: frozenset[bytes], more) -> dict[bytes, int]:
+    """Documents of ``docs`` that hold each word of ``known``, and each key that ``more()`` (called in
+    every task) gives for the set of a document's words; from one pass over all whole texts."""
+    sent = docs.sparkSession.sparkContext.broadcast(known)
+
+    def run(batches):
+        wanted, keys, seen = sent.value, more(), {}
+        for b in batches:
+            for t in texts(b):
+                own = set(words(t))
+                for w in own & wanted:
+                    seen[w] = seen.get(w, 0) + 1
+                for w in keys(own):
+                    seen[w] = seen.get(w, 0) + 1
+        yield record_batch(_WORD, {"word": list(seen), "n": list(seen.values())})
+
+    found = (docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, ddl(_WORD))
+             .groupBy("word").agg(F.sum("n").alias("n")).toArrow())
+    return dict(zip(found.column("word").to_pylist(), found.column("n").to_pylist()))
 
 
 class Weights:
@@ -77,7 +91,7 @@ class Weights:
 
 
 def vectors(sample: DataFrame, weights: Weights) -> DataFrame:
-    """doc_id, toxic, ids, weights of every example."""
+    """doc_id, toxic, ids and weights (32-bit numbers as bytes) of every example."""
     sent = sample.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches):
@@ -86,8 +100,8 @@ def vectors(sample: DataFrame, weights: Weights) -> DataFrame:
             cols = {"doc_id": b.column("doc_id").to_pylist(), "toxic": b.column("toxic").to_pylist(), "ids": [], "weights": []}
             for t in texts(b):
                 ids, w = own.vector(counted(t))
-                cols["ids"].append(ids.tolist())
-                cols["weights"].append(w.tolist())
+                cols["ids"].append(ids.astype(np.int32).tobytes())
+                cols["weights"].append(w.astype(np.float32).tobytes())
             yield record_batch(_ROW, cols)
 
     return stage(sample.select("doc_id", "toxic", "text").mapInArrow(run, ddl(_ROW)), "toxicity-whole")
@@ -114,15 +128,16 @@ class WholeTexts:
         ids = np.concatenate([vectors[k][0] for k in order]) if len(order) else np.zeros(0, np.int64)
         w = np.concatenate([vectors[k][1] for k in order]) if len(order) else np.zeros(0)
         by = np.argsort(ids, kind="stable")
-        self.at = np.repeat(np.arange(self.n, dtype=np.int32), sizes)[by]
-        self.w = w[by]
+        # Small types, as every worker holds a copy; weights are rounded to 24 bits.
+        self.at = np.repeat(np.arange(self.n, dtype=np.uint16 if self.n < 1 << 16 else np.int32), sizes)[by]
+        self.w = w[by].astype(np.float32)
         ids = ids[by]
         self.first = np.searchsorted(ids, np.arange(n_words + 1))
         blocks = -(-self.n // block) or 1
-        key = ids * blocks + self.at // block
+        key = ids * blocks + self.at.astype(np.int64) // block
         heads = np.flatnonzero(np.diff(key, prepend=-1)) if len(key) else np.zeros(0, np.int64)
         self.most = np.maximum.reduceat(self.w, heads) if len(heads) else np.zeros(0)
-        self.most_block = (key[heads] % blocks).astype(np.int32)
+        self.most_block = (key[heads] % blocks).astype(np.uint16 if blocks < 1 << 16 else np.int32)
         self.most_first = np.searchsorted(key[heads] // blocks, np.arange(n_words + 1))
         self.blocks = blocks
 
@@ -141,7 +156,7 @@ class WholeTexts:
         order = np.argsort(-weights, kind="stable")
         ids, weights = ids[order], weights[order]
         tails = np.sqrt(np.maximum(np.append(np.cumsum(weights[::-1] ** 2)[::-1], 0.0), 0.0))
-        slack = 1e-9
+        slack = 1e-6  # what rounded weights may be off
         if tails[0] < floor - slack:
             return none
         head = int(np.argmax(tails < floor - slack))
@@ -166,7 +181,7 @@ class WholeTexts:
                 same = (k < b) & (self.at[np.minimum(k, b - 1)] == found) if b > a else np.zeros(len(found), bool)
                 sims[same] += w * self.w[k[same]]
         kept = sims >= floor - slack
-        found, sims = self.example[found[kept]], np.minimum(sims[kept], 1.0)
+        found, sims = self.example[found[kept]], np.minimum(np.round(sims[kept], 6), 1.0)
         if without is not None:
             kept = found != without
             found, sims = found[kept], sims[kept]
