@@ -13,7 +13,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from voltaic.plans.catalog import REGISTRY  # noqa: E402
 from voltaic.session import build_session  # noqa: E402
 
 
@@ -54,7 +54,7 @@ def main() -> None:
           "without the IsNotNull ones.\n")
     print("| Query | Shuffles | Broadcasts | SMJ | Windows | Group limit | Top-k | Pushed filters |")
     print("|---|---|---|---|---|---|---|---|")
-    for k, q in E.queries().items():
+    for k, q in REGISTRY.items():  # the library; the optional part has the check tool's figures in README.md
         try:
             plan = q(spark, sf)._jdf.queryExecution().executedPlan().toString()
         except Exception as e:  # noqa: BLE001
@@ -67,18 +67,23 @@ def main() -> None:
 ## Reading notes
 
 * **SinglePartition exchanges.** Global aggregates (`dq_*` counts, `pearson_test`)
-  shuffle only the partial-aggregate row of each task. The whole-set windows
-  run over one row per facility (`facility_ranking`, `ranking_direct`) or one
-  row per day or month (`series_comparison`, `dash_normalized`). Neither
-  grows with the fact table.
+  shuffle only the partial-aggregate row of each task. The windows without a
+  partition in `facility_ranking` and `ranking_direct` run over one row per range part
+  (a quarter of a million facilities each), never over facilities. `series_comparison` and
+  `dash_normalized` read their whole-set statistics back as one aggregate row.
+* **Queries that finish jobs of their own** (loads, stored tables, kept statistics, the suite,
+  reports) show only what is left to run on their staged results.
+* **`load_insert_*`.** The broadcast on the target's side of the anti-join is the Bloom filter of the
+  batch's keys; it stands below that side's exchange.
+* **`top3_bucketed`.** The window over the bucketed table has no exchange of readings.
 * **Broadcasts.** Dimension frames are broadcast after `sized_broadcast`
   shows their size. The z-score baseline is broadcast when its upper-bound
   estimate is small, and staged and measured otherwise.
 * **rangepartitioning.** The final ORDER BY of a report, or the month
   layout's clustering (`partition_layout`).
 * **SMJ.** The remaining sort-merge joins have key-unique sides: the upsert's
-  full outer merge, and the carried neighbours in `gap_interpolate`. They
-  cannot be skewed.
+  full outer merge, the anti-joins of first rows per key, and the carried neighbours in
+  `gap_interpolate`. They cannot be skewed.
 * **Fact-side filters** reach the scan: time ranges (`top3_per_sensor`, loads,
   `range_read`), flags, and the dimension predicates the dims carry.
 """)
