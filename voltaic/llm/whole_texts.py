@@ -2,8 +2,8 @@
 
 Vectors hold every word; a word that no example has weighs like the rarest one (it matches nothing
 and only lengthens the vector).  Words of a query come in order of their weight: those behind the
-point where their joint length falls below ``floor`` cannot lift an example to ``floor`` alone, so
-only the lists before it bring candidates.  Examples lie in blocks; a block whose largest
+point where their joint length falls below a share of ``floor`` can add no more than that length, so
+only the lists before it are read, and an example with too small a sum over them is done.  Examples lie in blocks; a block whose largest
 possible sum over those lists is too small is skipped.  What is left is worked out exactly.
 """
 
@@ -20,6 +20,8 @@ from .common import ddl, record_batch, texts, words
 
 #: Examples of a block.
 BLOCK = 256
+#: Length of the words whose lists are not read, as a share of the floor.
+REST = 0.4
 #: Words whose counts a task holds before it passes them on.
 HELD = 200_000
 
@@ -127,6 +129,8 @@ class WholeTexts:
         sizes = np.array([len(vectors[k][0]) for k in order], np.int64)
         ids = np.concatenate([vectors[k][0] for k in order]) if len(order) else np.zeros(0, np.int64)
         w = np.concatenate([vectors[k][1] for k in order]) if len(order) else np.zeros(0)
+        # The vectors themselves, for the exact sums of what is left.
+        self.from_, self.words, self.weights = np.concatenate(([0], np.cumsum(sizes))), ids.astype(np.int32), w.astype(np.float32)
         by = np.argsort(ids, kind="stable")
         # Small types, as every worker holds a copy; weights are rounded to 24 bits.
         self.at = np.repeat(np.arange(self.n, dtype=np.uint16 if self.n < 1 << 16 else np.int32), sizes)[by]
@@ -159,7 +163,8 @@ class WholeTexts:
         slack = 1e-6  # what rounded weights may be off
         if tails[0] < floor - slack:
             return none
-        head = int(np.argmax(tails < floor - slack))
+        # Lists are read until the rest is short against the floor, so that few examples are left.
+        head = int(np.argmax(tails < REST * floor))
         tail = tails[head]
         places, size = self._lists(self.most_first, ids[:head])
         bound = np.bincount(self.most_block[places], np.repeat(weights[:head], size) * self.most[places], self.blocks)
@@ -173,13 +178,14 @@ class WholeTexts:
             places, own = places[kept], own[kept]
         score = np.bincount(self.at[places], own * self.w[places], self.n)
         found = np.flatnonzero(score + tail >= floor - slack)
-        sims = score[found]
+        sims = np.zeros(len(found))
         if len(found):
-            for t, w in zip(ids[head:].tolist(), weights[head:].tolist()):
-                a, b = self.first[t], self.first[t + 1]
-                k = a + np.searchsorted(self.at[a:b], found)
-                same = (k < b) & (self.at[np.minimum(k, b - 1)] == found) if b > a else np.zeros(len(found), bool)
-                sims[same] += w * self.w[k[same]]
+            order = np.argsort(ids)
+            ids, weights = ids[order], weights[order]
+            places, size = self._lists(self.from_, found)  # the candidates' own words
+            k = np.minimum(np.searchsorted(ids, self.words[places]), len(ids) - 1)
+            same = ids[k] == self.words[places]
+            sims = np.bincount(np.repeat(np.arange(len(found)), size)[same], weights[k[same]] * self.weights[places[same]], len(found))
         kept = sims >= floor - slack
         found, sims = self.example[found[kept]], np.minimum(np.round(sims[kept], 6), 1.0)
         if without is not None:
