@@ -38,12 +38,12 @@ def distributed_ranks(df: DataFrame, value: str, tie_breaker: str, group: str |
     (NTILE(``tiles``) over value DESC NULLS FIRST, ``tie_breaker``) and
     ``_pct_rank`` (PERCENT_RANK over value ASC NULLS LAST)."""
     order = [F.col(value).desc_nulls_first(), F.col(tie_breaker).asc_nulls_first()]
-    df = stage(df, "rank-input")
+    df = stage(df.withColumn("_pid", F.lit(0)), "rank-input")  # stored, as a join on a literal has no key
     totals = df.agg(F.count(F.lit(1)).alias("n"), F.count(F.col(value)).alias("valid")).first()
     n_total, n_valid = totals["n"], totals["valid"]
     parts = partitions or max(1, -(-n_total // ROWS_PER_PART))
     rows = (stage(df.repartitionByRange(parts, *order).withColumn("_pid", F.spark_partition_id()), "rank-ranged") if parts > 1
-            else df.withColumn("_pid", F.lit(0)))
+            else df)
 
     def numbered_from(counts, by):
         """Rows before every partition, of the same group where there is one: a window over one
