@@ -53,7 +53,7 @@ THRESHOLD = 0.3
 #: Least similarity of whole texts that vote.
 NEAR = 0.6
 #: Examples whose whole texts are compared, at most: toxic ones first, up to half, then others.
-MAX_WHOLE = 8_000
+MAX_WHOLE = 4_000
 #: Min-hashes that near copies among the examples share.
 HASHES = 3
 

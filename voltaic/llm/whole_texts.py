@@ -10,6 +10,7 @@ possible sum over those lists is too small is skipped.  What is left is worked o
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -110,10 +111,7 @@ def vectors(sample: DataFrame, weights: Weights) -> DataFrame:
 
 
 def counted(text: bytes | None) -> dict[bytes, int]:
-    out: dict[bytes, int] = {}
-    for w in words(text):
-        out[w] = out.get(w, 0) + 1
-    return out
+    return Counter(words(text))
 
 
 class WholeTexts:
