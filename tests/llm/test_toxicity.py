@@ -174,3 +174,70 @@ def test_score_is_the_votes_of_dense_cosines(spark):
             p = (1 - share) * p + share * (w * model.labels[votes]).sum() / w.sum()
         assert math.isclose(scorer(t.encode())[0], min(1, max(0, np.interp(p, *model.knots))), abs_tol=1e-3)
     assert near > 60
+
+
+def test_only_words_that_begin_like_a_term_are_looked_up():
+    """And the terms found are those of the definition, short words and words of few bytes beyond ASCII included."""
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *a):
+            self.asked += 1
+            return super().get(*a)
+    r = random.Random(5)
+    draw = lambda: "".join(r.choice("abé") for _ in range(r.randint(1, 9))).encode()
+    for _ in range(200):
+        counts = {draw(): r.randint(1, 5) for _ in range(60)}
+        names = r.sample(sorted(x._terms(counts)), 8) + [draw() for _ in range(3)]
+        ids = {k: n for n, k in enumerate(dict.fromkeys(names))}
+        every = x._terms(counts)
+        assert x._picked(counts, ids) == {n: every[k] for k, n in ids.items() if k in every}
+    ids = Counted({b"vile": 0, b"oafi*": 1, b"oaf": 2})
+    counts = {b"plain%d" % k: 1 for k in range(500)} | {b"vile": 2, b"oafish": 3, b"oaf": 1}
+    assert x._picked(counts, ids) == {0: 2, 1: 3, 2: 1}
+    assert ids.asked <= 15
+
+
+def test_long_lists_are_read_only_if_many_examples_are_left(monkeypatch):
+    from voltaic.llm import whole_texts as w
+    r = random.Random(11)
+    common = [b"c%d" % k for k in range(60)]
+
+    def near(texts, queries):
+        found = {k: sum(k in t for t in texts) for k in {k for t in texts for k in t}}
+        weights = w.Weights(found, len(texts))
+        every = [weights.vector(t) for t in texts]
+        index = w.WholeTexts(every, len(found), block=16)
+        matrix = np.zeros((len(texts), len(found)))
+        for k, v in enumerate(every):
+            matrix[k, v[0]] = v[1]
+        read = lists = 0
+        plain = w.WholeTexts._lists
+
+        def spied(first, ids):
+            nonlocal read
+            out = plain(first, ids)
+            read += len(out[0]) if first is index.first else 0
+            return out
+        monkeypatch.setattr(w.WholeTexts, "_lists", staticmethod(spied))
+        for t in queries:
+            ids, own = weights.vector(t)
+            want = matrix[:, ids] @ own
+            got, sims = index.near(ids, own, .6)
+            assert set(np.flatnonzero(want >= .6 + 2e-6)) <= set(got.tolist()) <= set(np.flatnonzero(want >= .6 - 2e-6))
+            assert np.allclose(sims, want[got], atol=2e-6)
+            order = np.argsort(-own, kind="stable")
+            rest = np.sqrt(np.append(np.cumsum(own[order][::-1] ** 2)[::-1], 0))
+            cut = ids[order][:int(np.argmax(rest < .4 * .6))]  # until the rest is short
+            lists += int((index.first[cut + 1] - index.first[cut]).sum())
+        monkeypatch.undo()
+        return read, lists
+
+    # Texts of rare and common words: the rare ones leave few examples.
+    mixed = [{**{b"r%d" % r.randrange(2000): 1 for _ in range(12)}, **{k: 1 for k in r.sample(common, 30)}} for _ in range(400)]
+    read, lists = near(mixed, mixed[:80])
+    assert 0 < read < .5 * lists
+    # Texts alike in all: many examples are left, and the further lists sort them out.
+    alike = [{k: r.randint(1, 3) for k in r.sample(common, 40)} for _ in range(400)]
+    read, lists = near(alike, alike[:80])
+    assert 0 < read <= lists

@@ -76,11 +76,19 @@ def _terms(counts: dict[bytes, int]) -> Counter:
     return out
 
 
-def _picked(counts: dict[bytes, int], ids: dict[bytes, int]) -> dict[int, int]:
-    """Counts of the vocabulary's terms, by term number."""
+def _heads(ids: dict[bytes, int]) -> frozenset[bytes]:
+    """What words with a term of the vocabulary begin with."""
+    return frozenset(k.rstrip(b"*")[:BEGINNINGS[0]] for k in ids)
+
+
+def _picked(counts: dict[bytes, int], ids: dict[bytes, int], heads: frozenset[bytes] | None = None) -> dict[int, int]:
+    """Counts of the vocabulary's terms, by term number.
+
+    heads: :func:`_heads` of the vocabulary, where it is known already."""
+    heads, first = _heads(ids) if heads is None else heads, BEGINNINGS[0]
     out: dict[int, int] = {}
-    for w, n in counts.items():
-        k = ids.get(w)
+    for w in [w for w in counts if w[:first] in heads]:
+        n, k = counts[w], ids.get(w)
         if k is not None:
             out[k] = out.get(k, 0) + n
         for size in BEGINNINGS:
@@ -169,10 +177,11 @@ def vectors(docs: DataFrame, terms: list[str]) -> DataFrame:
 
     def run(batches):
         known = ids.value
+        heads = _heads(known)
         for b in batches:
             cols = {"doc_id": b.column("doc_id").to_pylist(), "terms": [], "counts": []}
             for t in texts(b):
-                got = _picked(Counter(words(t)), known)
+                got = _picked(Counter(words(t)), known, heads)
                 cols["terms"].append(sorted(got))
                 cols["counts"].append([got[k] for k in sorted(got)])
             yield record_batch(_VECTOR, cols)
@@ -329,10 +338,11 @@ class Scorer:
     def __init__(self, model: Model):
         self.model, self.known = model, {}
         self.numbers = {k.encode("latin-1"): n for n, k in enumerate(model.terms)}
+        self.heads = _heads(self.numbers)
 
     def __call__(self, text: bytes | None) -> tuple[float, list[int], list[float]]:
         counts = whole_texts.counted(text)
-        got = _picked(counts, self.numbers)
+        got = _picked(counts, self.numbers, self.heads)
         terms = tuple(sorted(got))
         key = terms, tuple(got[k] for k in terms)
         if self.model.index.protos and key not in self.known:
@@ -352,7 +362,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, ma
 
     def telling():
         ids = sent.value
-        return lambda own: [b"\0", *(b"\0%d" % k for k in _picked(dict.fromkeys(own, 1), ids))]  # no word has a zero byte
+        heads = _heads(ids)
+        return lambda own: [b"\0", *(b"\0%d" % k for k in _picked(dict.fromkeys(own, 1), ids, heads))]  # no word has a zero byte
 
     # Whole texts of a bounded number of examples: toxic ones first, which are few, then others.
     every = {r["doc_id"]: r["toxic"] for r in sample.select("doc_id", "toxic").toLocalIterator()}

@@ -4,13 +4,15 @@ Vectors hold every word; a word that no example has weighs like the rarest one (
 and only lengthens the vector).  Words of a query come in order of their weight: those behind the
 point where their joint length falls below a share of ``floor`` can add no more than that length, so
 only the lists before it are read, and an example with too small a sum over them is done.  Examples lie in blocks; a block whose largest
-possible sum over those lists is too small is skipped.  What is left is worked out exactly.
+possible sum over those lists is too small is skipped.  If the examples left hold more than the next
+lists, those are read too.  What is left is worked out exactly.
 """
 
 from __future__ import annotations
 
 import math
 from collections import Counter
+from itertools import repeat
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -21,8 +23,9 @@ from .common import ddl, record_batch, texts, words
 
 #: Examples of a block.
 BLOCK = 256
-#: Length of the words whose lists are not read, as a share of the floor.
-REST = 0.4
+#: Length of the words whose lists are not read, as a share of the floor: at first, and if too many
+#: examples are left then.
+REST = (0.8, 0.4)
 #: Words whose counts a task holds before it passes them on.
 HELD = 200_000
 
@@ -52,14 +55,12 @@ def frequencies(docs: DataFrame, known: frozenset[bytes], more) -> dict[bytes, i
     sent = docs.sparkSession.sparkContext.broadcast(known)
 
     def run(batches):
-        wanted, keys, seen = sent.value, more(), {}
+        wanted, keys, seen = sent.value, more(), Counter()
         for b in batches:
             for t in texts(b):
                 own = set(words(t))
-                for w in own & wanted:
-                    seen[w] = seen.get(w, 0) + 1
-                for w in keys(own):
-                    seen[w] = seen.get(w, 0) + 1
+                seen.update(own & wanted)
+                seen.update(keys(own))
         yield record_batch(_WORD, {"word": list(seen), "n": list(seen.values())})
 
     found = (docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, ddl(_WORD))
@@ -78,17 +79,12 @@ class Weights:
 
     def vector(self, counts: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
         """Word numbers, ascending, and their weights in the text's unit vector."""
-        known, n, rest = [], [], 0.0
-        for w, c in counts.items():
-            k = self.ids.get(w)
-            if k is None:
-                rest += (1 + math.log(c)) ** 2
-            else:
-                known.append(k)
-                n.append(c)
-        ids = np.array(known, np.int64)
-        weights = (1 + np.log(np.array(n, float))) * self.idf[ids] if known else np.zeros(0)
-        length = math.sqrt(float(weights @ weights) + rest * self.rarest ** 2) or 1.0
+        ids = np.fromiter(map(self.ids.get, counts, repeat(-1)), np.int64, len(counts))
+        weights = 1 + np.log(np.fromiter(counts.values(), float, len(counts)))
+        known = ids >= 0
+        rest, ids = weights[~known], ids[known]
+        weights = weights[known] * self.idf[ids]
+        length = math.sqrt(float(weights @ weights) + float(rest @ rest) * self.rarest ** 2) or 1.0
         order = np.argsort(ids)
         return ids[order], weights[order] / length
 
@@ -162,20 +158,25 @@ class WholeTexts:
         if tails[0] < floor - slack:
             return none
         # Lists are read until the rest is short against the floor, so that few examples are left.
-        head = int(np.argmax(tails < REST * floor))
-        tail = tails[head]
-        places, size = self._lists(self.most_first, ids[:head])
-        bound = np.bincount(self.most_block[places], np.repeat(weights[:head], size) * self.most[places], self.blocks)
-        live = bound + tail >= floor - slack
+        heads = [int(np.argmax(tails < share * floor)) for share in REST]
+        places, size = self._lists(self.most_first, ids[:heads[0]])
+        bound = np.bincount(self.most_block[places], np.repeat(weights[:heads[0]], size) * self.most[places], self.blocks)
+        live = bound + tails[heads[0]] >= floor - slack
         if not live.any():
             return none
-        places, size = self._lists(self.first, ids[:head])
-        own = np.repeat(weights[:head], size)
-        if not live.all():
-            kept = live[self.at[places] // self.block]
-            places, own = places[kept], own[kept]
-        score = np.bincount(self.at[places], own * self.w[places], self.n)
-        found = np.flatnonzero(score + tail >= floor - slack)
+        live, score = np.repeat(live, self.block)[:self.n], np.zeros(self.n)
+        for start, head, after in zip([0, *heads], heads, [*heads[1:], heads[-1]]):
+            places, size = self._lists(self.first, ids[start:head])
+            own = np.repeat(weights[start:head], size)
+            if not live.all():
+                kept = live[self.at[places]]
+                places, own = places[kept], own[kept]
+            score += np.bincount(self.at[places], own * self.w[places], self.n)
+            live = score + tails[head] >= floor - slack
+            found = np.flatnonzero(live)
+            more = ids[head:after]
+            if (self.from_[found + 1] - self.from_[found]).sum() <= (self.first[more + 1] - self.first[more]).sum():
+                break
         sims = np.zeros(len(found))
         if len(found):
             order = np.argsort(ids)
