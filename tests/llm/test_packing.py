@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -124,3 +125,16 @@ def test_edges_of_input(spark):
     assert packing.pack_documents(frame(spark, ["a"]).limit(0), PATH).count() == 0
     long = packing.pack_documents(frame(spark, ["word " * 20_000]), PATH).collect()
     assert check(long, {0: "word " * 20_000}) == 5
+
+
+def test_workers_of_later_stages_hold_no_encoder(spark):
+    docs = spark.range(400).selectExpr("id doc_id", "concat('word', id, ' of a text') text").repartition(8)
+    assert packing.pack_documents(docs, PATH).count() == 400
+
+    def held(batches):
+        import gc
+        rows = sum(b.num_rows for b in batches)
+        yield pa.RecordBatch.from_pydict({"rows": [rows], "n": [sum(type(x).__name__ == "Encoder" for x in gc.get_objects())]})
+
+    found = spark.range(400).repartition(8).mapInArrow(held, "rows long, n long").collect()
+    assert sum(r["rows"] for r in found) == 400 and not any(r["n"] for r in found)

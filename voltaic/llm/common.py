@@ -80,7 +80,11 @@ def record_batch(spec: dict[str, str], columns: dict[str, list]) -> pa.RecordBat
 
 
 def texts(batch: pa.RecordBatch, column: str = "text") -> Iterator[bytes | None]:
-    """UTF-8 bytes of a string column, one row at a time."""
+    """UTF-8 bytes of a string column, one row at a time.
+
+    What Arrow holds of earlier batches, which are of no more use, is given back first: workers
+    outlive their tasks and would keep it."""
+    pa.default_memory_pool().release_unused()
     for v in batch.column(column).cast(pa.binary()):
         yield v.as_py()
 

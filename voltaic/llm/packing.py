@@ -111,19 +111,31 @@ class Encoder:
         return b"".join(map(self.known.__getitem__, forms))
 
 
-@functools.lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    """One encoder for each Python worker, so what it remembers serves all the worker's tasks."""
-    return Encoder(path)
+class SharedEncoder:
+    """One encoder for each Python worker, so what it remembers serves all the worker's tasks of a query.
+
+    To be sent as a broadcast value: Spark takes that from a worker with the first task that does not
+    use it, so what was remembered takes no memory from the stages that follow."""
+
+    def __init__(self, path: str):
+        self.path = path
+
+    @functools.cached_property
+    def own(self) -> Encoder:
+        return Encoder(self.path)
+
+    def __reduce__(self):
+        return SharedEncoder, (self.path,)
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """Staged rows of doc_id, piece, start, length, ids_crc32, and part and nth: the task and
     the rank among the task's pieces of that length."""
     end = np.array([end_id], "<u4").tobytes()
+    sent = docs.sparkSession.sparkContext.broadcast(SharedEncoder(tokenizer_path))
 
     def run(batches):
-        own_encoder, seen, part = encoder(tokenizer_path), Counter(), TaskContext.get().partitionId()
+        own_encoder, seen, part = sent.value.own, Counter(), TaskContext.get().partitionId()
         for b in batches:
             cols: dict[str, list] = {k: [] for k in _PIECE}
             for doc, t in zip(b.column("doc_id").to_pylist(), texts(b)):
